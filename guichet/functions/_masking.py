@@ -85,9 +85,6 @@ def clean(text: str) -> str:
     return _unwrap(_TAG.sub(" ", _unwrap(masked))).strip()
 
 
-def first_clean(candidates: list[str | None]) -> str | None:
-    """The first candidate that still says something once cleaned."""
-    for candidate in candidates:
-        if candidate is not None and (kept := clean(candidate)):
-            return kept
-    return None
+def first_clean_each(lists: list[list[str | None] | None]) -> list[str | None]:
+    """Per list, the first entry that still says something once cleaned."""
+    return [next(filter(None, (clean(t) for t in texts or () if t is not None)), None) for texts in lists]

@@ -5,6 +5,10 @@ are recognised by JVM expressions, and the Arrow UDFs receive NULL for them:
 ``coalesce(udf(when(needed, text)), text)``. Only rows that need offsets, HTML
 entities or Unicode normalisation cross into Python. Flags and counts never do,
 except to normalise the few texts that are not in normal form.
+
+The expressions mention their argument many times. Pass plain columns, with
+computed ones put in a ``withColumn`` before, which Spark then keeps as a step of
+its own and computes once.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from functools import reduce
 from operator import add, or_
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -41,7 +45,7 @@ _normalise_udf = _per_value(_masking.normalise, T.StringType())
 _mask_udf = _per_value(_masking.mask, T.StringType())
 _mask_merged_udf = _per_value(_masking.mask_merged, T.StringType())
 _clean_udf = _per_value(_masking.clean, T.StringType())
-_first_clean_udf = _per_value(_masking.first_clean, T.StringType())
+_first_clean_udf = _per_value(_masking.first_clean_each, T.ArrayType(T.StringType()))
 _categories_udf = _per_value(_masking.found_categories, T.ArrayType(T.StringType()))
 _hits_udf = _per_value(_masking.hits, T.ArrayType(_HIT))
 
@@ -166,16 +170,24 @@ def clean(c: Column) -> Column:
     return F.coalesce(_clean_udf(F.when(_needs_cleaning(c), c)), strip(c), F.lit(""))
 
 
-def first_clean(candidates: list[Column]) -> Column:
-    """First candidate that is not blank once cleaned, else NULL.
+def first_text(candidates: Column) -> Column:
+    """First entry of an array of texts that is not blank, stripped."""
+    return F.get(F.filter(F.transform(candidates, strip), lambda t: t != ""), 0)
+
+
+def with_first_clean(df: DataFrame, lists: str, out: str) -> DataFrame:
+    """Adds ``out``: for each list of texts in ``lists``, the first not blank once cleaned, else NULL.
 
-    The first candidate with any text decides which route a row takes: if it needs
-    no cleaning it is the answer, otherwise the whole list goes to the UDF, since
+    The first text of a list that is not blank decides its route: if it needs no
+    cleaning it is the answer, otherwise the whole list goes to the UDF, since
     cleaning may leave nothing of it.
     """
-    first = F.coalesce(*(F.nullif(strip(c), F.lit("")) for c in candidates))
-    dirty = _needs_cleaning(first)
-    return F.when(dirty, _first_clean_udf(F.when(dirty, F.array(*candidates)))).otherwise(first)
+    df = df.withColumn("_first", F.transform(lists, first_text))
+    df = df.withColumn("_dirty", F.transform("_first", lambda t: F.coalesce(_needs_cleaning(t), F.lit(False))))
+    to_clean = F.zip_with(lists, "_dirty", lambda texts, dirty: F.when(dirty, texts))
+    df = df.withColumn("_cleaned", _first_clean_udf(F.when(F.exists("_dirty", lambda d: d), to_clean)))
+    chosen = F.transform("_first", lambda t, i: F.when(F.get("_dirty", i), F.get("_cleaned", i)).otherwise(t))
+    return df.withColumn(out, chosen).drop("_first", "_dirty", "_cleaned")
 
 
 # ---------------------------------------------------------------- report predicates

@@ -80,7 +80,10 @@ def test_first_clean_skips_blank_candidates(spark):
         [(" ", "<br>", "kept"), (None, None, None), ("first", "second", None), ("a@b.test", None, "x"), ("<i></i>", "", None)],
         "a string, b string, c string",
     )
-    out = [r.x for r in df.select(X.first_clean([F.col("a"), F.col("b"), F.col("c")]).alias("x")).collect()]
+    df = df.select(F.array(F.array("a", "b", "c"), F.array("c")).alias("lists"))
+    rows = [r.x for r in X.with_first_clean(df, "lists", "x").collect()]
+    assert [r[1] for r in rows] == ["kept", None, None, "x", None]
+    out = [r[0] for r in rows]
     assert out == ["kept", None, "first", "[EMAIL]", None]
 
 
