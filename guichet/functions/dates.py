@@ -26,72 +26,56 @@ _PLAIN = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-](?:0
 
 _DAY_SECONDS = 86_400
 
-
-def _part(c: Column, pattern: str, *groups: int) -> Column:
-    """The first of several capture groups that matched something."""
-    return F.coalesce(*(F.nullif(F.regexp_extract(c, pattern, g), F.lit("")) for g in groups))
+# The capture groups of either spelling, brought to one list: day, hour, minute,
+# second, fraction, sign and offset. A group that took no part leaves its place empty.
+_CLOCK_PARTS = "/$6/$7$9/$8$10/$11/$12/$13/$14/$15"
+_CALENDAR_PARTS = "$1-$2$4-$3$5" + _CLOCK_PARTS
+_WEEK_PARTS = "$1:$2$4:$3$5" + _CLOCK_PARTS
 
 
 def _number(part: Column) -> Column:
-    return F.coalesce(part.cast("int"), F.lit(0))
-
-
-def _day_number(day: Column) -> Column:
-    return F.unix_date(day)
-
-
-def _clock_micros(c: Column, pattern: str, first: int) -> Column:
-    """Microseconds since midnight, NULL if out of range; ``first`` is the hour's group."""
-    hour = _number(_part(c, pattern, first))
-    minute = _number(_part(c, pattern, first + 1, first + 3))
-    second = _number(_part(c, pattern, first + 2, first + 4))
-    fraction = F.rpad(F.substring(F.coalesce(_part(c, pattern, first + 5), F.lit("0")), 1, 6), 6, "0").cast("int")
-    seconds = hour.cast("long") * 3600 + minute * 60 + second
-    return F.when((hour < 24) & (minute < 60) & (second < 60), seconds * 1_000_000 + fraction)
+    return F.coalesce(F.nullif(part, F.lit("")).cast("int"), F.lit(0))
 
 
-def _offset_micros(c: Column, pattern: str, first: int) -> Column:
-    """Distance from UTC, 0 if none is given, NULL from a whole day on."""
-    hours, minutes, seconds = (_number(_part(c, pattern, first + i)) for i in (1, 2, 3))
-    size = hours.cast("long") * 3600 + minutes * 60 + seconds
-    signed = F.when(F.regexp_extract(c, pattern, first) == "-", -size).otherwise(size)
-    return F.when((size < _DAY_SECONDS) & (minutes < 60) & (seconds < 60), signed * 1_000_000)
+def _calendar_day(part: Column) -> Column:
+    return F.when(~part.startswith("0000"), part.try_cast("date"))
 
 
-def _calendar_day(c: Column) -> Column:
-    year, month, day = (
-        _part(c, _FULL_CALENDAR, *groups) for groups in ((1,), (2, 4), (3, 5))
-    )
-    parsed = F.concat_ws("-", year, month, day).try_cast("date")
-    return F.when(year != "0000", parsed)
-
-
-def _week_day(c: Column) -> Column:
-    year = _number(_part(c, _FULL_WEEK, 1))
-    week = _number(_part(c, _FULL_WEEK, 2, 4))
-    weekday = F.coalesce(_part(c, _FULL_WEEK, 3, 5).cast("int"), F.lit(1))
+def _week_day(part: Column) -> Column:
+    year, week = (_number(F.split_part(part, F.lit(":"), F.lit(i))) for i in (1, 2))
+    weekday = F.coalesce(F.nullif(F.split_part(part, F.lit(":"), F.lit(3)), F.lit("")).cast("int"), F.lit(1))
     first_monday = F.trunc(F.make_date(year, F.lit(1), F.lit(4)), "week")
-    day = F.date_add(first_monday, (week - 1) * 7 + weekday - 1)
     # Week 53 exists only in years whose last Thursday falls in it.
-    monday = F.date_add(first_monday, (week - 1) * 7)
-    exists = (week >= 1) & (week <= 53) & (F.year(F.date_add(monday, 3)) == year)
-    return F.when(exists & weekday.between(1, 7) & (year > 0), day)
+    thursday = F.date_add(first_monday, (week - 1) * 7 + 3)
+    exists = week.between(1, 53) & (F.year(thursday) == year) & weekday.between(1, 7) & (year > 0)
+    return F.when(exists, F.date_add(thursday, weekday - 4))
+
+
+def _instant(parts: Column, day_of) -> Column:
+    """UTC timestamp of the listed parts, NULL where one is out of range."""
+    hour, minute, second = (_number(parts[i]) for i in (1, 2, 3))
+    off_hour, off_minute, off_second = (_number(parts[i]) for i in (6, 7, 8))
+    seconds = hour.cast("long") * 3600 + minute * 60 + second
+    offset = off_hour.cast("long") * 3600 + off_minute * 60 + off_second
+    fraction = F.rpad(F.substring(parts[4], 1, 6), 6, "0").cast("int")
+    valid = (hour < 24) & (minute < 60) & (second < 60) & (offset < _DAY_SECONDS) & (off_minute < 60) & (off_second < 60)
+    days = F.unix_date(day_of(parts[0])).cast("long") * _DAY_SECONDS
+    total = days + seconds + F.when(parts[5] == "-", offset).otherwise(-offset)
+    return F.when(valid, F.timestamp_micros(total * 1_000_000 + fraction))
 
 
-def _assemble(day: Column, clock: Column, offset: Column) -> Column:
-    return F.timestamp_micros(_day_number(day).cast("long") * (_DAY_SECONDS * 1_000_000) + clock - offset)
+def _parse_unusual(text: Column, pattern: str, parts: str, day_of) -> Column:
+    listed = F.array(F.split(F.regexp_replace(text, pattern, parts), "/"))
+    return F.get(F.transform(listed, lambda p: _instant(p, day_of)), 0)
 
 
 def parse_iso(c: Column) -> Column:
     """TIMESTAMP of ISO 8601 text in extended, basic or week form; no zone means UTC."""
     text = strip(c)
-    plain = F.when(~text.startswith("0000"), text.try_cast("timestamp"))
-    calendar = _assemble(_calendar_day(text), _clock_micros(text, _FULL_CALENDAR, 6), _offset_micros(text, _FULL_CALENDAR, 12))
-    week = _assemble(_week_day(text), _clock_micros(text, _FULL_WEEK, 6), _offset_micros(text, _FULL_WEEK, 12))
     return (
-        F.when(text.rlike(_PLAIN), plain)
-        .when(text.rlike(_FULL_CALENDAR), calendar)
-        .when(text.rlike(_FULL_WEEK), week)
+        F.when(text.rlike(_PLAIN), F.when(~text.startswith("0000"), text.try_cast("timestamp")))
+        .when(text.rlike(_FULL_CALENDAR), _parse_unusual(text, _FULL_CALENDAR, _CALENDAR_PARTS, _calendar_day))
+        .when(text.rlike(_FULL_WEEK), _parse_unusual(text, _FULL_WEEK, _WEEK_PARTS, _week_day))
     )
 
 

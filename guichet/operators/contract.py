@@ -88,7 +88,7 @@ def ragged_columns(payloads: DataFrame, column: str = "payload") -> DataFrame:
     return payloads.select(F.explode(members).alias("column")).distinct()
 
 
-def check_columns_sql(name: Column) -> Column:
+def input_column_flags(name: Column) -> Column:
     """The input contract as flags on a column of names: forbidden, exact timestamp, raw text."""
     lower = F.lower(name)
     extra = ~lower.isin(*fv.RAW_INPUT_COLUMNS)
