@@ -27,6 +27,10 @@ def normalise(text: str) -> str:
     return unicodedata.normalize("NFKC", html.unescape(text))
 
 
+def normalise_each(texts: list[str | None]) -> list[str | None]:
+    return [None if t is None else normalise(t) for t in texts]
+
+
 def spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, category) of every detector hit in an already normalised text."""
     return sorted((m.start(), m.end(), name) for name, rx in _DETECTORS for m in rx.finditer(text))
@@ -86,5 +90,7 @@ def clean(text: str) -> str:
 
 
 def first_clean_each(lists: list[list[str | None] | None]) -> list[str | None]:
-    """Per list, the first entry that still says something once cleaned."""
-    return [next(filter(None, (clean(t) for t in texts or () if t is not None)), None) for texts in lists]
+    """Per list, the first entry that still says something once cleaned, else a blank; NULL for no list."""
+    return [
+        None if texts is None else next(filter(None, (clean(t) for t in texts if t is not None)), "") for texts in lists
+    ]

@@ -5,10 +5,6 @@ are recognised by JVM expressions, and the Arrow UDFs receive NULL for them:
 ``coalesce(udf(when(needed, text)), text)``. Only rows that need offsets, HTML
 entities or Unicode normalisation cross into Python. Flags and counts never do,
 except to normalise the few texts that are not in normal form.
-
-The expressions mention their argument many times. Pass plain columns, with
-computed ones put in a ``withColumn`` before, which Spark then keeps as a step of
-its own and computes once.
 """
 
 from __future__ import annotations
@@ -17,7 +13,7 @@ from functools import reduce
 from operator import add, or_
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -30,7 +26,12 @@ _HIT = T.StructType().add("category", "string").add("start", "integer").add("end
 
 
 def _per_value(fn, returns: T.DataType):
-    """Arrow UDF that applies ``fn`` to the non-null values of one column."""
+    """Arrow UDF that applies ``fn`` to the non-null values of one column.
+
+    Declared nondeterministic although it is not: the optimizer merges projections
+    around deterministic Python UDFs, and copies a computed text into every mention
+    of it on the way, at the price of computing it that many times.
+    """
 
     arrow_type = to_arrow_type(returns)
 
@@ -38,10 +39,11 @@ def _per_value(fn, returns: T.DataType):
     def apply(values: pa.Array) -> pa.Array:
         return pa.array([None if v is None else fn(v) for v in values.to_pylist()], arrow_type)
 
-    return apply
+    return apply.asNondeterministic()
 
 
 _normalise_udf = _per_value(_masking.normalise, T.StringType())
+_normalise_each_udf = _per_value(_masking.normalise_each, T.ArrayType(T.StringType()))
 _mask_udf = _per_value(_masking.mask, T.StringType())
 _mask_merged_udf = _per_value(_masking.mask_merged, T.StringType())
 _clean_udf = _per_value(_masking.clean, T.StringType())
@@ -50,6 +52,20 @@ _categories_udf = _per_value(_masking.found_categories, T.ArrayType(T.StringType
 _hits_udf = _per_value(_masking.hits, T.ArrayType(_HIT))
 
 
+def _let(c: Column, fn) -> Column:
+    """``fn(c)`` with ``c`` computed once, however often ``fn`` mentions it.
+
+    The optimizer copies the definition of a computed column into every mention of
+    it inside a Python UDF's arguments; a lambda variable stays a variable.
+    """
+    return F.get(F.transform(F.array(c), fn), 0)
+
+
+def _where(c: Column, needed) -> Column:
+    """The text where ``needed`` says so, else NULL."""
+    return _let(c, lambda t: F.when(needed(t), t))
+
+
 def _contains_any(c: Column, *needles: str) -> Column:
     return reduce(or_, (F.contains(c, F.lit(needle)) for needle in needles))
 
@@ -59,7 +75,12 @@ def _contains_any(c: Column, *needles: str) -> Column:
 
 def strip(c: Column) -> Column:
     """Without leading and trailing Unicode white space (``trim`` drops spaces only)."""
-    return F.regexp_replace(c, f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
+
+    def stripped(t: Column) -> Column:
+        ends = F.concat(F.substring(t, 1, 1), F.substring(t, -1, 1))
+        return F.when(ends.rlike(SPACE_CLASS), F.regexp_replace(t, f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")).otherwise(t)
+
+    return _let(c, stripped)
 
 
 def squeeze(c: Column) -> Column:
@@ -75,29 +96,40 @@ def blank_to_null(c: Column) -> Column:
 # ---------------------------------------------------------------- normalisation
 
 
+def _beyond_ascii(c: Column) -> Column:
+    return F.octet_length(c) != F.char_length(c)
+
+
 def is_unsettled(c: Column) -> Column:
     """True where HTML unescaping or NFKC could change the text."""
-    pure_ascii = F.octet_length(c) == F.char_length(c)
-    return _contains_any(c, "&") | (~pure_ascii & c.rlike(UNSETTLED))
+    return _contains_any(c, "&") | (_beyond_ascii(c) & c.rlike(UNSETTLED))
 
 
 def normalise(c: Column) -> Column:
     """HTML entities resolved, then Unicode NFKC."""
-    return F.coalesce(_normalise_udf(F.when(is_unsettled(c), c)), c)
+    return F.coalesce(_normalise_udf(_where(c, is_unsettled)), c)
+
+
+def normalise_each(texts: Column) -> Column:
+    """:func:`normalise` for an array of texts without NULLs, in one trip to Python."""
+    unsettled = F.transform(texts, lambda t: F.when(is_unsettled(t), t))
+    return F.zip_with(_normalise_each_udf(unsettled), texts, lambda new, old: F.coalesce(new, old))
 
 
 # ---------------------------------------------------------------- detection
 
-# What a text cannot do without to hold a category. Substring tests cost a fraction
-# of the regexes, which only run on the rows that pass. The dotted capital and the
-# dotless small i stand for any i when case is ignored, and do not lower to one.
+# What a text cannot do without to hold a category. Substring tests work on bytes;
+# a regex first has to decode the whole text, so it only runs on the rows that pass.
+# The dotted capital and the dotless small i stand for any i when case is ignored,
+# and do not lower to one.
+_WORDS = ("_id", "identifiant", "login", "username")
 _MUST_HAVE = {
     "email": lambda c: _contains_any(c, "@"),
     "fr_phone": lambda c: _contains_any(c, "0", "+33"),
-    "ipv4": lambda c: c.rlike(r"\p{Nd}\.\p{Nd}"),
-    "url": lambda c: _contains_any(c, "://") | c.rlike(r"(?i)www\."),
-    "obvious_identifier": lambda c: _contains_any(F.lower(c), "_id", "identifiant", "login", "username")
-    | _contains_any(c, "İ", "ı"),
+    "ipv4": lambda c: _contains_any(c, *(f".{d}" for d in range(10)))
+    | (_beyond_ascii(c) & c.rlike(r"\p{Nd}\.\p{Nd}")),
+    "url": lambda c: _contains_any(c, "://", "ww.", "wW.", "Ww.", "WW."),
+    "obvious_identifier": lambda c: _let(F.lower(c), lambda low: _contains_any(low, *_WORDS)) | _contains_any(c, "İ", "ı"),
 }
 
 
@@ -132,10 +164,13 @@ def count_secrets(c: Column) -> Column:
     return reduce(add, (F.regexp_count(c, F.lit(p)) for p in JAVA_SECRETS))
 
 
+def _needs_masking(c: Column) -> Column:
+    return is_unsettled(c) | has_pii(c)
+
+
 def pii_hits(c: Column) -> Column:
     """Array of (category, start, end), by start, end and category; never the value."""
-    needed = is_unsettled(c) | has_pii(c)
-    return F.when(c.isNotNull(), F.coalesce(_hits_udf(F.when(needed, c)), F.array().cast(T.ArrayType(_HIT))))
+    return F.when(c.isNotNull(), F.coalesce(_hits_udf(_where(c, _needs_masking)), F.array().cast(T.ArrayType(_HIT))))
 
 
 # ---------------------------------------------------------------- masking
@@ -148,26 +183,25 @@ def mask(c: Column, overlap: str = "skip") -> Column:
     its tail; ``"merge"`` hides the tail as well.
     """
     udf = {"skip": _mask_udf, "merge": _mask_merged_udf}[overlap]
-    return F.coalesce(udf(F.when(is_unsettled(c) | has_pii(c), c)), c)
+    return F.coalesce(udf(_where(c, _needs_masking)), c)
 
 
 def removed_categories(c: Column) -> Column:
     """Distinct categories that :func:`mask` removes, in order of appearance."""
-    needed = is_unsettled(c) | has_pii(c)
-    return F.when(c.isNotNull(), F.coalesce(_categories_udf(F.when(needed, c)), F.array().cast("array<string>")))
+    return F.when(c.isNotNull(), F.coalesce(_categories_udf(_where(c, _needs_masking)), F.array().cast("array<string>")))
 
 
 # Markup, or a placeholder already in the text that may be wrapped.
-_MARKUP = r"(?iu)<|\[EMAIL\]"
+_PLACEHOLDER = r"(?iu)\[EMAIL\]"
 
 
 def _needs_cleaning(c: Column) -> Column:
-    return is_unsettled(c) | c.rlike(_MARKUP) | has_pii(c)
+    return _contains_any(c, "<") | (_contains_any(c, "[") & c.rlike(_PLACEHOLDER)) | _needs_masking(c)
 
 
 def clean(c: Column) -> Column:
     """Provider text: normalised, masked, markup and placeholder wrappers removed, stripped."""
-    return F.coalesce(_clean_udf(F.when(_needs_cleaning(c), c)), strip(c), F.lit(""))
+    return F.coalesce(_clean_udf(_where(c, _needs_cleaning)), strip(c), F.lit(""))
 
 
 def first_text(candidates: Column) -> Column:
@@ -175,19 +209,21 @@ def first_text(candidates: Column) -> Column:
     return F.get(F.filter(F.transform(candidates, strip), lambda t: t != ""), 0)
 
 
-def with_first_clean(df: DataFrame, lists: str, out: str) -> DataFrame:
-    """Adds ``out``: for each list of texts in ``lists``, the first not blank once cleaned, else NULL.
+def first_clean_each(lists: Column) -> Column:
+    """For each list of texts, the first that is not blank once cleaned, else NULL.
 
     The first text of a list that is not blank decides its route: if it needs no
     cleaning it is the answer, otherwise the whole list goes to the UDF, since
     cleaning may leave nothing of it.
     """
-    df = df.withColumn("_first", F.transform(lists, first_text))
-    df = df.withColumn("_dirty", F.transform("_first", lambda t: F.coalesce(_needs_cleaning(t), F.lit(False))))
-    to_clean = F.zip_with(lists, "_dirty", lambda texts, dirty: F.when(dirty, texts))
-    df = df.withColumn("_cleaned", _first_clean_udf(F.when(F.exists("_dirty", lambda d: d), to_clean)))
-    chosen = F.transform("_first", lambda t, i: F.when(F.get("_dirty", i), F.get("_cleaned", i)).otherwise(t))
-    return df.withColumn(out, chosen).drop("_first", "_dirty", "_cleaned")
+
+    def dirty(texts: Column) -> Column:
+        return _let(first_text(texts), lambda t: F.coalesce(_needs_cleaning(t), F.lit(False)))
+
+    to_clean = F.transform(lists, lambda texts: F.when(dirty(texts), texts))
+    cleaned = _first_clean_udf(to_clean)
+    # The UDF answers a list it was given by text or, if nothing is left, by a blank.
+    return F.zip_with(cleaned, lists, lambda c, texts: F.nullif(F.coalesce(c, first_text(texts)), F.lit("")))
 
 
 # ---------------------------------------------------------------- report predicates
@@ -197,7 +233,8 @@ def looks_like_contact(c: Column) -> Column:
     """Loose diagnostic test for addresses and numbers, kept apart from the detector."""
     email, phone, ip = (java_pattern(p, True) for p in fv.HEURISTIC_PATTERNS)
     email = email.replace("+@", "@", 1)  # one character before the sign decides as much as many
-    return (_contains_any(c, "@") & c.rlike(email)) | c.rlike(phone) | (c.rlike(r"[0-9]\.[0-9]") & c.rlike(ip))
+    digit, dotted = (_contains_any(c, *(f"{dot}{d}" for d in range(10))) for dot in ("", "."))
+    return (_contains_any(c, "@") & c.rlike(email)) | (digit & c.rlike(phone)) | (dotted & c.rlike(ip))
 
 
 def is_untitled(c: Column) -> Column:

@@ -80,26 +80,25 @@ def to_storage(df: DataFrame, *keep: str) -> DataFrame:
 # ---------------------------------------------------------------- residual scan
 
 
-def _with_residual(df: DataFrame, fields: Iterable[str], out: str = "_residual") -> DataFrame:
-    """Adds a struct with, per field, the sorted categories still found in it."""
-    fields = [f for f in fields if f in df.columns]
-    plain = {f"_n_{f}": X.normalise(F.coalesce(F.col(f).cast("string"), F.lit(""))) for f in fields}
-    found = F.struct(*(X.pii_categories(F.col(f"_n_{f}")).alias(f) for f in fields))
-    return df.withColumns(plain).withColumn(out, found).drop(*plain)
+def _with_residual(df: DataFrame, fields: list[str]) -> DataFrame:
+    """Adds ``_residual``: per field, the sorted categories still found in it."""
+    texts = F.array(*(F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields))
+    df = df.withColumn("_texts", texts).withColumn("_texts", X.normalise_each(F.col("_texts")))
+    return df.withColumn("_residual", F.transform("_texts", X.pii_categories)).drop("_texts")
 
 
 def residual_rows(df: DataFrame, key: str, fields: Iterable[str] = fv.TEXT_FIELDS) -> DataFrame:
     """(key, field, categories) of every field with personal data left."""
     fields = [f for f in fields if f in df.columns]
     found = _with_residual(df.select(key, *(f for f in fields if f != key)), fields)
-    entries = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"_residual.{f}").alias("categories")) for f in fields))
+    entries = F.arrays_zip(F.array(*(F.lit(f) for f in fields)).alias("field"), F.col("_residual").alias("categories"))
     return found.select(key, F.inline(entries)).filter(F.size("categories") > 0)
 
 
 def _residual_metrics(fields: Iterable[str]) -> list[Column]:
     return [
-        F.count_if(F.array_contains(f"_residual.{f}", category)).alias(f"{f}:{category}")
-        for f in fields
+        F.count_if(F.array_contains(F.get("_residual", i), category)).alias(f"{f}:{category}")
+        for i, f in enumerate(fields)
         for category in sorted(JAVA_PII)
     ]
 

@@ -89,7 +89,7 @@ def to_incoming(payloads: DataFrame, *keep: str, fail_without_id: bool = True) -
     df = df.withColumn("_status", F.when(is_object, _first_present(status, fv.STATUS_OBJECT_FIELDS)).otherwise(status))
     df = df.withColumn("_texts", F.concat("_texts", F.array(F.array(as_text(F.col("_status"))))))
 
-    df = X.with_first_clean(df, "_texts", "_clean")
+    df = df.withColumn("_clean", X.first_clean_each(F.col("_texts")))
     text = {name: F.get("_clean", i) for i, name in enumerate((*_TEXTS, "status"))}
     missing_id = F.raise_error(F.lit(f"Missing required ticket field: {fv.ID_FIELDS[0]}"))
     out = text | {

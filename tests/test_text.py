@@ -81,7 +81,7 @@ def test_first_clean_skips_blank_candidates(spark):
         "a string, b string, c string",
     )
     df = df.select(F.array(F.array("a", "b", "c"), F.array("c")).alias("lists"))
-    rows = [r.x for r in X.with_first_clean(df, "lists", "x").collect()]
+    rows = [r.x for r in df.select(X.first_clean_each(F.col("lists")).alias("x")).collect()]
     assert [r[1] for r in rows] == ["kept", None, None, "x", None]
     out = [r[0] for r in rows]
     assert out == ["kept", None, "first", "[EMAIL]", None]
