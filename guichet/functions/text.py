@@ -13,7 +13,7 @@ from functools import reduce
 from operator import add, or_
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -126,8 +126,7 @@ _WORDS = ("_id", "identifiant", "login", "username")
 _MUST_HAVE = {
     "email": lambda c: _contains_any(c, "@"),
     "fr_phone": lambda c: _contains_any(c, "0", "+33"),
-    "ipv4": lambda c: _contains_any(c, *(f".{d}" for d in range(10)))
-    | (_beyond_ascii(c) & c.rlike(r"\p{Nd}\.\p{Nd}")),
+    "ipv4": lambda c: c.rlike(r"\p{Nd}\.\p{Nd}"),
     "url": lambda c: _contains_any(c, "://", "ww.", "wW.", "Ww.", "WW."),
     "obvious_identifier": lambda c: _let(F.lower(c), lambda low: _contains_any(low, *_WORDS)) | _contains_any(c, "İ", "ı"),
 }
@@ -191,17 +190,22 @@ def removed_categories(c: Column) -> Column:
     return F.when(c.isNotNull(), F.coalesce(_categories_udf(_where(c, _needs_masking)), F.array().cast("array<string>")))
 
 
-# Markup, or a placeholder already in the text that may be wrapped.
+_TAG = java_pattern(fv.HTML_TAG_PATTERN, True)
 _PLACEHOLDER = r"(?iu)\[EMAIL\]"
 
 
-def _needs_cleaning(c: Column) -> Column:
-    return _contains_any(c, "<") | (_contains_any(c, "[") & c.rlike(_PLACEHOLDER)) | _needs_masking(c)
+def _needs_unwrapping(c: Column) -> Column:
+    """True where cleaning takes more than removing tags: a placeholder may be wrapped, now or once masked."""
+    return (_contains_any(c, "[") & c.rlike(_PLACEHOLDER)) | _needs_masking(c)
+
+
+def _untagged(c: Column) -> Column:
+    return strip(F.when(_contains_any(c, "<"), F.regexp_replace(c, _TAG, " ")).otherwise(c))
 
 
 def clean(c: Column) -> Column:
     """Provider text: normalised, masked, markup and placeholder wrappers removed, stripped."""
-    return F.coalesce(_clean_udf(_where(c, _needs_cleaning)), strip(c), F.lit(""))
+    return F.coalesce(_clean_udf(_where(c, _needs_unwrapping)), _untagged(c), F.lit(""))
 
 
 def first_text(candidates: Column) -> Column:
@@ -209,21 +213,22 @@ def first_text(candidates: Column) -> Column:
     return F.get(F.filter(F.transform(candidates, strip), lambda t: t != ""), 0)
 
 
-def first_clean_each(lists: Column) -> Column:
-    """For each list of texts, the first that is not blank once cleaned, else NULL.
+def with_first_clean(df: DataFrame, lists: str, out: str) -> DataFrame:
+    """Adds ``out``: for each list of texts, the first that is not blank once cleaned, else NULL.
 
-    The first text of a list that is not blank decides its route: if it needs no
-    cleaning it is the answer, otherwise the whole list goes to the UDF, since
-    cleaning may leave nothing of it.
+    The first text of a list that is not blank decides its route. If it only needs
+    its tags removed, and something is left, it is the answer. Otherwise the whole
+    list goes to the UDF.
     """
 
-    def dirty(texts: Column) -> Column:
-        return _let(first_text(texts), lambda t: F.coalesce(_needs_cleaning(t), F.lit(False)))
+    def by_itself(texts: Column) -> Column:
+        tagless = lambda t: F.when(~_needs_unwrapping(t), F.nullif(_untagged(t), F.lit("")))
+        return _let(first_text(texts), tagless)
 
-    to_clean = F.transform(lists, lambda texts: F.when(dirty(texts), texts))
-    cleaned = _first_clean_udf(to_clean)
-    # The UDF answers a list it was given by text or, if nothing is left, by a blank.
-    return F.zip_with(cleaned, lists, lambda c, texts: F.nullif(F.coalesce(c, first_text(texts)), F.lit("")))
+    df = df.withColumn("_plain", F.transform(lists, by_itself))
+    left = F.zip_with("_plain", lists, lambda plain, texts: F.when(plain.isNull(), texts))
+    df = df.withColumn("_cleaned", _first_clean_udf(left))
+    return df.withColumn(out, F.zip_with("_plain", "_cleaned", lambda a, b: F.coalesce(a, b))).drop("_plain", "_cleaned")
 
 
 # ---------------------------------------------------------------- report predicates
@@ -233,8 +238,7 @@ def looks_like_contact(c: Column) -> Column:
     """Loose diagnostic test for addresses and numbers, kept apart from the detector."""
     email, phone, ip = (java_pattern(p, True) for p in fv.HEURISTIC_PATTERNS)
     email = email.replace("+@", "@", 1)  # one character before the sign decides as much as many
-    digit, dotted = (_contains_any(c, *(f"{dot}{d}" for d in range(10))) for dot in ("", "."))
-    return (_contains_any(c, "@") & c.rlike(email)) | (digit & c.rlike(phone)) | (dotted & c.rlike(ip))
+    return (_contains_any(c, "@") & c.rlike(email)) | c.rlike(phone) | (c.rlike(r"[0-9]\.[0-9]") & c.rlike(ip))
 
 
 def is_untitled(c: Column) -> Column:

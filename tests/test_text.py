@@ -81,7 +81,7 @@ def test_first_clean_skips_blank_candidates(spark):
         "a string, b string, c string",
     )
     df = df.select(F.array(F.array("a", "b", "c"), F.array("c")).alias("lists"))
-    rows = [r.x for r in df.select(X.first_clean_each(F.col("lists")).alias("x")).collect()]
+    rows = [r.x for r in X.with_first_clean(df, "lists", "x").collect()]
     assert [r[1] for r in rows] == ["kept", None, None, "x", None]
     out = [r[0] for r in rows]
     assert out == ["kept", None, "first", "[EMAIL]", None]
@@ -165,6 +165,15 @@ def test_mask_equals_per_value_mask(evaluate):
     assert evaluate(values, X.mask) == [naive(v) for v in values]
 
 
+def test_clean_equals_per_value_clean(evaluate):
+    from guichet.functions import _masking
+
+    tags = ["<b>", "</p >", "<İ>", "<1>", "<", "< a>", "<a\n>", "mailto:", "[EMAIL]", "[email]", "< [EMAIL] >"]
+    rng = random.Random(8)
+    values = ["".join(rng.choice(PIECES + tags * 6) for _ in range(rng.randint(1, 7))) for _ in range(1200)]
+    assert evaluate(values, X.clean) == [_masking.clean(v) for v in values]
+
+
 def test_squeeze_and_strip_follow_python(evaluate):
     values = texts(600, 3) + ["\x1c a \x1f\u3000b\u2028", "\x85x\xa0"]
     assert evaluate(values, X.squeeze) == [" ".join(v.split()) for v in values]
