@@ -24,6 +24,7 @@ from guichet.operators.scope import CREATED, in_scope
 
 _LENGTHS = {f: f"{f}_length" for f in fv.TEXT_FIELDS}
 _KEYS = (*fv.DISTRIBUTION_COLUMNS, *fv.BUCKET_FORMATS, *_LENGTHS.values())
+_ENDS = {"min": F.min, "max": F.max}
 _PERIOD = T.ArrayType(T.StructType().add("period", "string").add("count", "long"))
 
 
@@ -74,12 +75,11 @@ def _counted(flagged: DataFrame) -> DataFrame:
             slot = F.when(on, F.unix_date(k)).otherwise(slot)
         else:
             slot = F.when(on, F.col(k)).otherwise(slot)
-    names = flags + [f"{c}_{end}" for c in fv.TEMPORAL_COLUMNS for end in ("min", "max")]
     rows = rows.withColumns({"section": section, "slot": slot, "_seen": seen}).filter("_seen")
-    # Counters of the other sections repeat the whole in parts, so each needs its own maximum only in "all".
-    return rows.groupBy("section", "slot").agg(
-        F.count(F.lit(1)).alias("values"), F.sum("n").alias("n"), *(F.max(n).alias(n) for n in names)
-    )
+    # A counter of the whole is at least that of any part, so the largest one is kept.
+    kept = [F.max(f).alias(f) for f in flags]
+    kept += [end(f"{c}_{name}").alias(f"{c}_{name}") for c in fv.TEMPORAL_COLUMNS for name, end in _ENDS.items()]
+    return rows.groupBy("section", "slot").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("n"), *kept)
 
 
 def _scope_row(tickets: DataFrame, min_created: date) -> DataFrame:
@@ -94,34 +94,36 @@ def _scope_row(tickets: DataFrame, min_created: date) -> DataFrame:
     )
 
 
-def _distribution(c: str, whole, max_buckets: int) -> Column:
-    mine = F.col("section") == c
-    runs = F.sort_array(F.collect_list(F.when(mine, F.struct("slot", "values"))), asc=False)
-    distinct = F.coalesce(F.sum(F.when(mine, F.col("values"))), F.lit(0))
+def _runs(c: str, max_buckets: int) -> tuple[Column, Column]:
+    """Number of distinct values of a controlled column, and (count, values with it), largest first."""
+    mine = F.when(F.col("section") == c, F.struct("slot", "values"))
+    distinct = F.coalesce(F.sum(mine["values"]), F.lit(0))
     message = f"More than {max_buckets} distinct values in {c}; use distributions() instead of the report"
-    runs = F.when(distinct <= max_buckets, runs).otherwise(F.raise_error(F.lit(message)))
-    counts = F.flatten(F.transform(runs, lambda r: F.array_repeat(r["slot"], r["values"].cast("int"))))
-    buckets = F.transform(counts, lambda n, i: F.struct((i + 1).cast("bigint").alias("rank"), n.alias("count")))
+    checked = F.when(distinct <= max_buckets, F.sort_array(F.collect_list(mine), asc=False))
+    return distinct, checked.otherwise(F.raise_error(F.lit(message)))
+
+
+def _distribution(c: str) -> Column:
+    counts = F.flatten(F.transform(f"{c}_runs", lambda r: F.array_repeat(r["slot"], r["values"].cast("int"))))
     return F.struct(
-        distinct.alias("distinct_count"),
-        distinct.alias("non_null_distinct_count"),
-        whole(f"{c}_null").alias("null_count"),
-        whole(f"{c}_blank").alias("missing_count"),
-        buckets.alias("buckets"),
+        F.col(f"{c}_distinct").alias("distinct_count"),
+        F.col(f"{c}_distinct").alias("non_null_distinct_count"),
+        F.col(f"{c}_null").alias("null_count"),
+        F.col(f"{c}_blank").alias("missing_count"),
+        F.transform(counts, lambda n, i: F.struct((i + 1).cast("bigint").alias("rank"), n.alias("count"))).alias("buckets"),
     )
 
 
-def _text_quality(field: str, whole) -> Column:
+def _length(field: str) -> Column:
     mine = F.col("section") == _LENGTHS[field]
-    length, n = F.when(mine, F.col("slot")), F.when(mine, F.col("n"))
-    low, mean, high, p50, p90, p95, p99, _ = eda.length_summary(length, n, F.lit(0))
-    return F.struct(
-        F.struct(
-            low.alias("min"), mean.alias("mean"), high.alias("max"),
-            p50.alias("p50"), p90.alias("p90"), p95.alias("p95"), p99.alias("p99"),
-        ).alias("length"),
-        eda.safe_rate(whole(f"{field}_blank"), whole("n")).alias("empty_rate"),
-    )
+    low, mean, high, p50, p90, p95, p99, _ = eda.length_summary(F.when(mine, F.col("slot")), F.when(mine, F.col("n")), F.lit(0))
+    names = {"min": low, "mean": mean, "max": high, "p50": p50, "p90": p90, "p95": p95, "p99": p99}
+    return F.struct(*(value.alias(name) for name, value in names.items()))
+
+
+def _text_quality(field: str) -> Column:
+    rate = eda.safe_rate(F.col(f"{field}_blank"), F.col("total"))
+    return F.struct(F.col(f"{field}_lengths").alias("length"), rate.alias("empty_rate"))
 
 
 def _buckets(granularity: str) -> Column:
@@ -130,6 +132,38 @@ def _buckets(granularity: str) -> Column:
     return F.sort_array(F.collect_list(entry)).cast(_PERIOD)
 
 
+def _moment(c: str) -> Column:
+    empty = F.col(f"{c}_null")
+    return F.struct(
+        eda.iso_second(F.col(f"{c}_min")).alias("min_at"),
+        eda.iso_second(F.col(f"{c}_max")).alias("max_at"),
+        (F.col("total") - empty).alias("populated_count"),
+        empty.alias("null_count"),
+        empty.alias("missing_count"),
+    )
+
+
+def _complete(c: str) -> Column:
+    empty, none = F.col(f"{c}_null"), F.lit(0).cast("bigint")
+    if c in fv.DISTRIBUTION_COLUMNS:
+        missing, populated = F.col(f"{c}_blank"), F.col("total") - empty - F.col(f"{c}_blank")
+    else:
+        missing, populated = none if c == "ingested_at" else empty, F.col("total") - empty
+    return F.struct(
+        F.lit(c).alias("field"),
+        populated.alias("populated_count"),
+        empty.alias("null_count"),
+        missing.alias("missing_count"),
+        eda.safe_rate(populated, F.col("total")).alias("completeness_rate"),
+    )
+
+
+def _placeholder(i: int, label: str) -> Column:
+    n = F.col(f"has_{i}")
+    rate = eda.safe_rate(n, F.col("total"))
+    return F.struct(F.lit(label).alias("placeholder"), n.alias("rows_with_placeholder"), rate.alias("rate"))
+
+
 def build_report(tickets: DataFrame, min_created: date = fv.MIN_TICKET_CREATED_AT, max_buckets: int = 1_000_000) -> DataFrame:
     """The whole report as one nested row.
 
@@ -140,69 +174,46 @@ def build_report(tickets: DataFrame, min_created: date = fv.MIN_TICKET_CREATED_A
     counted = _counted(_flagged(tickets, min_created))
     rows = counted.unionByName(_scope_row(tickets, min_created), allowMissingColumns=True)
 
-    def whole(name: str) -> Column:
-        return F.coalesce(F.max(F.when(F.col("section") == "all", F.col(name))), F.lit(0).cast("bigint"))
-
-    def scope(name: str) -> Column:
-        return F.max(F.when(F.col("section") == "scope", F.col(name)))
-
-    def moment(c: str) -> Column:
-        lowest, highest = (F.max(F.when(F.col("section") == "all", F.col(f"{c}_{end}"))) for end in ("min", "max"))
-        empty = whole(f"{c}_null")
-        return F.struct(
-            eda.iso_second(lowest).alias("min_at"),
-            eda.iso_second(highest).alias("max_at"),
-            (whole("n") - empty).alias("populated_count"),
-            empty.alias("null_count"),
-            empty.alias("missing_count"),
-        )
-
-    def complete(c: str) -> Column:
-        empty = whole(f"{c}_null")
-        if c in fv.DISTRIBUTION_COLUMNS:
-            missing, populated = whole(f"{c}_blank"), whole("n") - empty - whole(f"{c}_blank")
-        else:
-            missing, populated = (F.lit(0).cast("bigint") if c == "ingested_at" else empty), whole("n") - empty
-        return F.struct(
-            F.lit(c).alias("field"),
-            populated.alias("populated_count"),
-            empty.alias("null_count"),
-            missing.alias("missing_count"),
-            eda.safe_rate(populated, whole("n")).alias("completeness_rate"),
-        )
-
-    def placeholder(i: int, label: str) -> Column:
-        n = whole(f"has_{i}")
-        rate = eda.safe_rate(n, whole("n"))
-        return F.struct(F.lit(label).alias("placeholder"), n.alias("rows_with_placeholder"), rate.alias("rate"))
-
+    numbers = [f.name for f in counted.schema if f.dataType == T.LongType() and f.name not in ("slot", "values", "n")]
+    zero = F.lit(0).cast("bigint")
+    flat = [F.coalesce(F.max(name), zero).alias(name) for name in [*numbers, "historical", "undated"]]
+    flat += [end(f"{c}_{name}").alias(f"{c}_{name}") for c in fv.TEMPORAL_COLUMNS for name, end in _ENDS.items()]
+    for name, section in (("total", "all"), ("source", "scope")):
+        flat.append(F.coalesce(F.max(F.when(F.col("section") == section, F.col("n"))), zero).alias(name))
+    for c in fv.DISTRIBUTION_COLUMNS:
+        distinct, runs = _runs(c, max_buckets)
+        flat += [distinct.alias(f"{c}_distinct"), runs.alias(f"{c}_runs")]
+    flat += [_length(f).alias(f"{f}_lengths") for f in fv.TEXT_FIELDS]
+    flat += [_buckets(g).alias(f"by_{g}") for g in fv.BUCKET_FORMATS]
+
+    total = F.col("total")
     categories = F.array(
-        *(F.struct(F.lit(n).alias("category"), whole(f"pii_{n}").alias("rows_with_residual")) for n in sorted(JAVA_PII))
+        *(F.struct(F.lit(n).alias("category"), F.col(f"pii_{n}").alias("rows_with_residual")) for n in sorted(JAVA_PII))
     )
-    return rows.agg(
-        whole("n").alias("total_tickets"),
-        scope("n").alias("total_source_count"),
-        whole("n").alias("included_count"),
-        scope("historical").alias("excluded_historical_outlier_count"),
-        scope("undated").alias("excluded_missing_ticket_created_at_count"),
+    return rows.agg(*flat).select(
+        total.alias("total_tickets"),
+        F.col("source").alias("total_source_count"),
+        total.alias("included_count"),
+        F.col("historical").alias("excluded_historical_outlier_count"),
+        F.col("undated").alias("excluded_missing_ticket_created_at_count"),
         F.lit(min_created.isoformat()).alias("applied_min_ticket_created_at"),
-        *(_distribution(c, whole, max_buckets).alias(f"{c}_distribution") for c in fv.DISTRIBUTION_COLUMNS),
-        _text_quality("summary", whole).alias("short_text"),
-        _text_quality("details", whole).alias("long_text"),
-        eda.safe_rate(whole("untitled"), whole("n")).alias("fallback_untitled_ticket_rate"),
-        F.array(*(placeholder(i, p) for i, p in enumerate(fv.KNOWN_PLACEHOLDERS))).alias("placeholder_counts"),
+        *(_distribution(c).alias(f"{c}_distribution") for c in fv.DISTRIBUTION_COLUMNS),
+        _text_quality("summary").alias("short_text"),
+        _text_quality("details").alias("long_text"),
+        eda.safe_rate(F.col("untitled"), total).alias("fallback_untitled_ticket_rate"),
+        F.array(*(_placeholder(i, p) for i, p in enumerate(fv.KNOWN_PLACEHOLDERS))).alias("placeholder_counts"),
         F.struct(
-            *(moment(c).alias(c) for c in fv.TEMPORAL_COLUMNS),
-            F.struct(*(_buckets(g).alias(f"by_{g}") for g in fv.BUCKET_FORMATS)).alias("ticket_created_buckets"),
+            *(_moment(c).alias(c) for c in fv.TEMPORAL_COLUMNS),
+            F.struct(*(F.col(f"by_{g}") for g in fv.BUCKET_FORMATS)).alias("ticket_created_buckets"),
         ).alias("temporal_distribution"),
         F.struct(
-            whole("n").alias("rows_scanned"),
-            whole("pii_any").alias("pii_residual_official_count"),
-            eda.safe_rate(whole("pii_any"), whole("n")).alias("residual_detection_rate"),
+            total.alias("rows_scanned"),
+            F.col("pii_any").alias("pii_residual_official_count"),
+            eda.safe_rate(F.col("pii_any"), total).alias("residual_detection_rate"),
             F.filter(categories, lambda c: c["rows_with_residual"] > 0).alias("residual_categories"),
-            whole("loose").alias("heuristic_like_pattern_count"),
+            F.col("loose").alias("heuristic_like_pattern_count"),
         ).alias("pii_scan"),
-        F.array(*(complete(c) for c in fv.DISTRIBUTION_COLUMNS + fv.TEMPORAL_COLUMNS)).alias("completeness"),
+        F.array(*(_complete(c) for c in fv.DISTRIBUTION_COLUMNS + fv.TEMPORAL_COLUMNS)).alias("completeness"),
     )
 
 
