@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from guichet import fixed_values as fv
 from guichet.functions import dates as D
 from guichet.functions import text as X
 from guichet.functions.pseudonym import pseudonym
-from guichet.operators import contract, eda, features, guardrails, mapping, merge, scope
+from guichet.operators import contract, eda, features, guardrails, lifecycle, mapping, merge, scope
 from guichet.plans import dry_run, eda_report, export, ingest
 from guichet.schema import CLEAN, STORED
 from guichet.session import shared_folder
@@ -671,3 +671,67 @@ def ragged_input_contract(spark, sf_dir):
     """Every member name in the landed payloads, judged by the input contract."""
     names = contract.ragged_columns(pages.unwrap_pages(payloads(spark, sf_dir)))
     return names.select("column", contract.input_column_flags(F.col("column")).alias("flags")).select("column", "flags.*")
+
+
+# ---------------------------------------------------------------- life of stored rows
+
+_STAGING_SQL = """SELECT CAST(d.doc_id AS STRING) AS external_ticket_id, d.source AS import_batch_id,
+    CASE WHEN l.toxic = 1 OR l.quality = 0 THEN 'rejected' ELSE 'valid' END AS validation_status,
+    CASE WHEN l.toxic = 1 THEN 'toxic' WHEN l.quality = 0 THEN 'low_quality' END AS rejection_reason_code,
+    CASE WHEN d.doc_id % 9 = 0 THEN NULL ELSE CAST(o.o_orderdate AS DATE) END AS data_retention_until
+    FROM documents d JOIN orders o ON o.o_orderkey = d.doc_id LEFT JOIN labels l ON l.doc_id = d.doc_id"""
+_CURATED_SQL = "SELECT CAST(doc_id AS STRING) AS external_ticket_id FROM labels WHERE doc_id % 2 = 0"
+_DUE = date(1999, 1, 1)
+
+
+def _staging(spark, sf_dir) -> DataFrame:
+    for name in ("documents", "orders", "labels"):
+        load(spark, sf_dir, name).createOrReplaceTempView(name)
+    return spark.sql(_STAGING_SQL)
+
+
+@check(
+    f"""WITH s AS ({_STAGING_SQL}), c AS ({_CURATED_SQL}) SELECT external_ticket_id, import_batch_id, CAST(data_retention_until AS VARCHAR) AS data_retention_until
+    FROM s WHERE validation_status = 'valid' AND data_retention_until IS NOT NULL AND external_ticket_id NOT IN (SELECT external_ticket_id FROM c)"""
+)
+def promoted_rows(spark, sf_dir):
+    rows = lifecycle.promote(_staging(spark, sf_dir), spark.sql(_CURATED_SQL))
+    return rows.withColumn("data_retention_until", F.col("data_retention_until").cast("string"))
+
+
+@check(f"SELECT rejection_reason_code, count(*) AS records_rejected_count FROM ({_STAGING_SQL}) WHERE validation_status = 'rejected' GROUP BY 1")
+def rejects_by_reason(spark, sf_dir):
+    return lifecycle.rejects_by_reason(_staging(spark, sf_dir))
+
+
+@check(
+    f"""SELECT import_batch_id, count(*) AS records_seen_count, count(*) FILTER (validation_status = 'valid') AS records_accepted_count,
+    count(*) FILTER (validation_status = 'rejected') AS records_rejected_count FROM ({_STAGING_SQL}) GROUP BY 1"""
+)
+def import_counters(spark, sf_dir):
+    return lifecycle.import_counters(_staging(spark, sf_dir))
+
+
+@check(f"SELECT external_ticket_id FROM ({_STAGING_SQL}) WHERE data_retention_until IS NULL OR data_retention_until >= DATE '{_DUE}'")
+def retained_rows(spark, sf_dir):
+    return lifecycle.retained(_staging(spark, sf_dir), _DUE).select("external_ticket_id")
+
+
+@check(
+    f"""SELECT import_batch_id, CAST(data_retention_until AS VARCHAR) AS retention_deadline, 'retention_deadline' AS purge_reason,
+    '{_DUE}' AS scheduled_for, count(*) AS records_deleted_count FROM ({_STAGING_SQL}) WHERE data_retention_until < DATE '{_DUE}' GROUP BY 1, 2"""
+)
+def purge_log(spark, sf_dir):
+    log = lifecycle.purge_log(_staging(spark, sf_dir), _DUE)
+    return log.withColumns({c: F.col(c).cast("string") for c in ("retention_deadline", "scheduled_for")})
+
+
+@check(
+    """WITH j AS (SELECT doc_id % 4 AS kind FROM documents d JOIN orders o ON o.o_orderkey = d.doc_id),
+    f AS (SELECT kind, unnest(['id', 'summary', 'title', 'subject', 'details', 'body', 'ticket_type', 'agentId', 'secret_note']
+        || CASE kind WHEN 0 THEN ['status', 'created'] WHEN 1 THEN ['status', 'created', 'dateopened']
+        WHEN 2 THEN ['status', 'status_id', 'created', 'opened_at'] ELSE ['statusid', 'datecreated'] END) AS c FROM j)
+    SELECT c AS "column", c <> 'secret_note' AS is_mapped, count(*) AS payloads FROM f GROUP BY 1, 2"""
+)
+def payload_profile(spark, sf_dir):
+    return lifecycle.payload_profile(pages.unwrap_pages(payloads(spark, sf_dir)))
