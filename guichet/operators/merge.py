@@ -46,32 +46,48 @@ def fold_batch(batch: DataFrame, seq: str = "seq") -> DataFrame:
     return folded.select(KEY, "_first.*", "_last.*", *LAST_DATE_WINS, "batch_rows")
 
 
-def merge_folded(existing: DataFrame, folded: DataFrame, ingested_at: datetime | Column) -> DataFrame:
+def _is_small(folded: DataFrame) -> bool:
+    """Whether the planner's size estimate lets it broadcast these rows."""
+    limit = folded.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    limit = int(str(folded.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)))
+    size = int(str(folded._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= limit
+
+
+def merge_folded(
+    existing: DataFrame, folded: DataFrame, ingested_at: datetime | Column, small: bool | None = None
+) -> DataFrame:
     """The table after the merge, with ``inserted`` marking rows whose key is new.
 
-    Rows already stored keep their place: they are joined once with the folded
-    batch, which Spark broadcasts while its size allows and else shuffles by key
-    (not at all if the table is bucketed by it). New keys are found by an anti
-    join that reads the table's key column only.
+    A small batch is broadcast against the rows in place, and its new keys are found
+    by an anti join that reads the table's key column only; the batch is folded once
+    for each. Beyond the broadcast limit one full outer join takes both sides by key,
+    where keys are unique on either side and no key is heavier than another.
     """
     require_columns(existing, STORED, "The ticket table")
     stamp = ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at).cast("timestamp")
-    hit = F.col("b._hit").isNotNull()
-    update = folded.select(KEY, *LAST_WINS, *LAST_DATE_WINS, F.lit(True).alias("_hit"))
-    joined = existing.alias("e").join(update.alias("b"), KEY, "left")
-    columns = {name: F.col(f"e.{name}") for name in STORED.fieldNames() if name != KEY}
-    columns[KEY] = F.col(KEY)
+    folded = folded.withColumn("ingested_at", stamp)
+    old, new = existing.withColumn("_known", F.lit(True)).alias("e"), folded.withColumn("_hit", F.lit(True)).alias("b")
+    small = _is_small(folded) if small is None else small
+    joined = old.join(new, KEY, "left" if small else "full_outer")
+
+    known, hit = F.col("e._known").isNotNull(), F.col("b._hit").isNotNull()
+    columns = {KEY: F.col(KEY)}
+    columns |= {n: F.when(known, F.col(f"e.{n}")).otherwise(F.col(f"b.{n}")) for n in (*FIRST_WINS, "ingested_at")}
     columns |= {n: F.when(hit, F.col(f"b.{n}")).otherwise(F.col(f"e.{n}")) for n in LAST_WINS}
     columns |= {n: F.coalesce(F.col(f"b.{n}"), F.col(f"e.{n}")) for n in LAST_DATE_WINS}
-    kept = joined.select(*(columns[n].alias(n) for n in STORED.fieldNames()), F.lit(False).alias("inserted"))
-
-    fresh = folded.join(existing.select(KEY), KEY, "left_anti").withColumn("ingested_at", stamp)
-    return kept.unionByName(fresh.select(*STORED.fieldNames(), F.lit(True).alias("inserted")))
+    merged = joined.select(*(columns[n].alias(n) for n in STORED.fieldNames()), (~known).alias("inserted"))
+    if not small:
+        return merged
+    fresh = folded.join(existing.select(KEY), KEY, "left_anti")
+    return merged.unionByName(fresh.select(*STORED.fieldNames(), F.lit(True).alias("inserted")))
 
 
-def merge(existing: DataFrame, batch: DataFrame, ingested_at: datetime | Column, seq: str = "seq") -> DataFrame:
+def merge(
+    existing: DataFrame, batch: DataFrame, ingested_at: datetime | Column, seq: str = "seq", small: bool | None = None
+) -> DataFrame:
     """Fold the batch and merge it; see :func:`merge_folded`."""
-    return merge_folded(existing, fold_batch(batch, seq), ingested_at)
+    return merge_folded(existing, fold_batch(batch, seq), ingested_at, small)
 
 
 def classify(existing: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFrame:

@@ -1,7 +1,12 @@
-"""The keyed ticket table as a folder of whole versions.
+"""The keyed ticket table: a base folder and the batches merged since it was written.
 
-A merge writes the next version beside the current one and only then counts as
-done, so a lost executor or driver leaves the table as it was. One writer at a time.
+Saving a batch writes only the batch, folded to one row per key, and reads only the
+key column of the rest. Readers merge the pending batches into the base on the fly,
+which is a broadcast join while they are small. :func:`compact` writes a new base
+when enough have gathered, so the table is not rewritten for every batch.
+
+Folders are written hidden and moved into place when complete, so a lost executor or
+driver leaves the table as it was. One writer at a time.
 """
 
 from __future__ import annotations
@@ -9,57 +14,111 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guichet.operators.merge import merge
+from guichet.operators.merge import FIRST_WINS, KEY, LAST_DATE_WINS, LAST_WINS, fold_batch, merge_folded
 from guichet.schema import STORED
 from guichet.sources import storage
 from guichet.sources.tickets import read_tickets
 
-_PREFIX = "version="
+_BASE, _BATCH = "base=", "batch="
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    names = storage.list_folder(spark, root)
-    return sorted(int(n.removeprefix(_PREFIX)) for n in names if n.startswith(_PREFIX))
+def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    names = storage.list_folder(spark, folder)
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
 
 
-def version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/{_PREFIX}{version:08d}"
+def _base(root: str, number: int) -> str:
+    return f"{root.rstrip('/')}/{_BASE}{number:08d}"
 
 
-def current(spark: SparkSession, root: str) -> DataFrame:
-    """The stored tickets; an empty frame before the first merge."""
-    versions = _versions(spark, root)
-    if not versions:
-        return spark.createDataFrame([], STORED)
-    return read_tickets(spark, version_path(root, versions[-1]))
+def _pending(root: str, base: int) -> str:
+    """Where the batches that came after a base are kept."""
+    return f"{root.rstrip('/')}/since={base:08d}"
 
 
-def save_batch(batch: DataFrame, root: str, ingested_at: datetime, seq: str = "seq") -> int:
-    """Merge a batch of clean tickets into the table; returns how many keys were new.
+def _state(spark: SparkSession, root: str) -> tuple[int, list[int]]:
+    base = (_numbers(spark, root, _BASE) or [0])[-1]
+    return base, _numbers(spark, _pending(root, base), _BATCH)
 
-    The batch is read several times: pass a written table, not a computation.
-    """
-    spark = batch.sparkSession
-    versions = _versions(spark, root)
-    merged = merge(current(spark, root), batch, ingested_at, seq)
-    seen = Observation()
-    rows = merged.observe(seen, F.count_if("inserted").alias("inserted")).drop("inserted")
+
+def _read_base(spark: SparkSession, root: str, base: int) -> DataFrame:
+    return read_tickets(spark, _base(root, base)) if base else spark.createDataFrame([], STORED)
+
+
+def _publish(df: DataFrame, root: str, target: str) -> None:
     draft = f"{root.rstrip('/')}/_draft-{uuid.uuid4().hex}"
     try:
-        rows.write.parquet(draft)
-        storage.move(spark, draft, version_path(root, (versions[-1] if versions else 0) + 1))
+        df.write.option("fs.permissions.umask-mode", storage.UMASK).parquet(draft)
+        storage.move(df.sparkSession, draft, target)
     except Exception:
-        storage.purge(spark, draft)
+        storage.purge(df.sparkSession, draft)
         raise
-    return seen.get["inserted"]
 
 
-def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
-    """Remove all but the newest versions; returns how many were removed."""
-    if keep < 1:
-        raise ValueError("keep must be at least 1")
-    old = _versions(spark, root)[:-keep]
-    return sum(storage.purge(spark, version_path(root, v)) for v in old)
+def _fold_pending(spark: SparkSession, root: str, base: int) -> DataFrame:
+    """One row per key over all pending batches, in their order."""
+    batches = spark.read.schema(f"{_change_schema()}, batch int").parquet(_pending(root, base))
+    folded = batches.groupBy(KEY).agg(
+        F.min_by(F.struct(*FIRST_WINS, "ingested_at"), "batch").alias("_first"),
+        F.max_by(F.struct(*LAST_WINS), "batch").alias("_last"),
+        *(F.max_by(d, F.when(F.col(d).isNotNull(), F.col("batch"))).alias(d) for d in LAST_DATE_WINS),
+    )
+    return folded.select(KEY, "_first.*", "_last.*", *LAST_DATE_WINS)
+
+
+def _change_schema() -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORED)
+
+
+def current(spark: SparkSession, root: str) -> DataFrame:
+    """The stored tickets; an empty frame before the first batch."""
+    base, batches = _state(spark, root)
+    stored = _read_base(spark, root, base)
+    if not batches:
+        return stored
+    return merge_folded(stored, _fold_pending(spark, root, base), F.col("ingested_at")).drop("inserted")
+
+
+def _known_keys(spark: SparkSession, root: str, base: int, batches: list[int]) -> DataFrame:
+    keys = _read_base(spark, root, base).select(KEY)
+    if batches:
+        keys = keys.unionAll(spark.read.schema(_change_schema()).parquet(_pending(root, base)).select(KEY))
+    return keys
+
+
+def save_batch(batch: DataFrame, root: str, ingested_at: datetime, seq: str = "seq", compact_after: int = 16) -> int:
+    """Merge a batch of clean tickets into the table; returns how many keys were new.
+
+    ``compact_after`` pending batches are folded into a new base.
+    """
+    spark = batch.sparkSession
+    base, batches = _state(spark, root)
+    rows = fold_batch(batch, seq).withColumn("ingested_at", F.lit(ingested_at).cast("timestamp"))
+    target = f"{_pending(root, base)}/{_BATCH}{(batches[-1] if batches else 0) + 1:08d}"
+    known = _known_keys(spark, root, base, batches)
+    _publish(rows.select(*STORED.fieldNames()), root, target)
+    inserted = spark.read.parquet(target).select(KEY).join(known, KEY, "left_anti").count()
+    if len(batches) + 1 >= compact_after:
+        compact(spark, root)
+    return inserted
+
+
+def compact(spark: SparkSession, root: str) -> bool:
+    """Write the table as a new base; False if nothing is pending."""
+    base, batches = _state(spark, root)
+    if not batches:
+        return False
+    _publish(current(spark, root), root, _base(root, base + 1))
+    return True
+
+
+def drop_old_bases(spark: SparkSession, root: str) -> int:
+    """Remove bases, and the batches after them, that a newer base replaces; returns how many."""
+    old = _numbers(spark, root, _BASE)[:-1]
+    newest = _state(spark, root)[0]
+    for number in range(newest):
+        storage.purge(spark, _pending(root, number))
+    return sum(storage.purge(spark, _base(root, number)) for number in old)

@@ -58,7 +58,7 @@ def test_ingest_pages(spark, tmp_path):
     assert I.ingest_pages(pages, root, ingested_at=datetime(2026, 2, 2)) == I.IngestResult(4, 0, 4)
     assert rows(table.current(spark, root)) == WANT
     assert not [n for n in os.listdir(root) if n.startswith("_")]
-    assert table.drop_old_versions(spark, root, keep=1) == 1
+    assert table.compact(spark, root)
     assert rows(table.current(spark, root)) == WANT
 
 

@@ -34,15 +34,15 @@ def one_by_one(existing, batch, stamp):
     return sorted(tuple(r) + (k in inserted,) for k, r in table.items())
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_merge_equals_row_by_row(spark, seed):
+@pytest.mark.parametrize(("seed", "small"), [(1, True), (2, False), (3, None)])
+def test_merge_equals_row_by_row(spark, seed, small):
     rng = random.Random(seed)
     existing = [tuple(ticket(f"k{i}", 1000 + i, rng)[1:]) + (DAY - timedelta(days=i),) for i in range(30)]
     keys = ["hot"] * 70 + [f"k{rng.randint(0, 60)}" for _ in range(130)]
     batch = [ticket(k, s, rng) for s, k in enumerate(keys)]
     rng.shuffle(batch)
     table, rows = spark.createDataFrame(existing, STORED), spark.createDataFrame(batch, BATCH).repartition(5)
-    got = sorted(tuple(r) for r in M.merge(table, rows, DAY).collect())
+    got = sorted(tuple(r) for r in M.merge(table, rows, DAY, small=small).collect())
     want = one_by_one(existing, batch, DAY)
     assert got == want
     counts = M.classify(table, rows).first()
@@ -72,5 +72,26 @@ def test_small_batch_leaves_the_table_in_place(spark, tmp_path):
     rows = [tuple(ticket(f"k{i}", i, rng)[1:]) + (DAY,) for i in range(50)]
     spark.createDataFrame(rows, STORED).write.parquet(str(tmp_path / "t"))
     table = spark.read.schema(STORED).parquet(str(tmp_path / "t"))
-    plan = M.merge(table, spark.createDataFrame([ticket("k1", 1, rng)], BATCH), DAY)._jdf.queryExecution().toString()
+    plan = M.merge(table, spark.createDataFrame([ticket("k1", 1, rng)], BATCH), DAY, small=True)._jdf.queryExecution().toString()
     assert "ReadSchema: struct<external_ticket_id:string>" in plan
+
+
+def test_table_of_batches_equals_row_by_row(spark, tmp_path):
+    from guichet.sources import table
+
+    rng, root = random.Random(5), str(tmp_path)
+    history, stamps = [], {}
+    for n in range(5):
+        batch = [ticket(f"k{rng.randint(0, 25)}", n * 100 + s, rng) for s in range(40)]
+        stamp = DAY + timedelta(hours=n)
+        before = set(stamps)
+        stamps |= {r[1]: stamps.get(r[1], stamp) for r in batch}
+        inserted = table.save_batch(spark.createDataFrame(batch, BATCH).repartition(3), root, stamp, compact_after=3)
+        assert inserted == len(set(stamps) - before)
+        history += batch
+        want = [r[:-2] + (stamps[r[0]],) for r in one_by_one([], history, DAY)]
+        assert sorted(tuple(r) for r in table.current(spark, root).collect()) == want
+    assert table.drop_old_bases(spark, root) == 0
+    assert table.compact(spark, root) and not table.compact(spark, root)
+    assert table.drop_old_bases(spark, root) == 1
+    assert sorted(tuple(r) for r in table.current(spark, root).collect()) == want
