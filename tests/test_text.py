@@ -165,6 +165,12 @@ def test_mask_equals_per_value_mask(evaluate):
     assert evaluate(values, X.mask) == [naive(v) for v in values]
 
 
+def test_hits_equal_per_value_hits(evaluate):
+    values = texts(800, 13)
+    got = evaluate(values, X.pii_hits)
+    assert [[(h.start, h.end, h.category) for h in hits] for hits in got] == [naive_matches(v) for v in values]
+
+
 def test_clean_equals_per_value_clean(evaluate):
     from guichet.functions import _masking
 
