@@ -59,10 +59,11 @@ def merge_folded(
 ) -> DataFrame:
     """The table after the merge, with ``inserted`` marking rows whose key is new.
 
-    A small batch is broadcast against the rows in place, and its new keys are found
-    by an anti join that reads the table's key column only; the batch is folded once
-    for each. Beyond the broadcast limit one full outer join takes both sides by key,
-    where keys are unique on either side and no key is heavier than another.
+    A small batch is broadcast against the rows in place, and so are its keys against
+    the table's key column to tell which are known; the batch is folded once for
+    each, and nothing of the table is shuffled. Beyond the broadcast limit one full
+    outer join takes both sides by key, where keys are unique on either side and no
+    key is heavier than another.
     """
     require_columns(existing, STORED, "The ticket table")
     stamp = ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at).cast("timestamp")
@@ -79,7 +80,8 @@ def merge_folded(
     merged = joined.select(*(columns[n].alias(n) for n in STORED.fieldNames()), (~known).alias("inserted"))
     if not small:
         return merged
-    fresh = folded.join(existing.select(KEY), KEY, "left_anti")
+    known = existing.select(KEY).join(folded.select(KEY), KEY, "left_semi")
+    fresh = folded.join(known, KEY, "left_anti")
     return merged.unionByName(fresh.select(*STORED.fieldNames(), F.lit(True).alias("inserted")))
 
 

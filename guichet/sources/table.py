@@ -100,7 +100,8 @@ def save_batch(batch: DataFrame, root: str, ingested_at: datetime, seq: str = "s
     target = f"{_pending(root, base)}/{_BATCH}{(batches[-1] if batches else 0) + 1:08d}"
     known = _known_keys(spark, root, base, batches)
     _publish(rows.select(*STORED.fieldNames()), root, target)
-    inserted = spark.read.parquet(target).select(KEY).join(known, KEY, "left_anti").count()
+    keys = spark.read.parquet(target).select(KEY)
+    inserted = keys.count() - known.join(keys, KEY, "left_semi").distinct().count()
     if len(batches) + 1 >= compact_after:
         compact(spark, root)
     return inserted
