@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -118,11 +120,17 @@ def assert_no_residual_pii(df: DataFrame, fields: Iterable[str] = fv.TEXT_FIELDS
 
 
 def observe_residual(df: DataFrame, fields: Iterable[str] = fv.RESIDUAL_SCAN_FIELDS) -> tuple[DataFrame, Observation]:
-    """The same rows, with the scan's counters (and ``rows``) collected while they are written."""
+    """The same rows, with the scan's counters collected while they are written.
+
+    ``rows`` counts them, and ``masked_keys`` those whose identifier was itself
+    masked: different tickets may then share one key.
+    """
     fields = [f for f in fields if f in df.columns]
     seen = Observation()
     scanned = _with_residual(df, fields)
-    scanned = scanned.observe(seen, F.count(F.lit(1)).alias("rows"), *_residual_metrics(fields))
+    masked = reduce(or_, (F.contains(F.col("external_ticket_id"), F.lit(p)) for p in fv.KNOWN_PLACEHOLDERS))
+    counters = [F.count(F.lit(1)).alias("rows"), F.count_if(masked).alias("masked_keys")]
+    scanned = scanned.observe(seen, *counters, *_residual_metrics(fields))
     return scanned.drop("_residual"), seen
 
 

@@ -48,10 +48,8 @@ def fold_batch(batch: DataFrame, seq: str = "seq") -> DataFrame:
 
 def _is_small(folded: DataFrame) -> bool:
     """Whether the planner's size estimate lets it broadcast these rows."""
-    limit = folded.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    limit = int(str(folded.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)))
-    size = int(str(folded._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= limit
+    limit = folded.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(folded._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
 
 def merge_folded(
@@ -95,7 +93,7 @@ def merge(
 def classify(existing: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFrame:
     """One row: batch rows, rows inserted (one per new key) and rows that updated or repeated a key."""
     folded = batch.groupBy(KEY).agg(F.count(F.lit(1)).alias("batch_rows"))
-    known = existing.select(KEY, F.lit(1).alias("_known"))
+    known = existing.select(KEY).join(folded.select(KEY), KEY, "left_semi").withColumn("_known", F.lit(1))
     return (
         folded.join(known, KEY, "left")
         .agg(

@@ -12,6 +12,7 @@ from guichet.operators import contract, features as feats
 from guichet.operators.features import build_features, planned_columns
 from guichet.operators.scope import scope_counts
 
+# FIXED VALUES: gate names, in report order
 _GATES = (
     "no_forbidden_columns",
     "no_residual_pii",

@@ -25,6 +25,8 @@ class IngestResult:
     stored_count: int
     ignored_count: int
     status: str = "completed"
+    #: rows whose identifier looked like personal data and was masked, so that keys may collide
+    masked_key_count: int = 0
 
 
 def guard(incoming: DataFrame, *keep: str, with_pseudonym: bool = False, secret_variable: str = DEFAULT_SECRET_VARIABLE) -> DataFrame:
@@ -65,7 +67,7 @@ def ingest_incoming(
         stored = table.save_batch(spark.read.parquet(staging), root, stamp)
     finally:
         storage.purge(spark, staging)
-    return IngestResult(extracted, stored, extracted - stored)
+    return IngestResult(extracted, stored, extracted - stored, masked_key_count=seen.get["masked_keys"])
 
 
 def ingest_pages(pages: DataFrame, root: str, **options) -> IngestResult:

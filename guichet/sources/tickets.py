@@ -55,6 +55,7 @@ def text_pairs(tickets: DataFrame, min_created: date = fv.MIN_TICKET_CREATED_AT)
 
 def synthetic_tickets(spark: SparkSession) -> DataFrame:
     """Two made-up tickets for trying out an ingest."""
+    # FIXED VALUES: the demo rows
     rows = [
         (
             "syn-001",

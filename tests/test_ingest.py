@@ -79,6 +79,11 @@ def test_counts_and_masking(spark, tmp_path):
     assert I.ingest_incoming(incoming(spark, {}).limit(0), str(tmp_path)) == I.IngestResult(0, 0, 0)
 
 
+def test_masked_keys_are_counted(spark, tmp_path):
+    batch = incoming(spark, {"external_ticket_id": "0612345678"}, {"external_ticket_id": "0712345678"}, {})
+    assert I.ingest_incoming(batch, str(tmp_path)) == I.IngestResult(3, 2, 1, masked_key_count=2)
+
+
 def test_pseudonym(spark, tmp_path, monkeypatch):
     batch = incoming(spark, {"agent_id": "agent-synthetic-456"}, {"external_ticket_id": "x", "agent_id": None})
     monkeypatch.delenv(P.DEFAULT_SECRET_VARIABLE, raising=False)
