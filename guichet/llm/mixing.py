@@ -2,8 +2,10 @@
 
 A source's target says how often each of its documents is expected in the mix. The whole
 part of that number is taken for certain; the fraction is the document's inclusion
-probability. Documents are ranked by random odds over inclusion odds, and the first ones
-whose words make up what is left of the target get one copy more.
+probability. Documents are ranked by random odds over inclusion odds, and as many of the
+first ones as fit into what is left of the target get one copy more. The one document that
+fills the remaining gap best completes the sample, so that its size in words is fixed but
+for a few words.
 
 Everything is DataFrame functions. The cut in a source's ranking is found from sums over
 buckets of the rank, narrowed twice, so that no source is ever sorted whole.
@@ -60,10 +62,10 @@ def _draw(key: Column, text: Column, seed: int) -> Column:
 
 
 def _cutoffs(rows: DataFrame) -> DataFrame:
-    """The rank in each source up to which documents are taken: source, _cut.
+    """The rank in each source up to which documents fit: source, _cut, _gap.
 
-    rows: source, size, _rank, _left (words still wanted from the source). The document at
-    the edge is taken if that comes nearer to the target than leaving it.
+    rows: source, size, _rank, _left (words still wanted from the source). _gap: the words
+    that are still wanted then.
     """
     ranked = rows.filter("_rank is not null")
     edge = F.lit(0.0)
@@ -90,10 +92,23 @@ def _cutoffs(rows: DataFrame) -> DataFrame:
         here = F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b"))
         kept = kept.join(chosen, here).select("source", "size", "_rank", "_left", F.col("_edge2").alias("_edge"), F.col("_done2").alias("_done"))
     running = F.sum("size").over(Window.partitionBy("source").orderBy("_rank").rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    tied = F.sum("size").over(Window.partitionBy("source", "_rank"))
-    near = kept.withColumn("_to", F.col("_done") + running).withColumn("_tied", tied)
-    taken = F.when(F.col("_to") - F.col("_tied") / 2 <= F.col("_left"), F.col("_rank"))
-    return near.groupBy("source").agg(F.coalesce(F.max(taken), F.max("_edge")).alias("_cut"))
+    near = kept.withColumn("_to", F.col("_done") + running)
+    fits = F.col("_to") <= F.col("_left")
+    return near.groupBy("source").agg(
+        F.coalesce(F.max(F.when(fits, F.col("_rank"))), F.max("_edge")).alias("_cut"),
+        (F.max("_left") - F.coalesce(F.max(F.when(fits, F.col("_to"))), F.max("_done"))).alias("_gap"),
+    )
+
+
+def _fillers(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """cuts with _fill, the rank of the document behind the cut that leaves the smallest gap, if any makes it smaller."""
+    ranks = rows.filter("_rank is not null").groupBy("source", "_rank").agg(F.sum("size").alias("_size"))
+    of = cuts.select(F.col("source").alias("_s"), "_cut", "_gap")
+    behind = ranks.join(of, F.col("source").eqNullSafe(F.col("_s"))).filter(F.col("_rank") > F.col("_cut"))
+    miss = F.abs(F.col("_size") - F.col("_gap"))
+    best = behind.filter(miss < F.col("_gap")).groupBy("source").agg(F.min(F.struct(miss.alias("miss"), F.col("_rank").alias("rank"))).alias("_best"))
+    best = best.select(F.col("source").alias("_s"), F.col("_best.rank").alias("_fill"))
+    return cuts.join(best, F.col("source").eqNullSafe(F.col("_s")), "left").select("source", "_cut", "_fill")
 
 
 def mix(
@@ -142,10 +157,12 @@ def mix(
     ranked = expected(rows, "source")
     whole = ranked.groupBy("source").agg(F.sum(F.col("_whole") * F.col("size")).alias("_whole_words"), F.max("target").alias("_t"))
     left = whole.select(F.col("source").alias("_s"), (F.col("_t") - F.col("_whole_words")).alias("_left"))
-    cutoffs = written(_cutoffs(ranked.join(left, F.col("source").eqNullSafe(F.col("_s"))).select("source", "size", "_rank", "_left")))
-    cutoffs = cutoffs.select(F.col("source").alias("_s"), "_cut")
-    mixed = expected(drawn, source).join(cutoffs, F.col(f"`{source}`").eqNullSafe(F.col("_s")), "left")
-    more = F.coalesce((F.col("_rank") <= F.col("_cut")).cast("int"), F.lit(0))
+    ranked = ranked.join(left, F.col("source").eqNullSafe(F.col("_s"))).select("source", "size", "_rank", "_left")
+    cuts = written(_fillers(ranked, written(_cutoffs(ranked))))
+    cuts = cuts.select(F.col("source").alias("_s"), "_cut", "_fill")
+    mixed = expected(drawn, source).join(cuts, F.col(f"`{source}`").eqNullSafe(F.col("_s")), "left")
+    more = F.coalesce(((F.col("_rank") <= F.col("_cut")) | F.col("_rank").eqNullSafe(F.col("_fill"))).cast("int"), F.lit(0))
+    more = F.when(F.col("_rank").isNull(), 0).otherwise(more)
     mixed = mixed.withColumn("copies", (F.col("_whole") + more).cast("int"))
     return mixed.select(*(F.col(f"`{c}`") for c in rest), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 

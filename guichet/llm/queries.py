@@ -75,11 +75,16 @@ e AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN least(targ
 f AS (SELECT *, floor(times)::BIGINT AS whole, times - floor(times) AS p FROM e),
 q AS (SELECT *, CASE WHEN p > 0 THEN u / (1 - u) * ((1 - p) / p) END AS odds,
     target - sum(whole * size) OVER (PARTITION BY source) AS rest FROM f),
-c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY odds RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-    - sum(size) OVER (PARTITION BY source, odds) / 2.0::DOUBLE AS middle FROM q)
+c AS (SELECT *, sum(size) OVER (PARTITION BY source, odds) AS tied,
+    sum(size) OVER (PARTITION BY source ORDER BY odds RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest AS fits,
+    rest - coalesce(max(reach) FILTER (reach <= rest) OVER (PARTITION BY source), 0) AS gap
+    FROM (SELECT *, CASE WHEN p > 0 THEN sum(size) OVER (PARTITION BY source ORDER BY odds RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END
+      AS reach FROM q)),
+b AS (SELECT source, min({'miss': abs(tied - gap), 'rank': odds}) AS best FROM c
+    WHERE p > 0 AND NOT fits AND abs(tied - gap) < gap GROUP BY source)
 SELECT doc_id, size, source_size, round(target, 3) AS target,
-  ((whole + CASE WHEN odds IS NOT NULL AND middle <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken
-FROM c
+  ((whole + CASE WHEN p > 0 AND (fits OR odds = best.rank) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM c LEFT JOIN b ON c.source IS NOT DISTINCT FROM b.source
 """
 
 
