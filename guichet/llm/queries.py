@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guichet.llm import cover_tree, embedding_dedup, language, minhash, mixing, packing, sharding
+from guichet.llm import cover_tree, embedding_dedup, language, minhash, mixing, packing, repeats, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,3 +145,8 @@ SELECT c.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, c.vec_id = com
 @registered(_LINKED_SQL)
 def op5_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@registered()
+def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
