@@ -6,13 +6,16 @@ dot product between its demand and what is left in the sequence comes next, both
 of the limits. The pieces to choose from are those of a bounded pool that is refilled from
 the partition's rows, so a task needs no more memory when there are more rows.
 
-Tokenisers work on words between white space, one word at a time, and remember them.
+Tokenisers that never join across white space get one word at a time and remember them.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,35 +25,92 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-_REMEMBERED = 300_000
-# str.split() also cuts at these four, which tokenisers take for symbols.
+_REMEMBERED = 500_000
+# str.split() and Python's patterns also cut at four control characters, which tokenisers take for symbols.
 _NO_SPACE = re.compile("[\x1c-\x1f]")
+# Letters, single digits and runs of symbols of lower-cased Latin-1, behind the usual English endings.
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\\sa-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
+
+
+def _byte_letters() -> list[str]:
+    """The character that byte-level vocabularies use for each byte: itself if visible, else the next one from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in visible else chr(next(others)) for b in range(256)]
 
 
 class Encoder:
-    """Token ids as little-endian unsigned 32-bit integers, the closing id behind each text."""
+    """Token ids as unsigned 32-bit integers, the closing id behind each text.
+
+    A tokeniser whose pieces never span white space, which is seen from its file, gets the
+    different words of a text only. If it also lower-cases and splits as the pattern above,
+    texts in Latin-1 are split here, and their different pieces go straight to its merges.
+    """
 
     def __init__(self, path: str, closing: int) -> None:
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         self.tokenizer = Tokenizer.from_file(path)
-        self.closing = np.uint32(closing).tobytes()
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        normal, split = described.get("normalizer") or {}, described.get("pre_tokenizer") or {}
+        kinds = [x.get("type") for x in split.get("pretokenizers", [])]
+        rule = next((x for x in split.get("pretokenizers", []) if x.get("type") == "Split"), {})
+        pattern = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+        self.by_word = kinds == ["Split", "ByteLevel"] and rule.get("invert") and rule.get("pattern") == {"Regex": pattern}
+        self.by_piece = self.by_word and [x["type"] for x in normal.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        bare = described | {"normalizer": None, "added_tokens": [], "pre_tokenizer": None}
+        self.bare = Tokenizer.from_str(json.dumps(bare)) if self.by_piece else None
+        letters = _byte_letters()
+        self.bytewise = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(256)}
+        self.marks = [t["content"] for t in described.get("added_tokens", [])]
+        self.closing = array("I", [closing]).tobytes()
         self.words: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [None if t and _NO_SPACE.search(t) else (t or "").split() for t in texts]
-        new = list({w for ws in split if ws for w in ws if w not in self.words})
-        if len(self.words) + len(new) > _REMEMBERED:
-            self.words = {}
-            new = list({w for ws in split if ws for w in ws})
+        self.pieces: dict[str, bytes] = {}
+
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _plain(self, text: str) -> bool:
+        if not self.by_piece or any(m in text for m in self.marks):
+            return False
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return True
+
+    def _learned(self, known: dict[str, bytes], split: list[list[str]], tokenizer, prepare) -> None:
+        """Add the ids of all words of ``split`` that are not known."""
+        if len(known) > _REMEMBERED:
+            known.clear()
+        new = list(set().union(*split).difference(known))
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
-            self.words.update(zip(part, self._ids(part), strict=True))
-        for t, ws in zip(texts, split, strict=True):
-            yield (self._ids([t])[0] if ws is None else b"".join(map(self.words.__getitem__, ws))) + self.closing
+            known.update(zip(part, self._ids(tokenizer, prepare(part)), strict=True))
+
+    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
+        pieces: dict[int, list[str]] = {}
+        words: dict[int, list[str]] = {}
+        for i, t in enumerate(texts):
+            if not t or not self.by_word or _NO_SPACE.search(t):
+                continue
+            if self._plain(t):
+                pieces[i] = _PIECE.findall(t.lower())
+            else:
+                words[i] = t.split()
+        self._learned(self.pieces, list(pieces.values()), self.bare, lambda part: [p if p.isascii() and p.isprintable() else p.translate(self.bytewise) for p in part])
+        self._learned(self.words, list(words.values()), self.tokenizer, lambda part: part)
+        for i, t in enumerate(texts):
+            if i in pieces:
+                ids = b"".join(map(self.pieces.__getitem__, pieces[i]))
+            elif i in words:
+                ids = b"".join(map(self.words.__getitem__, words[i]))
+            else:
+                ids = self._ids(self.tokenizer, [t])[0] if t else b""
+            yield ids + self.closing
 
 
 @dataclass(frozen=True)
