@@ -27,51 +27,96 @@ from guichet.llm.store import written
 _WORD = re.compile(r"[^\W\d_]+")
 _MARK = "▁"
 _ROWS = 2048  # words in one lattice at a time
-_CACHE = 200_000  # words whose score a task remembers
+_CACHE = 300_000  # words whose score a task remembers
+_MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Pieces:
+    """Numbers of the pieces, looked up by a hash of their letters for whole arrays at a time.
+
+    Each hash is in one of two places of a table that is filled to less than a quarter.
+    """
+
+    def __init__(self, pieces: list[str]) -> None:
+        self.number = {p: i for i, p in enumerate(pieces)}
+        self.longest = max(map(len, pieces), default=1)
+        self.bits = max(4, (4 * len(pieces)).bit_length())
+        self.keys, self.rows = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
+        for p, row in self.number.items():
+            h = self.start(1)
+            for c in p:
+                h = self.extended(h, np.array([ord(c)], np.uint64))
+            key, at = h[0], 0
+            for _ in range(1000):
+                at = self._places(key)[0] if at != self._places(key)[0] else self._places(key)[1]
+                key, self.keys[at] = self.keys[at], key
+                row, self.rows[at] = self.rows[at], row
+                if not key:
+                    break
+            else:
+                raise ValueError("the vocabulary does not fit")
+
+    def __len__(self) -> int:
+        return len(self.number)
+
+    @staticmethod
+    def start(n: int) -> np.ndarray:
+        return np.ones(n, np.uint64)
+
+    @staticmethod
+    def extended(hashes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """Hashes of strings one letter longer; letters in front or behind give different strings, the order counts."""
+        h = (hashes ^ letters) * _MULTIPLY
+        return h ^ (h >> np.uint64(31))
+
+    def _places(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return (h >> np.uint64(64 - self.bits)).astype(np.int64), (h & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+
+    def rows_of(self, hashes: np.ndarray, none: int) -> np.ndarray:
+        one, two = self._places(hashes)
+        out = np.where(self.keys[two] == hashes, self.rows[two], np.int32(none))
+        return np.where(self.keys[one] == hashes, self.rows[one], out)
 
 
 @dataclass
 class Model:
-    """langs: sorted; pieces: piece to row; table: probability by row and language.
+    """langs: sorted; table: probability by piece and language.
 
     The last two rows of the table are the unknown piece and the impossible one.
     """
 
     langs: list[str]
-    pieces: dict[str, int]
+    pieces: Pieces
     table: np.ndarray
 
-    @property
-    def longest(self) -> int:
-        return max(map(len, self.pieces), default=1)
-
 
-def vocabulary(path: str) -> dict[str, int]:
+def vocabulary(path: str) -> Pieces:
     """The lower-cased letter pieces of a sentencepiece model, numbered."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i).lower() for i in range(model.get_piece_size()))
     kept = {p for p in pieces if _WORD.fullmatch(p.removeprefix(_MARK)) or p == _MARK}
-    return {p: i for i, p in enumerate(sorted(kept))}
+    return Pieces(sorted(kept))
 
 
 def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def _spans(length: int, longest: int) -> list[tuple[int, int]]:
-    return [(start, end) for end in range(1, length + 1) for start in range(end - 1, max(-1, end - longest - 1), -1)]
-
-
-def _lattice(words: list[str], pieces: dict[str, int], longest: int) -> np.ndarray:
+def _lattice(words: list[str], pieces: Pieces) -> np.ndarray:
     """Row numbers of all pieces of words of one length: word by span, spans by end and growing length."""
-    unknown, none, get = len(pieces), len(pieces) + 1, pieces.get
-    spans = _spans(len(words[0]), longest)
-    ids = np.array([get(w[a:b], none) for w in words for a, b in spans], np.int32).reshape(len(words), -1)
-    single = np.array([b - a == 1 for a, b in spans])
-    ids[:, single] = np.where(ids[:, single] == none, unknown, ids[:, single])
-    return ids
+    length, n, unknown = len(words[0]), len(words), len(pieces)
+    letters = np.array(words, f"U{length}").view(np.uint32).reshape(n, length).astype(np.uint64)
+    longest = min(length, pieces.longest)
+    by_size = []
+    hashes = np.ones((n, length), np.uint64)
+    for size in range(1, longest + 1):  # hashes[:, s]: the string of this size that starts at s
+        hashes = pieces.extended(hashes[:, : length - size + 1], letters[:, size - 1 :])
+        rows = pieces.rows_of(hashes, unknown + 1)
+        by_size.append(np.where(rows == unknown + 1, unknown, rows) if size == 1 else rows)
+    columns = [by_size[size - 1][:, end - size] for end in range(1, length + 1) for size in range(1, min(end, longest) + 1)]
+    return np.stack(columns, axis=1)
 
 
 def _forward(ids: np.ndarray, length: int, longest: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,23 +144,24 @@ def _by_length(words: list[str]) -> Iterator[list[str]]:
         yield from (group[i : i + step] for i in range(0, len(group), step))
 
 
-def word_scores(words: list[str], model: Model) -> dict[str, np.ndarray]:
-    """Log probability of each word by language."""
-    out = {}
+def word_scores(words: list[str], model: Model) -> tuple[list[str], np.ndarray]:
+    """The words in another order, and the log probability of each by language."""
+    out, scores = [], [np.zeros((0, len(model.langs)))]
     for group in _by_length([_MARK + w for w in words]):
         length = len(group[0])
         if length > 256:
-            for w in group:
-                out[w[1:]] = _long_score(w, model)
+            out += [w[1:] for w in group]
+            scores += [_long_score(w, model)[None] for w in group]
             continue
-        sums, logs = _forward(_lattice(group, model.pieces, model.longest), length, model.longest, model.table)
-        out.update(zip((w[1:] for w in group), np.log(sums[:, length]) + logs, strict=True))
-    return out
+        sums, logs = _forward(_lattice(group, model.pieces), length, model.pieces.longest, model.table)
+        out += [w[1:] for w in group]
+        scores.append(np.log(sums[:, length]) + logs)
+    return out, np.concatenate(scores)
 
 
 def _long_score(word: str, model: Model) -> np.ndarray:
     """One very long word with the sums of the last few ends only, in memory that does not grow with it."""
-    longest, get, unknown = model.longest, model.pieces.get, len(model.pieces)
+    longest, get, unknown = model.pieces.longest, model.pieces.number.get, len(model.pieces)
     last, logs = [np.ones(model.table.shape[1])], np.zeros(model.table.shape[1])
     for end in range(1, len(word) + 1):
         now = np.zeros_like(logs)
@@ -129,13 +175,13 @@ def _long_score(word: str, model: Model) -> np.ndarray:
     return np.log(last[-1]) + logs
 
 
-def _expected(words: list[str], counts: np.ndarray, pieces: dict[str, int], column: np.ndarray, longest: int) -> np.ndarray:
+def _expected(words: list[str], counts: np.ndarray, pieces: Pieces, column: np.ndarray) -> np.ndarray:
     """Expected number of uses of each piece, from forward and backward sums."""
     total = np.zeros(len(pieces) + 2)
     count = dict(zip(words, counts, strict=True))
     for group in _by_length(words):
-        length, n = len(group[0]), len(group)
-        ids = _lattice(group, pieces, longest)
+        length, n, longest = len(group[0]), len(group), pieces.longest
+        ids = _lattice(group, pieces)
         p = column[ids]
         sums = np.ones((n, length + 1))
         ends = np.cumsum([0, *(min(e, longest) for e in range(1, length + 1))])
@@ -194,7 +240,7 @@ def fit(
     words = written(counted.filter(F.length("word") <= longest_word).groupBy("lang", "word").agg(F.sum("n").alias("n")))
     langs = sorted(r[0] for r in words.select("lang").distinct().collect())
     pieces = vocabulary(vocabulary_path)
-    size, longest = len(pieces) + 2, max(map(len, pieces))
+    size = len(pieces) + 2
     table = np.full((size, len(langs)), 1.0 / (size - 1))
     table[-1] = 0
     for _ in range(rounds if langs else 0):
@@ -205,7 +251,7 @@ def fit(
             for batch in batches:
                 frame = batch.to_pandas()
                 for g, part in frame.groupby("lang"):
-                    total = _expected([_MARK + w for w in part["word"]], part["n"].to_numpy(float), pieces, table[:, langs.index(g)], longest)
+                    total = _expected([_MARK + w for w in part["word"]], part["n"].to_numpy(float), pieces, table[:, langs.index(g)])
                     used = np.flatnonzero(total)
                     yield pa.RecordBatch.from_arrays([pa.array([langs.index(g)] * len(used), pa.int32()), pa.array(used, pa.int32()), pa.array(total[used])], ["lang", "piece", "n"])
 
@@ -232,19 +278,19 @@ def predictor(spark, model: Model):
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = held.value
         known: dict[str, int] = {}
-        table = np.zeros((0, len(model.langs)))
+        table = np.zeros((_CACHE, len(model.langs)))
         for texts in batches:
             langs, scores = [], []
             for at in range(0, len(texts), 256):
                 split = [words_of(t) for t in texts.iloc[at : at + 256]]
-                new = {w for ws in split for w in ws} - known.keys()
+                new = set().union(*split).difference(known) if model.langs else set()
                 if len(known) + len(new) > _CACHE:
-                    known, table = {}, table[:0]
-                    new = {w for ws in split for w in ws}
-                if new and model.langs:
-                    scored = word_scores(list(new), model)
-                    known.update(zip(scored, range(len(known), len(known) + len(scored)), strict=True))
-                    table = np.concatenate([table, np.array(list(scored.values()))])
+                    new, known = set().union(*split), {}
+                    table = np.zeros((max(_CACHE, len(new)), len(model.langs)))
+                if new:
+                    words, scores_of = word_scores(list(new), model)
+                    table[len(known) : len(known) + len(words)] = scores_of
+                    known.update(zip(words, range(len(known), len(known) + len(words)), strict=True))
                 for ws in split:
                     if not ws or not model.langs:
                         langs.append("und")

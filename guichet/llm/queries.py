@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guichet.llm import cover_tree, embedding_dedup, language, minhash, mixing, packing, repeats, sharding
+from guichet.llm import cover_tree, embedding_dedup, language, licences, minhash, mixing, packing, pii, repeats, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,3 +150,40 @@ def op5_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def _licence_sql() -> str:
+    rows = ",\n  ".join("({}, '{}', '{}')".format(i, name, " ".join(licences.normalised_words(text))) for i, (name, text) in enumerate(licences.TEMPLATES))
+    bigrams = "list_distinct(list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1]))"
+    return rf"""
+WITH t(template, licence, words) AS (VALUES
+  {rows}),
+tg AS (SELECT template, licence, {bigrams.format("string_split(words, ' ')")} AS g FROM t),
+n AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_replace(translate(text, '{licences.UPPER}', '{licences.LOWER}'), '[^a-z0-9\n]+', ' ', 'g') AS c FROM documents),
+s AS (SELECT r, unnest(list_concat(string_split(c, chr(10)),
+    list_filter(string_split_regex(c, '\n ?(?:\n ?)+'), lambda p: contains(p, chr(10))),
+    CASE WHEN regexp_matches(c, '\n ?(?:\n ?)+') THEN [c] ELSE []::VARCHAR[] END)) AS segment FROM n),
+w AS (SELECT r, list_filter(string_split_regex(segment, '[ \n]+'), lambda x: x <> '') AS w FROM s),
+g AS (SELECT r, {bigrams.format("w")} AS g FROM w WHERE len(w) > 1),
+m AS (SELECT r, template, licence, 2.0::DOUBLE * len(list_intersect(g.g, tg.g)) / (len(g.g) + len(tg.g)) AS dice FROM g, tg
+  WHERE 2 * least(len(g.g), len(tg.g)) >= 0.8 * (len(g.g) + len(tg.g))),
+b AS (SELECT r, min({{'d': -dice, 't': template, 'l': licence}}) AS best, count(*) AS n FROM m WHERE dice >= 0.8 GROUP BY r)
+SELECT doc_id, best.l AS licence, round(-best.d, 6) AS licence_dice, coalesce(b.n, 0)::BIGINT AS licence_matches FROM n LEFT JOIN b ON n.r = b.r
+"""
+
+
+@registered(_licence_sql())
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "licence", F.round("licence_dice", 6).alias("licence_dice"), "licence_matches")
+
+
+#: In production a secret of the deployment; here a fixed one, so that reruns agree.
+SURROGATE_KEY = b"corpus-surrogates"
+
+
+@registered()
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, SURROGATE_KEY).withColumn("n_entities", F.size("pii_spans").cast("long"))
