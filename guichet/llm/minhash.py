@@ -13,6 +13,7 @@ that are still in different components are compared among themselves.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -198,21 +199,23 @@ def near_duplicates(
     key: str = "doc_id",
     text: str = "text",
     words: int = 5,
-    percent: int = 85,
-    bands: int = 24,
+    percent: int = 80,
     rows: int = 4,
+    missed: float = 2e-8,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Documents are linked when 100 times the size of the intersection of their shingle sets
-    is at least ``percent`` times that of the union. Links are confirmed on full sets; with
-    the given bands a linked pair shares no band with a probability below 2e-8. component_id
-    is the smallest identifier that links reach, kept says that it is the row's own.
+    is at least ``percent`` times that of the union. Links are confirmed on full sets. There
+    are as many bands of ``rows`` slots as it takes for a linked pair to share none with a
+    probability of at most ``missed``. component_id is the smallest identifier that links
+    reach, kept says that it is the row's own.
 
     Null or empty text and text without words has an empty set and is linked with nothing.
     Identifiers are whole numbers; rows with the same one are one node. Rows without one get
     no component and are kept. Texts of any length are read whole.
     """
+    bands = math.ceil(math.log(missed) / math.log(1 - (percent / 100) ** rows)) if percent < 100 else 1
     source = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     features = written(source.mapInArrow(_features(words, bands, rows), _FEATURES))
     classes = written(features.filter("set_hash is not null and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("doc_id")))

@@ -112,7 +112,7 @@ SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, c.doc_id
 
 @registered(_NEAR_SQL)
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 _TOP_SQL = """
