@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from guichet.llm import language, minhash, mixing, packing, pii
 from guichet.llm.queries import SURROGATE_KEY, public_vocabulary
-from guichet.llm.store import written
+from guichet.llm.store import carried, restored, written
 
 #: A text that no learned language explains better than all others together is rejected.
 LEAST_SCORE = 0.5
@@ -26,9 +26,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     model = language.fit(docs, public_vocabulary("piece_bpe_32k.model"))
     predict = language.predictor(spark, model)
-    found = docs.withColumn("_found", predict(F.col("text")))
-    kept = found.filter((F.col("_found.lang_pred") != "und") & (F.col("_found.score") >= LEAST_SCORE))
-    return kept.select(*docs.columns)
+    found = docs.select(carried(docs), predict(F.col("text")).alias("found"))
+    kept = found.filter((F.col("found.lang_pred") != "und") & (F.col("found.score") >= LEAST_SCORE))
+    return kept.select(*restored(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

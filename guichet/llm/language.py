@@ -19,10 +19,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guichet.llm.store import written
+from guichet.llm.store import carried, restored, written
 
 _WORD = re.compile(r"[^\W\d_]+")
 _MARK = "▁"
@@ -316,6 +316,6 @@ def _typed(predict):
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score; columns of these names are replaced, all others stay."""
-    made: Column = predictor(docs.sparkSession, model)(F.col(text))
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.select(*rest, made.alias("_made")).select(*rest, "_made.lang_pred", "_made.score")
+    made = predictor(docs.sparkSession, model)(F.col(f"`{text}`"))
+    found = docs.select(carried(docs, "lang_pred", "score"), made.alias("_made"))
+    return found.select(*restored(docs, "lang_pred", "score"), "_made.lang_pred", "_made.score")

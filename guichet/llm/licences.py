@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from guichet.llm.store import carried, restored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Public licence notices, as (SPDX identifier, text).
@@ -155,8 +157,7 @@ def scan(docs: DataFrame, *, text: str = "text", templates: tuple[tuple[str, str
     are treated by themselves; columns with these names are replaced.
     """
     made = ("licence", "licence_dice", "licence_matches")
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in made]
-    found = docs.select(*rest, F.coalesce(matches(F.col(f"`{text}`"), templates=templates, threshold=threshold), F.array()).alias("_found"))
+    found = docs.select(carried(docs, *made), F.coalesce(matches(F.col(f"`{text}`"), templates=templates, threshold=threshold), F.array()).alias("_found"))
     best = F.array_max(F.transform("_found", lambda m: F.struct(m["dice"], (-m["template"]).alias("t"), m["licence"].alias("licence"))))
     found = found.withColumn("_best", best)
-    return found.select(*rest, F.col("_best.licence").alias("licence"), F.col("_best.dice").alias("licence_dice"), F.size("_found").cast("long").alias("licence_matches"))
+    return found.select(*restored(docs, *made), F.col("_best.licence").alias("licence"), F.col("_best.dice").alias("licence_dice"), F.size("_found").cast("long").alias("licence_matches"))

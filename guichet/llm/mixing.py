@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from guichet.llm.store import written
+from guichet.llm.store import carried, restored, written
 
 WORD = r"[^ \t-\r]+"
 _BUCKETS = 2000
@@ -133,40 +133,41 @@ def mix(
     words has target 0. Columns of ``docs`` with the names above are replaced, others stay.
     """
     made = ("size", "source_size", "target", "copies", "taken")
-    rest = [c for c in docs.columns if c not in made]
     weight = F.greatest(F.coalesce(F.col(odds).cast("double"), F.lit(0.0)), F.lit(0.0)) if odds else F.lit(1.0)
     drawn = docs.select(
-        *(F.col(f"`{c}`") for c in rest),
+        carried(docs, *made),
+        F.col(f"`{source}`").alias("source"),
         word_count(F.col(f"`{text}`")).alias("size"),
         _draw(F.col(f"`{key}`"), F.col(f"`{text}`"), seed).alias("_draw"),
         weight.alias("_odds"),
     )
-    rows = written(drawn.select(F.col(f"`{source}`").alias("source"), "size", "_draw", "_odds"))
+    rows = written(drawn.select("source", "size", "_draw", "_odds"))
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("_odds")).alias("_weighted"))
     targets = source_targets(sums.select("source", "source_size"), weights, max_repeat)
     targets = written(targets.join(sums.select(F.col("source").alias("_s"), "_weighted"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s"))
 
-    def expected(frame: DataFrame, by: str) -> DataFrame:
+    def expected(frame: DataFrame) -> DataFrame:
         """Adds what the source gives: expected copies, whole copies and the rank of the fraction."""
         of = targets.select(F.col("source").alias("_s"), "source_size", "target", "_weighted")
-        frame = frame.join(of, F.col(f"`{by}`").eqNullSafe(F.col("_s"))).drop("_s")
+        frame = frame.join(of, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
         times = F.when(F.col("_weighted") > 0, F.col("target") * F.col("_odds") / F.col("_weighted")).otherwise(0.0)
         frame = frame.withColumn("_times", F.least(times, F.lit(float(max_repeat))))
         return frame.withColumn("_whole", F.floor("_times")).withColumn("_rank", _odds_rank(F.col("_draw"), F.col("_times") - F.col("_whole")))
 
-    ranked = expected(rows, "source")
+    ranked = expected(rows)
     whole = ranked.groupBy("source").agg(F.sum(F.col("_whole") * F.col("size")).alias("_whole_words"), F.max("target").alias("_t"))
     left = whole.select(F.col("source").alias("_s"), (F.col("_t") - F.col("_whole_words")).alias("_left"))
     ranked = ranked.join(left, F.col("source").eqNullSafe(F.col("_s"))).select("source", "size", "_rank", "_left")
     cuts = written(_fillers(ranked, written(_cutoffs(ranked))))
     cuts = cuts.select(F.col("source").alias("_s"), "_cut", "_fill")
-    mixed = expected(drawn, source).join(cuts, F.col(f"`{source}`").eqNullSafe(F.col("_s")), "left")
+    mixed = expected(drawn).join(cuts, F.col("source").eqNullSafe(F.col("_s")), "left")
     more = F.coalesce(((F.col("_rank") <= F.col("_cut")) | F.col("_rank").eqNullSafe(F.col("_fill"))).cast("int"), F.lit(0))
     more = F.when(F.col("_rank").isNull(), 0).otherwise(more)
     mixed = mixed.withColumn("copies", (F.col("_whole") + more).cast("int"))
-    return mixed.select(*(F.col(f"`{c}`") for c in rest), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return mixed.select(*restored(docs, *made), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """One row per copy; documents with no copy are gone."""
-    return mixed.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("_copy")
+    copies = mixed.filter("copies > 0").select(carried(mixed), F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return copies.select(*restored(mixed))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from guichet.llm.store import written
+from guichet.llm.store import carried, restored, written
 
 GIVEN = {
     ("f", "Latin"): "Anna Maria Mary Emma Laura Julia Sarah Claire Sophie Elena Carmen Lucia Marta Petra Ingrid Helga Monique Nathalie Rachel Susan Linda Karen Alice Helen Jane",
@@ -332,18 +332,16 @@ def pseudonymise(docs: DataFrame, key: bytes, *, text: str = "text") -> DataFram
     and empty texts. Rows are treated alike whatever their identifiers; other columns stay,
     one named pii_spans is replaced.
     """
-    rest = [c for c in docs.columns if c != "pii_spans"]
     column: Column = F.col(f"`{text}`")
-    marked = F.coalesce(column.rlike(MARKS), F.lit(False))
-    flagged = docs.select(*(F.col(f"`{c}`") for c in rest)).filter(marked).withColumn("_key", F.unhex(F.md5(column.cast("binary"))))
-    found = flagged.select(F.col("_key").alias("key"), column.alias("text")).mapInArrow(_detect, "key binary, kind string, canonical string")
-    found = written(found.distinct())
+    rows = docs.select(carried(docs, "pii_spans"), column.alias("text"), F.coalesce(column.rlike(MARKS), F.lit(False)).alias("marked"))
+    flagged = rows.filter("marked").withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
+    found = written(flagged.select("key", "text").mapInArrow(_detect, "key binary, kind string, canonical string").distinct())
     given = surrogates(found.select("kind", "canonical").distinct(), key)
     pair = F.struct(F.concat_ws("|", "kind", "canonical"), F.col("surrogate"))
-    maps = found.join(given, ["kind", "canonical"]).groupBy(F.col("key").alias("_key")).agg(F.to_json(F.map_from_entries(F.collect_list(pair))).alias("_map"))
-    changed = flagged.join(maps, "_key", "left").withColumn("_made", _replacer()(column, F.col("_map")))
-    values = [F.col("_made.text").alias(c) if c == text else F.col(f"`{c}`") for c in rest]
-    changed = changed.select(*values, F.col("_made.spans").alias("pii_spans"))
+    maps = found.join(given, ["kind", "canonical"]).groupBy("key").agg(F.to_json(F.map_from_entries(F.collect_list(pair))).alias("map"))
+    changed = flagged.join(maps, "key", "left").select("_doc", _replacer()(F.col("text"), F.col("map")).alias("made"))
+    values = [F.col("made.text").alias(c) if c == text else v for c, v in zip((c for c in docs.columns if c != "pii_spans"), restored(docs, "pii_spans"), strict=True)]
+    changed = changed.select(*values, F.col("made.spans").alias("pii_spans"))
     none = F.array().cast("array<struct<kind:string,first:int,last:int>>")
-    untouched = docs.select(*(F.col(f"`{c}`") for c in rest)).filter(~marked).withColumn("pii_spans", none)
+    untouched = rows.filter("not marked").select(*restored(docs, "pii_spans"), none.alias("pii_spans"))
     return untouched.unionByName(changed)
