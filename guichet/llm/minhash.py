@@ -6,9 +6,10 @@ The rounds end when every slot holds less than the next round could offer, so lo
 need one or two rounds. The slots of an element are all different, which gives the
 signature less variance than independent hashes have.
 
-Documents with equal sets are one class. Classes that share a band are candidates: each
-checks against the smallest of its bucket first, on full sets; then the members of a bucket
-that are still in different components are compared among themselves.
+Documents with equal sets are one class. Classes that share a band are compared by their
+sketches, and what is alike is joined to clusters; all pairs of a cluster are then verified
+on full sets. Buckets and clusters are worked off in pairs of blocks, and what leaves a block
+is one label per document, never its pairs.
 """
 
 from __future__ import annotations
@@ -23,13 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guichet.llm.components import components
+from guichet.llm.runs import by_run, in_block_pairs, lowest_labels
 from guichet.llm.store import written
 
 _GOLDEN = 0x9E3779B97F4A7C15
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _REMEMBERED = 400_000
 _ELEMENTS = 150_000  # set elements that are signed at a time
-_BLOCK = 512  # classes of one bucket that are compared in one place
+_BLOCK = 256  # classes of a bucket in a block
+_BLOCK_SHINGLES = 100_000  # shingles of a cluster in a block, on average
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -97,7 +100,7 @@ def signatures(sets: list[np.ndarray], slots: int) -> np.ndarray:
 
 
 def _bands(signature: np.ndarray, rows: int) -> np.ndarray:
-    parts = signature.view(np.uint64).reshape(len(signature), -1, rows)
+    parts = signature.view(np.uint64).reshape(len(signature), signature.shape[1] // rows, rows)
     joined = np.tile(np.arange(parts.shape[1], dtype=np.uint64), (len(signature), 1))
     for i in range(rows):
         joined = _mixed(joined * _STEP + parts[:, :, i])
@@ -134,63 +137,86 @@ def _signed(ids: list, sets: list[np.ndarray], bands: int, rows: int) -> pa.Reco
     return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "set_hash", "bands", "sketch"])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the distinct ``pairs`` (a, b) whose sets are similar enough."""
-    pairs = written(pairs)
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = written(docs.join(ids, "doc_id", "left_semi"))
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+def _sketch_links(slots: int, percent: int):
+    """Links between the members of a bucket whose sketches and sizes are near enough.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, last = Shingler(words), {}
-        for batch in batches:
-            kept = []
-            for a, b, x, y in zip(*(batch[c] for c in ("a", "b", "text_a", "text_b")), strict=True):
-                if last.get("id") != (key := a.as_py()):
-                    last = {"id": key, "set": shingler(x.as_py())}
-                one, two = last["set"], shingler(y.as_py())
-                if 100 * min(len(one), len(two)) < percent * max(len(one), len(two)):
-                    continue
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                if both and 100 * both >= percent * (len(one) + len(two) - both):
-                    kept.append((key, b.as_py()))
-            if kept:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*kept, strict=True)], ["a", "b"])
-
-    return pairs.join(right, "b").join(left, "a").mapInArrow(run, "a long, b long")
-
-
-def _remaining(members: DataFrame, slots: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of one bucket in different components that are alike by size and sketch.
-
-    members: band, doc_id, n_shingles, sketch, component. A bucket of more than a block is
-    compared block by block. The sketch has a byte of each slot; pairs five standard
-    deviations below the wanted similarity are left out.
+    The sketch has a byte of each slot; five standard deviations below the wanted similarity
+    are near enough.
     """
     share = percent / 100
     least = slots * share - 5 * (slots * share * (1 - share)) ** 0.5
-    sizes = members.groupBy("band").agg(((F.count(F.lit(1)) / _BLOCK) + 1).cast("int").alias("blocks"))
-    rows = members.join(sizes, "band").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-
-    def compare(block: pa.Table) -> pa.Table:
-        ids, n, group, own = (block[c].to_numpy() for c in ("doc_id", "n_shingles", "component", "own"))
-        sketch = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
-        found = []
-        i, j = block["i"][0].as_py(), block["j"][0].as_py()
-        for at in range(len(ids)):
-            fits = (ids > ids[at]) & (group != group[at]) & ((own != own[at]) | (i == j))
-            fits &= 100 * np.minimum(n, n[at]) >= percent * np.maximum(n, n[at])
-            near = np.flatnonzero(fits)
-            near = near[(sketch[near] == sketch[at]).sum(1) >= least]
-            found += [(ids[at], ids[k]) for k in near]
-        columns = zip(*found, strict=True) if found else ([], [])
-        return pa.table([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
-
-    keep = rows.select("band", "i", "j", "doc_id", "n_shingles", "sketch", "component", "own")
-    return keep.groupBy("band", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+    def work(table: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids, n, own, i, j = (table[c].to_numpy() for c in ("doc_id", "n_shingles", "own", "i", "j"))
+        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(ids), slots)
+        out: tuple[list, list] = ([], [])
+        for begin, end in zip(begins, begins[1:], strict=False):
+            first, second = [], []
+            same = i[begin] == j[begin]
+            for at in range(begin, end - 1):
+                if not same and own[at] != i[begin]:
+                    continue
+                near = np.arange(at + 1 if same else begin, end)
+                fits = 100 * np.minimum(n[near], n[at]) >= percent * np.maximum(n[near], n[at])
+                if not same:
+                    fits &= own[near] == j[begin]
+                near = near[fits]
+                near = near[(sketch[near] == sketch[at]).sum(1) >= least]
+                first += [at - begin] * len(near)
+                second += (near - begin).tolist()
+            if first:
+                label = lowest_labels(ids[begin:end], np.array(first), np.array(second))
+                moved = label != ids[begin:end]
+                out[0].append(ids[begin:end][moved])
+                out[1].append(label[moved])
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["a", "b"])
+
+    return work
+
+
+def _set_links(words: int, percent: int):
+    """Links between the members of a cluster whose sets are similar enough.
+
+    One member's elements are marked among all elements of the block pair; sums over the
+    marks give its intersections with all others at a time.
+    """
+
+    def work(table: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        ids, own, i, j = (table[c].to_numpy() for c in ("doc_id", "own", "i", "j"))
+        out: tuple[list, list] = ([], [])
+        for begin, end in zip(begins, begins[1:], strict=False):
+            if end - begin < 2:
+                continue
+            sets = [shingler(text.as_py()) for text in table["text"].slice(begin, end - begin)]
+            n = np.array([len(s) for s in sets])
+            starts = np.cumsum([0, *n[:-1]])
+            seen, flat = np.unique(np.concatenate(sets), return_inverse=True)
+            marked = np.zeros(len(seen), np.int32)
+            same = i[begin] == j[begin]
+            first, second = [], []
+            for at in range(end - begin):
+                if not n[at] or not same and own[begin + at] != i[begin]:
+                    continue
+                mine = flat[starts[at] : starts[at] + n[at]]
+                marked[mine] = 1
+                common = np.add.reduceat(marked[flat], np.minimum(starts, len(flat) - 1))
+                marked[mine] = 0
+                fits = (n > 0) & (100 * common >= percent * (n + n[at] - common))
+                fits &= np.arange(len(n)) > at if same else own[begin:end] == j[begin]
+                near = np.flatnonzero(fits)
+                first += [at] * len(near)
+                second += near.tolist()
+            if first:
+                label = lowest_labels(ids[begin:end], np.array(first), np.array(second))
+                moved = label != ids[begin:end]
+                out[0].append(ids[begin:end][moved])
+                out[1].append(label[moved])
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["a", "b"])
+
+    return work
 
 
 def near_duplicates(
@@ -222,22 +248,21 @@ def near_duplicates(
     members = features.join(classes, ["doc_id", "set_hash"]).dropDuplicates(["doc_id", "set_hash"])
     members = written(members.select("doc_id", "n_shingles", "sketch", "bands"))
     buckets = members.select(F.explode("bands").alias("band"), "doc_id")
-    shared = buckets.groupBy("band").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = written(buckets.join(shared, "band").filter("doc_id != a").select("band", "a", F.col("doc_id").alias("b")))
-    sizes = members.select("doc_id", "n_shingles")
-    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    pairs = shared.select("a", "b").distinct()
-    pairs = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b").filter(100 * small >= percent * large).select("a", "b")
-    links = written(_verified(pairs, source, words, percent))
-
-    labels = components(links)
-    named = shared.join(labels.withColumnRenamed("node", "b"), "b", "left").select("band", "b", F.coalesce("component", "b").alias("component"))
-    open_bands = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
-    unsettled = written(named.join(open_bands.select("band"), "band", "left_semi").select("band", F.col("b").alias("doc_id"), "component"))
-    if not unsettled.isEmpty():
-        details = members.select("doc_id", "n_shingles", "sketch")
-        more = _verified(_remaining(unsettled.join(details, "doc_id"), bands * rows, percent), source, words, percent)
-        labels = components(links.union(more))
+    sizes = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    entries = written(buckets.join(sizes, "band"))
+    entries = entries.join(members.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    entries = in_block_pairs(entries, "band", "doc_id", F.ceil(F.col("size") / _BLOCK))
+    entries = entries.select("band", "i", "j", "own", "doc_id", "n_shingles", "sketch")
+    clusters = components(by_run(entries, ["band", "i", "j"], _sketch_links(bands * rows, percent), "a long, b long"))
+
+    clusters = written(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")).join(members.select("doc_id", "n_shingles"), "doc_id"))
+    sizes = clusters.groupBy("cluster").agg(F.sum("n_shingles").alias("size"))
+    # Never broadcast: the plan is the same at every size, and texts are hashed to it, not sorted.
+    clusters = written(clusters.join(sizes, "cluster").select("doc_id", "cluster", "size"))
+    texts = source.join(clusters.hint("shuffle_hash"), "doc_id")
+    texts = in_block_pairs(texts, "cluster", "doc_id", F.floor(F.col("size") / _BLOCK_SHINGLES) + 1)
+    texts = texts.select("cluster", "i", "j", "own", "doc_id", "text")
+    labels = components(by_run(texts, ["cluster", "i", "j"], _set_links(words, percent), "a long, b long"))
 
     copies = features.join(classes.withColumnRenamed("doc_id", "_class"), "set_hash").filter("doc_id != _class").select("doc_id", "_class")
     labels = written(labels)

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 _REMEMBERED = 500_000
 # str.split() and Python's patterns also cut at four control characters, which tokenisers take for symbols.
@@ -249,7 +249,7 @@ def pack(
     fields = [StructField(key, kind), *(StructField(n, LongType()) for n in _OUT)]
     schema = StructType(fields)
     if with_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", ArrayType(IntegerType()))
     share = F.coalesce(F.col(f"`{loss_share}`").cast("double"), F.lit(1.0)) if loss_share else F.lit(1.0)
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"), share.alias("loss"), F.spark_partition_id().alias("part"))
 
