@@ -19,17 +19,18 @@ from pyspark.sql.window import Window
 from guichet.llm.store import written
 from guichet.llm.vectors import matrix, usable
 
-_LEAF = 48
+_DATA_LEAF, _QUERY_LEAF = 48, 4
 
 
 class CoverTree:
     """Points in tree order; nodes with centre, radius, point range and child range.
 
     Below a node of scale s, children are points more than s/2 apart that cover the node's
-    points within s/2, each point going to the nearest one.
+    points within s/2, each point going to the nearest one. A node of at most ``leaf`` points
+    has no children.
     """
 
-    def __init__(self, points: np.ndarray) -> None:
+    def __init__(self, points: np.ndarray, leaf: int = _DATA_LEAF) -> None:
         order, nodes, todo = np.arange(len(points)), [], []
         centre = points.mean(0).round() if len(points) else np.zeros(points.shape[1])
         nodes.append([centre, 0, len(points), 0, 0])
@@ -38,7 +39,7 @@ class CoverTree:
         radii = [scale]
         for node, scale in todo:  # grows while it is read
             _, begin, end, _, _ = nodes[node]
-            if end - begin <= _LEAF or radii[node] == 0:
+            if end - begin <= leaf or radii[node] == 0:
                 continue
             own = order[begin:end]
             local = points[own]
@@ -158,10 +159,10 @@ def _stored(**arrays: np.ndarray) -> bytes:
     return out.getvalue()
 
 
-def _tree(ids: np.ndarray, points: np.ndarray, **more: np.ndarray) -> bytes:
+def _tree(ids: np.ndarray, points: np.ndarray, leaf: int, **more: np.ndarray) -> bytes:
     order = np.argsort(ids, kind="stable")
     ids, points = ids[order], points[order]
-    tree = CoverTree(points)
+    tree = CoverTree(points, leaf)
     low = {n: v[order][tree.order] for n, v in more.items()}
     return _stored(ids=ids[tree.order], points=tree.points, centres=tree.centres, ranges=tree.ranges, radii=tree.radii, norms=tree.norms, **low)
 
@@ -216,7 +217,7 @@ def top_k(
     held = spark.sparkContext.broadcast((seen["vec_id"].to_numpy(), seen["n"].to_numpy(), [np.array(x, float) for x in seen["v"].to_pylist()]))
 
     def grow(block: pa.Table) -> pa.Table:
-        tree = _tree(block["vec_id"].to_numpy(), matrix(block["v"]))
+        tree = _tree(block["vec_id"].to_numpy(), matrix(block["v"]), _DATA_LEAF)
         return pa.table([block["n"][:1], block["block"][:1], pa.array([tree], pa.binary())], ["n", "block", "tree"])
 
     def grow_queries(block: pa.Table) -> pa.Table:
@@ -228,7 +229,7 @@ def top_k(
             scores = points @ np.array([sample[i] for i in pick]).T
             scores[ids[:, None] == known[pick][None, :]] = -np.inf
             least = np.sort(scores, axis=1)[:, -k]
-        tree = _tree(ids, points, least=least)
+        tree = _tree(ids, points, _QUERY_LEAF, least=least)
         return pa.table([block["n"][:1], block["block"][:1], pa.array([tree], pa.binary())], ["n", "block", "tree"])
 
     def block_of(blocks: str):

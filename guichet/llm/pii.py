@@ -64,7 +64,7 @@ PATTERNS: list[tuple[str, re.Pattern]] = [
 _TITLED = re.compile(rf"(?<!\w)(?P<title>{'|'.join(sorted(map(re.escape, _TITLE), key=len, reverse=True))})\b\.? +(?P<names>{_CAP}(?: +{_CAP}){{0,2}})")
 _NAMED = re.compile(rf"(?<![\w@.])(?P<names>(?:{'|'.join(_GENDER)}) +{_CAP})")
 #: What any of the above needs; in a form that Java's and Python's engines read alike.
-MARKS = "[0-9@]|(?:" + "|".join(sorted({*map(re.escape, _TITLE), *_GENDER}, key=len, reverse=True)) + ") |AKIA|ASIA|(?i:token|secret|passw|key)"
+MARKS = "[0-9@]|(?:" + "|".join(sorted({*map(re.escape, _TITLE), *_GENDER}, key=len, reverse=True)) + ") |AKIA|ASIA|gh[pousr]_|xox[abpr]-|(?i:token|secret|passw|key)"
 MARKS = MARKS.replace(") |AKIA", r")\.? |AKIA")
 
 

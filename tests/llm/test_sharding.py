@@ -31,7 +31,8 @@ def test_tree_finds_the_tightest_bin(seed, monkeypatch):
 
 
 def test_spread_is_even_and_isolates_giants():
-    sizes = [random.Random(1).randint(1, 1000) for _ in range(5000)]
+    r = random.Random(1)
+    sizes = [r.randint(1, 1000) for _ in range(5000)]
     fill = Counter()
     for b, s in zip(sharding.spread(sizes, 24), sizes, strict=True):
         fill[b] += s
