@@ -49,11 +49,11 @@ def _settle(text: str) -> tuple[str, list[tuple[int, int, str]]]:
     return (twice if hits else once), hits
 
 
-def mask(text: str, merge_overlaps: bool = False) -> str:
+def mask(text: str, merge_overlaps: bool = True) -> str:
     """Replace detector hits by typed placeholders, left to right.
 
-    A hit that begins inside the previous one is dropped. With ``merge_overlaps``
-    its tail is hidden too, under the placeholder of the first.
+    The tail of a hit that begins inside the previous one is hidden under the
+    placeholder of the first; without ``merge_overlaps`` it stays.
     """
     base, hits = _settle(text)
     pieces, done = [], 0
@@ -66,8 +66,8 @@ def mask(text: str, merge_overlaps: bool = False) -> str:
     return "".join(pieces) + base[done:]
 
 
-def mask_merged(text: str) -> str:
-    return mask(text, merge_overlaps=True)
+def mask_skipping(text: str) -> str:
+    return mask(text, merge_overlaps=False)
 
 
 def found_categories(text: str) -> list[str]:

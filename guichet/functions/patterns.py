@@ -90,7 +90,8 @@ def counting(category: str) -> tuple[str, bool]:
 
 
 JAVA_PII = {name: java_pattern(*counting(name)) for name in fv.PII_PATTERNS}
-JAVA_SECRETS = tuple(java_pattern(*spec) for spec in fv.SECRET_PATTERNS)
+#: all in any case, because the scan reads text that has been lower-cased
+JAVA_SECRETS = tuple(java_pattern(pattern, True) for pattern, _ in fv.SECRET_PATTERNS)
 
 
 def _settled_ranges() -> str:

@@ -45,7 +45,7 @@ def _per_value(fn, returns: T.DataType):
 _normalise_udf = _per_value(_masking.normalise, T.StringType())
 _normalise_each_udf = _per_value(_masking.normalise_each, T.ArrayType(T.StringType()))
 _mask_udf = _per_value(_masking.mask, T.StringType())
-_mask_merged_udf = _per_value(_masking.mask_merged, T.StringType())
+_mask_skipping_udf = _per_value(_masking.mask_skipping, T.StringType())
 _clean_udf = _per_value(_masking.clean, T.StringType())
 _first_clean_udf = _per_value(_masking.first_clean_each, T.ArrayType(T.StringType()))
 _categories_udf = _per_value(_masking.found_categories, T.ArrayType(T.StringType()))
@@ -175,13 +175,13 @@ def pii_hits(c: Column) -> Column:
 # ---------------------------------------------------------------- masking
 
 
-def mask(c: Column, overlap: str = "skip") -> Column:
+def mask(c: Column, overlap: str = "merge") -> Column:
     """Text with personal data replaced by typed placeholders.
 
-    ``overlap="skip"`` drops a hit that begins inside the hit before it and keeps
-    its tail; ``"merge"`` hides the tail as well.
+    The tail of a hit that begins inside the hit before it is hidden as well;
+    ``overlap="skip"`` drops such a hit and keeps its tail.
     """
-    udf = {"skip": _mask_udf, "merge": _mask_merged_udf}[overlap]
+    udf = {"merge": _mask_udf, "skip": _mask_skipping_udf}[overlap]
     return F.coalesce(udf(_where(c, _needs_masking)), c)
 
 

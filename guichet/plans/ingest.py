@@ -29,6 +29,10 @@ class IngestResult:
     masked_key_count: int = 0
 
 
+class MaskedKeyError(ValueError):
+    """Identifiers look like personal data; masked, different tickets would share a key."""
+
+
 def guard(incoming: DataFrame, *keep: str, with_pseudonym: bool = False, secret_variable: str = DEFAULT_SECRET_VARIABLE) -> DataFrame:
     """Incoming tickets as clean tickets, before the residual gate."""
     cleaned = G.clean_scan_fields(incoming)
@@ -48,12 +52,16 @@ def ingest_incoming(
     with_pseudonym: bool = False,
     secret_variable: str = DEFAULT_SECRET_VARIABLE,
     ingested_at: datetime | None = None,
+    allow_masked_keys: bool = False,
 ) -> IngestResult:
     """Guard a batch and merge it into the table at ``root``, all of it or nothing.
 
     The guarded batch is written to a staging folder once, and the residual gate's
     counters are collected on the way. Only a batch with no finding is merged. The
     staging folder goes in any case.
+
+    A batch with an identifier that had to be masked is refused, since ``[PHONE]`` may
+    stand for many tickets; ``allow_masked_keys`` merges it all the same, by masked key.
     """
     spark = incoming.sparkSession
     require_utc(spark)
@@ -64,6 +72,8 @@ def ingest_incoming(
     try:
         scanned.write.option("fs.permissions.umask-mode", storage.UMASK).parquet(staging)
         extracted = G.raise_on_residual(seen)
+        if seen.get["masked_keys"] and not allow_masked_keys:
+            raise MaskedKeyError(f"{seen.get['masked_keys']} rows have an identifier that looks like personal data")
         stored = table.save_batch(spark.read.parquet(staging), root, stamp)
     finally:
         storage.purge(spark, staging)

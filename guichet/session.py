@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -25,11 +28,15 @@ def require_utc(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder for intermediate tables, under the one the cluster names.
 
-    ``spark.checkpoint.dir`` has to be reachable by every executor. Only a session
-    without that setting, as in local tests, falls back to this machine.
+    ``spark.checkpoint.dir`` has to be reachable by every executor. A session that runs
+    in one process, as in tests, may do without: it gets a folder that goes with it.
+    Anywhere else the setting is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="guichet-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/guichet-{uuid.uuid4().hex}"

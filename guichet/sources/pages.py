@@ -9,15 +9,29 @@ from guichet import fixed_values as fv
 
 
 def read_pages(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
-    """Response bodies as (page, body).
+    """Response bodies as (page, body), a whole file or, with ``one_per_line``, a line each.
 
-    ``page`` orders responses, and with them later updates of a ticket: files must
-    be named so that they sort in the order they were fetched. With
-    ``one_per_line`` a file may hold many responses, and stays splittable, but
-    every line of it counts as the same page.
+    ``page`` orders responses, and with them later updates of a ticket: by file name,
+    then by place in the file. Files must be named so that they sort in the order they
+    were fetched. Large files should have a response per line, as they stay splittable.
     """
-    pages = spark.read.text(path, wholetext=not one_per_line)
-    return pages.select(F.col("_metadata.file_path").alias("page"), F.col("value").alias("body"))
+    return with_line(place_in_files(spark.read.text(path, wholetext=not one_per_line)))
+
+
+def place_in_files(lines: DataFrame) -> DataFrame:
+    """(file, block, body) of text files: what is known of a line's place when it is read."""
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("body"))
+
+
+def with_line(placed: DataFrame) -> DataFrame:
+    """(page, body) of :func:`place_in_files`, which must come right from the files.
+
+    A block of a file is read by one task from its beginning to its end, so numbers that
+    grow with the rows of a task order the lines of a block. They are compared within a
+    block only, and do not depend on how files and blocks are dealt to tasks.
+    """
+    page = F.struct("file", "block", F.monotonically_increasing_id().alias("line"))
+    return placed.select(page.alias("page"), "body")
 
 
 def _items_of(body: Column) -> Column:

@@ -79,9 +79,43 @@ def test_counts_and_masking(spark, tmp_path):
     assert I.ingest_incoming(incoming(spark, {}).limit(0), str(tmp_path)) == I.IngestResult(0, 0, 0)
 
 
-def test_masked_keys_are_counted(spark, tmp_path):
+def test_masked_keys_refuse_the_batch(spark, tmp_path):
     batch = incoming(spark, {"external_ticket_id": "0612345678"}, {"external_ticket_id": "0712345678"}, {})
-    assert I.ingest_incoming(batch, str(tmp_path)) == I.IngestResult(3, 2, 1, masked_key_count=2)
+    I.ingest_incoming(incoming(spark, {}), str(tmp_path), ingested_at=STAMP)
+    before = rows(table.current(spark, str(tmp_path)))
+    with pytest.raises(I.MaskedKeyError, match="^2 rows"):
+        I.ingest_incoming(batch, str(tmp_path))
+    assert rows(table.current(spark, str(tmp_path))) == before
+    assert not [n for n in os.listdir(tmp_path) if n.startswith("_")]
+    assert I.ingest_incoming(batch, str(tmp_path), allow_masked_keys=True) == I.IngestResult(3, 1, 2, masked_key_count=2)
+
+
+@pytest.mark.parametrize(("split", "parts"), [("128m", 1), ("3000b", 1), ("3000b", 7), ("128m", 3)])
+def test_lines_of_a_file_keep_their_order(spark, tmp_path, split, parts):
+    """Same ids again and again, in one file and in the next, whatever the splits and shuffles."""
+    lines = [json.dumps({"tickets": [{"id": i % 7, "summary": f"s{i}", "priority": f"p{i}"}]}) for i in range(1500)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "b.txt").write_text("\n".join(lines[900:]))
+    (tmp_path / "in" / "a.txt").write_text("\n".join(lines[:900]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        pages = read_pages(spark, str(tmp_path / "in"), one_per_line=True)
+        I.ingest_pages(pages.repartition(parts) if parts > 1 else pages, str(tmp_path / "t"), ingested_at=STAMP)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {r.external_ticket_id: (r.summary, r.priority) for r in table.current(spark, str(tmp_path / "t")).collect()}
+    assert got == {str(k): (f"s{k}", f"p{max(i for i in range(1500) if i % 7 == k)}") for k in range(7)}
+
+
+def test_stream_applies_files_as_they_landed(spark, tmp_path):
+    for n, name in enumerate(("a", "b", "c")):
+        (tmp_path / f"{name}.txt").write_text("\n".join(json.dumps({"tickets": [{"id": 1, "summary": f"{name}{i}", "priority": f"{name}{i}"}]}) for i in range(3)))
+        os.utime(tmp_path / f"{name}.txt", (1_700_000_000 + n, 1_700_000_000 + n))
+    for size in (1, 2, 1000):
+        root, progress = str(tmp_path / f"t{size}"), str(tmp_path / f"p{size}")
+        ingest_stream(spark, f"{tmp_path}/*.txt", root, progress, files_per_batch=size, one_per_line=True, ingested_at=STAMP).awaitTermination()
+        assert [(r.summary, r.priority) for r in table.current(spark, root).collect()] == [("a0", "c2")]
 
 
 def test_pseudonym(spark, tmp_path, monkeypatch):

@@ -63,8 +63,15 @@ def test_clean_literals(evaluate):
 
 def test_overlap_modes(evaluate):
     value = "login: abc'def@example.test"
-    assert evaluate([value], X.mask) == ["[IDENTIFIER]'def@example.test"]
-    assert evaluate([value], lambda c: X.mask(c, overlap="merge")) == ["[IDENTIFIER]"]
+    assert evaluate([value], X.mask) == ["[IDENTIFIER]"]
+    assert evaluate([value], X.clean) == ["[IDENTIFIER]"]
+    assert evaluate([value], lambda c: X.mask(c, overlap="skip")) == ["[IDENTIFIER]'def@example.test"]
+
+
+def test_key_header_is_found_in_any_case(evaluate):
+    header = "-----BEGIN RSA PRIVATE KEY-----"
+    found = evaluate([header, header.lower(), "begin private key"], lambda c: X.count_secrets(c).cast("string"))
+    assert found == ["1", "1", "0"]
 
 
 def test_hits_and_removed_categories(evaluate):
@@ -162,7 +169,7 @@ def test_mask_equals_per_value_mask(evaluate):
         return out + base[cursor:]
 
     values = texts()
-    assert evaluate(values, X.mask) == [naive(v) for v in values]
+    assert evaluate(values, lambda c: X.mask(c, overlap="skip")) == [naive(v) for v in values]
 
 
 def test_hits_equal_per_value_hits(evaluate):
