@@ -30,7 +30,16 @@ PATTERNS = {
     "ipv4": (_EDGE + rf"(?:{_OCTET}\.){{3}}{_OCTET}" + _EDGE_END, r"\1[IP]\2"),
     "fr_phone": (r"(^|[^0-9])(?:\+33|0033|0)\s*[1-9](?:[\s.-]*[0-9]{2}){4}($|[^0-9])", r"\1[PHONE]\2"),
 }
-_IGNORE_CASE = ("email", "url", "obvious_identifier")
+IGNORE_CASE = ("email", "url", "obvious_identifier")
+
+#: category -> pattern of the match alone, for texts whose neighbours never get in the way
+BARE = {
+    "obvious_identifier": r"\b(?:agent_id|user_id|client_id|customer_id|account_id|identifiant|login|username)(?:\s*[:=#-]\s*|\s+)[A-Za-z0-9._@-]{3,}",
+    "url": r"\b(?:https?://|www\.)[^\s<>'\"]+",
+    "email": f"[A-Za-z0-9](?:[{_LOCAL}]{{0,62}}[A-Za-z0-9])?@(?:{_LABEL}\\.)+[A-Za-z]{{2,63}}",
+    "ipv4": rf"\b(?:{_OCTET}\.){{3}}{_OCTET}\b",
+    "fr_phone": r"(?:\+33|0033|\b0)\s*[1-9](?:[\s.-]*[0-9]{2}){4}\b",
+}
 
 
 def quote(text: str) -> str:
@@ -38,7 +47,7 @@ def quote(text: str) -> str:
 
 
 def has(category: str, text: str) -> str:
-    flags = "i" if category in _IGNORE_CASE else "c"
+    flags = "i" if category in IGNORE_CASE else "c"
     return f"regexp_matches({text}, {quote(PATTERNS[category][0])}, '{flags}')"
 
 
@@ -48,7 +57,7 @@ def has_any(text: str) -> str:
 
 def mask(text: str) -> str:
     for category, (pattern, replacement) in PATTERNS.items():
-        flags = "gi" if category in _IGNORE_CASE else "g"
+        flags = "gi" if category in IGNORE_CASE else "g"
         for _ in range(2):
             text = f"regexp_replace({text}, {quote(pattern)}, {quote(replacement)}, '{flags}')"
     return text

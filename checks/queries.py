@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import oracle as O
@@ -15,7 +15,6 @@ from checks.tables import (
     STAMP,
     feature_records,
     load,
-    load_spread,
     payloads,
     raw_tickets,
     stored_tickets,
@@ -28,7 +27,7 @@ from guichet.operators import contract, eda, features, guardrails, lifecycle, ma
 from guichet.plans import dry_run, eda_report, export, ingest
 from guichet.schema import CLEAN, STORED
 from guichet.session import shared_folder
-from guichet.sources import pages, table, tickets
+from guichet.sources import pages, storage, table, tickets
 from guichet.streaming.ingest import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +105,15 @@ def page_slice(spark, sf_dir):
     return tickets.page_slice(stored, order, 25, 3).select("external_ticket_id", "status")
 
 
+@check(
+    O.with_tickets(
+        "SELECT external_ticket_id, status FROM tickets WHERE external_ticket_id > '5' ORDER BY external_ticket_id LIMIT 40"
+    )
+)
+def page_after_key(spark, sf_dir):
+    return tickets.page_after_key(stored_tickets(spark, sf_dir), "external_ticket_id", 40, "5").select("external_ticket_id", "status")
+
+
 @check(O.with_tickets("SELECT coalesce(summary, '') AS summary, coalesce(details, '') AS details FROM scoped"))
 def text_pairs(spark, sf_dir):
     return tickets.text_pairs(stored_tickets(spark, sf_dir), BOUNDARY)
@@ -207,7 +215,7 @@ _ALL_TEXT = "(SELECT 'd' || doc_id AS k, text AS x FROM documents UNION ALL SELE
 
 
 def _all_text(spark, sf_dir) -> DataFrame:
-    d, p, c = (load_spread(spark, sf_dir, n) for n in ("documents", "pages", "conversations"))
+    d, p, c = (load(spark, sf_dir, n) for n in ("documents", "pages", "conversations"))
     parts = d.select(F.concat(F.lit("d"), "doc_id").alias("k"), F.col("text").alias("x"))
     parts = parts.unionAll(p.select(F.concat(F.lit("p"), "page_id"), "html"))
     return parts.unionAll(c.select(F.concat(F.lit("c"), "conv_id", F.lit("."), "turn"), "text"))
@@ -225,10 +233,75 @@ def detect_pii(spark, sf_dir):
     return df.select("k", *(X.has_category(F.col("n"), c).alias(c) for c in fv.PII_PATTERNS))
 
 
-@check()
+# Texts built from columns, so that every category, overlaps, wrappers, entities and full-width letters occur often.
+_BUILT = """(SELECT o_orderkey AS k, CASE CAST(o_orderkey % 8 AS INT)
+    WHEN 0 THEN 'login: user' || CAST(o_custkey AS STRING) || ', call 06 ' || substr(CAST(10000000 + o_orderkey AS STRING), 1, 2) || ' 34 56 78 now'
+    WHEN 1 THEN 'mailto:c' || CAST(o_custkey AS STRING) || '@example.test or 10.0.' || CAST(o_orderkey % 256 AS STRING) || '.1'
+    WHEN 2 THEN 'see https://shop.example.test/o/' || CAST(o_orderkey AS STRING) || ' <a' || CAST(o_custkey AS STRING) || '@mail.test>'
+    WHEN 3 THEN 'user_id=x' || CAST(o_orderkey AS STRING) || '@corp.test and ' || o_orderpriority
+    WHEN 4 THEN '<p>' || o_orderpriority || '</p> client_id #' || CAST(1000 + o_custkey AS STRING) || ' from 192.168.1.' || CAST(o_custkey % 256 AS STRING)
+    WHEN 5 THEN 'b' || CAST(o_custkey AS STRING) || '&#64;host.example &amp;copy; ' || o_orderstatus
+    WHEN 6 THEN 'ｑａ' || CAST(o_custkey AS STRING) || '＠ｅｘａｍｐｌｅ．ｔｅｓｔ und +33612345' || substr(CAST(100 + o_orderkey % 100 AS STRING), 2, 2)
+    ELSE 'nothing but ' || o_orderpriority || ' in version 1.' || CAST(o_orderkey % 10 AS STRING) END AS x FROM orders)"""
+
+
+def _built(spark, sf_dir) -> DataFrame:
+    return spark.sql(_BUILT.strip("()").replace("FROM orders", "FROM {orders}"), orders=load(spark, sf_dir, "orders"))
+
+
+def _narrow(text: str) -> str:
+    """Entities and full-width signs of the built texts as normalisation gives them."""
+    wide, plain = "ｑａｅｘｍｐｌｔｓ＠．", "qaexmplts@."
+    return f"translate(replace(replace({text}, '&#64;', '@'), '&amp;', '&'), '{wide}', '{plain}')"
+
+
+def _again(text: str) -> str:
+    return f"replace({_narrow(text)}, '&copy;', '©')"
+
+
+def _hits_sql(text: str) -> str:
+    """Offsets of all matches of a category: lengths of the pieces between them and of the matches, added up."""
+    parts = []
+    for category in fv.PII_PATTERNS:
+        pattern, flags = O.quote(O.BARE[category]), "gi" if category in O.IGNORE_CASE else "g"
+        parts.append(
+            f"""SELECT k, '{category}' AS category, unnest(range(1, len(found) + 1)) AS i, found, pieces FROM (SELECT k,
+            regexp_extract_all(t, {pattern}, 0, '{flags[1:] or 'c'}') AS found,
+            string_split(regexp_replace(t, {pattern}, chr(1), '{flags}'), chr(1)) AS pieces FROM (SELECT k, {text} AS t FROM texts))"""
+        )
+    return f"""SELECT k, category, CAST(list_sum(list_transform(pieces[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(found[1:i - 1],
+        lambda m: length(m))), 0) AS INTEGER) AS start, CAST(list_sum(list_transform(pieces[1:i], lambda p: length(p)))
+        + list_sum(list_transform(found[1:i], lambda m: length(m))) AS INTEGER) AS "end" FROM ({" UNION ALL ".join(parts)})"""
+
+
+@check(f"WITH texts AS {_BUILT} SELECT * FROM ({_hits_sql(_narrow('x'))})")
 def pii_hits(spark, sf_dir):
-    """(k, category, start, end) of every hit; offsets have no counterpart in SQL."""
-    return _all_text(spark, sf_dir).select("k", F.inline(X.pii_hits(F.col("x"))))
+    """(k, category, start, end) of every hit in texts built from columns."""
+    return _built(spark, sf_dir).select("k", F.inline(X.pii_hits(F.col("x"))))
+
+
+@check(
+    f"""WITH texts AS {_BUILT}, h AS ({_hits_sql(_again('x'))}), o AS (SELECT *, coalesce(max("end") OVER (PARTITION BY k ORDER BY start, "end", category
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM h),
+    p AS (SELECT k, category, start, max("end") OVER (PARTITION BY k, head) AS "end", head, new FROM (SELECT *, start >= before AS new,
+      sum(CASE WHEN start >= before THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY start, "end", category) AS head FROM o)),
+    c AS (SELECT *, coalesce(lag("end") OVER (PARTITION BY k ORDER BY start), 0) AS done FROM p WHERE new),
+    m AS (SELECT c.k, string_agg(substr(t, done + 1, start - done) || CASE category {" ".join(f"WHEN {O.quote(c)} THEN {O.quote(v)}" for c, v in fv.PII_REPLACEMENTS.items())} END,
+      '' ORDER BY start) AS head, max("end") AS last FROM c JOIN (SELECT k, {_again('x')} AS t FROM texts) t ON t.k = c.k GROUP BY c.k)
+    SELECT texts.k, CASE WHEN m.k IS NULL THEN {_narrow('x')} ELSE m.head || substr({_again('x')}, last + 1) END AS masked FROM texts LEFT JOIN m ON m.k = texts.k"""
+)
+def mask_overlaps(spark, sf_dir):
+    """Texts with hits that overlap, doubly escaped entities and full-width letters, masked."""
+    return _built(spark, sf_dir).select("k", X.mask(F.col("x")).alias("masked"))
+
+
+@check(
+    f"""WITH texts AS {_BUILT}, h AS ({_hits_sql(_again('x'))}), f AS (SELECT k, category, min((start, "end", category)) AS place FROM h GROUP BY 1, 2)
+    SELECT texts.k, coalesce(string_agg(category, ',' ORDER BY place), '') AS removed FROM texts LEFT JOIN f ON f.k = texts.k GROUP BY 1"""
+)
+def removed_in_order(spark, sf_dir):
+    """The categories masking removes, in order of appearance."""
+    return _built(spark, sf_dir).select("k", F.array_join(X.removed_categories(F.col("x")), ",").alias("removed"))
 
 
 @check(f"SELECT k, {O.mask(O.unescape('x'))} AS masked FROM {_ALL_TEXT}")
@@ -345,9 +418,7 @@ def _quality(c: str) -> str:
 
 @check(O.with_tickets(" UNION ALL ".join(_quality(c) for c in fv.TEXT_FIELDS)))
 def text_quality(spark, sf_dir):
-    stored = stored_tickets(spark, sf_dir)
-    parts = [eda.text_quality(stored, c, BOUNDARY).select(F.lit(c).alias("field"), "*") for c in fv.TEXT_FIELDS]
-    df = parts[0].unionByName(parts[1])
+    df = eda.text_quality(stored_tickets(spark, sf_dir), *fv.TEXT_FIELDS, min_created=BOUNDARY)
     df = df.withColumns({n: F.col(n).cast("bigint") for n in ("min_length", "max_length")})
     return _rounded(df, "mean_length", "p50", "p90", "p95", "p99", "empty_rate")
 
@@ -475,51 +546,103 @@ def residual_rows(spark, sf_dir):
     return found.withColumn("categories", F.array_join("categories", ","))
 
 
-@check("SELECT CAST(0 AS BIGINT) AS rows_left")
+@check(O.with_tickets("SELECT count(*) AS rows_scanned, sum(length(details)) > 0 AS has_text, CAST(0 AS BIGINT) AS rows_left FROM tickets"))
 def residual_rows_after_masking(spark, sf_dir):
-    """The gate's scan of all six fields finds nothing in guarded tickets."""
+    """The gate's scan of all six fields finds nothing in guarded tickets, and all of them were scanned."""
     guarded = ingest.guard(raw_tickets(spark, sf_dir).drop("ingested_at"))
     left = guardrails.residual_rows(guarded, "external_ticket_id", fv.RESIDUAL_SCAN_FIELDS)
-    return left.agg(F.count(F.lit(1)).alias("rows_left"))
-
-
-@check(
-    O.with_tickets(
-        f"""SELECT count(*) AS total_tickets, (SELECT count(*) FROM tickets) AS total_source_count,
-        (SELECT count(*) FROM tickets WHERE ticket_created_at IS NULL) AS undated, '{BOUNDARY}' AS applied_min_ticket_created_at,
-        count(DISTINCT category) AS category_distinct_count,
-        (SELECT string_agg(n, ',' ORDER BY n DESC) FROM (SELECT count(*) AS n FROM scoped WHERE trim(priority) <> '' GROUP BY trim(priority))) AS priority_buckets,
-        round(quantile_cont(length(details), 0.95), 6) AS details_p95, round(avg(length(details)), 6) AS details_mean,
-        round(avg(CASE WHEN trim(details) = '' THEN 1.0 ELSE 0.0 END), 6) AS details_empty_rate,
-        count(*) FILTER {_ANY} AS pii_rows, count(*) FILTER ({_LOOSE}) AS heuristic_rows,
-        (SELECT string_agg(p || ':' || n, ',' ORDER BY p) FROM (SELECT strftime(ticket_created_at, '%Y') AS p, count(*) AS n FROM scoped GROUP BY 1)) AS by_year,
-        strftime(max(ticket_closed_at), '%Y-%m-%dT%H:%M:%SZ') AS last_closed,
-        round(count(ticket_closed_at) / count(*), 6) AS closed_rate FROM scoped"""
-    )
-)
+    scanned = guarded.agg(F.count(F.lit(1)).alias("rows_scanned"), (F.sum(F.char_length("details")) > 0).alias("has_text"))
+    return scanned.join(left.agg(F.count(F.lit(1)).alias("rows_left")), F.lit(True))
+
+
+def _listed(path: str, query: str, keys: tuple[str, ...], values: dict[str, str]) -> str:
+    """Rows (path, value) of a query: a path per key and value."""
+    key = " || '.' || ".join([O.quote(path), *(f"CAST({k} AS VARCHAR)" for k in keys)])
+    return " UNION ALL ".join(f"SELECT {key} || '.{name}' AS path, {value} AS value FROM ({query})" for name, value in values.items())
+
+
+def _whole(name: str) -> str:
+    return f"CAST({name} AS VARCHAR)"
+
+
+def _part(name: str) -> str:
+    return f"printf('%.6f', CAST({name} AS DOUBLE))"
+
+
+def _report_sql() -> str:
+    """Every leaf of the report, section by section, from the SQL of the single metrics."""
+    either = {c: _either(c) for c in sorted(fv.PII_PATTERNS)}
+    runs = "SELECT CAST(min(bucket_rank) AS BIGINT) AS first_rank, CAST(max(bucket_rank) AS BIGINT) AS last_rank, ticket_count FROM ({}) GROUP BY ticket_count"
+    counts = """SELECT count(DISTINCT nullif(trim({c}), '')) AS d, count(*) FILTER ({c} IS NULL) AS n, count(*) FILTER (trim({c}) = '') AS m FROM scoped"""
+    parts = [
+        _listed("scope", f"SELECT {_SCOPE_COUNTS}, '{BOUNDARY}' AS b FROM tickets", (), {
+            "total": _whole("included_count"), "source": _whole("total_source_count"), "included": _whole("included_count"),
+            "historical": _whole("excluded_historical_outlier_count"), "undated": _whole("excluded_missing_ticket_created_at_count"), "bound": "b"}),
+        *(_listed(f"distribution.{c}", counts.format(c=c), (), {"distinct": _whole("d"), "non_null": _whole("d"), "null": _whole("n"), "missing": _whole("m")}) for c in fv.DISTRIBUTION_COLUMNS),
+        *(_listed(f"distribution.{c}", runs.format(_ranked(c)), ("first_rank",), {"last": _whole("last_rank"), "count": _whole("ticket_count")}) for c in fv.DISTRIBUTION_COLUMNS),
+        *(_listed("text", _quality(c), ("field",), {n: _part(v) for n, v in (("min", "min_length"), ("mean", "mean_length"), ("max", "max_length"), *((p, p) for p in ("p50", "p90", "p95", "p99")), ("empty", "empty_rate"))}) for c in fv.TEXT_FIELDS),
+        _listed("untitled", "SELECT avg(CASE WHEN lower(trim(summary)) = 'untitled ticket' THEN 1.0 ELSE 0.0 END) AS r FROM scoped", (), {"rate": _part("r")}),
+        _listed("placeholder", _PLACEHOLDER_ROWS.replace("FROM masked", "FROM scoped"), ("placeholder",), {"rows": _whole("rows_with_placeholder"), "rate": _part("rows_with_placeholder / total")}),
+        *(_listed("moment", f"""SELECT '{c}' AS field, strftime(min({c}), '%Y-%m-%dT%H:%M:%SZ') AS a, strftime(max({c}), '%Y-%m-%dT%H:%M:%SZ') AS z,
+            count({c}) AS p, count(*) - count({c}) AS n FROM scoped""", ("field",), {"min": "a", "max": "z", "populated": _whole("p"), "null": _whole("n"), "missing": _whole("n")}) for c in fv.TEMPORAL_COLUMNS),
+        *(_listed(f"by_{g}", _periods(g, m), ("period",), {"count": _whole("ticket_count")}) for g, m in (("month", "%Y-%m"), ("year", "%Y"))),
+        _listed("scan", f"SELECT count(*) AS n, count(*) FILTER {_ANY} AS hits, count(*) FILTER ({_LOOSE}) AS loose FROM scoped", (), {
+            "rows": _whole("n"), "hits": _whole("hits"), "rate": _part("hits / n"), "loose": _whole("loose")}),
+        *(_listed(f"scan.{c}", f"SELECT count(*) FILTER {test} AS n FROM scoped HAVING n > 0", (), {"rows": _whole("n")}) for c, test in either.items()),
+        *(_listed("complete", _complete(c), ("field",), {"populated": _whole("populated_count"), "null": _whole("null_count"), "missing": _whole("missing_count"), "rate": _part("completeness_rate")}) for c in fv.DISTRIBUTION_COLUMNS + fv.TEMPORAL_COLUMNS),
+    ]
+    return O.with_tickets(" UNION ALL ".join(parts))
+
+
+def _leaves(report: DataFrame) -> DataFrame:
+    """Every leaf of the report as (path, value)."""
+
+    def leaf(path: Column, value: Column) -> Column:
+        return F.struct(path.alias("path"), value.cast("string").alias("value"))
+
+    def rate(value: Column) -> Column:
+        return F.format_string("%.6f", F.round(value.cast("double"), 6))
+
+    def at(*parts) -> Column:
+        return F.concat_ws(".", *(F.lit(p) if isinstance(p, str) else p for p in parts))
+
+    def many(path: str, key: str, column: Column, values: dict) -> list[Column]:
+        def of(name: str, read) -> Column:
+            return F.transform(column, lambda e: leaf(at(path, e[key].cast("string"), name), read(e)))
+
+        return [of(name, read) for name, read in values.items()]
+
+    c = F.col
+    single = {"scope.total": c("total_tickets"), "scope.source": c("total_source_count"), "scope.included": c("included_count"), "scope.historical": c("excluded_historical_outlier_count"), "scope.undated": c("excluded_missing_ticket_created_at_count"), "scope.bound": c("applied_min_ticket_created_at")}
+    arrays: list[Column] = []
+    for d in fv.DISTRIBUTION_COLUMNS:
+        of = f"{d}_distribution"
+        for n, name in (("distinct", "distinct_count"), ("non_null", "non_null_distinct_count"), ("null", "null_count"), ("missing", "missing_count")):
+            single[f"distribution.{d}.{n}"] = c(f"{of}.{name}")
+        arrays += many(f"distribution.{d}", "first_rank", c(f"{of}.buckets"), {"last": lambda e: e["last_rank"], "count": lambda e: e["count"]})
+    for f, name in zip(fv.TEXT_FIELDS, ("short_text", "long_text"), strict=True):
+        for n in ("min", "mean", "max", "p50", "p90", "p95", "p99"):
+            single[f"text.{f}.{n}"] = rate(c(f"{name}.length.{n}"))
+        single[f"text.{f}.empty"] = rate(c(f"{name}.empty_rate"))
+    single["untitled.rate"] = rate(c("fallback_untitled_ticket_rate"))
+    arrays += many("placeholder", "placeholder", c("placeholder_counts"), {"rows": lambda e: e["rows_with_placeholder"], "rate": lambda e: rate(e["rate"])})
+    for t in fv.TEMPORAL_COLUMNS:
+        for n, name in (("min", "min_at"), ("max", "max_at"), ("populated", "populated_count"), ("null", "null_count"), ("missing", "missing_count")):
+            single[f"moment.{t}.{n}"] = c(f"temporal_distribution.{t}.{name}")
+    for g in fv.BUCKET_FORMATS:
+        arrays += many(f"by_{g}", "period", c(f"temporal_distribution.ticket_created_buckets.by_{g}"), {"count": lambda e: e["count"]})
+    scan = "pii_scan"
+    single |= {"scan.rows": c(f"{scan}.rows_scanned"), "scan.hits": c(f"{scan}.pii_residual_official_count"), "scan.rate": rate(c(f"{scan}.residual_detection_rate")), "scan.loose": c(f"{scan}.heuristic_like_pattern_count")}
+    arrays += many("scan", "category", c(f"{scan}.residual_categories"), {"rows": lambda e: e["rows_with_residual"]})
+    arrays += many("complete", "field", c("completeness"), {"populated": lambda e: e["populated_count"], "null": lambda e: e["null_count"], "missing": lambda e: e["missing_count"], "rate": lambda e: rate(e["completeness_rate"])})
+    ones = F.array(*(leaf(F.lit(path), value) for path, value in single.items()))
+    return report.select(F.inline(F.concat(ones, *arrays)))
+
+
+@check(_report_sql())
 def quality_report(spark, sf_dir):
-    """The fused report, with one value of each of its sections."""
-    r = eda_report.build_report(stored_tickets(spark, sf_dir), BOUNDARY)
-    joined = lambda c, f: F.array_join(F.transform(c, f), ",")
-    buckets = joined("priority_distribution.buckets", lambda b: b["count"].cast("string"))
-    years = joined("temporal_distribution.ticket_created_buckets.by_year", lambda b: F.concat(b["period"], F.lit(":"), b["count"].cast("string")))
-    closed = F.filter("completeness", lambda c: c["field"] == "ticket_closed_at")[0]["completeness_rate"]
-    return r.select(
-        "total_tickets",
-        "total_source_count",
-        F.col("excluded_missing_ticket_created_at_count").alias("undated"),
-        "applied_min_ticket_created_at",
-        F.col("category_distribution.distinct_count").alias("category_distinct_count"),
-        buckets.alias("priority_buckets"),
-        F.round("long_text.length.p95", 6).alias("details_p95"),
-        F.round("long_text.length.mean", 6).alias("details_mean"),
-        F.round("long_text.empty_rate", 6).alias("details_empty_rate"),
-        F.col("pii_scan.pii_residual_official_count").alias("pii_rows"),
-        F.col("pii_scan.heuristic_like_pattern_count").alias("heuristic_rows"),
-        years.alias("by_year"),
-        F.col("temporal_distribution.ticket_closed_at.max_at").alias("last_closed"),
-        F.round(closed, 6).alias("closed_rate"),
-    )
+    """The fused report, every value of every section."""
+    return _leaves(eda_report.build_report(stored_tickets(spark, sf_dir), BOUNDARY))
 
 
 # ---------------------------------------------------------------- merge and ingest
@@ -605,6 +728,24 @@ def ingest_page_stream(spark, sf_dir):
     return _texts_of_dates(table.current(spark, f"{base}/table"))
 
 
+@check(
+    """SELECT CAST(doc_id % 50 AS VARCHAR) AS external_ticket_id, 's' || arg_min(doc_id, doc_id) AS summary, 'p' || arg_max(doc_id, doc_id) AS priority,
+    count(*) AS extracted_count, (SELECT count(DISTINCT doc_id % 50) FROM documents) AS stored_count FROM documents GROUP BY 1"""
+)
+def ingest_repeated_ids(spark, sf_dir):
+    """Ids that come again and again, in the lines of one file and in the next, with other values each time."""
+    base = shared_folder(spark)
+    ticket = F.to_json(F.struct((F.col("doc_id") % 50).alias("id"), F.concat(F.lit("s"), "doc_id").alias("summary"), F.concat(F.lit("p"), "doc_id").alias("priority")))
+    lines = load(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit('{"tickets":['), ticket, F.lit("]}")).alias("line"))
+    lines.repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id").select("line").write.text(f"{base}/landed")
+    result = ingest.ingest_pages(pages.read_pages(spark, f"{base}/landed", one_per_line=True), f"{base}/table", ingested_at=datetime.fromisoformat(STAMP))
+    stored = table.current(spark, f"{base}/table").select("external_ticket_id", "summary", "priority")
+    per_id = load(spark, sf_dir, "documents").groupBy((F.col("doc_id") % 50).cast("string").alias("external_ticket_id")).agg(F.count(F.lit(1)).alias("extracted_count"))
+    if result.extracted_count != result.stored_count + result.ignored_count:
+        raise AssertionError("counts do not add up")
+    return stored.join(per_id, "external_ticket_id").withColumn("stored_count", F.lit(result.stored_count).cast("bigint"))
+
+
 # ---------------------------------------------------------------- feature dataset
 
 _FEATURE_ROWS = O.with_tickets("SELECT * FROM features", O.FEATURES_CTE.strip())
@@ -642,24 +783,45 @@ def dry_run_report(spark, sf_dir):
     return report.withColumns({"planned_dataset_columns": F.array_join("planned_dataset_columns", ","), "gates": F.array_join(gates, ",")})
 
 
-@check(
-    O.with_tickets(
-        "SELECT * FROM features", O.FEATURES_CTE.replace("FROM tickets WHERE", "FROM (SELECT ticket_created_at, regexp_replace(summary, '[A-Za-z0-9_=-]{32,}|[:=]', ' ', 'g') AS summary, '' AS details FROM tickets) WHERE").strip()
-    )
-)
+_WHOLE_TEXT = "(summary || chr(10) || details)"
+_WITHOUT_SECRETS = O.FEATURES_CTE.replace("FROM tickets WHERE", f"FROM tickets WHERE {O.secrets('lower(' + _WHOLE_TEXT + ')')} = 0 AND").strip()
+
+
+@check(O.with_tickets("SELECT * FROM features", _WITHOUT_SECRETS))
 def guarded_export(spark, sf_dir):
     """Features written through every gate and read back.
 
-    The generated texts hold secrets, which rightly block an export, so the records
-    are stripped of key signs and long tokens first.
+    The generated texts hold secrets, which rightly block an export: records whose whole
+    text holds one are left out, all others go through with their full text.
     """
-    plain = F.regexp_replace("summary", "[A-Za-z0-9_=-]{32,}|[:=]", " ")
-    records = feature_records(spark, sf_dir).select(plain.alias("summary"), F.lit("").alias("details"), "ticket_created_at")
+    records = feature_records(spark, sf_dir)
+    whole = F.lower(F.concat_ws("\n", "summary", "details"))
     path = shared_folder(spark) + ".parquet"
-    export.export_features(records, real_export=True, output_path=path, min_created=BOUNDARY)
+    export.export_features(records.filter(X.count_secrets(whole) == 0), requested=True, path=path, min_created=BOUNDARY)
     return spark.read.parquet(path)
 
 
+@check(
+    O.with_tickets(
+        f"""SELECT 'real_export_blocked' AS mode, 'fail' AS status, 'findings_when_written:false' AS gates, total_source_count, included_count,
+        excluded_historical_outlier_count, excluded_missing_ticket_created_at_count, pii_official_residual_count, secret_scan_count
+        FROM (SELECT {_SCOPE_COUNTS} FROM tickets), (SELECT {_FINDINGS} FROM features)""",
+        O.FEATURES_CTE.strip(),
+    )
+)
+def guarded_export_refused(spark, sf_dir):
+    """The raw records hold secrets: nothing is published, and the refusal says what was found."""
+    path = shared_folder(spark) + ".parquet"
+    try:
+        export.export_features(feature_records(spark, sf_dir), requested=True, path=path, min_created=BOUNDARY)
+    except export.ExportRefused as refused:
+        report = refused.report(spark)
+    if storage.exists(spark, path):
+        raise AssertionError("a refused export was published")
+    gates = F.array_join(F.transform("gates", lambda g: F.concat(g["name"], F.lit(":"), g["passed"].cast("string"))), ",")
+    return report.select("mode", "status", gates.alias("gates"), *(c for c in export.REPORT.fieldNames() if c.endswith("_count") and "column" not in c))
+
+
 @check(
     """SELECT * FROM (VALUES ('id', true, false, false), ('summary', false, false, false), ('title', true, false, false), ('subject', true, false, false),
     ('details', false, false, false), ('body', true, false, false), ('ticket_type', true, false, false), ('agentId', true, false, false),
@@ -670,7 +832,7 @@ def guarded_export(spark, sf_dir):
 def ragged_input_contract(spark, sf_dir):
     """Every member name in the landed payloads, judged by the input contract."""
     names = contract.ragged_columns(pages.unwrap_pages(payloads(spark, sf_dir)))
-    return names.select("column", contract.input_column_flags(F.col("column")).alias("flags")).select("column", "flags.*")
+    return names.select("column", contract.flags(F.col("column")).alias("flags")).select("column", "flags.*")
 
 
 # ---------------------------------------------------------------- life of stored rows

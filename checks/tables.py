@@ -12,28 +12,12 @@ from guichet.session import configure
 #: the generated orders end in 2001
 BOUNDARY = date(1998, 1, 1)
 STAMP = "2026-01-01 00:00:00"
-SPLIT_BYTES = 128 * 1024 * 1024
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def load_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of texts, dealt out over all cores if it comes as a few small files.
-
-    A file with a single row group is read by one task, however long its texts take
-    to match. Fewer files than cores, holding less than one split per core, are
-    cheap to deal out; anything larger is already spread and is left alone.
-    """
-    df = load(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if len(df.inputFiles()) < cores and size < cores * SPLIT_BYTES:
-        return df.repartition(cores)
-    return df
-
-
 _TICKET_COLUMNS = """
     CAST(d.doc_id AS STRING) AS external_ticket_id,
     split_part(d.text, chr(10), 1) AS summary,
@@ -49,14 +33,14 @@ _TICKET_COLUMNS = """
 """
 
 #: the same view as a SQL common table expression
-TICKETS_CTE = f"tickets AS (SELECT {_TICKET_COLUMNS} FROM documents d JOIN orders o ON o.o_orderkey = d.doc_id)"
+TICKETS_CTE = f"tickets AS (SELECT {_TICKET_COLUMNS} FROM documents d LEFT JOIN orders o ON o.o_orderkey = d.doc_id)"
 SCOPE = f"ticket_created_at >= TIMESTAMP '{BOUNDARY} 00:00:00'"
 
 
 def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as tickets, with the dates, status and agent of the order of the same number."""
-    documents = load_spread(spark, sf_dir, "documents").alias("d")
-    joined = documents.join(load(spark, sf_dir, "orders").alias("o"), F.expr("o.o_orderkey = d.doc_id"))
+    documents = load(spark, sf_dir, "documents").alias("d")
+    joined = documents.join(load(spark, sf_dir, "orders").alias("o"), F.expr("o.o_orderkey = d.doc_id"), "left")
     exprs = [c.strip() for c in _TICKET_COLUMNS.strip().split(",\n")]
     return joined.selectExpr(*exprs)
 
@@ -88,7 +72,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     The container, the status and the date field change with the number, and each
     list also holds two items that are not objects.
     """
-    d = load_spread(spark, sf_dir, "documents").alias("d")
+    d = load(spark, sf_dir, "documents").alias("d")
     o = load(spark, sf_dir, "orders").alias("o")
     df = d.join(o, F.expr("o.o_orderkey = d.doc_id"))
     ticket = F.to_json(F.expr(PAYLOAD_SQL), {"ignoreNullFields": "false"})

@@ -1,8 +1,12 @@
-"""Column and report contracts of the feature dataset. Names only; no data is read."""
+"""Column and report contracts of the feature dataset. Names only; no data is read.
+
+A contract is a table of rules; a rule judges one name, given as text or as a column.
+"""
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -18,65 +22,57 @@ class ContractError(ValueError):
 
 
 @dataclass(frozen=True)
-class ContractCheck:
-    """How many columns break each rule."""
-
-    forbidden_column_count: int
-    exact_timestamp_column_count: int
-    raw_text_column_count: int
+class Rule:
+    """Broken by a name that is listed or matches a pattern, unless it is spared; case does not matter.
 
-    @property
-    def is_valid(self) -> bool:
-        return self == ContractCheck(0, 0, 0)
+    Without a list and patterns every name that is not spared breaks it.
+    """
 
-    def __add__(self, other: ContractCheck) -> ContractCheck:
-        return ContractCheck(
-            self.forbidden_column_count + other.forbidden_column_count,
-            self.exact_timestamp_column_count + other.exact_timestamp_column_count,
-            self.raw_text_column_count + other.raw_text_column_count,
-        )
+    spared: tuple[str, ...] = ()
+    listed: tuple[str, ...] = ()
+    patterns: tuple[str, ...] = ()
 
+    def broken_by(self, name: str) -> bool:
+        low = name.lower()
+        if low in self.spared:
+            return False
+        return not (self.listed or self.patterns) or low in self.listed or any(re.search(p, low, re.IGNORECASE) for p in self.patterns)
 
-def _matches(name: str, patterns: Iterable[str]) -> bool:
-    return any(re.search(p, name, re.IGNORECASE) for p in patterns)
+    def flag(self, name: Column) -> Column:
+        low, hit = F.lower(name), F.lit(not (self.listed or self.patterns))
+        if self.listed:
+            hit = hit | low.isin(*self.listed)
+        if self.patterns:
+            hit = hit | low.rlike("(?i)" + "|".join(self.patterns))
+        return hit & ~low.isin(*self.spared) if self.spared else hit
 
 
-def check_input_columns(columns: Iterable[str]) -> ContractCheck:
-    """Records may carry the three raw columns and nothing else; case does not matter."""
-    extra = [c for c in set(columns) if c.lower() not in fv.RAW_INPUT_COLUMNS]
-    return ContractCheck(
-        len(extra),
-        sum(_matches(c, fv.EXACT_TIMESTAMP_PATTERNS) for c in extra),
-        sum(c.lower() in fv.RAW_TEXT_COLUMNS for c in extra),
-    )
+_RAW, _DATED, _TEXTS = tuple(fv.RAW_INPUT_COLUMNS), tuple(fv.EXACT_TIMESTAMP_PATTERNS), tuple(fv.RAW_TEXT_COLUMNS)
+#: records carry the three raw columns and nothing else
+INPUT = {"forbidden": Rule(spared=_RAW), "exact_timestamp": Rule(spared=_RAW, patterns=_DATED), "raw_text": Rule(spared=_RAW, listed=_TEXTS)}
+#: features are allowlisted names, with no date, raw text or identifier among them
+OUTPUT = {"forbidden": Rule(spared=tuple(fv.FEATURE_COLUMNS)), "exact_timestamp": Rule(patterns=_DATED), "raw_text": Rule(listed=_TEXTS)}
 
 
-def _is_denied(column: str) -> bool:
-    name = column.lower()
-    return name not in fv.FEATURE_COLUMNS and (
-        name in fv.DENIED_FEATURE_COLUMNS or _matches(name, fv.DENIED_FEATURE_PATTERNS)
-    )
+def breaches(columns: Iterable[str], rules: Mapping[str, Rule]) -> Counter[str]:
+    """How many different columns break each rule; rules that none breaks are not in it."""
+    return Counter(name for c in set(columns) for name, rule in rules.items() if rule.broken_by(c))
 
 
-def check_feature_columns(columns: Iterable[str]) -> ContractCheck:
-    """Features are exactly allowlisted names, with no dates, raw text or identifiers among them."""
-    names = set(columns)
-    return ContractCheck(
-        sum(c not in fv.FEATURE_COLUMNS or _is_denied(c) for c in names),
-        sum(_matches(c, fv.EXACT_TIMESTAMP_PATTERNS) for c in names),
-        sum(c.lower() in fv.RAW_TEXT_COLUMNS for c in names),
-    )
+def flags(name: Column, rules: Mapping[str, Rule] = INPUT) -> Column:
+    """The rules on a column of names, as a struct of flags."""
+    return F.struct(*(rule.flag(name).alias(n) for n, rule in rules.items()))
 
 
 def matches_feature_schema(features: DataFrame) -> bool:
     return same_columns(features, FEATURES)
 
 
-def assert_report_keys(report: Mapping[str, object] | DataFrame, allowed: Iterable[str] = fv.DRY_RUN_REPORT_KEYS) -> None:
+def assert_report_keys(names: Iterable[str], allowed: Iterable[str] = fv.DRY_RUN_REPORT_KEYS) -> None:
     """Refuse report fields outside the allowlist."""
-    names = report.columns if isinstance(report, DataFrame) else report
-    if set(names) - set(allowed):
-        raise ContractError("Unsafe report fields detected")
+    extra = sorted(set(names) - set(allowed))
+    if extra:
+        raise ContractError(f"{len(extra)} report fields are not on the list")
 
 
 def ragged_columns(payloads: DataFrame, column: str = "payload") -> DataFrame:
@@ -86,15 +82,3 @@ def ragged_columns(payloads: DataFrame, column: str = "payload") -> DataFrame:
     """
     members = F.map_keys(F.variant_get(F.col(column), "$", "map<string,variant>"))
     return payloads.select(F.explode(members).alias("column")).distinct()
-
-
-def input_column_flags(name: Column) -> Column:
-    """The input contract as flags on a column of names: forbidden, exact timestamp, raw text."""
-    lower = F.lower(name)
-    extra = ~lower.isin(*fv.RAW_INPUT_COLUMNS)
-    dated = lower.rlike("|".join(fv.EXACT_TIMESTAMP_PATTERNS))
-    return F.struct(
-        extra.alias("forbidden"),
-        (extra & dated).alias("exact_timestamp"),
-        (extra & lower.isin(*fv.RAW_TEXT_COLUMNS)).alias("raw_text"),
-    )

@@ -31,7 +31,7 @@ def safe_rate(count: Column, total: Column) -> Column:
 
 def _require(column: str, allowed: Iterable[str], what: str) -> None:
     if column not in allowed:
-        raise ValueError(f"Column is not approved for {what}")
+        raise ValueError(f"{column} is not open to {what}; these are: {', '.join(allowed)}")
 
 
 # ---------------------------------------------------------------- counts
@@ -77,7 +77,7 @@ def rank_counts(counts: DataFrame, *by: str) -> DataFrame:
 
 def distribution(tickets: DataFrame, column: str, min_created: date = _DEFAULT) -> DataFrame:
     """(bucket_rank, ticket_count) of the trimmed, non-blank values of one controlled column."""
-    _require(column, fv.DISTRIBUTION_COLUMNS, "aggregate distribution")
+    _require(column, fv.DISTRIBUTION_COLUMNS, "distributions")
     values = in_scope(tickets, min_created).select(X.blank_to_null(F.col(column)).alias("value"))
     return rank_counts(values.filter(F.col("value").isNotNull()).groupBy("value").agg(F.count(F.lit(1)).alias("n")))
 
@@ -137,17 +137,20 @@ def length_summary(length: Column, n: Column, blank: Column) -> list[Column]:
     ]
 
 
-def text_quality(tickets: DataFrame, column: str, min_created: date = _DEFAULT) -> DataFrame:
-    """One row: length minimum, mean, maximum and exact percentiles, and the rate of blank texts.
+def text_quality(tickets: DataFrame, *columns: str, min_created: date = _DEFAULT) -> DataFrame:
+    """(field, lengths, empty_rate) per text column: minimum, mean, maximum and exact percentiles.
 
-    The percentiles interpolate between lengths, and are taken from the number of
-    texts per length, which is small however many texts there are.
+    All columns are read in one pass. The percentiles interpolate between lengths, and are
+    taken from the number of texts per length, which is small however many texts there are.
     """
-    _require(column, fv.TEXT_FIELDS, "internal aggregate scanning")
-    text = F.col(column)
-    lengths = in_scope(tickets, min_created).select(F.char_length(text).alias("length"), (F.trim(text) == "").alias("blank"))
-    per_length = lengths.groupBy("length").agg(F.count(F.lit(1)).alias("n"), F.count_if("blank").alias("blank"))
-    return per_length.agg(*length_summary(F.col("length"), F.col("n"), F.col("blank")))
+    for column in columns:
+        _require(column, fv.TEXT_FIELDS, "text scans")
+    entry = [F.struct(F.lit(c).alias("field"), F.char_length(c).alias("length"), (F.trim(c) == "").alias("blank")) for c in columns]
+    lengths = in_scope(tickets, min_created).select(F.inline(F.array(*entry)))
+    per_length = lengths.groupBy("field", "length").agg(F.count(F.lit(1)).alias("n"), F.count_if("blank").alias("blank"))
+    listed = tickets.sparkSession.createDataFrame([(c,) for c in columns], "field string")
+    found = per_length.groupBy("field").agg(*length_summary(F.col("length"), F.col("n"), F.col("blank")))
+    return listed.join(F.broadcast(found), "field", "left").na.fill(0)
 
 
 def untitled_rate(tickets: DataFrame, min_created: date = _DEFAULT) -> DataFrame:
@@ -198,7 +201,7 @@ def temporal_fields(tickets: DataFrame, min_created: date = _DEFAULT, columns: I
     """(field, min_at, max_at, populated_count, null_count, missing_count) per date column, in one pass."""
     columns = tuple(columns)
     for column in columns:
-        _require(column, fv.TEMPORAL_COLUMNS, "temporal metrics")
+        _require(column, fv.TEMPORAL_COLUMNS, "date counts")
     one_row = in_scope(tickets, min_created).agg(F.array(*(_field_aggregates(c) for c in columns)).alias("fields"))
     return one_row.select(F.inline("fields"))
 
@@ -206,7 +209,7 @@ def temporal_fields(tickets: DataFrame, min_created: date = _DEFAULT, columns: I
 def created_buckets(tickets: DataFrame, granularity: str, min_created: date = _DEFAULT) -> DataFrame:
     """(period, ticket_count) per month or year of creation; periods without tickets are left out."""
     if granularity not in fv.BUCKET_FORMATS:
-        raise ValueError("Unsupported ticket_created_at bucket granularity")
+        raise ValueError(f"No buckets by {granularity}; there are: {', '.join(fv.BUCKET_FORMATS)}")
     starts = in_scope(tickets, min_created).select(F.trunc(CREATED, granularity).alias("bucket_start"))
     counts = starts.groupBy("bucket_start").agg(F.count(F.lit(1)).alias("ticket_count"))
     period = F.date_format("bucket_start", fv.BUCKET_FORMATS[granularity])

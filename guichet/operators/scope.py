@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from guichet import fixed_values as fv
@@ -45,12 +45,21 @@ def records_in_scope(records: DataFrame, min_created: date = fv.MIN_TICKET_CREAT
 
 def scope_counts(records: DataFrame, min_created: date = fv.MIN_TICKET_CREATED_AT) -> DataFrame:
     """One row: total, included, historical and undated records, and the boundary."""
-    day = created_day(records)
-    bound = F.lit(min_created)
-    return records.select(day.alias("day")).agg(
+    counters = _scope_counters(min_created)
+    return records.select(created_day(records).alias("_day")).agg(*counters, F.lit(min_created.isoformat()).alias("applied_min_ticket_created_at"))
+
+
+def _scope_counters(min_created: date) -> list[Column]:
+    day, bound = F.col("_day"), F.lit(min_created)
+    return [
         F.count(F.lit(1)).alias("total_source_count"),
-        F.count_if(F.col("day") >= bound).alias("included_count"),
-        F.count_if(F.col("day") < bound).alias("excluded_historical_outlier_count"),
-        F.count_if(F.col("day").isNull()).alias("excluded_missing_ticket_created_at_count"),
-        F.lit(min_created.isoformat()).alias("applied_min_ticket_created_at"),
-    )
+        F.count_if(day >= bound).alias("included_count"),
+        F.count_if(day < bound).alias("excluded_historical_outlier_count"),
+        F.count_if(day.isNull()).alias("excluded_missing_ticket_created_at_count"),
+    ]
+
+
+def observe_scope(records: DataFrame, min_created: date = fv.MIN_TICKET_CREATED_AT) -> tuple[DataFrame, Observation]:
+    """The same records, with :func:`scope_counts` collected while they are worked on."""
+    seen = Observation()
+    return records.withColumn("_day", created_day(records)).observe(seen, *_scope_counters(min_created)).drop("_day"), seen

@@ -33,17 +33,17 @@ def dry_run_report(
     them, and both meet as two one-row results in a final aggregation.
     """
     features = build_features(records, min_created)
-    columns = contract.check_input_columns(records.columns) + contract.check_feature_columns(planned_columns())
+    broken = contract.breaches(records.columns, contract.INPUT) + contract.breaches(planned_columns(), contract.OUTPUT)
     both = scope_counts(records, min_created).unionByName(feats.feature_metrics(features), allowMissingColumns=True)
     names = [c for c in both.columns if c != "applied_min_ticket_created_at"]
     row = both.agg(*(F.max(c).alias(c) for c in names))
 
     passed = {
-        "no_forbidden_columns": F.lit(columns.forbidden_column_count == 0),
+        "no_forbidden_columns": F.lit(not broken["forbidden"]),
         "no_residual_pii": F.col("pii_official_residual_count") == 0,
         "no_detected_secrets": F.col("secret_scan_count") == 0,
-        "no_exact_timestamps": F.lit(columns.exact_timestamp_column_count == 0),
-        "no_raw_text_columns": F.lit(columns.raw_text_column_count == 0),
+        "no_exact_timestamps": F.lit(not broken["exact_timestamp"]),
+        "no_raw_text_columns": F.lit(not broken["raw_text"]),
         "feature_rows_match_allowlist": F.lit(contract.matches_feature_schema(features)),
         "no_dataset_output_path": F.lit(not output_path_attempted),
     }
@@ -56,10 +56,10 @@ def dry_run_report(
         "status": status,
         "scope_min_ticket_created_at": F.lit(min_created.isoformat()),
         "planned_dataset_columns": F.array(*(F.lit(c) for c in planned_columns())),
-        "forbidden_column_count": F.lit(columns.forbidden_column_count).cast("bigint"),
-        "exact_timestamp_column_count": F.lit(columns.exact_timestamp_column_count).cast("bigint"),
-        "raw_text_column_count": F.lit(columns.raw_text_column_count).cast("bigint"),
+        "forbidden_column_count": F.lit(broken["forbidden"]).cast("bigint"),
+        "exact_timestamp_column_count": F.lit(broken["exact_timestamp"]).cast("bigint"),
+        "raw_text_column_count": F.lit(broken["raw_text"]).cast("bigint"),
     }
     report = row.select(*(fixed.get(k, F.col(k)).alias(k) for k in fv.DRY_RUN_REPORT_KEYS))
-    contract.assert_report_keys(report)
+    contract.assert_report_keys(report.columns)
     return report

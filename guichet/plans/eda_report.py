@@ -1,5 +1,7 @@
 """The quality report: every metric of :mod:`guichet.operators.eda` from one scan of the texts.
 
+The counters of the whole table come from a second scan, of the creation date alone.
+
 Rows are flagged once, then counted under several grouping sets at a time (the
 whole, each controlled column, each period, each text length). What comes back is
 a few rows per distinct value, from which one small aggregation builds the report.
@@ -8,6 +10,7 @@ a few rows per distinct value, from which one small aggregation builds the repor
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from datetime import date
 from functools import reduce
 from operator import or_
@@ -15,6 +18,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from guichet import fixed_values as fv
 from guichet.functions import text as X
@@ -94,23 +98,30 @@ def _scope_row(tickets: DataFrame, min_created: date) -> DataFrame:
     )
 
 
-def _runs(c: str, max_buckets: int) -> tuple[Column, Column]:
-    """Number of distinct values of a controlled column, and (count, values with it), largest first."""
-    mine = F.when(F.col("section") == c, F.struct("slot", "values"))
-    distinct = F.coalesce(F.sum(mine["values"]), F.lit(0))
-    message = f"More than {max_buckets} distinct values in {c}; use distributions() instead of the report"
-    checked = F.when(distinct <= max_buckets, F.sort_array(F.collect_list(mine), asc=False))
-    return distinct, checked.otherwise(F.raise_error(F.lit(message)))
+def _with_ranks(counted: DataFrame) -> DataFrame:
+    """Adds ``rank``: how many values of a controlled column have at least this count.
+
+    There are as many rows as different counts, which add up to the number of tickets:
+    at most the square root of twice that number.
+    """
+    at_least = F.sum("values").over(Window.partitionBy("section").orderBy(F.col("slot").desc()))
+    return counted.withColumn("rank", F.when(F.col("section").isin(*fv.DISTRIBUTION_COLUMNS), at_least))
+
+
+def _runs(c: str) -> tuple[Column, Column]:
+    """Number of distinct values of a controlled column, and the ranks that share a count, first ones first."""
+    mine = F.col("section") == c
+    run = F.struct((F.col("rank") - F.col("values") + 1).alias("first_rank"), F.col("rank").alias("last_rank"), F.col("slot").alias("count"))
+    return F.coalesce(F.sum(F.when(mine, F.col("values"))), F.lit(0)), F.sort_array(F.collect_list(F.when(mine, run)))
 
 
 def _distribution(c: str) -> Column:
-    counts = F.flatten(F.transform(f"{c}_runs", lambda r: F.array_repeat(r["slot"], r["values"].cast("int"))))
     return F.struct(
         F.col(f"{c}_distinct").alias("distinct_count"),
         F.col(f"{c}_distinct").alias("non_null_distinct_count"),
         F.col(f"{c}_null").alias("null_count"),
         F.col(f"{c}_blank").alias("missing_count"),
-        F.transform(counts, lambda n, i: F.struct((i + 1).cast("bigint").alias("rank"), n.alias("count"))).alias("buckets"),
+        F.col(f"{c}_runs").alias("buckets"),
     )
 
 
@@ -164,24 +175,24 @@ def _placeholder(i: int, label: str) -> Column:
     return F.struct(F.lit(label).alias("placeholder"), n.alias("rows_with_placeholder"), rate.alias("rate"))
 
 
-def build_report(tickets: DataFrame, min_created: date = fv.MIN_TICKET_CREATED_AT, max_buckets: int = 1_000_000) -> DataFrame:
-    """The whole report as one nested row.
+def build_report(tickets: DataFrame, min_created: date = fv.MIN_TICKET_CREATED_AT) -> DataFrame:
+    """The whole report as one nested row, checked for leaks.
 
-    A controlled column with more than ``max_buckets`` distinct values would not
-    fit in a report and raises; :func:`guichet.operators.eda.distributions` has no
-    such bound.
+    The buckets of a controlled column are runs of ranks with the same count, so that a
+    column with very many values fits; :func:`guichet.operators.eda.distributions` spells
+    them out.
     """
-    counted = _counted(_flagged(tickets, min_created))
+    counted = _with_ranks(_counted(_flagged(tickets, min_created)))
     rows = counted.unionByName(_scope_row(tickets, min_created), allowMissingColumns=True)
 
-    numbers = [f.name for f in counted.schema if f.dataType == T.LongType() and f.name not in ("slot", "values", "n")]
+    numbers = [f.name for f in counted.schema if f.dataType == T.LongType() and f.name not in ("slot", "values", "n", "rank")]
     zero = F.lit(0).cast("bigint")
     flat = [F.coalesce(F.max(name), zero).alias(name) for name in [*numbers, "historical", "undated"]]
     flat += [end(f"{c}_{name}").alias(f"{c}_{name}") for c in fv.TEMPORAL_COLUMNS for name, end in _ENDS.items()]
     for name, section in (("total", "all"), ("source", "scope")):
         flat.append(F.coalesce(F.max(F.when(F.col("section") == section, F.col("n"))), zero).alias(name))
     for c in fv.DISTRIBUTION_COLUMNS:
-        distinct, runs = _runs(c, max_buckets)
+        distinct, runs = _runs(c)
         flat += [distinct.alias(f"{c}_distinct"), runs.alias(f"{c}_runs")]
     flat += [_length(f).alias(f"{f}_lengths") for f in fv.TEXT_FIELDS]
     flat += [_buckets(g).alias(f"by_{g}") for g in fv.BUCKET_FORMATS]
@@ -190,7 +201,7 @@ def build_report(tickets: DataFrame, min_created: date = fv.MIN_TICKET_CREATED_A
     categories = F.array(
         *(F.struct(F.lit(n).alias("category"), F.col(f"pii_{n}").alias("rows_with_residual")) for n in sorted(JAVA_PII))
     )
-    return rows.agg(*flat).select(
+    report = rows.agg(*flat).select(
         total.alias("total_tickets"),
         F.col("source").alias("total_source_count"),
         total.alias("included_count"),
@@ -215,29 +226,38 @@ def build_report(tickets: DataFrame, min_created: date = fv.MIN_TICKET_CREATED_A
         ).alias("pii_scan"),
         F.array(*(_complete(c) for c in fv.DISTRIBUTION_COLUMNS + fv.TEMPORAL_COLUMNS)).alias("completeness"),
     )
+    return _without_leaks(report)
 
 
 # ---------------------------------------------------------------- leak check and output
 
 
-def assert_no_leak(value: object) -> None:
-    """Refuse a report, at any depth, with a forbidden key or a text that holds a forbidden marker."""
-    if isinstance(value, dict):
-        if any(str(key).lower() in fv.FORBIDDEN_OUTPUT_KEYS for key in value):
-            raise LeakError("Forbidden output key detected in aggregate report")
-        value = list(value.values())
-    if isinstance(value, (list, tuple)):
-        for item in value:
-            assert_no_leak(item)
-    elif isinstance(value, str) and any(marker in value.lower() for marker in fv.FORBIDDEN_OUTPUT_TOKENS):
-        raise LeakError("Forbidden output value marker detected in aggregate report")
+def _names(kind: T.DataType) -> Iterator[str]:
+    if isinstance(kind, T.ArrayType):
+        yield from _names(kind.elementType)
+    elif isinstance(kind, T.MapType):
+        yield from _names(kind.valueType)
+    elif isinstance(kind, T.StructType):
+        for f in kind:
+            yield f.name
+            yield from _names(f.dataType)
+
+
+def _without_leaks(report: DataFrame) -> DataFrame:
+    """Refuses forbidden names in the schema now, and rows with a forbidden marker in any text when they are computed."""
+    named = sorted({n for n in _names(report.schema) if n.lower() in fv.FORBIDDEN_OUTPUT_KEYS})
+    if named:
+        raise LeakError(f"These names may not be in a report: {', '.join(named)}")
+    first, *rest = report.columns
+    text = F.lower(F.to_json(F.struct(*report.columns)))
+    marked = reduce(or_, (F.contains(text, F.lit(m)) for m in fv.FORBIDDEN_OUTPUT_TOKENS))
+    checked = F.when(marked, F.raise_error(F.lit("A report text holds a marker that must stay inside"))).otherwise(F.col(first))
+    return report.select(checked.cast(report.schema[first].dataType).alias(first), *rest)
 
 
 def collect_report(report: DataFrame) -> dict:
-    """The one row of a report as a checked dictionary."""
-    value = report.first().asDict(recursive=True)
-    assert_no_leak(value)
-    return value
+    """The one row of a report as a dictionary."""
+    return report.first().asDict(recursive=True)
 
 
 def report_json(value: dict) -> str:

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from dataclasses import dataclass
-from pathlib import Path
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
 from guichet import fixed_values as fv
 
-DIRECTORY_MODE = "700"
-FILE_MODE = "600"
+#: for the files, on file systems that take it per write
 UMASK = "077"
 
 
@@ -53,14 +53,12 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise StorageError("The finished folder could not be moved into place")
 
 
-def restrict(spark: SparkSession, path: str) -> None:
-    """Owner-only access to a folder and the files in it."""
+def private_folder(spark: SparkSession, path: str) -> None:
+    """A new, empty folder that only its owner can enter; what is written into it is out of reach for others."""
     fs, target = _file_system(spark, path)
-    permission = spark._jvm.org.apache.hadoop.fs.permission.FsPermission
-    fs.setPermission(target, permission(DIRECTORY_MODE))
-    files = fs.listFiles(target, True)
-    while files.hasNext():
-        fs.setPermission(files.next().getPath(), permission(FILE_MODE))
+    fs.delete(target, True)
+    fs.mkdirs(target)
+    fs.setPermission(target, spark._jvm.org.apache.hadoop.fs.permission.FsPermission("700"))
 
 
 @dataclass(frozen=True)
@@ -75,24 +73,22 @@ class ExportTarget:
         return f"{parent}/.{name}.tmp"
 
 
-def check_export_path(path: str | Path, repo_root: str | Path | None = None) -> ExportTarget:
-    """Exports are Parquet and stay out of this repository and of any Git work tree.
+def check_export_path(path: str) -> ExportTarget:
+    """The destination of an export: a Parquet folder that no Git work tree, this one included, can pick up.
 
-    Paths with a scheme other than ``file`` cannot be in a work tree.
+    A path of another file system than the local one is in no work tree.
     """
-    text = str(path)
-    if not text.lower().endswith(fv.EXPORT_EXTENSION):
-        raise StorageError("Export path must use the .parquet extension.")
-    scheme, separator, rest = text.partition("://")
-    if separator and scheme != "file":
-        return ExportTarget(text)
-    local = Path(rest if separator else text.removeprefix("file:")).expanduser().resolve()
-    root = Path(repo_root) if repo_root else Path(__file__).parents[2]
-    if local.is_relative_to(root.resolve()):
-        raise StorageError("Export path must be outside the repository.")
-    if any((parent / ".git").exists() for parent in (local, *local.parents)):
-        raise StorageError("Export path must be outside any Git workspace.")
-    return ExportTarget(str(local))
+    if not path.lower().endswith(fv.EXPORT_EXTENSION):
+        raise StorageError(f"{fv.EXPORT_EXTENSION} is the only kind of export there is")
+    place = urlsplit(path)
+    if place.scheme not in ("", "file"):
+        return ExportTarget(path)
+    local = os.path.realpath(os.path.expanduser(place.path))
+    above = local
+    while (above := os.path.dirname(above)) != os.path.dirname(above):
+        if os.path.lexists(os.path.join(above, ".git")):
+            raise StorageError(f"Exports stay out of version control, and {above} is under it")
+    return ExportTarget(local)
 
 
 def write_guarded(df: DataFrame, target: ExportTarget, gate: Callable[[], None] = lambda: None) -> None:
@@ -103,9 +99,9 @@ def write_guarded(df: DataFrame, target: ExportTarget, gate: Callable[[], None]
     """
     spark = df.sparkSession
     try:
-        df.write.mode("overwrite").option("fs.permissions.umask-mode", UMASK).parquet(target.staging)
+        private_folder(spark, target.staging)
+        df.write.mode("append").option("fs.permissions.umask-mode", UMASK).parquet(target.staging)
         gate()
-        restrict(spark, target.staging)
         move(spark, target.staging, target.path)
     except Exception:
         purge(spark, target.staging)

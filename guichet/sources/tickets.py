@@ -53,33 +53,21 @@ def text_pairs(tickets: DataFrame, min_created: date = fv.MIN_TICKET_CREATED_AT)
     )
 
 
+def page_after_key(df: DataFrame, key: str, page_size: int, after: object = None) -> DataFrame:
+    """The next rows by a unique key after the last one seen; the first page without one.
+
+    The key is filtered in the scan and each task keeps one page, however deep the page is.
+    """
+    if page_size < 1:
+        raise ValueError("page_size must be at least 1")
+    rest = df if after is None else df.filter(F.col(key) > F.lit(after))
+    return rest.orderBy(key).limit(page_size)
+
+
 def synthetic_tickets(spark: SparkSession) -> DataFrame:
     """Two made-up tickets for trying out an ingest."""
-    # FIXED VALUES: the demo rows
     rows = [
-        (
-            "syn-001",
-            "Password reset workflow unavailable",
-            "Synthetic user cannot complete the password reset flow.",
-            "open",
-            "medium",
-            "identity_access",
-            "synthetic-agent-001",
-            None,
-            None,
-            None,
-        ),
-        (
-            "syn-002",
-            "VPN connection intermittently fails",
-            "Synthetic endpoint reports intermittent VPN tunnel drops.",
-            "open",
-            "low",
-            "network",
-            "synthetic-agent-002",
-            None,
-            None,
-            None,
-        ),
+        ("demo-1", "Scanner in the mail room jams", "Every third envelope stays in the tray.", "open", "low", "hardware", "demo-agent-7"),
+        ("demo-2", "Shared calendar shows no rooms", "The list is empty since the update.", "waiting", "high", "office", "demo-agent-8"),
     ]
-    return spark.createDataFrame(rows, INCOMING)
+    return spark.createDataFrame([(*r, None, None, None) for r in rows], INCOMING)

@@ -5,6 +5,7 @@ import os
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from guichet import fixed_values as fv
 from guichet.operators import contract as C
@@ -74,7 +75,8 @@ def test_feature_text_follows_python(spark):
         out, cursor = "", 0
         for a, b, name in hits:
             if a >= cursor:
-                out, cursor = out + base[cursor:a] + fv.PII_REPLACEMENTS[name], b
+                out += base[cursor:a] + fv.PII_REPLACEMENTS[name]
+            cursor = max(cursor, b)
         text = out + base[cursor:] if hits else once
         return " ".join(text.lower().split())[:512]
 
@@ -97,17 +99,20 @@ def test_calendar(spark, day, features):
 
 @pytest.mark.parametrize("column", "external_ticket_id agent_id_pseudonym payload foo_id session_uuid created_at priority category raw_text cleaned_text".split())
 def test_extra_input_column_is_forbidden(column):
-    check = C.check_input_columns([*fv.RAW_INPUT_COLUMNS, column])
-    assert not check.is_valid and check.forbidden_column_count == 1
-    assert not C.check_feature_columns([*fv.FEATURE_COLUMNS, column]).is_valid
+    assert C.breaches([*fv.RAW_INPUT_COLUMNS, column], C.INPUT)["forbidden"] == 1
+    assert C.breaches([*fv.FEATURE_COLUMNS, column], C.OUTPUT)["forbidden"] == 1
 
 
-def test_column_contracts():
-    assert C.check_input_columns(fv.RAW_INPUT_COLUMNS).is_valid
-    assert C.check_feature_columns(fv.FEATURE_COLUMNS).is_valid
-    assert C.check_feature_columns([*fv.FEATURE_COLUMNS, "ticket_created_at"]) == C.ContractCheck(1, 1, 0)
+def test_column_contracts(spark):
+    assert not C.breaches([c.upper() for c in fv.RAW_INPUT_COLUMNS], C.INPUT)
+    assert not C.breaches(fv.FEATURE_COLUMNS, C.OUTPUT)
+    assert C.breaches([*fv.FEATURE_COLUMNS, "ticket_created_at"], C.OUTPUT) == {"forbidden": 1, "exact_timestamp": 1}
     with pytest.raises(C.ContractError):
         C.assert_report_keys({"status": "pass", "summary": "text"})
+    names = ["summary", "Created_At", "raw_text", "x", "CLEANED_TEXT", "date", "created_month"]
+    for rules in (C.INPUT, C.OUTPUT):
+        flags = spark.createDataFrame([(n,) for n in names], "n string").select("n", C.flags(F.col("n"), rules).alias("f")).collect()
+        assert {r.n: r.f.asDict() for r in flags} == {n: {k: rule.broken_by(n) for k, rule in rules.items()} for n in names}
 
 
 def gates(report):
@@ -136,46 +141,49 @@ ROW = ("Synthetic row marker alpha", "Synthetic row marker beta", "2025-01-15T09
 
 def test_export_writes_checked_folder(spark, tmp_path):
     target = tmp_path / "deep" / "ok.parquet"
-    report = E.export_features(records(spark, ROW, ("old", "x", "2020-01-01")), real_export=True, output_path=target)
+    report = one(E.export_features(records(spark, ROW, ("old", "x", "2020-01-01"), ("none", "x", None)), requested=True, path=str(target)))
     assert tuple(report) == fv.EXPORT_REPORT_KEYS
-    assert (report["status"], report["output_extension"]) == ("pass", ".parquet")
-    assert (report["total_source_count"], report["included_count"], report["excluded_historical_outlier_count"]) == (2, 1, 1)
+    assert (report["status"], report["output_extension"], len(report["gates"])) == ("pass", ".parquet", 4)
+    assert [report[k] for k in list(report)[4:8]] == [3, 1, 1, 1]
     assert "marker" not in json.dumps(report)
     assert spark.read.parquet(str(target)).count() == 1
     assert os.stat(target).st_mode & 0o777 == 0o700
-    assert all(os.stat(target / f).st_mode & 0o777 == 0o600 for f in os.listdir(target) if f.endswith(".parquet"))
     assert os.listdir(tmp_path / "deep") == ["ok.parquet"] or not any(f.endswith(".tmp") for f in os.listdir(tmp_path / "deep"))
 
 
 def test_export_refusals(spark, tmp_path):
-    rows, path = records(spark, ROW), tmp_path / "no.parquet"
-    with pytest.raises(E.ExportError, match="explicit --real-export flag"):
-        E.export_features(rows, output_path=path)
-    with pytest.raises(E.ExportError, match="output path"):
-        E.export_features(rows, real_export=True)
-    with pytest.raises(E.ExportError, match="TTL"):
-        E.export_features(rows, real_export=True, output_path=path, ttl_hours=0)
-    with pytest.raises(storage.StorageError, match="extension"):
-        E.export_features(rows, real_export=True, output_path=tmp_path / "no.csv")
-    with pytest.raises(storage.StorageError, match="outside the repository"):
-        E.export_features(rows, real_export=True, output_path=os.path.join(os.path.dirname(E.__file__), "no.parquet"))
-    (tmp_path / "work" / ".git").mkdir(parents=True)
-    with pytest.raises(storage.StorageError, match="Git workspace"):
-        storage.check_export_path(tmp_path / "work" / "sub" / "no.parquet")
-    with pytest.raises(E.ExportError, match="Contract"):
-        E.export_features(rows.withColumnRenamed("details", "raw_text"), real_export=True, output_path=path)
-    with pytest.raises(E.ExportError, match="Pre-export"):
-        E.export_features(records(spark, ("x", "token: y", "2025-01-01")), real_export=True, output_path=path)
-    with pytest.raises(E.ExportError, match="Post-write"):
-        E.export_features(rows, real_export=True, output_path=path, scanner=lambda s, p: E.ScanResult(1, 0))
+    rows, path = records(spark, ROW), str(tmp_path / "no.parquet")
+    ask = {"requested": True, "path": path}
+    cases = [
+        ("not_requested", rows, {"path": path}),
+        ("no_destination", rows, {"requested": True}),
+        ("no_lifetime", rows, ask | {"ttl_hours": 0}),
+        ("columns", rows.withColumnRenamed("details", "raw_text"), ask),
+        ("findings_when_written", records(spark, ("x", "token: y", "2025-01-01")), ask),
+        ("findings_when_written", records(spark, ("x", "-----BEGIN RSA PRIVATE KEY-----", "2025-01-01")), ask),
+        ("findings_when_read_back", rows, ask | {"read_back": lambda s, p: {"pii_official_residual_count": 1, "secret_scan_count": 0}}),
+    ]
+    for code, df, options in cases:
+        with pytest.raises(E.ExportRefused) as refused:
+            E.export_features(df, **options)
+        assert refused.value.code == code
+        report = one(refused.value.report(spark))
+        assert tuple(report) == fv.EXPORT_REPORT_KEYS and gates(report) == {code: False}
+        assert (report["status"], report["mode"], report["expires_at_utc"]) == ("fail", "real_export_blocked", None)
+        assert (report["pii_official_residual_count"] + report["secret_scan_count"] > 0) == code.startswith("findings")
     assert not [f for f in os.listdir(tmp_path) if "no.parquet" in f]
-    assert storage.purge(spark, str(path)) is False
+    assert storage.purge(spark, path) is False
 
 
-def test_blocked_report():
-    report = E.blocked_report("source_provider_not_configured")
-    assert report["gates"] == ({"name": "source_provider_not_configured", "passed": False},)
-    assert (report["status"], report["expires_at_utc"]) == ("fail", None)
-    assert E.block_reason(storage.StorageError()) == "storage_guard_failed"
-    assert E.block_reason(E.ExportError()) == "secure_export_guard_failed"
-    assert E.block_reason(OSError()) == "secure_export_unavailable"
+def test_export_paths(tmp_path):
+    (tmp_path / "work" / ".git").mkdir(parents=True)
+    (tmp_path / "work" / "sub").mkdir()
+    (tmp_path / "link").symlink_to(tmp_path / "work" / "sub")
+    inside = os.path.join(os.path.dirname(E.__file__), "no.parquet")
+    for bad in (str(tmp_path / "no.csv"), inside, f"file://{inside}", f"{tmp_path}/work/sub/a/no.parquet", f"{tmp_path}/link/no.parquet"):
+        if not os.path.isdir(os.path.join(os.path.dirname(E.__file__), "..", "..", ".git")) and "guichet" in bad:
+            continue
+        with pytest.raises(storage.StorageError):
+            storage.check_export_path(bad)
+    assert storage.check_export_path("hdfs://name/x/y.PARQUET").path == "hdfs://name/x/y.PARQUET"
+    assert storage.check_export_path(f"{tmp_path}/a/b.parquet").staging == f"{tmp_path}/a/.b.parquet.tmp"

@@ -192,7 +192,7 @@ def test_constraints(spark):
 
 def test_sources(spark, tmp_path):
     demo = tickets.synthetic_tickets(spark)
-    assert [r.external_ticket_id for r in demo.orderBy("external_ticket_id").collect()] == ["syn-001", "syn-002"]
+    assert [r.external_ticket_id for r in demo.orderBy("external_ticket_id").collect()] == ["demo-1", "demo-2"]
     clean = I.guard(demo)
     for _ in range(2):
         tickets.append_tickets(clean, str(tmp_path / "a"))
@@ -204,6 +204,12 @@ def test_sources(spark, tmp_path):
     assert [r.n for r in page.collect()] == [8, 9]
     with pytest.raises(ValueError):
         tickets.page_slice(demo, ["external_ticket_id"], 0)
+    numbers, seen, last = spark.range(10).toDF("n"), [], None
+    while page := [r.n for r in tickets.page_after_key(numbers, "n", 4, last).collect()]:
+        seen, last = seen + page, page[-1]
+    assert seen == list(range(10))
+    with pytest.raises(ValueError):
+        tickets.page_after_key(numbers, "n", 0)
 
 
 def test_masking_settles(evaluate):
