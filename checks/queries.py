@@ -664,9 +664,9 @@ _FOLD = f"""b AS ({_BATCH_SQL}), e AS ({_EXISTING_SQL}),
 
 def _merge_inputs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Customers as the table and every order as a batch: many rows per key, a fifth of them new keys."""
-    for name in ("customer", "orders"):
-        load(spark, sf_dir, name).createOrReplaceTempView(name)
-    return spark.sql(_EXISTING_SQL).select(*STORED.fieldNames()), spark.sql(_BATCH_SQL).select("seq", *CLEAN.fieldNames())
+    existing = spark.sql(_EXISTING_SQL.replace("FROM customer", "FROM {customer}"), customer=load(spark, sf_dir, "customer"))
+    batch = spark.sql(_BATCH_SQL.replace("FROM orders", "FROM {orders}"), orders=load(spark, sf_dir, "orders"))
+    return existing.select(*STORED.fieldNames()), batch.select("seq", *CLEAN.fieldNames())
 
 
 @check(
@@ -683,6 +683,28 @@ def keyed_merge(spark, sf_dir):
     return _texts_of_dates(merge.merge(existing, batch, datetime.fromisoformat(STAMP)))
 
 
+@check(
+    f"""WITH {_FOLD}, n AS (SELECT k NOT IN (SELECT external_ticket_id FROM e) AS fresh FROM f)
+    SELECT coalesce(e.external_ticket_id, f.k) AS external_ticket_id, coalesce(e.summary, f.summary) AS summary,
+    coalesce(e.details, f.details) AS details, CASE WHEN f.k IS NULL THEN e.priority ELSE f.priority END AS priority,
+    CASE WHEN f.k IS NULL THEN e.category ELSE f.category END AS category,
+    strftime(coalesce(f.created, e.ticket_created_at), '%Y-%m-%d %H:%M:%S') AS ticket_created_at,
+    strftime(f.updated, '%Y-%m-%d %H:%M:%S') AS ticket_updated_at, e.external_ticket_id IS NULL AS fresh,
+    (SELECT count(*) FROM e) AS first_inserted, (SELECT count(*) FILTER (fresh) FROM n) AS then_inserted
+    FROM e FULL JOIN f ON e.external_ticket_id = f.k"""
+)
+def keyed_table(spark, sf_dir):
+    """The same merge in the stored table, with the counts that saving returns."""
+    existing, batch = _merge_inputs(spark, sf_dir)
+    root, stamp = shared_folder(spark), datetime.fromisoformat(STAMP)
+    old = existing.drop("ingested_at").withColumn("seq", F.lit(0).cast("bigint")).select("seq", *CLEAN.fieldNames())
+    first = table.save_batch(old, root, datetime(2020, 1, 1))
+    then = table.save_batch(batch, root, stamp)
+    stored = _texts_of_dates(table.current(spark, root).withColumn("fresh", F.col("ingested_at") == F.lit(stamp)))
+    names = ("external_ticket_id", "summary", "details", "priority", "category", "ticket_created_at", "ticket_updated_at", "fresh")
+    return stored.select(*names, F.lit(first).cast("bigint").alias("first_inserted"), F.lit(then).cast("bigint").alias("then_inserted"))
+
+
 @check(
     f"""WITH {_FOLD} SELECT CAST(sum(batch_rows) AS BIGINT) AS extracted_count,
     count(*) FILTER (k NOT IN (SELECT external_ticket_id FROM e)) AS stored_count,
@@ -847,9 +869,8 @@ _DUE = date(1999, 1, 1)
 
 
 def _staging(spark, sf_dir) -> DataFrame:
-    for name in ("documents", "orders", "labels"):
-        load(spark, sf_dir, name).createOrReplaceTempView(name)
-    return spark.sql(_STAGING_SQL)
+    sql = _STAGING_SQL.replace("FROM documents", "FROM {documents}").replace("JOIN orders", "JOIN {orders}").replace("JOIN labels", "JOIN {labels}")
+    return spark.sql(sql, **{n: load(spark, sf_dir, n) for n in ("documents", "orders", "labels")})
 
 
 @check(
@@ -857,7 +878,7 @@ def _staging(spark, sf_dir) -> DataFrame:
     FROM s WHERE validation_status = 'valid' AND data_retention_until IS NOT NULL AND external_ticket_id NOT IN (SELECT external_ticket_id FROM c)"""
 )
 def promoted_rows(spark, sf_dir):
-    rows = lifecycle.promote(_staging(spark, sf_dir), spark.sql(_CURATED_SQL))
+    rows = lifecycle.promote(_staging(spark, sf_dir), spark.sql(_CURATED_SQL.replace("FROM labels", "FROM {labels}"), labels=load(spark, sf_dir, "labels")))
     return rows.withColumn("data_retention_until", F.col("data_retention_until").cast("string"))
 
 

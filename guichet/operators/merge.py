@@ -26,68 +26,65 @@ def require_clean(batch: DataFrame, seq: str) -> None:
     require_columns(batch.drop(seq), CLEAN, "A batch to store")
 
 
-def fold_batch(batch: DataFrame, seq: str = "seq") -> DataFrame:
-    """One row per key of a batch, as if its rows were applied in order of ``seq``.
+def _turning_points(batch: DataFrame, seq: str) -> DataFrame:
+    """Per key, the places in the order that decide: the first row, the last one, and the last one with each date.
 
-    The partial aggregates keep one row per key and task, so a key that makes up
-    much of a batch does not travel. ``batch_rows`` counts the rows of each key.
+    Only keys and places are shuffled, one row per key and task, so neither texts nor a key
+    that makes up much of a batch travel.
     """
+    return batch.groupBy(KEY).agg(
+        F.min(seq).alias("_first"),
+        F.max(seq).alias("_last"),
+        *(F.max(F.when(F.col(d).isNotNull(), F.col(seq))).alias(f"_{d}") for d in LAST_DATE_WINS),
+        F.count(F.lit(1)).alias("batch_rows"),
+    )
+
+
+def _picked(batch: DataFrame, seq: str, points: DataFrame, place: str, names: tuple[str, ...]) -> DataFrame:
+    """(key, names) of the rows at one place per key. Joined by key and place, which no row shares with another."""
+    at = points.filter(F.col(place).isNotNull()).select(KEY, F.col(place).alias(seq))
+    return batch.select(KEY, seq, *names).join(at, [KEY, seq]).select(KEY, *names)
+
+
+def fold_changes(batch: DataFrame, seq: str = "seq") -> DataFrame:
+    """One row per key of a batch: the columns that later rows change, the first row's place and ``batch_rows``. No texts."""
     require_clean(batch, seq)
+    points = _turning_points(batch.select(KEY, seq, *LAST_DATE_WINS), seq)
+    folded = points.select(KEY, "_first", "batch_rows").join(_picked(batch, seq, points, "_last", LAST_WINS), KEY)
+    for d in LAST_DATE_WINS:
+        folded = folded.join(_picked(batch, seq, points, f"_{d}", (d,)), KEY, "left")
+    return folded
 
-    def pack(names: tuple[str, ...]) -> Column:
-        return F.struct(*names)
 
-    folded = batch.groupBy(KEY).agg(
-        F.min_by(pack(FIRST_WINS), seq).alias("_first"),
-        F.max_by(pack(LAST_WINS), seq).alias("_last"),
-        *(F.max_by(d, F.when(F.col(d).isNotNull(), F.col(seq))).alias(d) for d in LAST_DATE_WINS),
-        F.count(F.lit(1)).alias("batch_rows"),
-    )
-    return folded.select(KEY, "_first.*", "_last.*", *LAST_DATE_WINS, "batch_rows")
+def pick_first(batch: DataFrame, firsts: DataFrame, seq: str = "seq") -> DataFrame:
+    """(key, texts) of the rows at the places ``_first`` of ``firsts``."""
+    return _picked(batch, seq, firsts, "_first", FIRST_WINS)
 
 
-def _is_small(folded: DataFrame) -> bool:
-    """Whether the planner's size estimate lets it broadcast these rows."""
-    limit = folded.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(folded._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+def fold_batch(batch: DataFrame, seq: str = "seq") -> DataFrame:
+    """One row per key of a batch, as if its rows were applied in order of ``seq``, which no two rows share."""
+    folded = fold_changes(batch, seq)
+    return folded.join(pick_first(batch, folded, seq), KEY).select(KEY, *FIRST_WINS, *LAST_WINS, *LAST_DATE_WINS, "batch_rows")
 
 
-def merge_folded(
-    existing: DataFrame, folded: DataFrame, ingested_at: datetime | Column, small: bool | None = None
-) -> DataFrame:
-    """The table after the merge, with ``inserted`` marking rows whose key is new.
+def merge(existing: DataFrame, batch: DataFrame, ingested_at: datetime | Column, seq: str = "seq") -> DataFrame:
+    """Any table after the merge of a batch, with ``inserted`` marking rows whose key is new.
 
-    A small batch is broadcast against the rows in place, and so are its keys against
-    the table's key column to tell which are known; the batch is folded once for
-    each, and nothing of the table is shuffled. Beyond the broadcast limit one full
-    outer join takes both sides by key, where keys are unique on either side and no
-    key is heavier than another.
+    One full outer join of sides with unique keys. The stored table of
+    :mod:`guichet.sources.table` is laid out so that its own merge moves no text.
     """
     require_columns(existing, STORED, "The ticket table")
     stamp = ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at).cast("timestamp")
-    folded = folded.withColumn("ingested_at", stamp)
-    old, new = existing.withColumn("_known", F.lit(True)).alias("e"), folded.withColumn("_hit", F.lit(True)).alias("b")
-    small = _is_small(folded) if small is None else small
-    joined = old.join(new, KEY, "left" if small else "full_outer")
+    old = existing.withColumn("_known", F.lit(True)).alias("e")
+    new = fold_batch(batch, seq).withColumns({"ingested_at": stamp, "_hit": F.lit(True)}).alias("b")
+    joined = old.join(new, KEY, "full_outer")
 
     known, hit = F.col("e._known").isNotNull(), F.col("b._hit").isNotNull()
     columns = {KEY: F.col(KEY)}
     columns |= {n: F.when(known, F.col(f"e.{n}")).otherwise(F.col(f"b.{n}")) for n in (*FIRST_WINS, "ingested_at")}
     columns |= {n: F.when(hit, F.col(f"b.{n}")).otherwise(F.col(f"e.{n}")) for n in LAST_WINS}
     columns |= {n: F.coalesce(F.col(f"b.{n}"), F.col(f"e.{n}")) for n in LAST_DATE_WINS}
-    merged = joined.select(*(columns[n].alias(n) for n in STORED.fieldNames()), (~known).alias("inserted"))
-    if not small:
-        return merged
-    known = existing.select(KEY).join(folded.select(KEY), KEY, "left_semi")
-    fresh = folded.join(known, KEY, "left_anti")
-    return merged.unionByName(fresh.select(*STORED.fieldNames(), F.lit(True).alias("inserted")))
-
-
-def merge(
-    existing: DataFrame, batch: DataFrame, ingested_at: datetime | Column, seq: str = "seq", small: bool | None = None
-) -> DataFrame:
-    """Fold the batch and merge it; see :func:`merge_folded`."""
-    return merge_folded(existing, fold_batch(batch, seq), ingested_at, small)
+    return joined.select(*(columns[n].alias(n) for n in STORED.fieldNames()), (~known).alias("inserted"))
 
 
 def classify(existing: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFrame:

@@ -1,28 +1,45 @@
-"""The keyed ticket table: a base folder and the batches merged since it was written.
+"""The keyed ticket table, laid out so that texts are written once and never move again.
 
-Saving a batch writes only the batch, folded to one row per key, and reads only the
-key column of the rest. Readers merge the pending batches into the base on the fly,
-which is a broadcast join while they are small. :func:`compact` writes a new base
-when enough have gathered, so the table is not rewritten for every batch.
+::
 
-Folders are written hidden and moved into place when complete, so a lost executor or
-driver leaves the table as it was. One writer at a time.
+    root/buckets=00016/texts/batch=00000003/part=5/...          what the first row of a key sets for good
+    root/buckets=00016/changes/from=00000002/batch=00000003/... what later rows change, a row per key and batch
+
+Both parts are bucketed by key in the same number of buckets, and a bucket has a folder of
+its own. So readers join the parts, and savers look up known keys, without a shuffle of what
+is stored; savers read the keys of the buckets they touch. Metrics that need no text can read
+the changes alone.
+
+Folders are written hidden and moved into place when complete. A batch counts once its changes
+are there; texts of a batch that never got that far are out of sight and are replaced when it
+is tried again. :func:`compact` folds the changes, never the texts, when what is pending has
+grown to a share of the rest, and removes what it replaces. One writer at a time.
+
+The parts are named in the session's catalog, as external tables whose partitions are listed
+from the folders.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from guichet.operators.merge import FIRST_WINS, KEY, LAST_DATE_WINS, LAST_WINS, fold_batch, merge_folded
+from guichet.operators.merge import FIRST_WINS, KEY, LAST_DATE_WINS, LAST_WINS, fold_changes, pick_first
 from guichet.schema import STORED
 from guichet.sources import storage
-from guichet.sources.tickets import read_tickets
 
-_BASE, _BATCH = "base=", "batch="
+BUCKETS = 16
+#: false: a table's partitions are listed from its folder, not kept in the catalog
+_LISTED = "spark.sql.hive.manageFilesourcePartitions"
+_TEXTS = (KEY, *FIRST_WINS, "ingested_at")
+_CHANGES = (KEY, *LAST_WINS, *LAST_DATE_WINS)
 
 
 def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
@@ -30,96 +47,149 @@ def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
     return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
 
 
-def _base(root: str, number: int) -> str:
-    return f"{root.rstrip('/')}/{_BASE}{number:08d}"
-
-
-def _pending(root: str, base: int) -> str:
-    """Where the batches that came after a base are kept."""
-    return f"{root.rstrip('/')}/since={base:08d}"
-
-
-def _state(spark: SparkSession, root: str) -> tuple[int, list[int]]:
-    base = (_numbers(spark, root, _BASE) or [0])[-1]
-    return base, _numbers(spark, _pending(root, base), _BATCH)
-
-
-def _read_base(spark: SparkSession, root: str, base: int) -> DataFrame:
-    return read_tickets(spark, _base(root, base)) if base else spark.createDataFrame([], STORED)
-
-
-def _publish(df: DataFrame, root: str, target: str) -> None:
-    draft = f"{root.rstrip('/')}/_draft-{uuid.uuid4().hex}"
-    try:
-        df.write.option("fs.permissions.umask-mode", storage.UMASK).parquet(draft)
-        storage.move(df.sparkSession, draft, target)
-    except Exception:
-        storage.purge(df.sparkSession, draft)
-        raise
-
-
-def _fold_pending(spark: SparkSession, root: str, base: int) -> DataFrame:
-    """One row per key over all pending batches, in their order."""
-    batches = spark.read.schema(f"{_change_schema()}, batch int").parquet(_pending(root, base))
-    folded = batches.groupBy(KEY).agg(
-        F.min_by(F.struct(*FIRST_WINS, "ingested_at"), "batch").alias("_first"),
+def _name(folder: str) -> str:
+    """The catalog's name of a part; the same for the same folder."""
+    return f"guichet_{hashlib.md5(folder.encode()).hexdigest()}"
+
+
+class _Layout:
+    """Where the parts of a table are, and which batches they hold."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int) -> None:
+        self.spark, self.root = spark, root.rstrip("/")
+        self.buckets = (_numbers(spark, self.root, "buckets=") or [buckets])[0]
+        self.home = f"{self.root}/buckets={self.buckets:05d}"
+        self.texts = f"{self.home}/texts"
+        self.since = (_numbers(spark, f"{self.home}/changes", "from=") or [0])[-1]
+        self.changes = f"{self.home}/changes/from={self.since:08d}"
+        self.batches = _numbers(spark, self.changes, "batch=")
+
+    @property
+    def last(self) -> int:
+        return self.batches[-1] if self.batches else 0
+
+    def read(self, folder: str, names: tuple[str, ...]) -> DataFrame:
+        """A part as a bucketed table with the columns batch and part."""
+        name = _name(folder)
+        types = {f.name: f.dataType.simpleString() for f in STORED}
+        columns = ", ".join([*(f"`{n}` {types[n]}" for n in names), "batch INT", "part INT"])
+        before = self.spark.conf.get(_LISTED)
+        self.spark.conf.set(_LISTED, "false")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS (path '{folder}') "
+            f"PARTITIONED BY (batch, part) CLUSTERED BY ({KEY}) INTO {self.buckets} BUCKETS"
+        )
+        self.spark.conf.set(_LISTED, before)
+        self.spark.catalog.refreshTable(name)
+        return self.spark.table(name).filter(F.col("batch") <= self.last)
+
+    def part(self) -> F.Column:
+        """The bucket of a key, as the bucketed writer numbers it."""
+        return F.pmod(F.hash(KEY), F.lit(self.buckets))
+
+    @contextmanager
+    def published(self, df: DataFrame, target: str) -> Iterator[None]:
+        """Write a part hidden; move it into place when the block is left without an error."""
+        draft, name = f"{self.root}/_draft-{uuid.uuid4().hex}", f"guichet_{uuid.uuid4().hex}"
+        try:
+            rows = df.withColumn("part", self.part()).repartition(self.buckets, KEY)
+            rows.write.partitionBy("part").bucketBy(self.buckets, KEY).option("path", draft).format("parquet").saveAsTable(name)
+            self.spark.sql(f"DROP TABLE {name}")
+            yield
+            storage.move(self.spark, draft, target)
+        except Exception:
+            storage.purge(self.spark, draft)
+            raise
+
+
+def _empty(spark: SparkSession, names: tuple[str, ...]) -> DataFrame:
+    return spark.createDataFrame([], T.StructType([STORED[n] for n in names]))
+
+
+def _folded(changes: DataFrame) -> DataFrame:
+    """One row per key over all batches, in their order; buckets stay where they are."""
+    folded = changes.groupBy(KEY).agg(
         F.max_by(F.struct(*LAST_WINS), "batch").alias("_last"),
         *(F.max_by(d, F.when(F.col(d).isNotNull(), F.col("batch"))).alias(d) for d in LAST_DATE_WINS),
     )
-    return folded.select(KEY, "_first.*", "_last.*", *LAST_DATE_WINS)
+    return folded.select(KEY, "_last.*", *LAST_DATE_WINS)
 
 
-def _change_schema() -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORED)
+def current_changes(spark: SparkSession, root: str) -> DataFrame:
+    """The stored tickets without their texts."""
+    layout = _Layout(spark, root, BUCKETS)
+    if not layout.batches:
+        return _empty(spark, _CHANGES)
+    return _folded(layout.read(layout.changes, _CHANGES))
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
     """The stored tickets; an empty frame before the first batch."""
-    base, batches = _state(spark, root)
-    stored = _read_base(spark, root, base)
-    if not batches:
-        return stored
-    return merge_folded(stored, _fold_pending(spark, root, base), F.col("ingested_at")).drop("inserted")
-
+    layout = _Layout(spark, root, BUCKETS)
+    if not layout.batches:
+        return _empty(spark, tuple(STORED.fieldNames()))
+    texts = layout.read(layout.texts, _TEXTS).drop("batch", "part")
+    folded = _folded(layout.read(layout.changes, _CHANGES))
+    # The changes of a bucket are hashed and its texts streamed past them; texts are not sorted.
+    return texts.join(folded.hint("shuffle_hash"), KEY).select(*STORED.fieldNames())
 
-def _known_keys(spark: SparkSession, root: str, base: int, batches: list[int]) -> DataFrame:
-    keys = _read_base(spark, root, base).select(KEY)
-    if batches:
-        keys = keys.unionAll(spark.read.schema(_change_schema()).parquet(_pending(root, base)).select(KEY))
-    return keys
 
-
-def save_batch(batch: DataFrame, root: str, ingested_at: datetime, seq: str = "seq", compact_after: int = 16) -> int:
+def save_batch(batch: DataFrame, root: str, ingested_at: datetime, seq: str = "seq", *, buckets: int = BUCKETS, compact_at: float = 0.5) -> int:
     """Merge a batch of clean tickets into the table; returns how many keys were new.
 
-    ``compact_after`` pending batches are folded into a new base.
+    The texts of new keys and the folded changes of all keys of the batch are appended. When
+    the batches since the last compaction hold more than ``compact_at`` times the rows of the
+    folded part, the changes are folded. ``buckets`` is taken when the table is new; a bucket
+    should fit into a task.
     """
     spark = batch.sparkSession
-    base, batches = _state(spark, root)
-    rows = fold_batch(batch, seq).withColumn("ingested_at", F.lit(ingested_at).cast("timestamp"))
-    target = f"{_pending(root, base)}/{_BATCH}{(batches[-1] if batches else 0) + 1:08d}"
-    known = _known_keys(spark, root, base, batches)
-    _publish(rows.select(*STORED.fieldNames()), root, target)
-    keys = spark.read.parquet(target).select(KEY)
-    inserted = keys.count() - known.join(keys, KEY, "left_semi").distinct().count()
-    if len(batches) + 1 >= compact_after:
+    layout = _Layout(spark, root, buckets)
+    number = layout.last + 1
+    target = f"{layout.changes}/batch={number:08d}"
+    stamp = F.lit(ingested_at).cast("timestamp")
+    with layout.published(fold_changes(batch, seq).select(*_CHANGES), target):
+        firsts = fold_changes(batch, seq).select(KEY, "_first")
+        if layout.batches:
+            touched = [r[0] for r in firsts.select(layout.part().alias("part")).distinct().collect()]
+            known = layout.read(layout.texts, _TEXTS).filter(F.col("part").isin(touched)).select(KEY)
+            firsts = firsts.join(known, KEY, "left_anti")
+        texts = pick_first(batch, firsts, seq).withColumn("ingested_at", stamp)
+        with layout.published(texts.select(*_TEXTS), f"{layout.texts}/batch={number:08d}"):
+            pass
+    fresh = _Layout(spark, root, buckets)
+    inserted = fresh.read(fresh.texts, _TEXTS).filter(F.col("batch") == number).count()
+    if _is_due(fresh, compact_at):
         compact(spark, root)
     return inserted
 
 
-def compact(spark: SparkSession, root: str) -> bool:
-    """Write the table as a new base; False if nothing is pending."""
-    base, batches = _state(spark, root)
-    if not batches:
+def _is_due(layout: _Layout, share: float) -> bool:
+    """Whether the changes since the last compaction outgrow their share; counted from file footers."""
+    if len(layout.batches) < 2:
         return False
-    _publish(current(spark, root), root, _base(root, base + 1))
-    return True
+    rows = dict(layout.read(layout.changes, _CHANGES).groupBy("batch").count().collect())
+    base = rows.pop(layout.since, 0) if layout.since else rows.pop(layout.batches[0], 0)
+    return sum(rows.values()) > share * base
 
 
-def drop_old_bases(spark: SparkSession, root: str) -> int:
-    """Remove bases, and the batches after them, that a newer base replaces; returns how many."""
-    old = _numbers(spark, root, _BASE)[:-1]
-    newest = _state(spark, root)[0]
-    for number in range(newest):
-        storage.purge(spark, _pending(root, number))
-    return sum(storage.purge(spark, _base(root, number)) for number in old)
+def compact(spark: SparkSession, root: str) -> bool:
+    """Fold the changes of all batches into one and remove the others; False if there is nothing to fold."""
+    layout = _Layout(spark, root, BUCKETS)
+    if len(layout.batches) < 2:
+        return False
+    folded = _folded(layout.read(layout.changes, _CHANGES))
+    home = f"{layout.home}/changes/from={layout.last:08d}"
+    # Moved as a whole folder, so that readers see all of it or the part it replaces.
+    draft = f"{layout.root}/_folded-{uuid.uuid4().hex}"
+    try:
+        with layout.published(folded.select(*_CHANGES), f"{draft}/batch={layout.last:08d}"):
+            pass
+        storage.move(spark, draft, home)
+    except Exception:
+        storage.purge(spark, draft)
+        raise
+    for number in _numbers(spark, f"{layout.home}/changes", "from=")[:-1]:
+        old = f"{layout.home}/changes/from={number:08d}"
+        spark.sql(f"DROP TABLE IF EXISTS {_name(old)}")
+        storage.purge(spark, old)
+    return True
