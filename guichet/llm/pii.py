@@ -63,9 +63,19 @@ PATTERNS: list[tuple[str, re.Pattern]] = [
 ]
 _TITLED = re.compile(rf"(?<!\w)(?P<title>{'|'.join(sorted(map(re.escape, _TITLE), key=len, reverse=True))})\b\.? +(?P<names>{_CAP}(?: +{_CAP}){{0,2}})")
 _NAMED = re.compile(rf"(?<![\w@.])(?P<names>(?:{'|'.join(_GENDER)}) +{_CAP})")
-#: What any of the above needs; in a form that Java's and Python's engines read alike.
-MARKS = "[0-9@]|(?:" + "|".join(sorted({*map(re.escape, _TITLE), *_GENDER}, key=len, reverse=True)) + ") |AKIA|ASIA|gh[pousr]_|xox[abpr]-|(?i:token|secret|passw|key)"
-MARKS = MARKS.replace(") |AKIA", r")\.? |AKIA")
+
+
+def _marks() -> str:
+    """What any of the above needs, for Java's and Python's engines alike.
+
+    Words are only tried at capital letters, which makes the search one pass over the
+    characters and not one per word.
+    """
+    names = sorted({*map(re.escape, _TITLE), *_GENDER}, key=len, reverse=True)
+    return rf"[0-9@:=_]|(?=[A-ZÀ-ÞΆ-ΫЀ-Я])(?:(?:{'|'.join(names)})\.? |AKIA|ASIA)|xox[abpr]-"
+
+
+MARKS = _marks()
 
 
 @dataclass(frozen=True)
@@ -327,14 +337,14 @@ def pseudonymise(docs: DataFrame, key: bytes, *, text: str = "text") -> DataFram
 
     Kinds: email, phone, account and card numbers, social security numbers, IBANs, IP
     addresses, secrets behind a name like token, and personal names behind a title or a known
-    given name. Only texts with a digit, an at sign, a title, a given name or a word for
-    secrets go to Python, whole; all others stay as they are and have no spans, as do null
+    given name. Only texts with a digit, one of the signs these need, a title or a given name
+    go to Python, whole; all others stay as they are and have no spans, as do null
     and empty texts. Rows are treated alike whatever their identifiers; other columns stay,
     one named pii_spans is replaced.
     """
     column: Column = F.col(f"`{text}`")
-    rows = docs.select(carried(docs, "pii_spans"), column.alias("text"), F.coalesce(column.rlike(MARKS), F.lit(False)).alias("marked"))
-    flagged = rows.filter("marked").withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
+    rows = docs.select(carried(docs, "pii_spans"), column.cast("string").alias("text"), F.coalesce(column.rlike(MARKS), F.lit(False)).alias("marked"))
+    flagged = written(rows.filter("marked").withColumn("key", F.unhex(F.md5(F.col("text").cast("binary")))))
     found = written(flagged.select("key", "text").mapInArrow(_detect, "key binary, kind string, canonical string").distinct())
     given = surrogates(found.select("kind", "canonical").distinct(), key)
     pair = F.struct(F.concat_ws("|", "kind", "canonical"), F.col("surrogate"))
