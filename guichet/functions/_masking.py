@@ -89,6 +89,15 @@ def clean(text: str) -> str:
     return _unwrap(_TAG.sub(" ", _unwrap(masked))).strip()
 
 
+def stored_each(lists: list[list[str | None] | None], masked: tuple[int, ...]) -> list[str | None]:
+    """Per list, what may be stored of its first entry that says something: cleaned again, and masked at some places."""
+    out = []
+    for i, text in enumerate(first_clean_each(lists)):
+        text = None if text is None else clean(text)
+        out.append(mask(text) if text and i in masked else text)
+    return out
+
+
 def first_clean_each(lists: list[list[str | None] | None]) -> list[str | None]:
     """Per list, the first entry that still says something once cleaned."""
     return [next(filter(None, (clean(t) for t in texts or () if t is not None)), None) for texts in lists]

@@ -113,7 +113,8 @@ def normalise(c: Column) -> Column:
 def normalise_each(texts: Column) -> Column:
     """:func:`normalise` for an array of texts without NULLs, in one trip to Python."""
     unsettled = F.transform(texts, lambda t: F.when(is_unsettled(t), t))
-    return F.zip_with(_normalise_each_udf(unsettled), texts, lambda new, old: F.coalesce(new, old))
+    needed = F.when(F.exists(unsettled, lambda t: t.isNotNull()), unsettled)
+    return F.zip_with(F.coalesce(_normalise_each_udf(needed), texts), texts, lambda new, old: F.coalesce(new, old))
 
 
 # ---------------------------------------------------------------- detection
@@ -213,6 +214,36 @@ def first_text(candidates: Column) -> Column:
     return F.get(F.filter(F.transform(candidates, strip), lambda t: t != ""), 0)
 
 
+def with_first_stored(df: DataFrame, lists: str, out: str, masked: tuple[int, ...]) -> DataFrame:
+    """Adds ``out``: like :func:`with_first_clean`, but cleaned once more and masked at the places ``masked``.
+
+    A text that holds nothing to mask or resolve, with its tags and without them, is final once
+    its tags are gone; both are looked at in one search. All others make one trip to the UDF,
+    which does all of the work.
+    """
+
+    def by_itself(texts: Column) -> Column:
+        def final(t: Column) -> Column:
+            tagged = _contains_any(t, "<")
+
+            def settled(u: Column) -> Column:
+                both = F.when(tagged, F.concat(t, F.lit("\n\0\n"), u)).otherwise(t)
+                fine = _let(both, lambda b: ~_needs_unwrapping(b)) & ~_contains_any(u, "<")
+                return F.when(fine, F.nullif(u, F.lit("")))
+
+            return _let(_untagged(t), settled)
+
+        return _let(first_text(texts), final)
+
+    df = df.withColumn("_plain", F.transform(lists, by_itself))
+    left = F.zip_with("_plain", lists, lambda plain, texts: F.when(plain.isNull(), texts))
+    left = F.when(F.exists(left, lambda texts: texts.isNotNull()), left)
+    stored = _per_value(lambda lists: _masking.stored_each(lists, masked), T.ArrayType(T.StringType()))
+    df = df.withColumn("_final", stored(left))
+    picked = F.zip_with("_plain", F.coalesce("_final", "_plain"), lambda a, b: F.coalesce(a, b))
+    return df.withColumn(out, picked).drop("_plain", "_final")
+
+
 def with_first_clean(df: DataFrame, lists: str, out: str) -> DataFrame:
     """Adds ``out``: for each list of texts, the first that is not blank once cleaned, else NULL.
 

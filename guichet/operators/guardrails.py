@@ -52,8 +52,12 @@ def preprocess(df: DataFrame, with_pseudonym: bool = False, secret_variable: str
     Follow it by a residual gate: :func:`assert_no_residual_pii` on a table, or
     :func:`observe_residual` while writing one.
     """
+    return without_agent(mask_text_fields(df), with_pseudonym, secret_variable)
+
+
+def without_agent(df: DataFrame, with_pseudonym: bool = False, secret_variable: str = DEFAULT_SECRET_VARIABLE) -> DataFrame:
+    """``agent_id`` dropped, or replaced by its pseudonym on request."""
     secret = secret_from_environment(secret_variable) if with_pseudonym else b""
-    df = mask_text_fields(df)
     if "agent_id" not in df.columns:
         return df
     if with_pseudonym:

@@ -66,9 +66,12 @@ def _grouped(payload: Column, sources: dict[str, tuple[str, ...]], read) -> Colu
     return F.transform(F.array(*fields), lambda members: F.transform(members, read))
 
 
-def to_incoming(payloads: DataFrame, *keep: str, fail_without_id: bool = True) -> DataFrame:
+def to_incoming(payloads: DataFrame, *keep: str, fail_without_id: bool = True, guarded: bool = False) -> DataFrame:
     """Canonical tickets of a ``payload`` column; fields outside the allowlist are dropped.
 
+    With ``guarded`` the texts are what :func:`guichet.operators.guardrails.clean_scan_fields`
+    and ``mask_text_fields`` would make of them, found in the same trip.
+
     A payload without an id fails the batch, or gives a NULL id for the caller to
     set aside. ``keep`` names further columns to carry along. All text fields of a
     ticket share one trip through the cleaning UDF.
@@ -89,7 +92,11 @@ def to_incoming(payloads: DataFrame, *keep: str, fail_without_id: bool = True) -
     df = df.withColumn("_status", F.when(is_object, _first_present(status, fv.STATUS_OBJECT_FIELDS)).otherwise(status))
     df = df.withColumn("_texts", F.concat("_texts", F.array(F.array(as_text(F.col("_status"))))))
 
-    df = X.with_first_clean(df, "_texts", "_clean")
+    if guarded:
+        masked = tuple(i for i, name in enumerate(_TEXTS) if name in fv.TEXT_FIELDS)
+        df = X.with_first_stored(df, "_texts", "_clean", masked)
+    else:
+        df = X.with_first_clean(df, "_texts", "_clean")
     text = {name: F.get("_clean", i) for i, name in enumerate((*_TEXTS, "status"))}
     missing_id = F.raise_error(F.lit(f"Missing required ticket field: {fv.ID_FIELDS[0]}"))
     out = text | {
@@ -99,6 +106,8 @@ def to_incoming(payloads: DataFrame, *keep: str, fail_without_id: bool = True) -
         "status": F.coalesce(text["status"], F.lit(fv.UNKNOWN_STATUS)),
         "agent_id": F.col("agent_id"),
     }
+    if guarded:
+        out |= {name: F.coalesce(text[name], F.lit("")) for name in ("priority", "category")}
     for i, name in enumerate(_DATES):
         out[name] = F.get(F.filter(F.get("_dates", i), lambda d: d.isNotNull()), 0)
     return df.select(*keep, *(out[name].alias(name) for name in INCOMING.fieldNames()))

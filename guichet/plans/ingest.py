@@ -39,9 +39,9 @@ def guard(incoming: DataFrame, *keep: str, with_pseudonym: bool = False, secret_
     return G.to_storage(G.preprocess(cleaned, with_pseudonym, secret_variable), *keep)
 
 
-def map_pages(pages: DataFrame) -> DataFrame:
+def map_pages(pages: DataFrame, guarded: bool = False) -> DataFrame:
     """Incoming tickets of landed pages, with ``seq`` as their order."""
-    incoming = to_incoming(unwrap_pages(pages), "page", "position")
+    incoming = to_incoming(unwrap_pages(pages), "page", "position", guarded=guarded)
     return incoming.withColumn("seq", F.struct("page", "position")).drop("page", "position")
 
 
@@ -63,10 +63,14 @@ def ingest_incoming(
     A batch with an identifier that had to be masked is refused, since ``[PHONE]`` may
     stand for many tickets; ``allow_masked_keys`` merges it all the same, by masked key.
     """
-    spark = incoming.sparkSession
+    guarded = guard(incoming, "seq", with_pseudonym=with_pseudonym, secret_variable=secret_variable)
+    return _store(guarded, root, ingested_at, allow_masked_keys)
+
+
+def _store(guarded: DataFrame, root: str, ingested_at: datetime | None, allow_masked_keys: bool) -> IngestResult:
+    spark = guarded.sparkSession
     require_utc(spark)
     stamp = ingested_at or datetime.now(UTC).replace(tzinfo=None)
-    guarded = guard(incoming, "seq", with_pseudonym=with_pseudonym, secret_variable=secret_variable)
     scanned, seen = G.observe_residual(guarded)
     staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     try:
@@ -80,6 +84,19 @@ def ingest_incoming(
     return IngestResult(extracted, stored, extracted - stored, masked_key_count=seen.get["masked_keys"])
 
 
-def ingest_pages(pages: DataFrame, root: str, **options) -> IngestResult:
-    """Ingest landed pages; see :func:`ingest_incoming` for the options."""
-    return ingest_incoming(map_pages(pages), root, **options)
+def ingest_pages(
+    pages: DataFrame,
+    root: str,
+    *,
+    with_pseudonym: bool = False,
+    secret_variable: str = DEFAULT_SECRET_VARIABLE,
+    ingested_at: datetime | None = None,
+    allow_masked_keys: bool = False,
+) -> IngestResult:
+    """Ingest landed pages; see :func:`ingest_incoming` for the options.
+
+    Texts are mapped, cleaned and masked in one pass; the residual gate looks at what is
+    staged, as for any other batch.
+    """
+    tickets = G.without_agent(map_pages(pages, guarded=True), with_pseudonym, secret_variable)
+    return _store(G.to_storage(tickets, "seq"), root, ingested_at, allow_masked_keys)
