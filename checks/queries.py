@@ -23,7 +23,7 @@ from guichet import fixed_values as fv
 from guichet.functions import dates as D
 from guichet.functions import text as X
 from guichet.functions.pseudonym import pseudonym
-from guichet.operators import contract, eda, features, guardrails, lifecycle, mapping, merge, scope
+from guichet.operators import contract, eda, evaluation, features, guardrails, lifecycle, mapping, merge, redundancy, scope
 from guichet.plans import dry_run, eda_report, export, ingest
 from guichet.schema import CLEAN, STORED
 from guichet.session import shared_folder
@@ -918,3 +918,142 @@ def purge_log(spark, sf_dir):
 )
 def payload_profile(spark, sf_dir):
     return lifecycle.payload_profile(pages.unwrap_pages(payloads(spark, sf_dir)))
+
+
+@check(
+    """WITH j AS (SELECT d.doc_id, d.source, d.doc_id % 4 AS kind FROM documents d JOIN orders o ON o.o_orderkey = d.doc_id)
+    SELECT source, CAST(sum(9 + CASE kind WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 4 ELSE 2 END) AS BIGINT) AS fields_seen_count,
+    count(*) AS fields_rejected_count FROM j GROUP BY source"""
+)
+def rejected_fields(spark, sf_dir):
+    """Members per source and those outside the mapping; every payload has one."""
+    landed = pages.unwrap_pages(payloads(spark, sf_dir)).join(load(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    return lifecycle.rejected_fields(landed, "source")
+
+
+@check(
+    """SELECT count(*) AS payload_count, CAST(0 AS BIGINT) AS missing_id_count, count(*) FILTER (doc_id % 4 IN (1, 2)) AS unreadable_created_count,
+    CAST(0 AS BIGINT) AS unreadable_updated_count, CAST(0 AS BIGINT) AS unreadable_closed_count FROM documents d JOIN orders o ON o.o_orderkey = d.doc_id"""
+)
+def mapping_errors(spark, sf_dir):
+    return lifecycle.mapping_errors(pages.unwrap_pages(payloads(spark, sf_dir)))
+
+
+@check(f"SELECT external_ticket_id, (SELECT count(*) FROM ({_STAGING_SQL}) WHERE data_retention_until < DATE '{_DUE}') AS purged FROM ({_STAGING_SQL}) WHERE data_retention_until IS NULL OR data_retention_until >= DATE '{_DUE}'")
+def purged_table(spark, sf_dir):
+    """The table as it is after its expired rows were removed."""
+    base = shared_folder(spark)
+    _staging(spark, sf_dir).write.parquet(f"{base}/rows")
+    gone = lifecycle.purge_expired(spark, f"{base}/rows", _DUE, f"{base}/log")
+    return spark.read.parquet(f"{base}/rows").select("external_ticket_id", F.lit(gone).cast("bigint").alias("purged"))
+
+
+# ---------------------------------------------------------------- duplicates and labels
+
+
+@check(
+    """SELECT CAST(sum(n) AS BIGINT) AS row_count, count(*) AS distinct_count, count(*) FILTER (n > 1) AS duplicated_count,
+    CAST(sum(n - 1) AS BIGINT) AS duplicate_row_count FROM (SELECT count(*) AS n FROM documents GROUP BY text)"""
+)
+def duplicate_counts(spark, sf_dir):
+    return redundancy.duplicate_counts(load(spark, sf_dir, "documents"), "text")
+
+
+@check(
+    O.with_tickets(
+        """SELECT b.k AS external_ticket_id, arg_min(a.k, (a.day, a.k)) AS earlier FROM w a JOIN w b ON a.client = b.client AND a.k <> b.k
+        AND date_diff('day', a.day, b.day) BETWEEN 0 AND 400 AND (a.day, a.k) < (b.day, b.k)
+        WHERE 100 * len(list_intersect(a.words, b.words)) >= 80 * (len(a.words) + len(b.words) - len(list_intersect(a.words, b.words))) GROUP BY b.k""",
+        """w AS (SELECT external_ticket_id AS k, agent_id[1:1] AS client, CAST(ticket_created_at AS DATE) AS day, list_distinct(list_filter(string_split(
+        regexp_replace(lower(summary || ' ' || details), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')) AS words FROM tickets
+        WHERE ticket_created_at IS NOT NULL)""",
+    )
+)
+def redundant_tickets(spark, sf_dir):
+    """Similar tickets of one client within some time; clients are coarse here, so that they have several."""
+    rows = raw_tickets(spark, sf_dir).withColumns({"client": F.substring("agent_id", 1, 1), "whole": F.concat_ws(" ", "summary", "details")})
+    return redundancy.redundant_tickets(rows, "client", text="whole", days=400)
+
+
+@check("SELECT CASE WHEN ('0x' || substr(md5('s' || doc_id::VARCHAR), 1, 8))::BIGINT % 100 < 70 THEN 'train' ELSE 'test' END AS split, doc_id FROM labels")
+def stable_split(spark, sf_dir):
+    return evaluation.with_split(load(spark, sf_dir, "labels"), "doc_id", 70, "s").select("doc_id", "split")
+
+
+@check("SELECT quality AS label, count(*) AS row_count, round(count(*) / sum(count(*)) OVER (), 6) AS share, round(count(*) / max(count(*)) OVER (), 6) AS to_largest FROM labels GROUP BY 1")
+def class_balance(spark, sf_dir):
+    return _rounded(evaluation.class_balance(load(spark, sf_dir, "labels"), "quality"), "share", "to_largest")
+
+
+@check(
+    O.with_tickets(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS field, count(*) FILTER ({c} IS NULL) AS null_count, count(*) FILTER (trim({c}) = '') AS blank_count, "
+            f"round((count(*) FILTER ({c} IS NULL) + count(*) FILTER (trim({c}) = '')) / count(*), 6) AS missing_rate FROM tickets"
+            for c in fv.DISTRIBUTION_COLUMNS
+        )
+    )
+)
+def missing_values(spark, sf_dir):
+    return _rounded(evaluation.missing_values(stored_tickets(spark, sf_dir), *fv.DISTRIBUTION_COLUMNS), "missing_rate")
+
+
+@check(
+    """SELECT tp AS true_positive, fp AS false_positive, tn AS true_negative, fn AS false_negative, round((tp + tn) / (tp + fp + tn + fn), 6) AS accuracy,
+    round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision, round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 6) AS recall,
+    round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1 FROM (SELECT count(*) FILTER (quality = 1 AND p = 1) AS tp,
+    count(*) FILTER (quality = 0 AND p = 1) AS fp, count(*) FILTER (quality = 0 AND p = 0) AS tn, count(*) FILTER (quality = 1 AND p = 0) AS fn
+    FROM (SELECT quality, CASE WHEN length(text) > 1000 THEN 1 ELSE 0 END AS p FROM labels JOIN documents USING (doc_id)))"""
+)
+def binary_metrics(spark, sf_dir):
+    """A long text predicts quality."""
+    joined = load(spark, sf_dir, "labels").join(load(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    rows = joined.select("quality", (F.char_length("text") > 1000).cast("int").alias("predicted"))
+    return _rounded(evaluation.binary_metrics(rows, "quality", "predicted"), "accuracy", "precision", "recall", "f1")
+
+
+@check(
+    "SELECT 'hmac_sha256:' || sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode(CAST(doc_id AS VARCHAR))))) AS ticket_pseudonym, "
+    "CAST(quality AS DOUBLE) AS score, 'v1' AS model_version FROM labels".format(
+        outer=bytes(b ^ 0x5C for b in _SECRET.ljust(64, b"\0")).hex(), inner=bytes(b ^ 0x36 for b in _SECRET.ljust(64, b"\0")).hex()
+    )
+)
+def prediction_log(spark, sf_dir):
+    path = shared_folder(spark)
+    lifecycle.log_predictions(load(spark, sf_dir, "labels").withColumn("score", F.col("quality")), path, _SECRET, "v1", "doc_id")
+    return spark.read.parquet(path).drop("logged_at")
+
+
+_MORE = """SELECT o_orderkey AS k, CASE CAST(o_orderkey % 5 AS INT) WHEN 0 THEN 'call +49 (30) ' || CAST(1000 + o_custkey AS STRING) || ' today'
+    WHEN 1 THEN 'Mme Dupont-Martin wrote, ' || o_orderpriority WHEN 2 THEN 'at ' || CAST(1 + o_orderkey % 99 AS STRING) || ' rue de la Gare, 75011 Paris'
+    WHEN 3 THEN '69002 Lyon; Dr Jean Valjean and M. Hugo' ELSE 'order ' || CAST(o_orderkey AS STRING) || ' of mme x' END AS x FROM orders"""
+
+
+def _more_sql(text: str) -> str:
+    edges = [r"(\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5})", r"\b((?:M\.|Mme|Mlle|Mr|Mrs|Ms|Dr)\s+\p{Lu}[\p{L}'-]+(?:\s+\p{Lu}[\p{L}'-]+)?)",
+             r"\b([0-9]{1,4}(?:\s?(?:bis|ter))?,?\s+(?:rue|avenue|boulevard|place|chemin|impasse|route|quai)\s+[^,;\n]{2,40})", r"\b([0-9]{5}\s+\p{Lu}[\p{L}' -]+)"]
+    for e in edges:
+        text = f"regexp_replace({text}, {O.quote(e)}, '[PII_REDACTED]', 'g')"
+    return text
+
+
+@check(f"WITH t AS ({_MORE}) SELECT k, {_more_sql('substr(x, 1, 30)')} AS masked FROM t")
+def mask_more(spark, sf_dir):
+    """The additional masks, on texts cut before masking."""
+    built = spark.sql(_MORE.replace("FROM orders", "FROM {orders}"), orders=load(spark, sf_dir, "orders"))
+    return built.select("k", X.mask_more(F.col("x"), 30).alias("masked"))
+
+
+@check(
+    "SELECT o_orderkey, 'hmac_sha256:' || sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode(CAST(o_custkey AS VARCHAR))))) AS user_id, "
+    "CASE WHEN o_orderkey % 3 > 0 THEN 'hmac_sha256:' || sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode('site' || (o_orderkey % 7) || '.example')))) END "
+    "AS requester FROM orders".format(
+        outer=bytes(b ^ 0x5C for b in _SECRET.ljust(64, b"\0")).hex(), inner=bytes(b ^ 0x36 for b in _SECRET.ljust(64, b"\0")).hex()
+    )
+)
+def pseudonymised_columns(spark, sf_dir):
+    """Users by pseudonym, requesters by that of their domain; what is no address has none."""
+    site = F.concat(F.lit("Site"), (F.col("o_orderkey") % 7).cast("string"), F.lit(".example"))
+    requester = F.when(F.col("o_orderkey") % 3 > 0, F.concat(F.lit("someone@"), site)).otherwise("nobody")
+    rows = load(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"), requester.alias("requester"))
+    return lifecycle.pseudonymised(rows, _SECRET, "user_id", domains=("requester",))

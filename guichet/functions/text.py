@@ -186,6 +186,26 @@ def mask(c: Column, overlap: str = "merge") -> Column:
     return F.coalesce(udf(_where(c, _needs_masking)), c)
 
 
+_TITLED = r"\b(?:M\.|Mme|Mlle|Mr|Mrs|Ms|Dr)\s+\p{Lu}[\p{L}'-]+(?:\s+\p{Lu}[\p{L}'-]+)?"
+_STREET = r"\b[0-9]{1,4}(?:\s?(?:bis|ter))?,?\s+(?:rue|avenue|boulevard|place|chemin|impasse|route|quai)\s+[^,;\n]{2,40}"
+_TOWN = r"\b[0-9]{5}\s+\p{Lu}[\p{L}' -]+"
+_ABROAD = r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}"
+#: streets before towns, since a street may end in its town
+MORE_PATTERNS = (_ABROAD, _TITLED, _STREET, _TOWN)
+REDACTED = "[PII_REDACTED]"
+
+
+def mask_more(c: Column, first_characters: int | None = None) -> Column:
+    """Phone numbers of any country, titled names, streets and towns as one kind of placeholder, on request after :func:`mask`.
+
+    ``first_characters`` cuts the text before anything else; a hit at the cut may be split.
+    """
+    text = c if first_characters is None else F.substring(c, 1, first_characters)
+    for pattern in MORE_PATTERNS:
+        text = F.regexp_replace(text, pattern, F.lit(REDACTED.replace("[", "\\[").replace("]", "\\]")))
+    return text
+
+
 def removed_categories(c: Column) -> Column:
     """Distinct categories that :func:`mask` removes, in order of appearance."""
     return F.when(c.isNotNull(), F.coalesce(_categories_udf(_where(c, _needs_masking)), F.array().cast("array<string>")))

@@ -6,12 +6,16 @@ Rows carry ``import_batch_id``, ``validation_status``, ``rejection_reason_code``
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guichet import fixed_values as fv
+from guichet.functions.pseudonym import pseudonym
+from guichet.operators.mapping import as_text, as_timestamp
+from guichet.sources import storage
 
 _PROVIDER_FIELDS = sorted(
     {
@@ -73,3 +77,61 @@ def payload_profile(payloads: DataFrame, column: str = "payload") -> DataFrame:
     members = F.map_keys(F.variant_get(F.col(column), "$", "map<string,variant>"))
     counts = payloads.select(F.explode(members).alias("column")).groupBy("column").agg(F.count(F.lit(1)).alias("payloads"))
     return counts.select("column", F.col("column").isin(*_PROVIDER_FIELDS).alias("is_mapped"), "payloads")
+
+
+def rejected_fields(payloads: DataFrame, batch: str, column: str = "payload") -> DataFrame:
+    """(batch, fields_seen_count, fields_rejected_count): members of the payloads of a batch, and those the mapping drops."""
+    members = F.map_keys(F.variant_get(F.col(column), "$", "map<string,variant>"))
+    dropped = F.size(F.filter(members, lambda m: ~m.isin(*_PROVIDER_FIELDS)))
+    return payloads.groupBy(batch).agg(F.sum(F.size(members)).alias("fields_seen_count"), F.sum(dropped).alias("fields_rejected_count"))
+
+
+def mapping_errors(payloads: DataFrame, column: str = "payload") -> DataFrame:
+    """One row: payloads, those without an identifier, and those with a date member that cannot be read, by date."""
+
+    def members(names: tuple[str, ...]):
+        return F.array(*(F.variant_get(F.col(column), f"$.{n}", "variant") for n in names))
+
+    ids = F.transform(members(fv.ID_FIELDS), as_text)
+    counts = [F.count(F.lit(1)).alias("payload_count"), F.count_if(~F.exists(ids, lambda t: F.coalesce(F.trim(t), F.lit("")) != "")).alias("missing_id_count")]
+    for name, fields in (("created", fv.CREATED_FIELDS), ("updated", fv.UPDATED_FIELDS), ("closed", fv.CLOSED_FIELDS)):
+        unread = F.exists(members(fields), lambda v: v.isNotNull() & ~F.is_variant_null(v) & as_timestamp(v).isNull())
+        counts.append(F.count_if(F.coalesce(unread, F.lit(False))).alias(f"unreadable_{name}_count"))
+    return payloads.agg(*counts)
+
+
+def purge_expired(spark: SparkSession, path: str, as_of: date, log_path: str, reason: str = "retention_deadline") -> int:
+    """Rewrite a table without the rows past their retention date; returns how many went.
+
+    The log of what goes is appended first, then the rows that stay are written hidden and
+    moved into place; a purge that broke off in between is repeated and logged again.
+    """
+    stored = spark.read.parquet(path)
+    gone = stored.filter(F.col("data_retention_until") < F.lit(as_of)).count()
+    if gone:
+        purge_log(stored, as_of, reason).write.mode("append").parquet(log_path)
+        draft = f"{path.rstrip('/')}-draft-{uuid.uuid4().hex}"
+        try:
+            retained(stored, as_of).write.parquet(draft)
+            storage.move(spark, draft, path)
+        except Exception:
+            storage.purge(spark, draft)
+            raise
+    return gone
+
+
+def pseudonymised(rows: DataFrame, secret: bytes, *columns: str, domains: tuple[str, ...] = ()) -> DataFrame:
+    """Columns replaced by their pseudonyms; of the addresses in ``domains`` the part behind the sign alone, lower-cased."""
+    made = {c: pseudonym(F.col(c).cast("string"), secret) for c in columns}
+    made |= {c: pseudonym(F.lower(F.nullif(F.substring_index(F.col(c), "@", -1), F.col(c))), secret) for c in domains}
+    return rows.withColumns(made)
+
+
+def log_predictions(predictions: DataFrame, path: str, secret: bytes, model_version: str, key: str = "external_ticket_id") -> None:
+    """Append (ticket_pseudonym, score, model_version, logged_at): no content and no identifier."""
+    predictions.select(
+        pseudonym(F.col(key).cast("string"), secret).alias("ticket_pseudonym"),
+        F.col("score").cast("double").alias("score"),
+        F.lit(model_version).alias("model_version"),
+        F.current_timestamp().alias("logged_at"),
+    ).write.mode("append").parquet(path)
