@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guichet.llm.store import carried, restored, written
+from guichet.llm.store import bounded_batches, carried, restored, written
 
 _WORD = re.compile(r"[^\W\d_]+")
 _MARK = "▁"
 _ROWS = 2048  # words in one lattice at a time
-_CACHE = 300_000  # words whose score a task remembers
+_CACHE = 200_000  # words whose score a task remembers
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -232,6 +232,7 @@ def fit(
     language only, at most vocabulary times languages. Rows with null text or language teach
     nothing; without any labelled row the model has no language.
     """
+    bounded_batches(docs)
     labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(key).alias("h")).filter("text is not null and lang is not null")
     spark, n = docs.sparkSession, labelled.select("lang").count()
     share = int(min(1.0, sample_docs / max(n, 1)) * 1_000_000)
@@ -316,6 +317,7 @@ def _typed(predict):
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score; columns of these names are replaced, all others stay."""
+    bounded_batches(docs)
     made = predictor(docs.sparkSession, model)(F.col(f"`{text}`"))
     found = docs.select(carried(docs, "lang_pred", "score"), made.alias("_made"))
     return found.select(*restored(docs, "lang_pred", "score"), "_made.lang_pred", "_made.score")

@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 
 from guichet.llm.components import components
 from guichet.llm.runs import by_run, in_block_pairs, lowest_labels
-from guichet.llm.store import written
+from guichet.llm.store import bounded_batches, written
 
 _GOLDEN = 0x9E3779B97F4A7C15
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
 _ELEMENTS = 150_000  # set elements that are signed at a time
 _BLOCK = 256  # classes of a bucket in a block
 _BLOCK_SHINGLES = 100_000  # shingles of a cluster in a block, on average
@@ -242,6 +242,7 @@ def near_duplicates(
     no component and are kept. Texts of any length are read whole.
     """
     bands = math.ceil(math.log(missed) / math.log(1 - (percent / 100) ** rows)) if percent < 100 else 1
+    bounded_batches(docs)
     source = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     features = written(source.mapInArrow(_features(words, bands, rows), _FEATURES))
     classes = written(features.filter("set_hash is not null and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("doc_id")))

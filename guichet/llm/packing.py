@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
+from guichet.llm.store import bounded_batches
+
 _REMEMBERED = 500_000
 # str.split() and Python's patterns also cut at four control characters, which tokenisers take for symbols.
 _NO_SPACE = re.compile("[\x1c-\x1f]")
@@ -69,6 +71,10 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Give back the memory of what was met, when a task ends and its worker goes on to other work."""
+        self.words, self.pieces = {}, {}
+
     @staticmethod
     def _ids(tokenizer, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -245,6 +251,7 @@ def pack(
     occur, null identifiers like others. Sequences are numbered by partition and order, and
     depend on the partition's rows alone. An empty table gives no rows.
     """
+    bounded_batches(docs)
     kind = docs.select(F.col(f"`{key}`")).schema[0].dataType
     fields = [StructField(key, kind), *(StructField(n, LongType()) for n in _OUT)]
     schema = StructType(fields)
@@ -296,6 +303,7 @@ def pack(
             put(pieces)
         if found:
             yield flush()
+        encoder.forget()
 
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -307,7 +315,7 @@ _encoders: dict[tuple[str, int], Encoder] = {}
 
 
 def _encoder(path: str, closing: int) -> Encoder:
-    """One per worker process, with the words it has met so far."""
+    """One per worker process; loading it takes longer than a small task."""
     if (path, closing) not in _encoders:
         _encoders[path, closing] = Encoder(path, closing)
     return _encoders[path, closing]

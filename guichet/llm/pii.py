@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from guichet.llm.store import carried, restored, written
+from guichet.llm.store import bounded_batches, carried, restored, written
 
 GIVEN = {
     ("f", "Latin"): "Anna Maria Mary Emma Laura Julia Sarah Claire Sophie Elena Carmen Lucia Marta Petra Ingrid Helga Monique Nathalie Rachel Susan Linda Karen Alice Helen Jane",
@@ -342,6 +342,7 @@ def pseudonymise(docs: DataFrame, key: bytes, *, text: str = "text") -> DataFram
     and empty texts. Rows are treated alike whatever their identifiers; other columns stay,
     one named pii_spans is replaced.
     """
+    bounded_batches(docs)
     column: Column = F.col(f"`{text}`")
     rows = docs.select(carried(docs, "pii_spans"), column.cast("string").alias("text"), F.coalesce(column.rlike(MARKS), F.lit(False)).alias("marked"))
     flagged = written(rows.filter("marked").withColumn("key", F.unhex(F.md5(F.col("text").cast("binary")))))

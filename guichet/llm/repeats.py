@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from guichet.llm.store import written
+from guichet.llm.store import bounded_batches, written
 
 GRAM = 32
 _SEGMENT = 1 << 21  # bytes that are hashed at a time; positions in it fit into 22 bits
@@ -188,6 +188,7 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", window: int = 400, si
         raise ValueError("each size must divide the one before, and the last one be 1")
     if not GRAM < window <= GRAM + 1000:
         raise ValueError(f"a window must have more than {GRAM} and at most {GRAM + 1000} bytes")
+    bounded_batches(docs)
     id_kind = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select("doc_id", F.col(f"`{text}`").alias("text"))
     schema = f"doc_id {id_kind}, n_bytes long, sha binary, ranges array<struct<digit:long,whole:long,at:long>>"
