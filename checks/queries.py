@@ -828,14 +828,18 @@ def guarded_export(spark, sf_dir):
         f"""SELECT 'real_export_blocked' AS mode, 'fail' AS status, 'findings_when_written:false' AS gates, total_source_count, included_count,
         excluded_historical_outlier_count, excluded_missing_ticket_created_at_count, pii_official_residual_count, secret_scan_count
         FROM (SELECT {_SCOPE_COUNTS} FROM tickets), (SELECT {_FINDINGS} FROM features)""",
-        O.FEATURES_CTE.strip(),
+        O.FEATURES_CTE.replace(
+            "FROM tickets WHERE",
+            "FROM (SELECT * REPLACE (CASE WHEN CAST(external_ticket_id AS BIGINT) % 10 = 0 THEN 'token: x ' || summary ELSE summary END AS summary) FROM tickets) WHERE",
+        ).strip(),
     )
 )
 def guarded_export_refused(spark, sf_dir):
-    """The raw records hold secrets: nothing is published, and the refusal says what was found."""
+    """Every tenth record starts with a secret: nothing is published, and the refusal says what was found."""
     path = shared_folder(spark) + ".parquet"
+    leaky = F.when(F.col("external_ticket_id").cast("bigint") % 10 == 0, F.concat(F.lit("token: x "), "summary")).otherwise(F.col("summary"))
     try:
-        export.export_features(feature_records(spark, sf_dir), requested=True, path=path, min_created=BOUNDARY)
+        export.export_features(feature_records(spark, sf_dir, leaky), requested=True, path=path, min_created=BOUNDARY)
     except export.ExportRefused as refused:
         report = refused.report(spark)
     if storage.exists(spark, path):

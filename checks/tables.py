@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guichet.session import configure
@@ -50,10 +50,11 @@ def stored_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_tickets(spark, sf_dir).drop("agent_id")
 
 
-def feature_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feature_records(spark: SparkSession, sf_dir: str, summary: Column | str = "summary") -> DataFrame:
     """Records for the feature dataset: two texts and a creation date as ISO text."""
     day = F.date_format("ticket_created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    return raw_tickets(spark, sf_dir).select("summary", "details", day.alias("ticket_created_at"))
+    text = F.col(summary) if isinstance(summary, str) else summary
+    return raw_tickets(spark, sf_dir).select(text.alias("summary"), "details", day.alias("ticket_created_at"))
 
 
 # ---------------------------------------------------------------- payloads
