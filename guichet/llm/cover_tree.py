@@ -210,7 +210,7 @@ def top_k(
     rows = written(rows)
     counts = rows.groupBy("n").agg(F.count(F.lit(1)).alias("data"), F.sum(F.col("asks").cast("long")).alias("queries"))
     counts = counts.select("n", F.ceil(F.col("data") / data_block).alias("data_blocks"), F.ceil(F.col("queries") / query_block).alias("query_blocks"))
-    dealt = rows.join(F.broadcast(counts), "n")
+    dealt = rows.join(counts, "n")
 
     hashed = F.xxhash64("vec_id", F.lit(1))
     seen = rows.withColumn("h", hashed).orderBy("h", "vec_id").limit(first_look).select("vec_id", "n", "v").toArrow()
@@ -240,10 +240,10 @@ def top_k(
     data = written(data.select("n", "block", "vec_id", "v").groupBy("n", "block").applyInArrow(grow, stored))
     asked = dealt.filter("asks").dropDuplicates(["vec_id", "v"])
     asked = written(asked.select("n", block_of("query_blocks"), "vec_id", "v").groupBy("n", "block").applyInArrow(grow_queries, stored))
-    data = data.join(F.broadcast(counts), "n").filter("query_blocks > 0")
+    data = data.join(counts, "n").filter("query_blocks > 0")
     data = data.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.col("query_blocks").cast("int") - 1)))
     data = data.select("n", F.col("block").alias("data_block"), "query_block", F.col("tree").alias("data"))
-    asked = asked.join(F.broadcast(counts), "n").withColumn("data_block", F.explode(F.sequence(F.lit(0), F.col("data_blocks").cast("int") - 1)))
+    asked = asked.join(counts, "n").withColumn("data_block", F.explode(F.sequence(F.lit(0), F.col("data_blocks").cast("int") - 1)))
     asked = asked.select("n", "data_block", F.col("block").alias("query_block"), F.col("tree").alias("queries"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
