@@ -140,12 +140,13 @@ def _settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     A heavy row stands for more than one place. To be split are, for each digit with several
     wholes of which one is found once, one row per whole.
     """
-    shared = rows.groupBy("digit").agg(F.sum(F.when(F.col("heavy"), 2).otherwise(1)).alias("n")).filter("n > 1").select("digit")
+    # Counts are written before they are joined back, so that a join can split a frequent digit.
+    shared = written(rows.groupBy("digit").agg(F.sum(F.when(F.col("heavy"), 2).otherwise(1)).alias("n")).filter("n > 1").select("digit"))
     rows = written(rows.join(shared, "digit"))
     uid = F.xxhash64("doc", "at")
     wholes = written(rows.groupBy("digit", "whole").agg(F.sum(F.when(F.col("heavy"), 2).otherwise(1)).alias("n"), F.min(uid).alias("uid")))
     repeated = rows.join(wholes.filter("n > 1").select("digit", "whole"), ["digit", "whole"]).filter(~F.col("heavy")).select("doc", "at")
-    mixed = wholes.groupBy("digit").agg(F.count(F.lit(1)).alias("wholes"), F.min("n").alias("least")).filter("wholes > 1 and least = 1").select("digit")
+    mixed = written(wholes.groupBy("digit").agg(F.count(F.lit(1)).alias("wholes"), F.min("n").alias("least")).filter("wholes > 1 and least = 1").select("digit"))
     split = wholes.join(mixed, "digit").select("digit", "whole", "uid", (F.col("n") > 1).alias("_heavy"))
     split = rows.join(split, ["digit", "whole"]).filter(uid == F.col("uid")).select("doc", "at", F.col("_heavy").alias("heavy")).distinct()
     return repeated, split
