@@ -23,15 +23,16 @@ def components(links: DataFrame) -> DataFrame:
 
     In each round every node hooks onto its smallest neighbour, if that is smaller than
     itself, climbs twice, and the links between what remains make the next round. All nodes
-    but local minima leave in a round; the smallest of a component never does. Rounds are
-    written to the shared folder. Links from a node to itself and null ends are ignored.
+    but local minima leave in a round; the smallest of a component never does. Rounds and their
+    steps are written to the shared folder, so that a node with very many neighbours is split
+    by the joins. Links from a node to itself and null ends are ignored.
     """
     least, greatest = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     links = written(links.filter("a != b").select(least, greatest).distinct())
     labels = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().withColumn("component", F.col("node"))
     while not links.isEmpty():
-        parents = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up"))
-        parents = written(_climbed(_climbed(parents)))
+        parents = written(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up")))
+        parents = written(_climbed(written(_climbed(parents))))
         labels = written(_moved(labels, "component", parents))
         moved = _moved(_moved(links, "a", parents), "b", parents)
         links = written(moved.filter("a != b").select(least, greatest).distinct())

@@ -249,7 +249,8 @@ def near_duplicates(
     members = features.join(classes, ["doc_id", "set_hash"]).dropDuplicates(["doc_id", "set_hash"])
     members = written(members.select("doc_id", "n_shingles", "sketch", "bands"))
     buckets = members.select(F.explode("bands").alias("band"), "doc_id")
-    sizes = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    # Counts are written before they are joined back, so that a join can split a large bucket.
+    sizes = written(buckets.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
     entries = written(buckets.join(sizes, "band"))
     entries = entries.join(members.select("doc_id", "n_shingles", "sketch"), "doc_id")
     entries = in_block_pairs(entries, "band", "doc_id", F.ceil(F.col("size") / _BLOCK))
@@ -257,7 +258,7 @@ def near_duplicates(
     clusters = components(by_run(entries, ["band", "i", "j"], _sketch_links(bands * rows, percent), "a long, b long"))
 
     clusters = written(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")).join(members.select("doc_id", "n_shingles"), "doc_id"))
-    sizes = clusters.groupBy("cluster").agg(F.sum("n_shingles").alias("size"))
+    sizes = written(clusters.groupBy("cluster").agg(F.sum("n_shingles").alias("size")))
     # Never broadcast: the plan is the same at every size, and texts are hashed to it, not sorted.
     clusters = written(clusters.join(sizes, "cluster").select("doc_id", "cluster", "size"))
     texts = source.join(clusters.hint("shuffle_hash"), "doc_id")
