@@ -27,7 +27,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from guichet.llm.store import bounded_batches
 
-_REMEMBERED = 500_000
+_REMEMBERED = 400_000
 # str.split() and Python's patterns also cut at four control characters, which tokenisers take for symbols.
 _NO_SPACE = re.compile("[\x1c-\x1f]")
 # Letters, single digits and runs of symbols of lower-cased Latin-1, behind the usual English endings.
@@ -41,6 +41,26 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in visible else chr(next(others)) for b in range(256)]
 
 
+class _Known(dict):
+    """Ids by word. When it is full, the words that were met in one batch of texts only go first."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.once: set[str] = set()
+
+    def unknown(self, words: set[str]) -> list[str]:
+        if len(self) > _REMEMBERED:
+            for w in self.once:
+                del self[w]
+            self.once = set()
+            if len(self) > _REMEMBERED * 3 // 4:
+                self.clear()
+        self.once -= words
+        new = words.difference(self)
+        self.once |= new
+        return list(new)
+
+
 class Encoder:
     """Token ids as unsigned 32-bit integers, the closing id behind each text.
 
@@ -68,12 +88,7 @@ class Encoder:
         self.bytewise = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(256)}
         self.marks = [t["content"] for t in described.get("added_tokens", [])]
         self.closing = array("I", [closing]).tobytes()
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def forget(self) -> None:
-        """Give back the memory of what was met, when a task ends and its worker goes on to other work."""
-        self.words, self.pieces = {}, {}
+        self.words, self.pieces = _Known(), _Known()
 
     @staticmethod
     def _ids(tokenizer, texts: list[str]) -> list[bytes]:
@@ -88,11 +103,9 @@ class Encoder:
             return False
         return True
 
-    def _learned(self, known: dict[str, bytes], split: list[list[str]], tokenizer, prepare) -> None:
+    def _learned(self, known: _Known, split: list[list[str]], tokenizer, prepare) -> None:
         """Add the ids of all words of ``split`` that are not known."""
-        if len(known) > _REMEMBERED:
-            known.clear()
-        new = list(set().union(*split).difference(known))
+        new = known.unknown(set().union(*split))
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
             known.update(zip(part, self._ids(tokenizer, prepare(part)), strict=True))
@@ -303,7 +316,6 @@ def pack(
             put(pieces)
         if found:
             yield flush()
-        encoder.forget()
 
     from pyspark.sql.pandas.types import to_arrow_schema
 
