@@ -48,6 +48,8 @@ _ENDING = {("f", "Latin"): "na", ("m", "Latin"): "ner", ("f", "Cyrillic"): "на
 _CAP = r"[A-ZÀ-ÖØ-ÞΆ-ΫА-ЯЁ][^\W\d_]*(?:['’-][^\W\d_]+)*"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
+_AMERICAN = r"1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+
 PATTERNS: list[tuple[str, re.Pattern]] = [
     ("email", re.compile(r"[\w.+%-]*[\w+%-]@[^\W_](?:[\w-]*[^\W_])?(?:\.[^\W_](?:[\w-]*[^\W_])?)*\.[^\W\d_]{2,}")),
     ("secret", re.compile(r"(?:(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key)\w*[\"']?\s*[=:]\s*[\"']?)(?P<own>[A-Za-z0-9+/_.=-]{8,})")),
@@ -55,7 +57,8 @@ PATTERNS: list[tuple[str, re.Pattern]] = [
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
     ("ip6", re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])")),
     ("ip4", re.compile(rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)")),
-    ("phone", re.compile(r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)")),
+    ("phone", re.compile(rf"(?<![\w+])\+{_AMERICAN}")),
+    ("phone", re.compile(rf"(?<![\w+])\+(?!{_AMERICAN})\d{{1,3}}(?:[ .-]?\(\d{{1,4}}\)|[ .-]?\d{{1,4}})(?:[ .-]?\d{{2,4}}){{1,4}}(?!\d|\.\d)")),
     ("phone", re.compile(r"(?<![\w+])(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?!\d)")),
     ("phone", re.compile(r"(?<![\w+])0\d(?:[ .-]\d{2}){4}(?!\d)")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
@@ -122,7 +125,11 @@ def _names(match: re.Match) -> Iterator[Mention]:
 
 
 def mentions(text: str) -> list[Mention]:
-    """All mentions in order, without overlaps: the one that begins first, then the longer one."""
+    """All mentions in order, without overlaps: the one that begins first, then the longer one.
+
+    One that begins inside another and ends behind it makes one secret of both, so that
+    nothing of either is left.
+    """
     found = []
     for kind, pattern in PATTERNS:
         for m in pattern.finditer(text):
@@ -136,6 +143,9 @@ def mentions(text: str) -> list[Mention]:
     for m in found:
         if not out or m.first >= out[-1].last:
             out.append(m)
+        elif m.last > out[-1].last:
+            first = out.pop().first
+            out.append(Mention(first, m.last, "secret", text[first : m.last]))
     return out
 
 

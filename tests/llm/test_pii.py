@@ -87,3 +87,17 @@ def test_odd_rows(odd_docs, no_docs):
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in rows) == sorted((r["doc_id"] or 0, r["text"] or "") for r in odd_docs.collect())
     assert all(r["pii_spans"] == [] for r in rows)
     assert pii.pseudonymise(no_docs, KEY).count() == 0
+
+
+def test_neighbours_keep_apart():
+    found = lambda t: [(m.kind, t[m.first : m.last]) for m in pii.mentions(t)]
+    assert found("Des +1 (826) 555-4081 190.137.223.204 du") == [("phone", "+1 (826) 555-4081"), ("ip4", "190.137.223.204")]
+    assert found("+1 (743) 555-3824 4785380592391139 x") == [("phone", "+1 (743) 555-3824"), ("account", "4785380592391139")]
+    assert found("+33 1 23 45 67 89 10.1.2.3.") == [("phone", "+33 1 23 45 67 89"), ("ip4", "10.1.2.3")]
+    assert found("a@b.example.com 10.0.0.1 a@b.example.com") == [("email", "a@b.example.com"), ("ip4", "10.0.0.1"), ("email", "a@b.example.com")]
+
+
+def test_overlaps_leave_nothing():
+    text = "token=abcdefgh12345678@mail.example.com end"
+    made, spans = pii.replaced(text, lambda kind, canonical: pii.surrogate(kind, canonical, 0, KEY))
+    assert "abcdefgh" not in made and "mail" not in made and made.endswith(" end") and len(spans) == 1
