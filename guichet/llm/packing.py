@@ -41,22 +41,22 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in visible else chr(next(others)) for b in range(256)]
 
 
-class _Known(dict):
+class _Known:
     """Ids by word. When it is full, the words that were met in one batch of texts only go first."""
 
     def __init__(self) -> None:
-        super().__init__()
+        self.ids: dict[str, bytes] = {}
         self.once: set[str] = set()
 
     def unknown(self, words: set[str]) -> list[str]:
-        if len(self) > _REMEMBERED:
+        if len(self.ids) > _REMEMBERED:
             for w in self.once:
-                del self[w]
+                del self.ids[w]
             self.once = set()
-            if len(self) > _REMEMBERED * 3 // 4:
-                self.clear()
+            if len(self.ids) > _REMEMBERED * 3 // 4:
+                self.ids.clear()
         self.once -= words
-        new = words.difference(self)
+        new = words.difference(self.ids)
         self.once |= new
         return list(new)
 
@@ -108,7 +108,7 @@ class Encoder:
         new = known.unknown(set().union(*split))
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
-            known.update(zip(part, self._ids(tokenizer, prepare(part)), strict=True))
+            known.ids.update(zip(part, self._ids(tokenizer, prepare(part)), strict=True))
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         pieces: dict[int, list[str]] = {}
@@ -124,9 +124,9 @@ class Encoder:
         self._learned(self.words, list(words.values()), self.tokenizer, lambda part: part)
         for i, t in enumerate(texts):
             if i in pieces:
-                ids = b"".join(map(self.pieces.__getitem__, pieces[i]))
+                ids = b"".join(map(self.pieces.ids.__getitem__, pieces[i]))
             elif i in words:
-                ids = b"".join(map(self.words.__getitem__, words[i]))
+                ids = b"".join(map(self.words.ids.__getitem__, words[i]))
             else:
                 ids = self._ids(self.tokenizer, [t])[0] if t else b""
             yield ids + self.closing
