@@ -37,7 +37,6 @@ HEADLINE = (
     "payload_to_ticket",
     "guarded_tickets",
     "keyed_merge",
-    "keyed_table",
     "merge_counts",
     "parse_date_text",
     "pseudonyms",
