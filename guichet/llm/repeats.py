@@ -208,7 +208,7 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", window: int = 400, si
             work = texts
         else:
             work = texts.select("doc", "text").join(items, "doc")
-        rows = work.mapInArrow(_next_pass(window, above, size), _ITEMS).dropDuplicates(["doc", "at"])
+        rows = written(work.mapInArrow(_next_pass(window, above, size), _ITEMS).dropDuplicates(["doc", "at"]))
         repeated, split = _settle(rows)
         found.append(repeated)
     spans = found[0]
