@@ -27,7 +27,6 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from guichet.llm.store import bounded_batches
 
-_REMEMBERED = 300_000
 # str.split() and Python's patterns also cut at four control characters, which tokenisers take for symbols.
 _NO_SPACE = re.compile("[\x1c-\x1f]")
 # Letters, single digits and runs of symbols of lower-cased Latin-1, behind the usual English endings.
@@ -49,7 +48,7 @@ class Encoder:
     texts in Latin-1 are split here, and their different pieces go straight to its merges.
     """
 
-    def __init__(self, path: str, closing: int) -> None:
+    def __init__(self, path: str, closing: int, remembered: int = 200_000) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
@@ -68,6 +67,7 @@ class Encoder:
         self.bytewise = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(256)}
         self.marks = [t["content"] for t in described.get("added_tokens", [])]
         self.closing = array("I", [closing]).tobytes()
+        self.remembered = remembered
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -86,7 +86,7 @@ class Encoder:
 
     def _learned(self, known: dict[str, bytes], split: list[list[str]], tokenizer, prepare) -> None:
         """Add the ids of all words of ``split`` that are not known."""
-        if len(known) > _REMEMBERED:
+        if len(known) > self.remembered:
             known.clear()
         new = list(set().union(*split).difference(known))
         for at in range(0, len(new), 20_000):
@@ -232,6 +232,7 @@ def pack(
     limits: Limits = Limits(),
     split: bool = True,
     pool: int = 1024,
+    remembered: int = 200_000,
     with_ids: bool = False,
 ) -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, loss_tokens, sequence_id, offset.
@@ -241,7 +242,8 @@ def pack(
     than a sequence are cut into whole sequences and a rest. With ``split``, rests are cut
     too: all sequences are full but where segments or loss run out first, and the last ones
     of a partition, which have lengths that are powers of two. Without it only documents
-    longer than a sequence are cut. ``with_ids`` adds the ids as an array.
+    longer than a sequence are cut. ``remembered`` is the number of words whose ids a worker
+    keeps, some 200 bytes each, before it starts anew. ``with_ids`` adds the ids as an array.
 
     Null and empty text have the closing id only. Repeated rows are packed as often as they
     occur, null identifiers like others. Sequences are numbered by partition and order, and
@@ -257,7 +259,7 @@ def pack(
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"), share.alias("loss"), F.spark_partition_id().alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer, closing)
+        encoder = _encoder(tokenizer, closing, remembered)
         packer, made, base = Packer(limits, split, pool), 0, 0
         found: list[tuple] = []
 
@@ -306,11 +308,11 @@ def pack(
     return rows.mapInArrow(run, schema)
 
 
-_encoders: dict[tuple[str, int], Encoder] = {}
+_encoders: dict[tuple[str, int, int], Encoder] = {}
 
 
-def _encoder(path: str, closing: int) -> Encoder:
+def _encoder(path: str, closing: int, remembered: int) -> Encoder:
     """One per worker process; loading it takes longer than a small task."""
-    if (path, closing) not in _encoders:
-        _encoders[path, closing] = Encoder(path, closing)
-    return _encoders[path, closing]
+    if (path, closing, remembered) not in _encoders:
+        _encoders[path, closing, remembered] = Encoder(path, closing, remembered)
+    return _encoders[path, closing, remembered]

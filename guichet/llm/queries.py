@@ -47,7 +47,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered()
 def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(table(spark, sf_dir, "documents"), public_vocabulary("word_bpe_49k.json"))
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_vocabulary("word_bpe_49k.json"), remembered=600_000)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
