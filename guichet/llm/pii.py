@@ -37,6 +37,8 @@ TITLES = {
     "f": "Mrs Ms Miss Frau Madame Mme Mlle Señora Sra Srta Г-жа Госпожа Κυρία",
     "n": "Dr Prof",
 }
+_SYMBOLS = "+/_.=-"
+_PRIVATE = [ipaddress.ip_network(block) for block in ("10.0.0.0/8", "172.16.0.0/12", "192.168.0.0/16")]
 _GENDER = {name: gender for (gender, _), names in GIVEN.items() for name in names.split()}
 _TITLE = {title: gender for gender, titles in TITLES.items() for title in titles.split()}
 _SYLLABLES = {
@@ -112,6 +114,11 @@ def _canonical(kind: str, text: str) -> str:
     return text if kind == "secret" else text.lower()
 
 
+def _drawn(text: str) -> bool:
+    """Whether what stands where a secret would is a blank to fill in or a ruled line."""
+    return not any(c.isalnum() for c in text) and len(set(text)) < 3
+
+
 def _names(match: re.Match) -> Iterator[Mention]:
     """A mention per name: the last is the surname, those before are given names of the title's or the name's gender."""
     titled = _TITLE.get(match.groupdict().get("title") or "", "n")
@@ -134,6 +141,8 @@ def mentions(text: str) -> list[Mention]:
     for kind, pattern in PATTERNS:
         for m in pattern.finditer(text):
             name = "own" if "own" in pattern.groupindex else 0
+            if kind == "secret" and _drawn(m[name]):
+                continue
             found.append(Mention(m.start(name), m.end(name), kind, _canonical(kind, m[name])))
     for pattern in (_TITLED, _NAMED):
         for m in pattern.finditer(text):
@@ -210,15 +219,41 @@ def _email(canonical: str, key: bytes, s: _Stream, attempt: int) -> str:
     return f"{made}@{'.'.join(x for x in (other, *labels[-fixed:]) if x)}"
 
 
-def _iban(canonical: str, s: _Stream) -> str:
+def _secret(canonical: str, s: _Stream, attempt: int) -> str:
+    """Symbols are replaced too where there is nothing else."""
+    more = max(0, attempt - 2)
+    if not any(c.isalnum() for c in canonical):
+        return "".join(s.pick(_SYMBOLS) for _ in range(len(canonical) + more))
+    hexadecimal = re.fullmatch("[0-9a-f]+", canonical)
+    made = "".join(s.pick("0123456789abcdef") for _ in canonical) if hexadecimal else _like(canonical, s)
+    return made + "".join(s.pick("0123456789abcdef") for _ in range(more))
+
+
+def _iban(canonical: str, s: _Stream, attempt: int) -> str:
     body = "".join(s.pick("0123456789") if c.isdigit() else s.pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in canonical[4:])
+    body += "".join(s.pick("0123456789") for _ in range(max(0, attempt - 20)))
     number = int("".join(str(int(c, 36)) for c in body + canonical[:2] + "00"))
     return f"{canonical[:2]}{98 - number % 97:02d}{body}"
 
 
-def _ip4(canonical: str, s: _Stream) -> str:
-    own = canonical.split(".")
-    keep = 1 if own[0] in ("10", "127") else 2 if ipaddress.ip_address(canonical).is_private else 0
+def _ip4(canonical: str, s: _Stream, attempt: int) -> str:
+    """Private addresses leave their two octets for their block, and that for all private ones, when it is full.
+
+    Only with those full too any address will do, and at last one of IPv6.
+    """
+    own, address = canonical.split("."), ipaddress.ip_address(canonical)
+    if attempt >= 40:
+        return ":".join(["fd00", *(f"{s.below(65536):04x}" for _ in range(7))])
+    if attempt >= 30:
+        return str(ipaddress.ip_address(s.below(1 << 32)))
+    if attempt >= 3 and address.is_private:
+        blocks = [b for b in _PRIVATE if address in b and attempt < 5] or _PRIVATE
+        at = s.below(sum(b.num_addresses for b in blocks))
+        for block in blocks:
+            if at < block.num_addresses:
+                return str(block[at])
+            at -= block.num_addresses
+    keep = 1 if own[0] in ("10", "127") else 2 if address.is_private else 0
     public = [str(x) for x in range(1, 224) if x not in (10, 100, 127, 169, 172, 192, 198, 203)]
     made = own[:keep] or [s.pick(public)]
     return ".".join(made + [str(s.below(256)) for _ in range(4 - len(made))])
@@ -245,15 +280,13 @@ def surrogate(kind: str, canonical: str, attempt: int, key: bytes) -> str:
     if kind == "email":
         return _email(canonical, key, s, attempt)
     if kind == "iban":
-        return _iban(canonical, s)
+        return _iban(canonical, s, attempt)
     if kind == "ip4":
-        return _ip4(canonical, s)
+        return _ip4(canonical, s, attempt)
     if kind == "ip6":
         return ":".join(f"{s.below(65536):04x}" for _ in range(8))
     if kind == "secret":
-        if re.fullmatch("[0-9a-f]+", canonical):
-            return "".join(s.pick("0123456789abcdef") for _ in canonical)
-        return _like(canonical, s)
+        return _secret(canonical, s, attempt)
     return _name(kind, s, attempt)
 
 

@@ -1,3 +1,4 @@
+import ipaddress
 import re
 
 import pytest
@@ -101,3 +102,26 @@ def test_overlaps_leave_nothing():
     text = "token=abcdefgh12345678@mail.example.com end"
     made, spans = pii.replaced(text, lambda kind, canonical: pii.surrogate(kind, canonical, 0, KEY))
     assert "abcdefgh" not in made and "mail" not in made and made.endswith(" end") and len(spans) == 1
+
+
+def test_symbols_only_come_to_an_end(spark):
+    """Blanks and ruled lines are no secrets; a secret of symbols gets another one."""
+    drawn = ["Password: ________ (fill in)", "token: ----------", "Tokenizer\n=========\nText", "secret = ________."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*drawn, "password: +/_.=-+/ x"])], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in pii.pseudonymise(df, KEY).collect()}
+    assert [rows[i]["text"] for i in range(4)] == drawn and not any(rows[i]["pii_spans"] for i in range(4))
+    made = rows[4]["text"]
+    assert "+/_.=-+/" not in made and re.fullmatch(r"password: [+/_.=-]{8} x", made) and rows[4]["pii_spans"][0]["kind"] == "secret"
+
+
+def test_full_spaces_come_to_an_end(spark):
+    """Every address of a private block, and every secret of its form, is real."""
+    full = [("ip4", f"192.168.{a}.{b}") for a in range(256) for b in range(256)]
+    full += [("secret", f"--------{c}") for c in "abcdefghijklmnopqrstuvwxyz0123456789"] + [("secret", "________")]
+    found = [tuple(r) for r in pii.surrogates(spark.createDataFrame(full, "kind string, canonical string"), KEY).collect()]
+    assert sorted(f[:2] for f in found) == sorted(full)
+    assert len({(k, s) for k, _, s in found}) == len(found) and not {(k, s) for k, _, s in found} & set(full)
+    assert all(ipaddress.ip_address(s).is_private for k, _, s in found if k == "ip4")
+    for attempt in (0, 25, 60):
+        made = pii.surrogate("iban", "DE89370400440532013000", attempt, KEY)
+        assert len(made) == 22 + max(0, attempt - 20) and int("".join(str(int(c, 36)) for c in made[4:] + made[:4])) % 97 == 1
