@@ -57,7 +57,7 @@ PATTERNS: list[tuple[str, re.Pattern]] = [
     ("secret", re.compile(r"(?:(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key)\w*[\"']?\s*[=:]\s*[\"']?)(?P<own>[A-Za-z0-9+/_.=-]{8,})")),
     ("secret", re.compile(r"(?<![A-Za-z0-9])(?P<own>(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,})")),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
-    ("ip6", re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])")),
+    ("ip6", re.compile(rf"(?:(?<![\w:])|(?<=[^\W0-9A-Fa-f]:)|(?<=[Vv]6:))(?:[0-9A-Fa-f]{{0,4}}:){{2,8}}(?:(?:{_OCTET}\.){{3}}{_OCTET}|[0-9A-Fa-f]{{1,4}}|(?<=::)(?<!:::))(?!\w|:[\w:])")),
     ("ip4", re.compile(rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)")),
     ("phone", re.compile(rf"(?<![\w+])\+{_AMERICAN}")),
     ("phone", re.compile(rf"(?<![\w+])\+(?!{_AMERICAN})\d{{1,3}}(?:[ .-]?\(\d{{1,4}}\)|[ .-]?\d{{1,4}})(?:[ .-]?\d{{2,4}}){{1,4}}(?!\d|\.\d)")),
@@ -110,10 +110,19 @@ def _canonical(kind: str, text: str) -> str:
     if kind == "iban":
         return text.replace(" ", "")
     if kind == "ip6":
-        return ipaddress.ip_address(text).exploded
+        return ipaddress.ip_address(text).packed.hex(":", 2)
     return text if kind == "secret" else text.lower()
 
 
+def _address(text: str) -> bool:
+    """Whether it is an IPv6 address of somebody: not ::, ::1, nor the ::2 of a slice."""
+    try:
+        address = ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return not (text.startswith("::") and "." not in text and int(address) < 1 << 32)
+
+
 def _drawn(text: str) -> bool:
     """Whether what stands where a secret would is a blank to fill in or a ruled line."""
     return not any(c.isalnum() for c in text) and len(set(text)) < 3
@@ -126,14 +135,30 @@ def _names(match: re.Match) -> Iterator[Mention]:
     own = next((_GENDER[p] for _, p in parts if p in _GENDER), "n")
     gender = titled if titled != "n" else own
     for i, (at, name) in enumerate(parts):
+        name = re.sub("['’]s$", "", name)
         given = i < len(parts) - 1 or len(parts) == 1 and name in _GENDER
         kind = f"given-{gender}" if given else "surname"
         yield Mention(at, at + len(name), f"{kind}-{script_of(name)}", name.lower())
 
 
+def _again(text: str, names: list[Mention]) -> Iterator[Mention]:
+    """Each further place of a name as it is written there, of the kind that it has first; initials are no names."""
+    known: dict[str, Mention] = {}
+    for m in sorted(names, key=lambda m: m.first):
+        if m.last - m.first > 1:
+            known.setdefault(text[m.first : m.last], m)
+    if known:
+        taken = {m.first for m in names}
+        either = "|".join(map(re.escape, sorted(known, key=len, reverse=True)))
+        for m in re.finditer(rf"(?<!\w)(?:{either})(?!\w)", text):
+            if m.start() not in taken:
+                yield Mention(m.start(), m.end(), known[m.group()].kind, known[m.group()].canonical)
+
+
 def mentions(text: str) -> list[Mention]:
     """All mentions in order, without overlaps: the one that begins first, then the longer one.
 
+    A name that a title or a given name shows is one wherever else it stands in the text.
     One that begins inside another and ends behind it makes one secret of both, so that
     nothing of either is left.
     """
@@ -141,12 +166,11 @@ def mentions(text: str) -> list[Mention]:
     for kind, pattern in PATTERNS:
         for m in pattern.finditer(text):
             name = "own" if "own" in pattern.groupindex else 0
-            if kind == "secret" and _drawn(m[name]):
+            if kind == "secret" and _drawn(m[name]) or kind == "ip6" and not _address(m[name]):
                 continue
             found.append(Mention(m.start(name), m.end(name), kind, _canonical(kind, m[name])))
-    for pattern in (_TITLED, _NAMED):
-        for m in pattern.finditer(text):
-            found += _names(m)
+    names = [name for pattern in (_TITLED, _NAMED) for m in pattern.finditer(text) for name in _names(m)]
+    found += [*names, *_again(text, names)]
     found.sort(key=lambda m: (m.first, -m.last))
     out: list[Mention] = []
     for m in found:
@@ -284,12 +308,23 @@ def surrogate(kind: str, canonical: str, attempt: int, key: bytes) -> str:
     if kind == "ip4":
         return _ip4(canonical, s, attempt)
     if kind == "ip6":
-        return ":".join(f"{s.below(65536):04x}" for _ in range(8))
+        return ":".join("0000" if group == "0000" and attempt < 4 else f"{1 + s.below(65535):04x}" for group in canonical.split(":"))
     if kind == "secret":
         return _secret(canonical, s, attempt)
     return _name(kind, s, attempt)
 
 
+def _ip6_like(mention: str, made: str) -> str:
+    """Shortened, with leading zeros, or with an end in octets, as the mention is."""
+    tail = str(ipaddress.IPv4Address(int(ipaddress.IPv6Address(made)) & 0xFFFFFFFF)) if "." in mention else ""
+    if "::" in mention:
+        groups = made.split(":")
+        short = ipaddress.IPv6Address(":".join([*groups[:6], "1", "1"]) if tail else made).compressed
+        return short.removesuffix("1:1") + tail if tail else short
+    out = made.split(":") if re.search(r"(?<![0-9A-Fa-f])0[0-9A-Fa-f]", mention) else [f"{int(x, 16):x}" for x in made.split(":")]
+    return ":".join([*out[:6], tail] if tail else out)
+
+
 def written_like(mention: str, kind: str, made: str) -> str:
     """The surrogate in the format of the mention it replaces."""
     if kind in ("phone", "ssn", "account", "iban"):
@@ -299,10 +334,10 @@ def written_like(mention: str, kind: str, made: str) -> str:
         return "".join(out + left)
     if kind == "secret":
         return made
+    if kind == "ip6":
+        made = _ip6_like(mention, made)
     if mention.isupper():
         return made.upper()
-    if kind == "ip6" and ":0" not in mention and mention == mention.lower():
-        return ":".join(f"{int(x, 16):x}" for x in made.split(":"))
     return made.title() if kind.startswith(("given", "surname")) else made
 
 
@@ -380,7 +415,7 @@ def pseudonymise(docs: DataFrame, key: bytes, *, text: str = "text") -> DataFram
 
     Kinds: email, phone, account and card numbers, social security numbers, IBANs, IP
     addresses, secrets behind a name like token, and personal names behind a title or a known
-    given name. Only texts with a digit, one of the signs these need, a title or a given name
+    given name, with all further mentions of these in the same text that are written alike. Only texts with a digit, one of the signs these need, a title or a given name
     go to Python, whole; all others stay as they are and have no spans, as do null
     and empty texts. Rows are treated alike whatever their identifiers; other columns stay,
     one named pii_spans is replaced.

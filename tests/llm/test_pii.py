@@ -125,3 +125,28 @@ def test_full_spaces_come_to_an_end(spark):
     for attempt in (0, 25, 60):
         made = pii.surrogate("iban", "DE89370400440532013000", attempt, KEY)
         assert len(made) == 22 + max(0, attempt - 20) and int("".join(str(int(c, 36)) for c in made[4:] + made[:4])) % 97 == 1
+
+
+def test_short_forms_of_addresses():
+    found = lambda t: [(m.kind, t[m.first : m.last]) for m in pii.mentions(t)]
+    for address in ("2001:db8::1", "fe80::1", "2001:db8::", "::ffff:192.168.1.7", "2001:DB8::A", "2001:db8:0:0:0:0:0:1", "64:ff9b::10.1.2.3", "::2:3:4:5:6:7:8"):
+        for text in (f"from {address}.", f"[{address}]:80", f"ip:{address}", f"IPv6:{address}/64", f"{address}: up", f"{address}%eth0"):
+            assert found(text) == [("ip6", address)], text
+    for text in ("a[::2] or x[::-1]", "std::vector<int> v", "at 12:30:45", "00:1a:2b:3c:4d:5e", "Foo::bar and ::", "localhost ::1", "1:2:3::4::5"):
+        assert found(text) == [], text
+    made, spans = pii.replaced("2001:db8::1 = 2001:0db8:0000:0000:0000:0000:0000:0001, ::ffff:192.168.1.7", lambda k, c: pii.surrogate(k, c, 0, KEY))
+    short, long, dotted = (made[s["first"] : s["last"]] for s in spans)
+    assert "::" in short and ipaddress.ip_address(short) == ipaddress.ip_address(long) != ipaddress.ip_address("2001:db8::1") and len(long) == 39
+    assert re.fullmatch(r"::[0-9a-f]+:(\d+\.){3}\d+", dotted) and ipaddress.ip_address(dotted)
+
+
+def test_further_mentions_of_a_name(spark):
+    text = "Mr John Smith's car. Smith saw Anna Schmidt; Anna and Schmidt left, John Smith too. Smithson, smith@x.example.com and plan J stay, as Dr J Moore said."
+    df = spark.createDataFrame([(1, text), (2, "Smith and Anna elsewhere")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in pii.pseudonymise(df, KEY).collect()}
+    made = rows[1]["text"]
+    assert not re.search(r"(?<!\w)(John|Smith|Anna|Schmidt|Moore)(?!\w)", made) and "Smithson" in made and "plan J stay" in made and "'s car" in made
+    spans = [(s["kind"], made[s["first"] : s["last"]]) for s in rows[1]["pii_spans"]]
+    john, smith, again, anna, schmidt, anna2, schmidt2, john2, smith2 = spans[:9]
+    assert smith == again == smith2 and john == john2 and anna == anna2 and schmidt == schmidt2
+    assert rows[2]["text"] == "Smith and Anna elsewhere"
