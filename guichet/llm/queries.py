@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guichet.llm import cover_tree, embedding_dedup, language, licences, minhash, mixing, packing, pii, repeats, sharding
+from guichet.llm import alignment, cover_tree, embedding_dedup, language, licences, minhash, mixing, packing, pii, repeats, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -187,3 +187,8 @@ SURROGATE_KEY = b"corpus-surrogates"
 def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, SURROGATE_KEY).withColumn("n_entities", F.size("pii_spans").cast("long"))
+
+
+@registered()
+def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_vocabulary("byte_bpe_50k.json"), public_vocabulary("piece_bpe_32k.model"))
