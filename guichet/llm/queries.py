@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guichet.llm import alignment, cover_tree, embedding_dedup, language, licences, minhash, mixing, packing, pii, repeats, sharding
+from guichet.llm import alignment, cover_tree, embedding_dedup, language, licences, minhash, mixing, packing, pii, repeats, sharding, warc
+from guichet.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -192,3 +193,22 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), public_vocabulary("byte_bpe_50k.json"), public_vocabulary("piece_bpe_32k.model"))
+
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+    max(page_id) OVER (PARTITION BY html) AS latest FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < latest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < latest THEN latest END AS refers_to
+FROM d
+"""
+
+
+@registered(_WARC_SQL)
+def op12_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), path, key="page_id", url="url", payload="html")
+    pages = warc.read_pages(spark, path)
+    return pages.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
