@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guichet.llm import alignment, cover_tree, embedding_dedup, language, licences, minhash, mixing, packing, pii, repeats, sharding, warc
+from guichet.llm import alignment, conversation_trie, cover_tree, embedding_dedup, language, licences, minhash, mixing, packing, pii, repeats, sharding, warc
 from guichet.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -212,3 +212,39 @@ def op12_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archives(table(spark, sf_dir, "pages"), path, key="page_id", url="url", payload="html")
     pages = warc.read_pages(spark, path)
     return pages.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+_TRIE_SQL = """
+WITH t AS (SELECT conv_id, len(coalesce(text, ''))::BIGINT AS points, md5(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({'d': digest, 'p': points} ORDER BY turn NULLS FIRST, digest) AS own,
+    xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END))) % 6 AS h
+  FROM t GROUP BY conv_id),
+r AS (SELECT c.conv_id, list_concat(coalesce(b.own, [])[1:c.h], c.own[c.h + 1:]) AS turns FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100),
+p AS (SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM r),
+k AS (SELECT conv_id, n, depth, md5(array_to_string(list_transform(turns[1:depth], lambda x: x.d), '')) AS key,
+    CASE WHEN depth > 0 THEN md5(array_to_string(list_transform(turns[1:depth - 1], lambda x: x.d), '')) END AS up,
+    CASE WHEN depth > 0 THEN turns[depth].p ELSE 0 END AS points FROM p),
+m AS (SELECT depth, key, any_value(up) AS up, any_value(points) AS points, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = depth)), sha256('')) AS ends_sha256 FROM k GROUP BY depth, key),
+f AS (SELECT a.*, b.conv_id AS parent_conv_id, (SELECT count(*) FROM m x WHERE x.up = a.key AND x.depth = a.depth + 1) AS n_children
+  FROM m a LEFT JOIN m b ON b.key = a.up AND b.depth = a.depth - 1),
+-- Each node lies below the prefixes of its smallest member.
+s AS (SELECT k.depth, k.key, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.points) AS saved_tokens
+  FROM f JOIN k ON k.conv_id = f.conv_id AND k.depth <= f.depth GROUP BY k.depth, k.key)
+SELECT f.conv_id, f.depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM f JOIN s ON s.key = f.key AND s.depth = f.depth
+"""
+
+
+@registered(_TRIE_SQL)
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = conversation_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    first = own.filter("conv_id % 100 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 5).alias("head"))
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    joined = own.join(first, F.col("conv_id") - F.col("conv_id") % 100 == F.col("base"), "left").withColumn("h", h.cast("int"))
+    head = F.coalesce(F.slice("head", F.lit(1), F.col("h")), F.slice("turns", 1, 0))
+    rebuilt = joined.select("conv_id", F.concat(head, F.slice("turns", F.col("h") + 1, F.size("turns"))).alias("turns"))
+    return conversation_trie.prefix_trie(rebuilt)
