@@ -23,7 +23,7 @@ from guichet import fixed_values as fv
 from guichet.functions import dates as D
 from guichet.functions import text as X
 from guichet.functions.pseudonym import pseudonym
-from guichet.operators import contract, eda, evaluation, features, guardrails, lifecycle, mapping, merge, redundancy, scope
+from guichet.operators import contract, eda, evaluation, features, guardrails, lifecycle, mapping, merge, pairs, redundancy, scope, similar, terms
 from guichet.plans import dry_run, eda_report, export, ingest
 from guichet.schema import CLEAN, STORED
 from guichet.session import shared_folder
@@ -963,20 +963,111 @@ def duplicate_counts(spark, sf_dir):
     return redundancy.duplicate_counts(load(spark, sf_dir, "documents"), "text")
 
 
+_REDUNDANT_SQL = """SELECT b.k AS external_ticket_id, arg_min(a.k, (a.day, a.k)) AS earlier FROM w a JOIN w b ON a.client = b.client AND a.k <> b.k
+    AND date_diff('day', a.day, b.day) BETWEEN 0 AND 400 AND (a.day, a.k) < (b.day, b.k)
+    WHERE 100 * len(list_intersect(a.words, b.words)) >= 80 * (len(a.words) + len(b.words) - len(list_intersect(a.words, b.words))) GROUP BY b.k"""
+_WORDS_CTE = """w AS (SELECT external_ticket_id AS k, agent_id[1:1] AS client, CAST(ticket_created_at AS DATE) AS day, list_distinct(list_filter(string_split(
+    regexp_replace(lower(summary || ' ' || details), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')) AS words FROM tickets
+    WHERE ticket_created_at IS NOT NULL)"""
+
+
+@check(O.with_tickets(_REDUNDANT_SQL, _WORDS_CTE))
+def redundant_tickets(spark, sf_dir):
+    """Similar tickets of one client within some time; clients are coarse here, so that they have several."""
+    return redundancy.redundant_tickets(_whole_tickets(spark, sf_dir), "client", text="whole", days=400)
+
+
+def _whole_tickets(spark, sf_dir) -> DataFrame:
+    return raw_tickets(spark, sf_dir).withColumns({"client": F.substring("agent_id", 1, 1), "whole": F.concat_ws(" ", "summary", "details")})
+
+
+#: weighted terms of every ticket, rarest first by df and term
+_VECTORS_CTE = """u AS (SELECT external_ticket_id AS k, unnest(list_filter(string_split(regexp_replace(lower(concat_ws(' ', summary, details)), '[^a-z0-9]+', ' ', 'g'), ' '),
+        lambda x: x <> '')) AS term FROM tickets),
+    c AS (SELECT k, term, count(*) AS n FROM u GROUP BY 1, 2),
+    m AS (SELECT term, count(*) AS df, ln((1.0 + (SELECT count(DISTINCT k) FROM c))::DOUBLE / (1.0 + count(*))) + 1 AS idf FROM c GROUP BY term),
+    v AS (SELECT k, term, df, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY k)) AS weight FROM c JOIN m USING (term))"""
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _vectors(spark, sf_dir) -> DataFrame:
+    counts = _stored(terms.term_counts(_whole_tickets(spark, sf_dir), "external_ticket_id", "whole"))
+    return _stored(terms.vectors(counts, _stored(terms.fit(counts))))
+
+
+@check(O.with_tickets("SELECT term, df, round(idf, 6) AS idf FROM m", _VECTORS_CTE))
+def term_model(spark, sf_dir):
+    return _rounded(terms.fit(_stored(terms.term_counts(_whole_tickets(spark, sf_dir), "external_ticket_id", "whole"))), "idf")
+
+
+@check(O.with_tickets("SELECT k AS external_ticket_id, row_number() OVER (PARTITION BY k ORDER BY df, term) AS place, term, round(weight, 6) AS weight FROM v", _VECTORS_CTE))
+def term_vectors(spark, sf_dir):
+    spelled = _vectors(spark, sf_dir).select(F.col("key").alias("external_ticket_id"), F.posexplode("vector").alias("pos", "t"))
+    return spelled.select("external_ticket_id", (F.col("pos") + 1).cast("long").alias("place"), "t.term", F.round("t.weight", 6).alias("weight"))
+
+
 @check(
     O.with_tickets(
-        """SELECT b.k AS external_ticket_id, arg_min(a.k, (a.day, a.k)) AS earlier FROM w a JOIN w b ON a.client = b.client AND a.k <> b.k
-        AND date_diff('day', a.day, b.day) BETWEEN 0 AND 400 AND (a.day, a.k) < (b.day, b.k)
-        WHERE 100 * len(list_intersect(a.words, b.words)) >= 80 * (len(a.words) + len(b.words) - len(list_intersect(a.words, b.words))) GROUP BY b.k""",
-        """w AS (SELECT external_ticket_id AS k, agent_id[1:1] AS client, CAST(ticket_created_at AS DATE) AS day, list_distinct(list_filter(string_split(
-        regexp_replace(lower(summary || ' ' || details), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')) AS words FROM tickets
-        WHERE ticket_created_at IS NOT NULL)""",
+        """SELECT k AS external_ticket_id, rank, other, score, string_agg(term, ' ' ORDER BY part DESC, df, term) AS terms
+        FROM (SELECT t.*, x.term, x.df, round(x.weight * y.weight, 6) AS part FROM top t JOIN v x ON x.k = t.k JOIN v y ON y.k = t.other AND y.term = x.term
+        QUALIFY row_number() OVER (PARTITION BY t.k, other ORDER BY part DESC, x.df, x.term) <= 3) GROUP BY 1, 2, 3, 4""",
+        _VECTORS_CTE,
+        """s AS (SELECT a.k, b.k AS other, round(sum(a.weight * b.weight), 6) AS score FROM v a JOIN v b ON a.term = b.term AND a.k <> b.k GROUP BY 1, 2 HAVING score >= 0.5)""",
+        "top AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, other) AS rank FROM s QUALIFY rank <= 5)",
     )
 )
-def redundant_tickets(spark, sf_dir):
-    """Similar tickets of one client within some time; clients are coarse here, so that they have several."""
-    rows = raw_tickets(spark, sf_dir).withColumns({"client": F.substring("agent_id", 1, 1), "whole": F.concat_ws(" ", "summary", "details")})
-    return redundancy.redundant_tickets(rows, "client", text="whole", days=400)
+def similar_tickets(spark, sf_dir):
+    """The five most similar tickets of each, with the terms that explain it."""
+    found = similar.nearest(_vectors(spark, sf_dir), 5)
+    return found.select(F.col("key").alias("external_ticket_id"), F.col("rank").cast("long").alias("rank"), "other", "score", F.concat_ws(" ", "terms").alias("terms"))
+
+
+@check(
+    O.with_tickets(
+        """SELECT k AS doc_id, arg_min(quality, (-votes, -weight, quality)) AS predicted, max(votes) AS votes FROM (SELECT t.k, quality, count(*) AS votes, round(sum(score), 6) AS weight
+        FROM top t JOIN l ON l.k = t.other GROUP BY 1, 2) GROUP BY k""",
+        _VECTORS_CTE,
+        "l AS (SELECT doc_id::VARCHAR AS k, quality, ('0x' || substr(md5('s' || doc_id::VARCHAR), 1, 8))::BIGINT % 100 < 70 AS train FROM labels)",
+        """s AS (SELECT a.k, b.k AS other, round(sum(a.weight * b.weight), 6) AS score FROM v a JOIN l x ON x.k = a.k AND NOT x.train JOIN v b ON a.term = b.term
+        JOIN l y ON y.k = b.k AND y.train GROUP BY 1, 2 HAVING score >= 0.2)""",
+        "top AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, other) AS rank FROM s QUALIFY rank <= 5)",
+    )
+)
+def nearest_vote(spark, sf_dir):
+    """The quality of the test tickets by a vote of the five nearest training tickets."""
+    labels = evaluation.with_split(load(spark, sf_dir, "labels"), "doc_id", 70, "s").select(F.col("doc_id").cast("string").alias("key"), "quality", "split")
+    rows = _vectors(spark, sf_dir).join(labels, "key")
+    found = similar.nearest(rows, 5, least=0.2, asks=F.col("split") == "test", answers=F.col("split") == "train")
+    return similar.vote(found, labels, "quality").withColumnsRenamed({"key": "doc_id"})
+
+
+@check(
+    O.with_tickets(
+        """SELECT a, b, client AS block, 1 AS label FROM known UNION ALL SELECT a, b, client, 0 FROM (SELECT *, row_number() OVER (PARTITION BY client ORDER BY number) AS r FROM made
+        WHERE (a, b) NOT IN (SELECT a, b FROM known)) JOIN sizes USING (client) WHERE r <= 3 * k""",
+        _WORDS_CTE,
+        f"p AS ({_REDUNDANT_SQL})",
+        "rows_ AS (SELECT external_ticket_id AS key, agent_id[1:1] AS client FROM tickets WHERE agent_id IS NOT NULL)",
+        """known AS (SELECT DISTINCT least(external_ticket_id, earlier) AS a, greatest(external_ticket_id, earlier) AS b, client
+        FROM p JOIN rows_ ON key = least(external_ticket_id, earlier))""",
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY client ORDER BY md5('pairs|' || key), key) - 1 AS place FROM rows_)",
+        "sizes AS (SELECT client, n, k FROM (SELECT client, count(*) AS n FROM placed GROUP BY 1) JOIN (SELECT client, count(*) AS k FROM known GROUP BY 1) USING (client))",
+        "numbers AS (SELECT client, n, unnest(range(0, least(4 * k, n * (n - 1) // 2))) AS number FROM sizes)",
+        """made AS (SELECT i.client, number, least(x.key, y.key) AS a, greatest(x.key, y.key) AS b FROM numbers i JOIN placed x ON x.client = i.client AND x.place = number % n
+        JOIN placed y ON y.client = i.client AND y.place = (number % n + number // n + 1) % n)""",
+    )
+)
+def labelled_pairs(spark, sf_dir):
+    """Redundant tickets of a client, and three other pairs of it for each."""
+    rows = _whole_tickets(spark, sf_dir)
+    known = redundancy.redundant_tickets(rows, "client", text="whole", days=400)
+    known = known.select(F.col("external_ticket_id").alias("a"), F.col("earlier").alias("b"))
+    return pairs.labelled_pairs(rows, known, key="external_ticket_id", block="client", ratio=3, salt="pairs")
 
 
 @check("SELECT CASE WHEN ('0x' || substr(md5('s' || doc_id::VARCHAR), 1, 8))::BIGINT % 100 < 70 THEN 'train' ELSE 'test' END AS split, doc_id FROM labels")
