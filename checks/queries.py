@@ -23,7 +23,7 @@ from guichet import fixed_values as fv
 from guichet.functions import dates as D
 from guichet.functions import text as X
 from guichet.functions.pseudonym import pseudonym
-from guichet.operators import contract, eda, evaluation, features, guardrails, lifecycle, mapping, merge, pairs, redundancy, scope, similar, terms
+from guichet.operators import classify, contract, eda, evaluation, features, guardrails, lifecycle, mapping, merge, pairs, redundancy, scope, similar, terms
 from guichet.plans import dry_run, eda_report, export, ingest
 from guichet.schema import CLEAN, STORED
 from guichet.session import shared_folder
@@ -952,6 +952,30 @@ def purged_table(spark, sf_dir):
     return spark.read.parquet(f"{base}/rows").select("external_ticket_id", F.lit(gone).cast("bigint").alias("purged"))
 
 
+@check(
+    f"""SELECT count(*) AS records_seen_count, count(*) FILTER (validation_status = 'valid') AS records_accepted_count,
+    count(*) FILTER (validation_status = 'rejected') AS records_rejected_count, count(*) AS stored FROM ({_STAGING_SQL})"""
+)
+def observed_import(spark, sf_dir):
+    """The counters that the import's own job collects, beside the rows it stored."""
+    path = shared_folder(spark)
+    counters = lifecycle.import_observed(_staging(spark, sf_dir), path)
+    stored = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("stored"))
+    return stored.select(*(F.lit(n).cast("long").alias(name) for name, n in counters.items()), "stored")
+
+
+@check(
+    f"""SELECT external_ticket_id, (SELECT count(*) FROM ({_STAGING_SQL}) WHERE data_retention_until < DATE '{_DUE}') AS purged
+    FROM ({_STAGING_SQL}) WHERE data_retention_until IS NULL OR data_retention_until >= DATE '{_DUE}'"""
+)
+def dropped_deadlines(spark, sf_dir):
+    """The table by deadline as it is after its expired folders were removed."""
+    base = shared_folder(spark)
+    lifecycle.store_by_deadline(_staging(spark, sf_dir), f"{base}/rows")
+    gone = lifecycle.drop_expired(spark, f"{base}/rows", _DUE, f"{base}/log")
+    return spark.read.parquet(f"{base}/rows").select("external_ticket_id", F.lit(gone).cast("bigint").alias("purged"))
+
+
 # ---------------------------------------------------------------- duplicates and labels
 
 
@@ -1152,3 +1176,26 @@ def pseudonymised_columns(spark, sf_dir):
     requester = F.when(F.col("o_orderkey") % 3 > 0, F.concat(F.lit("someone@"), site)).otherwise("nobody")
     rows = load(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"), requester.alias("requester"))
     return lifecycle.pseudonymised(rows, _SECRET, "user_id", domains=("requester",))
+
+
+def _labelled_words(spark, sf_dir) -> DataFrame:
+    rows = load(spark, sf_dir, "labels").join(load(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return _stored(classify.labelled_words(rows, "doc_id", "text", "quality", folds=3, salt="s"))
+
+
+@check("SELECT ('0x' || substr(md5('sfold' || doc_id::VARCHAR), 1, 8))::BIGINT % 100 % 3 AS fold, CAST(quality AS DOUBLE) AS label, count(*) AS rows FROM labels JOIN documents USING (doc_id) WHERE quality IN (0, 1) GROUP BY 1, 2")
+def label_folds(spark, sf_dir):
+    return _labelled_words(spark, sf_dir).groupBy(F.col("fold").cast("long").alias("fold"), "label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@check()
+def model_scores(spark, sf_dir):
+    """Every kind of classifier, fitted on the training split, stored, loaded, and scored on all labelled tickets."""
+    rows = evaluation.with_split(_labelled_words(spark, sf_dir), "key", 70, "s")
+    found = None
+    for kind in classify.KINDS:
+        path = shared_folder(spark)
+        classify.save(classify.train(rows.filter("split = 'train'"), kind, parts=8), path)
+        scored = classify.scores(classify.load(path), rows).withColumn("kind", F.lit(kind))
+        found = scored if found is None else found.unionByName(scored)
+    return found.select("kind", F.col("key").alias("doc_id"), F.round("score", 6).alias("score"), "predicted")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from guichet import fixed_values as fv
@@ -47,12 +47,36 @@ def rejects_by_reason(staging: DataFrame) -> DataFrame:
 
 def import_counters(staging: DataFrame) -> DataFrame:
     """(import_batch_id, records seen, accepted and rejected)"""
+    return staging.groupBy("import_batch_id").agg(*_counters())
+
+
+def _counters() -> list[Column]:
     status = F.col("validation_status")
-    return staging.groupBy("import_batch_id").agg(
+    return [
         F.count(F.lit(1)).alias("records_seen_count"),
         F.count_if(status == "valid").alias("records_accepted_count"),
         F.count_if(status == "rejected").alias("records_rejected_count"),
-    )
+    ]
+
+
+def import_observed(staging: DataFrame, path: str) -> dict[str, int]:
+    """Append a batch to its table and return its counters, which the writing job itself collects.
+
+    The rows are read once. Counters come from the stage that writes, so a repeated task counts
+    once. All zero for a batch without rows.
+    """
+    seen = Observation(f"import-{uuid.uuid4().hex}")
+    staging.observe(seen, *_counters()).write.mode("append").parquet(path)
+    return {name: int(n) for name, n in seen.get.items()}
+
+
+def import_stream(staging: DataFrame, path: str, checkpoint: str, name: str = "import") -> list[dict[str, int]]:
+    """Append all that a stream of staged rows has now, and return the counters of each of its batches with their batch_id."""
+    observed = staging.observe(name, *_counters())
+    query = observed.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    found = [(p.batchId, p.observedMetrics.get(name)) for p in query.recentProgress]
+    return [{"batch_id": batch, **{k: int(v) for k, v in row.asDict().items()}} for batch, row in found if row is not None and row["records_seen_count"]]
 
 
 def retained(stored: DataFrame, as_of: date) -> DataFrame:
@@ -106,6 +130,7 @@ def purge_expired(spark: SparkSession, path: str, as_of: date, log_path: str, re
     The log of what goes is appended first, then the rows that stay are written hidden and
     moved into place; a purge that broke off in between is repeated and logged again.
     """
+    storage.settle(spark, path)
     stored = spark.read.parquet(path)
     gone = stored.filter(F.col("data_retention_until") < F.lit(as_of)).count()
     if gone:
@@ -120,6 +145,48 @@ def purge_expired(spark: SparkSession, path: str, as_of: date, log_path: str, re
     return gone
 
 
+_DEADLINE = "data_retention_until"
+
+
+def store_by_deadline(rows: DataFrame, path: str) -> None:
+    """Append rows to a table with a folder per retention date; rows without one have a folder of their own.
+
+    Rows are gathered by date before they are written, in files of the session's partition
+    size: a date that most rows have is several files, and a rare one is one.
+    """
+    rows.hint("rebalance", F.col(_DEADLINE)).write.mode("append").partitionBy(_DEADLINE).parquet(path)
+
+
+def expired_folders(spark: SparkSession, path: str, as_of: date) -> list[str]:
+    """The folders of a table by deadline whose date has passed, oldest first."""
+    prefix, out = f"{_DEADLINE}=", []
+    for name in storage.list_folder(spark, path):
+        try:
+            passed = name.startswith(prefix) and date.fromisoformat(name[len(prefix) :]) < as_of
+        except ValueError:  # rows without a date
+            continue
+        if passed:
+            out.append(f"{path.rstrip('/')}/{name}")
+    return out
+
+
+def drop_expired(spark: SparkSession, path: str, as_of: date, log_path: str, reason: str = "retention_deadline") -> int:
+    """Remove the expired folders of a table by deadline; returns how many rows went.
+
+    Only these folders are read, for the log, which is appended first; rows that stay are neither
+    read nor moved. A purge that broke off is repeated for the folders still there.
+    """
+    folders = expired_folders(spark, path, as_of)
+    if not folders:
+        return 0
+    log = purge_log(spark.read.option("basePath", path).parquet(*folders), as_of, reason)
+    gone = Observation(f"purge-{uuid.uuid4().hex}")
+    log.observe(gone, F.coalesce(F.sum("records_deleted_count"), F.lit(0)).alias("n")).write.mode("append").parquet(log_path)
+    for folder in folders:
+        storage.purge(spark, folder)
+    return int(gone.get["n"])
+
+
 def pseudonymised(rows: DataFrame, secret: bytes, *columns: str, domains: tuple[str, ...] = ()) -> DataFrame:
     """Columns replaced by their pseudonyms; of the addresses in ``domains`` the part behind the sign alone, lower-cased."""
     made = {c: pseudonym(F.col(c).cast("string"), secret) for c in columns}

@@ -44,13 +44,39 @@ def purge(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target) and fs.delete(target, True))
 
 
+def _aside(path: str) -> str:
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.old"
+
+
+def settle(spark: SparkSession, target: str) -> None:
+    """Finish a move that broke off: the old folder comes back if no new one is in its place."""
+    fs, destination = _file_system(spark, target)
+    old = _file_system(spark, _aside(target))[1]
+    if fs.exists(old):
+        if fs.exists(destination):
+            fs.delete(old, True)
+        elif not fs.rename(old, destination):
+            raise StorageError("The folder from before could not be moved back")
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a finished folder into place, replacing what is there."""
+    """Rename a finished folder into place, replacing what is there.
+
+    What was there stays beside it until the new folder is in place, and comes back if that
+    fails; after a lost driver ``settle`` does so.
+    """
+    settle(spark, target)
     fs, destination = _file_system(spark, target)
-    fs.delete(destination, True)
+    old = _file_system(spark, _aside(target))[1]
     fs.mkdirs(destination.getParent())
-    if not fs.rename(_file_system(spark, source)[1], destination):
+    if fs.exists(destination) and not fs.rename(destination, old):
+        raise StorageError("The folder from before could not be moved aside")
+    draft = _file_system(spark, source)[1]
+    if not fs.exists(draft) or not fs.rename(draft, destination):
+        settle(spark, target)
         raise StorageError("The finished folder could not be moved into place")
+    fs.delete(old, True)
 
 
 def private_folder(spark: SparkSession, path: str) -> None:
