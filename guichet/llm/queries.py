@@ -154,21 +154,27 @@ def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _licence_sql() -> str:
-    rows = ",\n  ".join("({}, '{}', '{}')".format(i, name, " ".join(licences.normalised_words(text))) for i, (name, text) in enumerate(licences.TEMPLATES))
+    rows = []
+    for i, (name, text) in enumerate(licences.TEMPLATES):
+        _, least, most = licences.bounds(text, 0.8)
+        rows.append("({}, '{}', {}, {}, '{}')".format(i, name, least, most, " ".join(licences.normalised_words(text))))
     bigrams = "list_distinct(list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1]))"
     return rf"""
-WITH t(template, licence, words) AS (VALUES
-  {rows}),
-tg AS (SELECT template, licence, {bigrams.format("string_split(words, ' ')")} AS g FROM t),
-n AS (SELECT row_number() OVER () AS r, doc_id,
-    regexp_replace(translate(text, '{licences.UPPER}', '{licences.LOWER}'), '[^a-z0-9\n]+', ' ', 'g') AS c FROM documents),
-s AS (SELECT r, unnest(list_concat(string_split(c, chr(10)),
-    list_filter(string_split_regex(c, '\n ?(?:\n ?)+'), lambda p: contains(p, chr(10))),
-    CASE WHEN regexp_matches(c, '\n ?(?:\n ?)+') THEN [c] ELSE []::VARCHAR[] END)) AS segment FROM n),
-w AS (SELECT r, list_filter(string_split_regex(segment, '[ \n]+'), lambda x: x <> '') AS w FROM s),
-g AS (SELECT r, {bigrams.format("w")} AS g FROM w WHERE len(w) > 1),
-m AS (SELECT r, template, licence, 2.0::DOUBLE * len(list_intersect(g.g, tg.g)) / (len(g.g) + len(tg.g)) AS dice FROM g, tg
-  WHERE 2 * least(len(g.g), len(tg.g)) >= 0.8 * (len(g.g) + len(tg.g))),
+WITH t(template, licence, least, most, words) AS (VALUES
+  {(","+chr(10)+"  ").join(rows)}),
+tg AS (SELECT template, licence, least, most, {bigrams.format("string_split(words, ' ')")} AS g FROM t),
+n AS (SELECT row_number() OVER () AS r, doc_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(
+    translate(text, '{licences.UPPER}', '{licences.LOWER}'), '[.!?;:]+[ \t\r]', chr(10), 'g'), '[^a-z0-9\n]+', ' ', 'g'), chr(10)),
+    lambda u: list_filter(string_split(u, ' '), lambda x: x <> '')), lambda u: len(u) > 0) AS units FROM documents),
+d AS (SELECT r, flatten(units) AS w FROM n),
+p AS (SELECT r, template, licence, least, most, tg.g FROM (SELECT r, {bigrams.format("w")} AS g FROM d WHERE len(w) > 1) x, tg
+  WHERE len(list_intersect(x.g, tg.g)) >= least),
+u AS (SELECT r, unnest(range(1, len(units) + 1)) AS pos, unnest(list_transform(units, lambda x: len(x))) AS size FROM n WHERE r IN (SELECT r FROM p)),
+e AS (SELECT r, pos, sum(size) OVER (PARTITION BY r ORDER BY pos)::BIGINT AS last, size FROM u),
+s AS (SELECT p.r, template, licence, p.g, d.w[a.last - a.size + 1:b.last] AS w FROM p JOIN e a ON a.r = p.r JOIN e b ON b.r = p.r AND b.pos >= a.pos
+    AND b.last - (a.last - a.size) - 1 BETWEEN p.least AND p.most JOIN d ON d.r = p.r),
+m AS (SELECT r, template, licence, max(2.0::DOUBLE * len(list_intersect(x, g)) / (len(x) + len(g))) AS dice
+  FROM (SELECT *, {bigrams.format("w")} AS x FROM s) GROUP BY ALL),
 b AS (SELECT r, min({{'d': -dice, 't': template, 'l': licence}}) AS best, count(*) AS n FROM m WHERE dice >= 0.8 GROUP BY r)
 SELECT doc_id, best.l AS licence, round(-best.d, 6) AS licence_dice, coalesce(b.n, 0)::BIGINT AS licence_matches FROM n LEFT JOIN b ON n.r = b.r
 """
