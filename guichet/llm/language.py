@@ -199,12 +199,12 @@ def _expected(words: list[str], counts: np.ndarray, pieces: Pieces, column: np.n
     return total
 
 
-def _count_words(text: str, lang: str):
+def _count_words(text: str, lang: str, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
             for t, g in zip(batch[text].to_pylist(), batch[lang].to_pylist(), strict=True):
-                seen.update((g, w) for w in words_of(t))
+                seen.update((g, w[at : at + longest]) for w in words_of(t) for at in range(0, len(w), longest))
             if seen:
                 langs, words = zip(*seen, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(seen.values(), pa.int64())], ["lang", "word", "n"])
@@ -212,6 +212,12 @@ def _count_words(text: str, lang: str):
     return run
 
 
+def _shares(rows: dict[str, int], sample_docs: int, least_docs: int) -> dict[str, float]:
+    """The share of each language's rows to learn from: the same for all, more where that gives too few."""
+    common = sample_docs / max(sum(rows.values()), 1)
+    return {g: min(1.0, max(common, least_docs / n)) for g, n in rows.items()}
+
+
 def fit(
     docs: DataFrame,
     vocabulary_path: str,
@@ -220,25 +226,31 @@ def fit(
     lang: str = "lang",
     key: str = "doc_id",
     sample_docs: int = 20_000,
+    least_docs: int = 500,
     longest_word: int = 40,
     rounds: int = 3,
     smoothing: float = 0.01,
 ) -> Model:
     """Learn the piece probabilities of each non-null language of ``docs``.
 
-    The fit uses about ``sample_docs`` labelled rows at most, chosen by a hash of ``key``
-    (all, if there are fewer), and of these the words up to ``longest_word`` letters. Word
+    The fit uses about ``sample_docs`` labelled rows, chosen by a hash of ``key`` and the
+    text, and where that is less, about ``least_docs`` of each language (all, if there are
+    fewer). Words of more than ``longest_word`` letters are learned in parts of that length. Word
     counts and expected counts are added up by Spark; the driver gets sums by piece and
     language only, at most vocabulary times languages. Rows with null text or language teach
     nothing; without any labelled row the model has no language.
     """
     bounded_batches(docs)
-    labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(key).alias("h")).filter("text is not null and lang is not null")
-    spark, n = docs.sparkSession, labelled.select("lang").count()
-    share = int(min(1.0, sample_docs / max(n, 1)) * 1_000_000)
-    sample = labelled.filter(F.pmod("h", F.lit(1_000_000)) < share).select("text", "lang")
-    counted = sample.mapInArrow(_count_words("text", "lang"), "lang string, word string, n long")
-    words = written(counted.filter(F.length("word") <= longest_word).groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    hashed = F.xxhash64(key, text) / F.lit(2.0**64) + 0.5
+    labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), hashed.alias("h")).filter("text is not null and lang is not null")
+    spark = docs.sparkSession
+    # One number per language, as many as the model has columns.
+    rows = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    shares = _shares(rows, sample_docs, least_docs)
+    share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))[F.col("lang")] if shares else F.lit(0.0)
+    sample = labelled.filter(F.col("h") <= share).select("text", "lang")
+    counted = sample.mapInArrow(_count_words("text", "lang", longest_word), "lang string, word string, n long")
+    words = written(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     langs = sorted(r[0] for r in words.select("lang").distinct().collect())
     pieces = vocabulary(vocabulary_path)
     size = len(pieces) + 2

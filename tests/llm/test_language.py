@@ -100,3 +100,19 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert nothing.langs == []
     assert {r["lang_pred"] for r in language.identify(odd_docs, nothing).collect()} == {"und"}
     assert language.identify(no_docs, model).count() == 0
+
+
+def test_share_of_rows_to_learn_from():
+    """No language is left out, however many rows there are; small inputs are learned from whole."""
+    shares = language._shares({"en": 10**12, "xx": 3, "yy": 10**6}, 20_000, 500)
+    assert 10_000 < shares["en"] * 10**12 < 20_001 and shares["xx"] == 1 and shares["yy"] * 10**6 == pytest.approx(500)
+    assert language._shares({"en": 9_000, "de": 9_000}, 20_000, 500) == {"en": 1.0, "de": 1.0} and language._shares({}, 20_000, 500) == {}
+
+
+def test_rare_languages_and_long_words_are_learned(spark):
+    rows = [(i, "common words of the frequent language", "en") for i in range(400)] + [(1000, "zzyzx qxq " + "qz" * 300, "rare")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df, public_vocabulary("piece_bpe_32k.model"), sample_docs=20, least_docs=5)
+    assert model.langs == ["en", "rare"] and np.isfinite(model.table).all()
+    found = language.identify(spark.createDataFrame([(1, "qzqzqz zzyzx")], "doc_id long, text string"), model).collect()
+    assert [r["lang_pred"] for r in found] == ["rare"]
