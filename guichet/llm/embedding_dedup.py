@@ -35,7 +35,7 @@ def reference_points(vectors: DataFrame, points: int, apart: float, seed: int) -
     copies gives one point and not as many as its share.
     """
     hashed = F.xxhash64("vec_id", F.lit(seed))
-    sample = vectors.select("vec_id", "embedding", hashed.alias("h")).orderBy("h", "vec_id").limit(4 * points).toArrow()
+    sample = vectors.select("vec_id", "embedding", hashed.alias("h")).orderBy("h", "vec_id", "embedding").limit(4 * points).toArrow()
     if not sample.num_rows:
         return np.zeros((0, 0))
     found = _unit(matrix(sample["embedding"]))
@@ -52,7 +52,7 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
             rows = matrix(batch["embedding"]) + 0.0
             digests = [xxhash.xxh3_128_digest(r.tobytes()) for r in rows]
-            yield pa.RecordBatch.from_arrays([batch["vec_id"], pa.array(digests, pa.binary())], ["vec_id", "digest"])
+            yield pa.RecordBatch.from_arrays([batch["vec_id"], batch["embedding"], pa.array(digests, pa.binary())], ["vec_id", "embedding", "digest"])
 
 
 def _lists(held, depth: int):
@@ -64,7 +64,7 @@ def _lists(held, depth: int):
             near = -(_unit(matrix(batch["embedding"])) @ points.T)
             order = np.argsort(near, axis=1, kind="stable")[:, :depth].astype(np.int32)
             described = pa.FixedSizeListArray.from_arrays(pa.array(order.ravel()), depth).cast(pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch["vec_id"], batch["copies"], batch["embedding"], described], ["vec_id", "copies", "embedding", "points"])
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["copies"], batch["embedding"], described], ["node", "copies", "embedding", "points"])
 
     return run
 
@@ -81,7 +81,7 @@ def _compare(share: int, cosine: float):
     def run(block: pa.Table) -> pa.Table:
         """Links among the vectors of one block pair of one list: links and label by vector."""
         point, i, j = (block[c][0].as_py() for c in ("point", "i", "j"))
-        ids, copies, own = (block[c].to_numpy() for c in ("vec_id", "copies", "own"))
+        ids, copies, own = (block[c].to_numpy() for c in ("node", "copies", "own"))
         rows, described = matrix(block["embedding"]), matrix(block["points"]).astype(int)
         norms = np.linalg.norm(rows, axis=1)
         seen, column = np.unique(described, return_inverse=True)
@@ -106,7 +106,7 @@ def _compare(share: int, cosine: float):
             if (before == label).all():
                 break
         any_link = np.flatnonzero(links)
-        return pa.table([pa.array(ids[any_link], pa.int64()), pa.array(links[any_link].astype(int), pa.int64()), pa.array(label[any_link], pa.int64())], ["vec_id", "links", "label"])
+        return pa.table([pa.array(ids[any_link], pa.int64()), pa.array(links[any_link].astype(int), pa.int64()), pa.array(label[any_link], pa.int64())], ["node", "links", "label"])
 
     return run
 
@@ -134,51 +134,53 @@ def near_duplicates(
     among them; component_id is the smallest identifier that links reach.
 
     Null and empty vectors, zero vectors, and vectors with null or non-finite components link
-    with nothing, nor do vectors of different lengths. Rows with one identifier and one vector
-    are copies of each other; a null identifier has no component and is kept.
+    with nothing, nor do vectors of different lengths. Results belong to rows: those that share
+    an identifier are vectors of their own, copies of each other if they are equal. A null
+    identifier has no component and is kept. An empty table gives no rows; other columns are
+    not looked at.
     """
     rows = vectors.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").alias("embedding"))
     nonzero = F.exists("embedding", lambda x: x != 0)
-    good = rows.filter(usable(F.col("embedding")) & nonzero & F.col("vec_id").isNotNull())
+    good_row = F.coalesce(usable(F.col("embedding")) & nonzero & F.col("vec_id").isNotNull(), F.lit(False))
+    good = rows.filter(good_row)
     lengths = [r[0] for r in good.select(F.size("embedding").alias("n")).distinct().limit(1001).collect()]
     if len(lengths) > 1000:
         raise ValueError("vectors of more than a thousand different lengths")
     found = [_of_length(good.filter(F.size("embedding") == n), cosine, rows_per_point, most_points, depth, share, apart, seed) for n in lengths]
-    if not found:
-        empty = rows.sparkSession.createDataFrame([], "vec_id long, links long, component long")
-        found = [empty]
-    joined = found[0]
-    for more in found[1:]:
+    joined = rows.filter(~good_row).select("vec_id", F.lit(0).cast("long").alias("links"), F.col("vec_id").alias("component"))
+    for more in found:
         joined = joined.union(more)
-    joined = joined.groupBy("vec_id").agg(F.max("links").alias("links"), F.min("component").alias("component"))
-    out = rows.select("vec_id").join(joined, "vec_id", "left")
-    component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
+    kept = F.coalesce(F.col("component") == F.col("vec_id"), F.lit(True))
+    return joined.select("vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id"), kept.alias("kept"))
 
 
 def _of_length(good: DataFrame, cosine: float, rows_per_point: int, most_points: int, depth: int, share: int, apart: float, seed: int) -> DataFrame:
     """(vec_id, links, component) of usable vectors of one length."""
     spark = good.sparkSession
-    digests = written(good.mapInArrow(_hashed, "vec_id long, digest binary"))
-    classes = written(digests.groupBy("digest").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies")))
-    different = written(good.dropDuplicates(["vec_id"]).join(classes.select("vec_id", "copies"), "vec_id"))
+    kind = good.schema["embedding"].dataType.simpleString()
+    digested = good.mapInArrow(_hashed, f"vec_id long, embedding {kind}, digest binary")
+    digests = written(digested.select("vec_id", "digest"))
+    classes = digests.groupBy("digest").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"))
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()))
+    different = written(digested.dropDuplicates(["vec_id", "digest"]).join(classes, ["vec_id", "digest"]).drop("digest"))
     n = different.count()
     points = reference_points(different, max(16, min(most_points, n // rows_per_point)), apart, seed)
     depth, share = min(depth, len(points)), min(share, len(points))
     held = spark.sparkContext.broadcast(points)
-    kind = different.schema["embedding"].dataType.simpleString()
-    described = written(different.mapInArrow(_lists(held, depth), f"vec_id long, copies long, embedding {kind}, points array<int>"))
-    listed = described.select("vec_id", F.explode("points").alias("point"))
+    described = written(different.mapInArrow(_lists(held, depth), f"node long, copies long, embedding {kind}, points array<int>"))
+    listed = described.select("node", F.explode("points").alias("point"))
     sizes = listed.groupBy("point").agg((F.count(F.lit(1)) / _BLOCK).cast("int").alias("more"))
     entries = described.withColumn("point", F.explode("points")).join(F.broadcast(sizes), "point")
     blocks = F.col("more") + 1
-    entries = entries.withColumn("own", F.pmod(F.xxhash64("vec_id"), blocks).cast("int"))
+    entries = entries.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("more"))))
     entries = entries.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    entries = entries.select("point", "i", "j", "own", "vec_id", "copies", "embedding", "points")
-    links = written(entries.groupBy("point", "i", "j").applyInArrow(_compare(share, cosine), "vec_id long, links long, label long"))
-    labels = components(links.select(F.col("vec_id").alias("a"), F.col("label").alias("b")))
-    direct = links.groupBy("vec_id").agg(F.sum("links").alias("links"))
-    of_class = classes.join(direct, "vec_id", "left").join(labels.withColumnRenamed("node", "vec_id"), "vec_id", "left")
-    of_class = of_class.select("digest", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "vec_id").alias("component"))
+    entries = entries.select("point", "i", "j", "own", "node", "copies", "embedding", "points")
+    links = written(entries.groupBy("point", "i", "j").applyInArrow(_compare(share, cosine), "node long, links long, label long"))
+    labels = components(links.select(F.col("node").alias("a"), F.col("label").alias("b")))
+    direct = links.groupBy("node").agg(F.sum("links").alias("links"))
+    of_class = written(classes.join(direct, "node", "left").join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")))
+    smallest = of_class.groupBy("label").agg(F.min("vec_id").alias("component"))
+    of_class = of_class.drop("component").join(smallest, "label")
+    of_class = of_class.select("digest", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "component")
     return digests.join(of_class, "digest").select("vec_id", "links", "component")

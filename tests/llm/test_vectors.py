@@ -145,3 +145,9 @@ def test_links_of_odd_rows(spark):
     assert found == want
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
     assert embedding_dedup.near_duplicates(df.filter("vec_id in (5, 15)")).count() == 2
+
+
+def test_vectors_that_share_an_identifier(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [0.0, 1.0, 0.01]), (0, [0.0, 0.0, 1.0]), (0, [0.0, 1.0, 0.02])]
+    found = sorted(tuple(r) for r in embedding_dedup.near_duplicates(frame(spark, rows).repartition(3)).collect())
+    assert found == [(0, 0, 0, True), (0, 2, 0, True), (1, 1, 1, True), (1, 2, 0, False), (2, 1, 1, False), (3, 2, 0, False)]
