@@ -200,14 +200,16 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", window: int = 400, si
     found = [repeated]
     texts = None
     for above, size in zip(sizes, sizes[1:], strict=False):
-        items = _of_doc(split)
         if texts is None:
-            named = items.join(features.select("doc", "sha"), "doc")
-            hashed = source.select(F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"), "text")
-            texts = written(hashed.join(named, "sha").select("doc", "text", "items"))
-            work = texts
-        else:
-            work = texts.select("doc", "text").join(items, "doc")
+            # Equal texts have equal windows: one of them stands for all, and its text is kept once.
+            named = features.groupBy("sha").agg(F.min("doc").alias("doc"))
+            first = features.select("doc", "sha").join(named.withColumnRenamed("doc", "_first"), "sha").select("doc", "_first")
+            split = written(split.join(first, "doc").select(F.col("_first").alias("doc"), "at", "heavy").distinct())
+            wanted = split.select("doc").distinct().join(named, "doc")
+            hashed = source.select(F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("sha"), "text")
+            different = hashed.groupBy("sha").agg(F.first("text").alias("text"))
+            texts = written(different.join(wanted, "sha").select("doc", "text"))
+        work = texts.join(_of_doc(split), "doc")
         rows = written(work.mapInArrow(_next_pass(window, above, size), _ITEMS).dropDuplicates(["doc", "at"]))
         repeated, split = _settle(rows)
         found.append(repeated)

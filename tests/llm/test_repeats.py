@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from guichet.llm import repeats
+from guichet.llm.store import written
 from tests.llm.conftest import texts
 
 
@@ -81,3 +82,22 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert repeats.remove_repeats(no_docs).count() == 0
     with pytest.raises(ValueError):
         repeats.repeated_spans(odd_docs, window=32)
+
+
+def test_equal_texts_are_written_once(spark, monkeypatch):
+    """However many copies a text has, its windows are split from one of them."""
+    tables = []
+
+    def counted(df):
+        tables.append(written(df))
+        return tables[-1]
+
+    monkeypatch.setattr(repeats, "written", counted)
+    r = random.Random(9)
+    text = "".join(r.choices("abcdefgh ", k=3000))
+    found = [text] * 300 + [text[:1500] + "#" + text[1500:], text[:700] + "##" + text[700:]]
+    df = spark.createDataFrame(list(enumerate(found)), "doc_id long, text string").repartition(3)
+    rows = {x["doc_id"]: x for x in repeats.remove_repeats(df).collect()}
+    assert {x["n_removed"] for i, x in rows.items() if i < 300} == {3000} and rows[300]["n_removed"] == 3000 == rows[301]["n_removed"]
+    with_text = [t for t in tables if "text" in t.columns]
+    assert len(with_text) == 1 and with_text[0].count() <= 3
