@@ -50,6 +50,13 @@ def test_one_of_each_group_stays(spark, odd_docs):
     assert stage("near_duplicates")(spark, twice, "").count() == 1
 
 
+def test_different_texts_with_one_identifier_stay(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    rows = [(1, a), (1, b), (2, b), (3, c), (3, c), (0, a + " end"), (4, None), (4, "")]
+    kept = stage("near_duplicates")(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "")
+    assert sorted(tuple(r) for r in kept.fillna("null").collect()) == [(0, a + " end"), (1, b), (3, c), (4, ""), (4, "null")]
+
+
 def test_stages_on_odd_and_no_rows(spark, odd_docs, no_docs):
     for docs in (odd_docs, no_docs):
         for _, run in corpus_pipeline.STAGES:
