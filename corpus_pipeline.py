@@ -34,19 +34,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest doc_id.
 
-    Of rows that share a doc_id one stays, the one with the smallest text. Rows without a
-    doc_id are nobody's copies and stay.
+    Groups are made of rows, not of identifiers: rows that share a doc_id are documents of
+    their own, of equal ones one stays. Rows without a doc_id are nobody's copies and stay.
     """
-    found = minhash.near_duplicates(docs)
-    copies = found.filter("not kept").select("doc_id").distinct()
-    repeated = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    kept = docs.join(copies, "doc_id", "left_anti")
-    if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    several = written(kept.join(repeated, "doc_id", "left_semi").select(*docs.columns))
-    first = several.groupBy("doc_id").agg(F.min(F.struct(*(F.col(f"`{c}`") for c in ("text", *(c for c in docs.columns if c not in ("text", "doc_id")))))).alias("_row"))
-    single = first.select(*(F.col("doc_id") if c == "doc_id" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(single)
+    rows = written(docs.select(carried(docs), F.monotonically_increasing_id().alias("_node")))
+    known = rows.filter(F.col("_doc.doc_id").isNotNull())
+    texts = known.select("_node", F.col("_doc.text").alias("text"))
+    found = minhash.near_duplicates(texts, key="_node").select(F.col("doc_id").alias("_node"), "component_id")
+    found = written(found.join(known.select("_node", F.col("_doc.doc_id").alias("doc_id")), "_node"))
+    first = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "_node"))["_node"].alias("_first"))
+    copies = found.join(first, "component_id").filter("_node != _first").select("_node")
+    return rows.join(copies, "_node", "left_anti").select(*restored(docs))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
