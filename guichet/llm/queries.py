@@ -148,7 +148,31 @@ def op5_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-@registered()
+def _repeats_sql(window: int = 400) -> str:
+    """Every window of every text, named by digests that double in length; what names occur twice cover goes."""
+    steps, name, width = [], "bytes", 1
+    while width < window:
+        shift = min(width, window - width)
+        grown = f"w{width + shift}"
+        steps.append(f"{grown} AS (SELECT doc, pos, byte, md5(word || lead(word, {shift}) OVER (PARTITION BY doc ORDER BY pos)) AS word FROM {name})")
+        name, width = grown, width + shift
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS doc, doc_id, hex(encode(coalesce(text, ''))) AS hex FROM documents),
+lists AS (SELECT doc, regexp_extract_all(hex, '..') AS list FROM d),
+bytes AS (SELECT doc, unnest(range(len(list))) AS pos, unnest(list) AS byte, byte AS word FROM lists),
+{("," + chr(10)).join(steps)},
+counted AS (SELECT doc, pos, byte, word IS NOT NULL AND count(*) OVER (PARTITION BY word) > 1 AS repeated FROM {name}),
+covered AS (SELECT doc, pos, byte, max(repeated) OVER (PARTITION BY doc ORDER BY pos ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW) AS removed FROM counted),
+edges AS (SELECT doc, pos, byte, removed, removed AND NOT coalesce(lag(removed) OVER (PARTITION BY doc ORDER BY pos), false) AS opens FROM covered),
+cut AS (SELECT doc, count(*) FILTER (removed) AS n_removed, count(*) FILTER (opens) AS n_spans,
+    string_agg(byte, '' ORDER BY pos) FILTER (NOT removed) AS kept FROM edges GROUP BY doc)
+SELECT doc_id, (len(hex) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc)
+"""
+
+
+@registered(_repeats_sql())
 def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
