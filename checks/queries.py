@@ -274,10 +274,14 @@ def _hits_sql(text: str) -> str:
         + list_sum(list_transform(found[1:i], lambda m: length(m))) AS INTEGER) AS "end" FROM ({" UNION ALL ".join(parts)})"""
 
 
-@check(f"WITH texts AS {_BUILT} SELECT * FROM ({_hits_sql(_narrow('x'))})")
+@check(
+    f"WITH texts AS (SELECT 'o' || k AS k, {_narrow('x')} AS x FROM {_BUILT} UNION ALL SELECT k, {O.unescape('x')} FROM {_ALL_TEXT}) "
+    f"SELECT * FROM ({_hits_sql('x')})"
+)
 def pii_hits(spark, sf_dir):
-    """(k, category, start, end) of every hit in texts built from columns."""
-    return _built(spark, sf_dir).select("k", F.inline(X.pii_hits(F.col("x"))))
+    """(k, category, start, end) of every hit in all texts of the three text tables and in texts built from columns."""
+    built = _built(spark, sf_dir).select(F.concat(F.lit("o"), "k").alias("k"), "x")
+    return _all_text(spark, sf_dir).unionAll(built).select("k", F.inline(X.pii_hits(F.col("x"))))
 
 
 @check(
@@ -1163,6 +1167,14 @@ def mask_more(spark, sf_dir):
     return built.select("k", X.mask_more(F.col("x"), 30).alias("masked"))
 
 
+@check(f"WITH t AS (SELECT 'o' || k AS k, x FROM ({_MORE}) UNION ALL SELECT k, x FROM {_ALL_TEXT}) SELECT k, {_more_sql('x')} AS masked FROM t")
+def mask_more_whole(spark, sf_dir):
+    """The additional masks, on whole texts: those of the three text tables and the built ones."""
+    built = spark.sql(_MORE.replace("FROM orders", "FROM {orders}"), orders=load(spark, sf_dir, "orders"))
+    texts = _all_text(spark, sf_dir).unionAll(built.select(F.concat(F.lit("o"), "k").alias("k"), "x"))
+    return texts.select("k", X.mask_more(F.col("x")).alias("masked"))
+
+
 @check(
     "SELECT o_orderkey, 'hmac_sha256:' || sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode(CAST(o_custkey AS VARCHAR))))) AS user_id, "
     "CASE WHEN o_orderkey % 3 > 0 THEN 'hmac_sha256:' || sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode('site' || (o_orderkey % 7) || '.example')))) END "

@@ -26,39 +26,26 @@ def require_clean(batch: DataFrame, seq: str) -> None:
     require_columns(batch.drop(seq), CLEAN, "A batch to store")
 
 
-def _turning_points(batch: DataFrame, seq: str) -> DataFrame:
-    """Per key, the places in the order that decide: the first row, the last one, and the last one with each date.
+def fold_changes(batch: DataFrame, seq: str = "seq") -> DataFrame:
+    """One row per key of a batch: the columns that later rows change, the first row's place and ``batch_rows``. No texts.
 
-    Only keys and places are shuffled, one row per key and task, so neither texts nor a key
-    that makes up much of a batch travel.
+    One aggregate, reduced in each task first, so neither texts nor a key that makes up much
+    of a batch travel.
     """
-    return batch.groupBy(KEY).agg(
+    require_clean(batch, seq)
+    folded = batch.groupBy(KEY).agg(
         F.min(seq).alias("_first"),
-        F.max(seq).alias("_last"),
-        *(F.max(F.when(F.col(d).isNotNull(), F.col(seq))).alias(f"_{d}") for d in LAST_DATE_WINS),
+        F.max_by(F.struct(*LAST_WINS), seq).alias("_last"),
+        *(F.max_by(d, F.when(F.col(d).isNotNull(), F.col(seq))).alias(d) for d in LAST_DATE_WINS),
         F.count(F.lit(1)).alias("batch_rows"),
     )
-
-
-def _picked(batch: DataFrame, seq: str, points: DataFrame, place: str, names: tuple[str, ...]) -> DataFrame:
-    """(key, names) of the rows at one place per key. Joined by key and place, which no row shares with another."""
-    at = points.filter(F.col(place).isNotNull()).select(KEY, F.col(place).alias(seq))
-    return batch.select(KEY, seq, *names).join(at, [KEY, seq]).select(KEY, *names)
-
-
-def fold_changes(batch: DataFrame, seq: str = "seq") -> DataFrame:
-    """One row per key of a batch: the columns that later rows change, the first row's place and ``batch_rows``. No texts."""
-    require_clean(batch, seq)
-    points = _turning_points(batch.select(KEY, seq, *LAST_DATE_WINS), seq)
-    folded = points.select(KEY, "_first", "batch_rows").join(_picked(batch, seq, points, "_last", LAST_WINS), KEY)
-    for d in LAST_DATE_WINS:
-        folded = folded.join(_picked(batch, seq, points, f"_{d}", (d,)), KEY, "left")
-    return folded
+    return folded.select(KEY, "_first", "batch_rows", "_last.*", *LAST_DATE_WINS)
 
 
 def pick_first(batch: DataFrame, firsts: DataFrame, seq: str = "seq") -> DataFrame:
-    """(key, texts) of the rows at the places ``_first`` of ``firsts``."""
-    return _picked(batch, seq, firsts, "_first", FIRST_WINS)
+    """(key, texts) of the rows at the places ``_first`` of ``firsts``. Joined by key and place, which no row shares with another."""
+    at = firsts.select(KEY, F.col("_first").alias(seq))
+    return batch.select(KEY, seq, *FIRST_WINS).join(at, [KEY, seq]).select(KEY, *FIRST_WINS)
 
 
 def fold_batch(batch: DataFrame, seq: str = "seq") -> DataFrame:
