@@ -139,3 +139,11 @@ def test_an_unfinished_batch_is_out_of_sight(spark, tmp_path, monkeypatch):
     assert sorted(tuple(r) for r in table.current(spark, root).collect()) == before
     assert table.save_batch(spark.createDataFrame(second, BATCH), root, DAY) == 4
     assert table.current(spark, root).count() == 9
+
+
+def test_folding_is_one_exchange_without_texts(spark):
+    rng = random.Random(1)
+    batch = spark.createDataFrame([ticket(f"k{i % 9}", i, rng) for i in range(40)], BATCH)
+    plan = M.fold_changes(batch)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert "details" not in plan.split("Exchange hashpartitioning")[0]
