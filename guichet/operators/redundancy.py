@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from guichet.session import shared_folder
+
 KEY = "external_ticket_id"
+_SHARED = 6  # rare words that similar sets are known to share before they are compared
+
+
+def _written(df: DataFrame) -> DataFrame:
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def words(text: Column) -> Column:
@@ -32,13 +41,35 @@ def duplicate_counts(tickets: DataFrame, *columns: str) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(id, word): so many of the rarest words of each set that similar sets share one of them."""
+    """(id, word, needed): so many of the rarest words of each set that similar sets share ``needed`` of them, the smaller number of the two.
+
+    Similar sets share at least ``percent`` of the words of each. The first ``needed`` of the
+    shared ones have all others of them behind them, so they stand that far from the end.
+    """
     spelled = sets.select("id", F.explode("words").alias("word"))
     frequency = spelled.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     ranked = spelled.join(frequency, "word").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "word"))).alias("ranked"))
     size = F.size("ranked")
-    needed = size - F.ceil(size * F.lit(percent) / 100) + 1
-    return ranked.select("id", F.explode(F.slice("ranked", F.lit(1), needed.cast("int"))).alias("rare")).select("id", "rare.word")
+    common = F.ceil(size * F.lit(percent) / 100)
+    needed = F.least(common, F.lit(_SHARED)).cast("int")
+    length = (size - common + needed).cast("int")
+    return ranked.select("id", needed.alias("needed"), F.explode(F.slice("ranked", F.lit(1), length)).alias("rare")).select("id", "rare.word", "needed")
+
+
+def _candidates(sets: DataFrame, days: int, percent: int) -> DataFrame:
+    """(a, b): different sets of one client, b up to ``days`` days after a, of like sizes, that share the rare words that similar sets share."""
+    entries = _prefixes(sets, percent).join(sets.select("id", "client", "at", "size"), "id")
+    period = F.floor(F.col("at") / days)
+
+    def side(c: str, rows: DataFrame, period: Column) -> DataFrame:
+        return rows.withColumn("period", period).select("client", "period", "word", F.col("id").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("at", "size", "needed")))
+
+    old, new = side("a", entries, F.explode(F.array(period, period + 1))), side("b", entries, period)
+    alike = 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
+    apart = F.col("at_b") - F.col("at_a")
+    met = old.join(new, ["client", "period", "word"]).filter((F.col("a") != F.col("b")) & alike & apart.between(0, days))
+    counts = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(F.least("needed_a", "needed_b")).alias("needed"))
+    return counts.filter("n >= needed").select("a", "b")
 
 
 def redundant_tickets(tickets: DataFrame, client: str, *, text: str = "details", created: str = "ticket_created_at", key: str = KEY, days: int = 7, percent: int = 80) -> DataFrame:
@@ -46,27 +77,19 @@ def redundant_tickets(tickets: DataFrame, client: str, *, text: str = "details",
 
     Two texts are similar when their sets of words share at least ``percent`` of all their
     words. The order is by date and key. Equal texts of a client and day are one; the rest
-    meets by client, period and rare word, and is checked on the whole sets. Tickets without
-    a client, a date or a word are in no pair.
+    meets by client, period and rare word, and what shares enough of these is checked on the
+    whole sets, so that few sets travel to others. Tickets without a client, a date or a word
+    are in no pair.
     """
     day = F.to_date(created)
     rows = tickets.select(F.col(key).alias("key"), F.col(client).alias("client"), day.alias("day"), words(F.col(text)).alias("words"))
     rows = rows.filter((F.size("words") > 0) & F.col("client").isNotNull() & F.col("day").isNotNull())
     rows = rows.withColumn("content", F.sha2(F.concat_ws(" ", F.array_sort("words")), 256))
-    first = rows.groupBy("client", "day", "content").agg(F.min("key").alias("id_key"))
     same = ["client", "day", "content"]
-    named = rows.join(first, same)
-    copies = named.filter("key != id_key").select(F.col("key"), F.col("day"), F.col("id_key"), "client", "content")
-    sets = named.filter("key = id_key").dropDuplicates(same).withColumn("id", F.xxhash64("client", "day", "content"))
-    sets = sets.select("id", "client", "day", F.unix_date("day").alias("at"), "id_key", "words", F.size("words").alias("size"))
-
-    entries = _prefixes(sets, percent).join(sets.select("id", "client", "at", "size"), "id")
-    period = F.floor(F.col("at") / days)
-    old = entries.withColumn("period", F.explode(F.array(period, period + 1))).select("client", "period", "word", F.col("id").alias("a"), F.col("at").alias("at_a"), F.col("size").alias("size_a"))
-    new = entries.withColumn("period", period).select("client", "period", "word", F.col("id").alias("b"), F.col("at").alias("at_b"), F.col("size").alias("size_b"))
-    alike = 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
-    apart = F.col("at_b") - F.col("at_a")
-    pairs = old.join(new, ["client", "period", "word"]).filter((F.col("a") != F.col("b")) & alike & apart.between(0, days)).select("a", "b").distinct()
+    first = rows.groupBy(*same).agg(F.min("key").alias("id_key"), F.first("words").alias("words")).filter("id_key is not null")
+    sets = _written(first.select(F.xxhash64(*same).alias("id"), *same, F.unix_date("day").alias("at"), "id_key", "words", F.size("words").alias("size")))
+    copies = rows.select("key", *same).join(sets.select("id", "id_key", *same), same).filter("key != id_key").select("key", "day", "id_key", "id")
+    pairs = _candidates(sets, days, percent)
     left = sets.select(F.col("id").alias("a"), F.col("words").alias("words_a"), F.col("day").alias("day_a"), F.col("id_key").alias("key_a"))
     right = sets.select(F.col("id").alias("b"), F.col("words").alias("words_b"), F.col("day").alias("day_b"), F.col("id_key").alias("key_b"))
     common = F.size(F.array_intersect("words_a", "words_b"))
@@ -76,6 +99,6 @@ def redundant_tickets(tickets: DataFrame, client: str, *, text: str = "details",
     firsts = sets.join(before, sets["id"] == before["b"], "left").select("client", "day", "id_key", sets["id"], "first")
     own = F.struct(F.col("day").alias("day"), F.col("id_key").alias("key"))
     originals = firsts.filter(F.col("first") < own).select(F.col("id_key").alias("key"), F.col("first.key").alias("earlier"))
-    of_copies = copies.withColumn("id", F.xxhash64("client", "day", "content")).join(firsts.select("id", "first"), "id")
+    of_copies = copies.join(firsts.select("id", "first"), "id")
     earliest = F.least(F.coalesce(F.col("first"), F.struct(F.col("day").alias("day"), F.col("id_key").alias("key"))), F.struct(F.col("day").alias("day"), F.col("id_key").alias("key")))
     return originals.unionByName(of_copies.select("key", earliest["key"].alias("earlier"))).withColumnsRenamed({"key": key})

@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from guichet.operators import evaluation as E
 from guichet.operators import lifecycle, redundancy
@@ -80,3 +81,13 @@ def test_purge_rewrites_the_table(spark, tmp_path):
     assert [r.records_deleted_count for r in spark.read.parquet(log).collect()] == [1]
     assert lifecycle.purge_expired(spark, path, due, log) == 0
     assert spark.read.parquet(log).count() == 1
+
+
+def test_sets_that_share_a_few_rare_words_are_not_compared(spark):
+    # A rare word in each of 200 texts, which share it and the next two but no more: every pair was compared before.
+    rows = [(f"t{i:03d}", "a", " ".join(["rare", "pair", "here", *(f"x{i}w{j}" for j in range(30))]), DAY) for i in range(200)]
+    rows += [(f"u{i}", "a", " ".join(["rare", *(f"y{j}" for j in range(20)), f"z{i}"]), DAY + timedelta(days=i)) for i in range(3)]
+    df = spark.createDataFrame(rows, "external_ticket_id string, client string, details string, ticket_created_at timestamp")
+    assert {r[0]: r[1] for r in redundancy.redundant_tickets(df, "client").collect()} == all_pairs(rows, 7, 80) == {"u1": "u0", "u2": "u0"}
+    words = df.select(F.monotonically_increasing_id().alias("id"), "client", F.lit(0).alias("at"), redundancy.words(F.col("details")).alias("words"))
+    assert redundancy._candidates(words.withColumn("size", F.size("words")), 7, 80).count() == 6
