@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -133,3 +134,13 @@ def test_a_small_block_gives_all_its_pairs(spark):
     got = labelled(spark, [(i, "a") for i in range(6)], [(0, 1), (2, 3)], ratio=50).collect()
     assert len(got) == 15 and sum(r["label"] for r in got) == 2
     assert labelled(spark, [(1, "a")], [(0, 1)]).count() == 0
+
+
+def test_the_norm_of_a_long_text_is_worked_out_once(spark):
+    # Once for each of 30,000 different words took minutes.
+    n = 30_000
+    counts = spark.range(n).selectExpr("1L as key", "concat('w', id) as term", "1L as n").localCheckpoint()
+    begun = time.monotonic()
+    vector = terms.vectors(counts, terms.fit(counts)).first()["vector"]
+    assert len(vector) == n and vector[0]["weight"] == pytest.approx(n**-0.5)
+    assert time.monotonic() - begun < 30
