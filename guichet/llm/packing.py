@@ -18,6 +18,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -161,8 +162,10 @@ class Packer:
         """Take the next sequence's pieces out of the pool."""
         free, out, gone = self.full.copy(), [], np.zeros(len(self.pieces), bool)
         weighted = self.demand / self.full
+        tokens, segments, loss = np.ascontiguousarray(self.demand.T)
         while True:
-            fits = (self.demand <= free + 1e-9).all(1) & ~gone
+            room = free + 1e-9
+            fits = (tokens <= room[0]) & (segments <= room[1]) & (loss <= room[2]) & ~gone
             if not fits.any():
                 break
             score = np.where(fits, weighted @ (free / self.full), -1.0)
@@ -179,8 +182,8 @@ class Packer:
                 out.append(first)
                 self.pieces[best] = second
                 self.demand[best] = self._need(second)
-        keep = np.flatnonzero(~gone)
-        self.pieces, self.demand = [self.pieces[i] for i in keep], self.demand[keep]
+        keep = ~gone
+        self.pieces, self.demand = list(compress(self.pieces, keep.tolist())), self.demand[keep]
         return out
 
     def ready(self) -> bool:

@@ -99,3 +99,21 @@ def test_odd_rows(odd_docs, no_docs):
     assert sum(r["length"] for r in rows) == total
     assert [r["length"] for r in rows if r["doc_id"] == 1] == [1]
     assert packing.pack(no_docs, PATH).count() == 0
+
+
+def test_the_pool_gives_the_best_fit_each_time():
+    rng = np.random.default_rng(5)
+    limits = packing.Limits(100, 6, 80)
+    lengths, shares = rng.integers(1, 60, 300).tolist(), rng.random(300).tolist()
+    packer = packing.Packer(limits, False, 64)
+    packer.add([packing.Piece(i, 0, bytes(4 * n), n, s) for i, (n, s) in enumerate(zip(lengths, shares, strict=True))])
+    left, full = dict(enumerate(zip(lengths, shares, strict=True))), np.array([100, 6, 80], float)
+    while packer.pieces:
+        free, want = full.copy(), []
+        while fitting := [i for i, (n, s) in left.items() if i not in want and (np.array([n, 1, n * s]) <= free + 1e-9).all()]:
+            scores = np.array([[n, 1, n * s] for n, s in map(left.get, fitting)]) / full @ (free / full)
+            want.append(fitting[int(scores.argmax())])
+            free -= [left[want[-1]][0], 1, left[want[-1]][0] * left[want[-1]][1]]
+        assert [p.doc for p in packer.sequence()] == want
+        left = {i: v for i, v in left.items() if i not in want}
+    assert not left
