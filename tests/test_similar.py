@@ -144,3 +144,14 @@ def test_the_norm_of_a_long_text_is_worked_out_once(spark):
     vector = terms.vectors(counts, terms.fit(counts)).first()["vector"]
     assert len(vector) == n and vector[0]["weight"] == pytest.approx(n**-0.5)
     assert time.monotonic() - begun < 30
+
+
+def test_blocks_meet_in_a_product_without_a_shuffle(spark):
+    # 40 texts share 30 words; every one of these used to carry the vectors of all texts through a shuffle.
+    rows = [(i, " ".join(f"w{j}" for j in range(30)) + f" x{i}") for i in range(40)]
+    spelled = fitted(spark, rows).select(F.col("key").alias("id"), (F.col("key") < 15).alias("asks"), (F.col("key") >= 15).alias("answers"), F.transform("vector", lambda t: F.xxhash64(t.term)).alias("terms"), F.transform("vector", lambda t: t.weight).alias("weights"))
+    blocks = similar._written(spelled.coalesce(1).sortWithinPartitions("asks", "answers", "id").mapInArrow(similar._packing(10, 10_000), similar._PACKED))
+    met = similar._pairs_of_blocks(blocks, 2)
+    assert met.count() == 2 * 3
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
