@@ -94,12 +94,15 @@ JAVA_PII = {name: java_pattern(*counting(name)) for name in fv.PII_PATTERNS}
 JAVA_SECRETS = tuple(java_pattern(pattern, True) for pattern, _ in fv.SECRET_PATTERNS)
 
 
-def _settled_ranges() -> str:
-    """Java class body of characters that NFKC leaves alone in any company.
+def _settled_class() -> str:
+    """Java class of ASCII and of the characters that NFKC leaves alone in any company.
 
     Scripts beyond these are still handled, by the slower route. Combining marks
-    and Hangul jamo are left out because they may merge with a neighbour, and the
-    ampersand because it may start an HTML entity.
+    and Hangul jamo are left out because they may merge with a neighbour. An ampersand
+    may start an HTML entity and is looked for apart.
+
+    Java tests a class in a class only if what stands before it does not match, but tests
+    all ranges of a flat class for every character. So ASCII comes first, then the long ranges.
     """
     scripts = [
         (0x00, 0x17F),  # Latin
@@ -117,15 +120,17 @@ def _settled_ranges() -> str:
     for first, last in scripts:
         for point in range(first, last + 1):
             char = chr(point)
-            if char == "&" or unicodedata.normalize("NFKC", char) != char or unicodedata.category(char)[0] == "M":
+            if unicodedata.normalize("NFKC", char) != char or unicodedata.category(char)[0] == "M":
                 continue
             if spans and spans[-1][1] == point - 1:
                 spans[-1][1] = point
             else:
                 spans.append([point, point])
-    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in spans)
+    spans.sort(key=lambda span: span[0] - span[1])
+    ranges = [f"\\u{a:04x}-\\u{b:04x}" for a, b in spans]
+    parts = [r"\x00-\x7f", *ranges[:8], "".join(ranges[8:])]
+    return "[" + "[".join(parts) + "]" * len(parts)
 
 
-#: finds a character that normalisation might change; ASCII is passed over first
-#: because a class of many ranges is slow to test
-UNSETTLED = rf"[^\x00-\x7f](?<![{_settled_ranges()}])"
+#: matches if there is a character that normalisation might change: the run of all others ends early
+UNSETTLED = rf"\A{_settled_class()}*+(?!\z)"

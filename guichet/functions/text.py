@@ -77,10 +77,13 @@ def strip(c: Column) -> Column:
     """Without leading and trailing Unicode white space (``trim`` drops spaces only)."""
 
     def stripped(t: Column) -> Column:
-        ends = F.concat(F.substring(t, 1, 1), F.substring(t, -1, 1))
-        return F.when(ends.rlike(SPACE_CLASS), F.regexp_replace(t, f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")).otherwise(t)
+        # Three bytes hold any space. A place in a text is counted from its start; one in its bytes is not.
+        data = t.cast("binary")
+        head, tail = (F.substring(data, at, 3).cast("string") for at in (1, -3))
+        ends = head.rlike(rf"\A{SPACE_CLASS}") | tail.rlike(rf"{SPACE_CLASS}\z")
+        return F.when(ends, F.regexp_replace(t, f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")).otherwise(t)
 
-    return _let(c, stripped)
+    return _let(F.trim(c), stripped)
 
 
 def squeeze(c: Column) -> Column:
@@ -124,10 +127,11 @@ def normalise_each(texts: Column) -> Column:
 # The dotted capital and the dotless small i stand for any i when case is ignored,
 # and do not lower to one.
 _WORDS = ("_id", "identifiant", "login", "username")
+_PHONE = java_pattern(r"[+0](?:33|033)?\s*+[1-9](?:[\s.-]*\d{2}){4}", False)
 _MUST_HAVE = {
     "email": lambda c: _contains_any(c, "@"),
-    "fr_phone": lambda c: _contains_any(c, "0", "+33"),
-    "ipv4": lambda c: c.rlike(r"\p{Nd}\.\p{Nd}"),
+    "fr_phone": lambda c: _contains_any(c, "0", "+33") & c.rlike(_PHONE),
+    "ipv4": lambda c: c.rlike(r"\.\p{Nd}{1,3}\.\p{Nd}"),
     "url": lambda c: _contains_any(c, "://", "ww.", "wW.", "Ww.", "WW."),
     "obvious_identifier": lambda c: _let(F.lower(c), lambda low: _contains_any(low, *_WORDS)) | _contains_any(c, "İ", "ı"),
 }

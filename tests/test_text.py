@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from guichet import fixed_values as fv
+from guichet.functions import _masking
 from guichet.functions import text as X
+from guichet.functions.patterns import JAVA_PII
 
 MASK_CASES = [
     ("VPN KO pour marie.dupont@example.test depuis 192.168.1.15", "VPN KO pour [EMAIL] depuis [IP]"),
@@ -205,3 +207,68 @@ def test_long_adversarial_text_does_not_overflow(evaluate):
     masked = evaluate(values, X.mask)
     assert masked[0].startswith("[EMAIL]") and masked[1] == "[EMAIL]" and masked[2] == values[2]
     assert evaluate(values, X.looks_like_contact) == [True, True, False, True, None]
+
+
+def test_texts_without_what_a_category_needs_are_not_searched(evaluate, monkeypatch):
+    """Decimals are no addresses and a room number is no phone number; the rest of a text is left to a substring test."""
+    plain = ["version 3.14 & 10.5", "room 101 &", "AT&amp;T in 2024.", "Müller & Söhne, 1.000.000 pièces", ""]
+    for category in ("ipv4", "fr_phone"):
+        assert evaluate([t for t in plain if "000" not in t], lambda c, name=category: X._MUST_HAVE[name](c), "string") == [False] * 4
+    searched = []
+
+    class Detector:
+        def __init__(self, name, pattern):
+            self.name, self.pattern = name, pattern
+
+        def finditer(self, text):
+            searched.append(self.name)
+            return self.pattern.finditer(text)
+
+    monkeypatch.setattr(_masking, "_DETECTORS", [(name, Detector(name, p)) for name, p in _masking._DETECTORS])
+    assert [_masking.mask(t) for t in plain] == [_masking.normalise(t) for t in plain]
+    assert set(searched) <= {"ipv4"}
+    assert _masking.mask("a@b.test") == "[EMAIL]" and searched[-1] == "email"
+
+
+def test_gates_lose_no_hit():
+    """Every span that the detectors find by themselves, on texts made of their parts."""
+    r = random.Random(5)
+    parts = ["0", "+33", "0033", "6", "12", "34", " ", "\u00a0", ".", "-", "\n", "10.", "1.2.3.4", "٣.٤", "255.0.0.1", "www.", "wWw.a", "http\u017f://", "HTTPS://x"]
+    parts += ["u\u017fername", "lOG\u0130N", "log\u0131n:", "user_\u0130d=abc", "agent_id x", "IDENTIFIANT#abc", "@", "a@b.cd", "[EMAIL]", "<", "mailto:", "&amp;", "x", "é"]
+    found = 0
+    for _ in range(20_000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(1, 14)))
+        want = sorted((m.start(), m.end(), name) for name, rx in _masking._DETECTORS for m in rx.finditer(text))
+        assert _masking.spans(text) == want, text
+        found += bool(want)
+    assert found > 5_000
+
+
+def test_gates_and_detectors_agree_in_the_jvm(spark):
+    r = random.Random(6)
+    parts = ["0", "+33", "0033", "6", "12", "34", "78", "1234", "12 34", "\u00a0", ".", "\n-", "10.", "1.2.3.4", "٣.٤.٣.٤", "255.0.0.1", "xé"]
+    made = [("".join(r.choice(parts) for _ in range(r.randint(1, 14))),) for _ in range(5_000)]
+    gap = lambda: r.choice(["", " ", ".", "-", "\u00a0", " - ", "x"])
+    numbers = [r.choice(["0", "00", "33", "0033", "+33", "7", "+"]) + gap() + r.choice("0126") + "".join(gap() + r.choice(["12", "34", "٣٤", "5"]) for _ in range(4)) for _ in range(5_000)]
+    rows = spark.createDataFrame(made + [(n,) for n in numbers], "t string").select(
+        *(X.has_category(F.col("t"), name).alias(name) for name in ("ipv4", "fr_phone")), *(F.col("t").rlike(JAVA_PII[name]).alias(f"{name}_alone") for name in ("ipv4", "fr_phone"))
+    )
+    got = rows.collect()
+    assert all(g.ipv4 == g.ipv4_alone and g.fr_phone == g.fr_phone_alone for g in got)
+    assert sum(g.ipv4 for g in got) > 100 and sum(g.fr_phone for g in got) > 50
+
+
+def test_the_normal_form_test_knows_every_character(evaluate):
+    """One odd character between plain ones, for every code point below the surrogates and some beyond."""
+    points = [*range(1, 0xD800, 7), *range(0x80, 0x600), *range(0x1100, 0x1200), 0x1F600, 0x2F800]
+    unsettled = evaluate([f"a\u00e9{chr(p)}\u044f" for p in points], X.is_unsettled)
+    changed = [unicodedata.normalize("NFKC", chr(p)) != chr(p) or unicodedata.category(chr(p))[0] == "M" or chr(p) == "&" for p in points]
+    assert all(u for u, c in zip(unsettled, changed, strict=True) if c)
+    plain = [u for p, u in zip(points, unsettled, strict=True) if 0x4E00 <= p <= 0x9FA5 or 0xC0 <= p <= 0x131]
+    assert plain and not any(plain)
+
+
+def test_strip_takes_every_space_of_either_end(evaluate):
+    spaces = [chr(p) for p in range(0x3001) if chr(p).isspace()]
+    texts_ = [s + "é x" for s in spaces] + ["é x" + s for s in spaces] + [" " + s + " x\u2003y" + s + " " for s in spaces] + ["", " ", "\u3000", "中", "\U0001f600", "é"]
+    assert evaluate(texts_, X.strip) == [t.strip() for t in texts_]
