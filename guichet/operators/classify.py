@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -52,8 +53,19 @@ def _pipeline(kind: str, places: int, params: Mapping[str, object]) -> Pipeline:
 
 
 def train(rows: DataFrame, kind: str, *, places: int = 1 << 12, parts: int = 64, **params: object) -> PipelineModel:
-    """A fitted pipeline of ``kind`` over rows as labelled_words makes them. At least one row has to be there."""
-    return _pipeline(kind, places, params).fit(_dealt(rows, parts))
+    """A fitted pipeline of ``kind`` over rows as labelled_words makes them. At least one row has to be there.
+
+    Fitting reads its rows many times. What it reads are counts, dealt, sorted and kept (on disk where
+    memory is short) until the fit is done; words are counted once, before they are dealt.
+    """
+    counted, weighing, classifier = _pipeline(kind, places, params).getStages()
+    dealt = _dealt(counted.transform(rows).drop("words"), parts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        weighed = weighing.fit(dealt)
+        fitted = classifier.fit(weighed.transform(dealt))
+    finally:
+        dealt.unpersist()
+    return PipelineModel([counted, weighed, fitted])
 
 
 def search(rows: DataFrame, kind: str, grid: Mapping[str, Sequence[object]], *, places: int = 1 << 12, parts: int = 64, parallelism: int = 1) -> CrossValidatorModel:

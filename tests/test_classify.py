@@ -106,3 +106,16 @@ def test_unknown_kinds_and_single_folds_are_refused(rows, known):
         classify.train(known, "oracle")
     with pytest.raises(ValueError, match="two folds"):
         classify.labelled_words(rows, "id", "text", "label", folds=1)
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_a_fit_reads_words_once_and_keeps_nothing(spark, known, kind):
+    seen, kept = spark.sparkContext.accumulator(0), spark._jsc.sc().getPersistentRDDs().size()
+
+    def read(words):
+        seen.add(1)
+        return words
+
+    classify.train(known.withColumn("words", F.udf(read, "array<string>")("words")), kind, places=64, parts=4)
+    assert seen.value == known.count()
+    assert spark._jsc.sc().getPersistentRDDs().size() == kept
