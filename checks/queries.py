@@ -736,7 +736,9 @@ _INGESTED = f"""WITH {_MAPPED} SELECT external_ticket_id, summary, details, stat
 def ingest_pages(spark, sf_dir):
     """Every page ingested twice: the second run adds nothing."""
     root = shared_folder(spark)
-    landed = payloads(spark, sf_dir).select(F.format_string("%012d", "doc_id").alias("page"), "body")
+    # Searching texts takes long for their size: a few tasks of usual size would leave cores idle.
+    parts = 4 * spark.sparkContext.defaultParallelism
+    landed = payloads(spark, sf_dir, parts).select(F.format_string("%012d", "doc_id").alias("page"), "body")
     for _ in range(2):
         ingest.ingest_pages(landed, root, ingested_at=datetime.fromisoformat(STAMP))
     return _texts_of_dates(table.current(spark, root))

@@ -67,13 +67,16 @@ PAYLOAD_SQL = """
 """
 
 
-def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payloads(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
     """(doc_id, body): one landed response per document, as JSON text.
 
     The container, the status and the date field change with the number, and each
-    list also holds two items that are not objects.
+    list also holds two items that are not objects. Given ``parts``, the responses lie
+    in that many partitions at least, and not in as few as their size suggests.
     """
     d = load(spark, sf_dir, "documents").alias("d")
+    if parts is not None:
+        d = d.repartition(parts, "doc_id")
     o = load(spark, sf_dir, "orders").alias("o")
     df = d.join(o, F.expr("o.o_orderkey = d.doc_id"))
     ticket = F.to_json(F.expr(PAYLOAD_SQL), {"ignoreNullFields": "false"})

@@ -237,3 +237,17 @@ def test_one_pass_equals_cleaning_and_masking_after_mapping(spark):
     assert rows(one) == rows(two)
     plan = one._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") + plan.count("ArrowUDF") <= 2 and plan.count("@(") <= 4
+
+
+def test_pages_are_spread_over_tasks(spark, tmp_path):
+    """However small they are, and the same pages, with repeated and null numbers among them."""
+    from checks.tables import payloads
+
+    texts = [(i % 40 if i else None, f"text {i}", "en", "web", 6) for i in range(60)]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    orders = [(i, i, "O", 1.0, datetime(1997, 1, 1), "1-URGENT") for i in range(50)]
+    names = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    spark.createDataFrame(orders, names).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spread = payloads(spark, str(tmp_path), 12)
+    assert spread.rdd.getNumPartitions() >= 12
+    assert rows(spread) == rows(payloads(spark, str(tmp_path))) and spread.count() == 59
