@@ -101,3 +101,38 @@ def test_equal_texts_are_written_once(spark, monkeypatch):
     assert {x["n_removed"] for i, x in rows.items() if i < 300} == {3000} and rows[300]["n_removed"] == 3000 == rows[301]["n_removed"]
     with_text = [t for t in tables if "text" in t.columns]
     assert len(with_text) == 1 and with_text[0].count() <= 3
+
+
+def test_copies_do_not_meet_in_one_task(spark, monkeypatch):
+    """By text, only a row per range is brought together, and the join with whole texts can split one with many copies."""
+    tables = []
+
+    def counted(df):
+        tables.append(written(df))
+        return tables[-1]
+
+    monkeypatch.setattr(repeats, "written", counted)
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in options}
+    r = random.Random(11)
+    text = "".join(r.choices("abcdefgh ", k=3000))
+    others = ["".join(r.choices("abcdefgh ", k=300)) for _ in range(40)]
+    found = [text] * 300 + [text[:1500] + "#" + text[1500:], text[:700] + "##" + text[700:], *others]
+    df = spark.createDataFrame(list(enumerate(found)), "doc_id long, text string").repartition(8)
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        out = repeats.remove_repeats(df)
+        rows = {x["doc_id"]: x["n_removed"] for x in out.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [rows[i] for i in range(len(found))] == [3000] * 302 + [0] * 40
+    by_text = [t for t in tables if "sha" in t.columns and "at" in t.columns]
+    assert len(by_text) == 1 and 0 < by_text[0].count() < 100
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
