@@ -11,17 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from guichet.session import shared_folder
+from guichet.session import written as _written
 
 _PART = 4096
 
 
-def _written(df: DataFrame) -> DataFrame:
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _placed(rows: DataFrame, group: str, part: Column, *order: str) -> DataFrame:
     """Adds ``place``, from 0: the row's position in its group, by part and then ``order``.
 

@@ -5,18 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from guichet.session import shared_folder
+from guichet.session import written as _written
 
 KEY = "external_ticket_id"
 _SHARED = 6  # rare words that similar sets are known to share before they are compared
 
 
-def _written(df: DataFrame) -> DataFrame:
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def words(text: Column) -> Column:
     """The different words of a text, lower-cased: runs of ASCII letters and digits."""
     plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", " ")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from guichet.operators import pairs, similar, terms
+from guichet.session import dropped, written
 
 
 def texts(seed, n, copies=0):
@@ -62,6 +63,39 @@ def test_weights_have_length_one_and_their_order(spark):
         assert all(abs(t["weight"] - want[k][t["term"]]) < 1e-9 for t in vector)
 
 
+@pytest.mark.parametrize("frequent", [0, 7, 1000])
+def test_frequent_terms_are_broadcast_and_others_joined(spark, monkeypatch, frequent):
+    monkeypatch.setattr(terms, "_FREQUENT", frequent)
+    rows = texts(1, 30) + [(50, "rare"), (51, "rare rare w1"), (52, "1 2 2 10 01"), (None, "w1 rare"), (51, "rare w2")]
+    counts = written(terms.term_counts(spark.createDataFrame(rows, "id long, text string").repartition(3), "id", "text"))
+    merged = {}
+    for k, t in rows:
+        if k is not None:
+            merged[k] = f"{merged.get(k, '')} {t}"
+    want, df = weights(list(merged.items()))
+    got = {r["key"]: r["vector"] for r in terms.vectors(counts, written(terms.fit(counts))).collect()}
+    assert got.keys() == want.keys()
+    for k, vector in got.items():
+        assert [(t["df"], t["term"]) for t in vector] == sorted((df[w], w) for w in want[k])
+        assert all(abs(t["weight"] - want[k][t["term"]]) < 1e-9 for t in vector)
+    kept = terms.vectors(counts.filter("key < 20"), terms.fit(counts, 3))
+    assert {t["term"] for r in kept.collect() for t in r["vector"]} <= {w for w, n in df.items() if n >= 3}
+
+
+def test_nothing_shuffled_stays_behind_a_table_in_between(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.split("\n") if "/shuffle_" in f}
+
+    before = shuffled()
+    table = written(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count())
+    assert not shuffled() - before
+    assert table.count() == 100
+    dropped(table)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FILE_NOT_EXIST"):
+        spark.read.parquet(*table.inputFiles()).count()
+
+
 @pytest.mark.parametrize("k,least,block", [(3, 0.3, 256), (3, 0.3, 4), (1, 0.8, 3), (50, 0.05, 7)])
 def test_nearest_equals_brute_force(spark, monkeypatch, k, least, block):
     monkeypatch.setattr(similar, "_BLOCK", block)
