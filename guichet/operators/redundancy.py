@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from guichet.llm.runs import by_run, in_block_pairs
+from guichet.llm.store import bounded_batches
+from guichet.session import dropped
 from guichet.session import written as _written
 
 KEY = "external_ticket_id"
 _SHARED = 6  # rare words that similar sets are known to share before they are compared
+_FREQUENT = 1 << 16  # words that are put in the order of their frequency, behind all others
+_BLOCK = 1 << 14  # sets of a block
+_CELLS = 1 << 22  # pairs that are counted at a time
 
 
 def words(text: Column) -> Column:
@@ -34,36 +45,118 @@ def duplicate_counts(tickets: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def _frequent(sets: DataFrame) -> np.ndarray:
+    """Hashes of the words that most sets have, a fixed number at most, rarest first."""
+    counts = sets.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    most = counts.orderBy(F.desc("n"), "word").limit(_FREQUENT).select(F.xxhash64("word").alias("word")).collect()
+    return np.array([r.word for r in reversed(most)], np.int64)
+
+
+def _levels(percent: int) -> np.ndarray:
+    """Where classes of sizes begin: sets of like sizes are in one class or in neighbouring ones."""
+    begins = [1]
+    while begins[-1] < 1 << 31 and percent < 100:
+        begins.append(max(begins[-1] + 1, 100 * begins[-1] // max(percent, 1)))
+    return np.array(begins)
+
+
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(id, word, needed): so many of the rarest words of each set that similar sets share ``needed`` of them, the smaller number of the two.
+    """(id, client, at, size, level, needed, rare): so many of the first words of each set that similar sets share ``needed`` of them, the smaller number of the two.
 
-    Similar sets share at least ``percent`` of the words of each. The first ``needed`` of the
-    shared ones have all others of them behind them, so they stand that far from the end.
+    Words are hashes, in one order for all sets: those that are not frequent, then the
+    frequent ones, rarest first. Similar sets share at least ``percent`` of the words of each.
+    The first ``needed`` of the shared ones have all others of them behind them, so they
+    stand that far from the end.
     """
-    spelled = sets.select("id", F.explode("words").alias("word"))
-    frequency = spelled.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    ranked = spelled.join(frequency, "word").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "word"))).alias("ranked"))
-    size = F.size("ranked")
-    common = F.ceil(size * F.lit(percent) / 100)
-    needed = F.least(common, F.lit(_SHARED)).cast("int")
-    length = (size - common + needed).cast("int")
-    return ranked.select("id", needed.alias("needed"), F.explode(F.slice("ranked", F.lit(1), length)).alias("rare")).select("id", "rare.word", "needed")
+    bounded_batches(sets)
+    frequent, levels = _frequent(sets), _levels(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(frequent)
+        known = frequent[order]
+        for batch in batches:
+            words, size = batch["words"].flatten().to_numpy(), batch["words"].value_lengths().to_numpy().astype(np.int64)
+            row = np.repeat(np.arange(len(size)), size)
+            at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+            rank = np.where(known[at] == words, order[at] + 1, 0)
+            common = np.ceil(size * percent / 100).astype(np.int64)
+            needed = np.minimum(common, _SHARED)
+            length = size - common + needed
+            within = np.arange(len(words)) - np.repeat(np.cumsum(size) - size, size)
+            rare = words[np.lexsort((words, rank, row))[within < np.repeat(length, size)]]
+            ends = pa.py_buffer(np.append(0, 8 * np.cumsum(length)).astype(np.int32).tobytes())
+            level = size if percent >= 100 else np.searchsorted(levels, size, "right")
+            columns = [pa.array(x.astype(np.int32)) for x in (size, level, needed)]
+            columns.append(pa.Array.from_buffers(pa.binary(), len(size), [None, ends, pa.py_buffer(rare.tobytes())]))
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["client"], batch["at"], *columns], ["id", "client", "at", "size", "level", "needed", "rare"])
+
+    hashed = sets.select("id", F.xxhash64("client").alias("client"), "at", F.transform("words", lambda w: F.xxhash64(w)).alias("words"))
+    return hashed.mapInArrow(run, "id long, client long, at int, size int, level int, needed int, rare binary")
+
+
+def _meeting(days: int, percent: int):
+    """Whole groups of sets: those of like sizes, up to ``days`` days apart, that share as many rare words as similar sets do."""
+
+    def work(table: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
+        n = table.num_rows
+        ids, when, size, needed, own, i, j = (table[c].to_numpy() for c in ("id", "at", "size", "needed", "own", "i", "j"))
+        period, level = (table[c].to_numpy(zero_copy_only=False) for c in ("own_period", "own_level"))
+        group = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+        lengths = np.concatenate([pc.binary_length(x).to_numpy() for x in table["rare"].chunks]).astype(np.int64) // 8
+        words, row = np.frombuffer(b"".join(table["rare"].to_pylist()), np.int64), np.repeat(np.arange(n), lengths)
+        order = np.lexsort((row, words, group[row]))
+        words, row = words[order], row[order]
+        starts = np.flatnonzero(np.append(True, (words[1:] != words[:-1]) | (group[row[1:]] != group[row[:-1]])))
+        counts = np.diff(np.append(starts, len(words)))
+        later = np.repeat(starts + counts, counts) - np.arange(len(words)) - 1  # rows behind this one that have the word
+        by_row, from_row = np.argsort(row, kind="stable"), np.append(0, np.cumsum(lengths))
+        step = max(1, _CELLS // n)
+        for first in range(0, n, step):
+            last = min(n, first + step)
+            at = by_row[from_row[first] : from_row[last]]
+            at = at[later[at] > 0]
+            if not len(at):
+                continue
+            width = int(begins[group[last - 1] + 1]) - first
+            shared = np.zeros((last - first) * width, np.int64)
+            for part in np.split(at, np.flatnonzero(np.diff(np.cumsum(later[at]) // (1 << 21), prepend=0))):
+                k = later[part]
+                each = np.repeat(np.arange(len(part)), k)
+                other = np.arange(len(each)) + (part + 1 - np.cumsum(k) + k)[each]
+                shared += np.bincount((row[part] - first)[each] * width + row[other] - first, minlength=len(shared))
+            found = np.flatnonzero(shared)
+            x, y = found // width + first, found % width + first
+            kept = (shared[found] >= np.minimum(needed[x], needed[y])) & (100 * np.minimum(size[x], size[y]).astype(np.int64) >= percent * np.maximum(size[x], size[y]).astype(np.int64))
+            # Every pair counts in one group, and there in one pair of blocks.
+            kept &= (period[x] | period[y]) & (level[x] | level[y]) & ((i[x] == j[x]) | (own[x] != own[y])) & (x != y)
+            x, y = x[kept], y[kept]
+            apart = when[y] - when[x]
+            on, back = (apart >= 0) & (apart <= days), (apart <= 0) & (apart >= -days)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(ids[x[on]], ids[y[back]])), pa.array(np.append(ids[y[on]], ids[x[back]]))], ["a", "b"])
+
+    return work
 
 
 def _candidates(sets: DataFrame, days: int, percent: int) -> DataFrame:
-    """(a, b): different sets of one client, b up to ``days`` days after a, of like sizes, that share the rare words that similar sets share."""
-    entries = _prefixes(sets, percent).join(sets.select("id", "client", "at", "size"), "id")
-    period = F.floor(F.col("at") / days)
+    """(a, b): different sets of one client, b up to ``days`` days after a, of like sizes, that share the rare words that similar sets share.
+
+    A set is in the group of its client, period and class of sizes, and in those of the next
+    period and class, where it only meets sets of their own. Blocks of a large group meet two
+    at a time; only pairs that pass leave a task.
+    """
+    prefixes = _written(_prefixes(sets, percent))
+    period = F.floor(F.col("at") / max(days, 1))
 
-    def side(c: str, rows: DataFrame, period: Column) -> DataFrame:
-        return rows.withColumn("period", period).select("client", "period", "word", F.col("id").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("at", "size", "needed")))
+    def places(own: Column, name: str) -> Column:
+        return F.explode(F.array(F.struct(own.alias("at"), F.lit(True).alias("own")), F.struct((own + 1).alias("at"), F.lit(False).alias("own")))).alias(name)
 
-    old, new = side("a", entries, F.explode(F.array(period, period + 1))), side("b", entries, period)
-    alike = 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
-    apart = F.col("at_b") - F.col("at_a")
-    met = old.join(new, ["client", "period", "word"]).filter((F.col("a") != F.col("b")) & alike & apart.between(0, days))
-    counts = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(F.least("needed_a", "needed_b")).alias("needed"))
-    return counts.filter("n >= needed").select("a", "b")
+    rows = prefixes.select("*", places(period, "p")).select("*", places(F.col("level"), "l"))
+    rows = rows.select(F.xxhash64("client", "p.at", "l.at").alias("group"), "id", "at", "size", "needed", F.col("p.own").alias("own_period"), F.col("l.own").alias("own_level"), "rare")
+    large = rows.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > _BLOCK).select("group", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks"))
+    dealt = in_block_pairs(rows.join(F.broadcast(large), "group", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))), "group", "id", F.col("blocks"))
+    found = _written(by_run(dealt.drop("blocks"), ["group", "i", "j"], _meeting(days, percent), "a long, b long"))
+    dropped(prefixes)
+    return found
 
 
 def redundant_tickets(tickets: DataFrame, client: str, *, text: str = "details", created: str = "ticket_created_at", key: str = KEY, days: int = 7, percent: int = 80) -> DataFrame:
@@ -71,25 +164,28 @@ def redundant_tickets(tickets: DataFrame, client: str, *, text: str = "details",
 
     Two texts are similar when their sets of words share at least ``percent`` of all their
     words. The order is by date and key. Equal texts of a client and day are one; the rest
-    meets by client, period and rare word, and what shares enough of these is checked on the
-    whole sets, so that few sets travel to others. Tickets without a client, a date or a word
-    are in no pair.
+    meets in groups of a client, a period and a class of sizes by its rare words, and what
+    shares enough of these is checked on the whole sets, so that few sets travel to others.
+    Tickets without a client, a date or a word are in no pair.
     """
     day = F.to_date(created)
     rows = tickets.select(F.col(key).alias("key"), F.col(client).alias("client"), day.alias("day"), words(F.col(text)).alias("words"))
     rows = rows.filter((F.size("words") > 0) & F.col("client").isNotNull() & F.col("day").isNotNull())
-    rows = rows.withColumn("content", F.sha2(F.concat_ws(" ", F.array_sort("words")), 256))
+    rows = rows.withColumn("sorted", F.concat_ws(" ", F.array_sort("words"))).withColumn("content", F.sha2("sorted", 256))
     same = ["client", "day", "content"]
-    first = rows.groupBy(*same).agg(F.min("key").alias("id_key"), F.first("words").alias("words")).filter("id_key is not null")
-    sets = _written(first.select(F.xxhash64(*same).alias("id"), *same, F.unix_date("day").alias("at"), "id_key", "words", F.size("words").alias("size")))
+    first = rows.groupBy(*same).agg(F.min("key").alias("id_key"), F.first("sorted").alias("sorted")).filter("id_key is not null")
+    split = F.split("sorted", " ").alias("words")
+    sets = _written(first.select(F.xxhash64(*same).alias("id"), *same, F.unix_date("day").alias("at"), "id_key", split))
     copies = rows.select("key", *same).join(sets.select("id", "id_key", *same), same).filter("key != id_key").select("key", "day", "id_key", "id")
     pairs = _candidates(sets, days, percent)
-    left = sets.select(F.col("id").alias("a"), F.col("words").alias("words_a"), F.col("day").alias("day_a"), F.col("id_key").alias("key_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("words").alias("words_b"), F.col("day").alias("day_b"), F.col("id_key").alias("key_b"))
+    # Both sides read the same columns, so that Spark moves the sets once.
+    left, right = (sets.select(F.col("id").alias(c), F.col("client").alias(f"client_{c}"), F.col("words").alias(f"words_{c}")) for c in "ab")
     common = F.size(F.array_intersect("words_a", "words_b"))
-    checked = pairs.join(left, "a").join(right, "b").filter(100 * common >= percent * (F.size("words_a") + F.size("words_b") - common))
+    alike = 100 * common >= percent * (F.size("words_a") + F.size("words_b") - common)
+    checked = _written(pairs.join(left, "a").join(right, "b").filter((F.col("client_a") == F.col("client_b")) & alike).select("a", "b"))
     # Similar sets of one day meet both ways round, so each has those of the others' keys that come before it.
-    before = checked.groupBy("b").agg(F.min(F.struct(F.col("day_a").alias("day"), F.col("key_a").alias("key"))).alias("first"))
+    earlier = checked.join(sets.select(F.col("id").alias("a"), F.col("day").alias("day_a"), F.col("id_key").alias("key_a")), "a")
+    before = earlier.groupBy("b").agg(F.min(F.struct(F.col("day_a").alias("day"), F.col("key_a").alias("key"))).alias("first"))
     firsts = sets.join(before, sets["id"] == before["b"], "left").select("client", "day", "id_key", sets["id"], "first")
     own = F.struct(F.col("day").alias("day"), F.col("id_key").alias("key"))
     originals = firsts.filter(F.col("first") < own).select(F.col("id_key").alias("key"), F.col("first.key").alias("earlier"))

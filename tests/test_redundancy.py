@@ -91,3 +91,28 @@ def test_sets_that_share_a_few_rare_words_are_not_compared(spark):
     assert {r[0]: r[1] for r in redundancy.redundant_tickets(df, "client").collect()} == all_pairs(rows, 7, 80) == {"u1": "u0", "u2": "u0"}
     words = df.select(F.monotonically_increasing_id().alias("id"), "client", F.lit(0).alias("at"), redundancy.words(F.col("details")).alias("words"))
     assert redundancy._candidates(words.withColumn("size", F.size("words")), 7, 80).count() == 6
+
+
+@pytest.mark.parametrize(("block", "cells", "frequent", "days", "percent"), [(4, 30, 2, 30, 60), (9, 1, 1, 3, 80), (5, 1 << 22, 1 << 16, 400, 100)])
+def test_a_large_group_meets_in_pairs_of_blocks(spark, monkeypatch, block, cells, frequent, days, percent):
+    for name, value in (("_BLOCK", block), ("_CELLS", cells), ("_FREQUENT", frequent)):
+        monkeypatch.setattr(redundancy, name, value)
+    rng = random.Random(block)
+    bases = [[f"w{rng.randint(0, 60)}" for _ in range(rng.randint(1, 25))] for _ in range(6)]
+    rows = []
+    for i in range(90):
+        words = [w if rng.random() > 0.04 else f"w{rng.randint(0, 60)}" for w in rng.choice(bases)]
+        rows.append((f"t{i:03d}", rng.choice(["hot"] * 5 + ["a"]), " ".join(words), DAY + timedelta(days=rng.randint(0, 40))))
+    df = spark.createDataFrame(rows, "external_ticket_id string, client string, details string, ticket_created_at timestamp").repartition(3)
+    found = redundancy.redundant_tickets(df, "client", days=days, percent=percent)
+    assert {r[0]: r[1] for r in found.collect()} == all_pairs(rows, days, percent)
+
+
+def test_pairs_that_share_too_little_do_not_leave_a_task(spark):
+    """200 texts share three rare words: each of their 19,900 pairs was shuffled with a count, twice."""
+    rows = [(f"t{i:03d}", "a", " ".join(["rare", "pair", "here", *(f"x{i}w{j}" for j in range(30))]), DAY) for i in range(200)]
+    df = spark.createDataFrame(rows, "external_ticket_id string, client string, details string, ticket_created_at timestamp")
+    words = df.select(F.monotonically_increasing_id().alias("id"), "client", F.lit(0).alias("at"), redundancy.words(F.col("details")).alias("words"))
+    found = redundancy._candidates(words.withColumn("size", F.size("words")), 7, 80)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 0 and "Join" not in plan and "Exchange" not in plan
