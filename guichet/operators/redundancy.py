@@ -61,12 +61,12 @@ def _levels(percent: int) -> np.ndarray:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(id, client, at, size, level, needed, rare): so many of the first words of each set that similar sets share ``needed`` of them, the smaller number of the two.
+    """(id, client, at, size, level, last, rare): so many of the first words of each set that similar sets share six of them, or as many as the smaller needs; last is the order of the last one.
 
     Words are hashes, in one order for all sets: those that are not frequent, then the
     frequent ones, rarest first. Similar sets share at least ``percent`` of the words of each.
-    The first ``needed`` of the shared ones have all others of them behind them, so they
-    stand that far from the end.
+    The first six of the shared ones have all others of them behind them, so they stand that
+    far from the end.
     """
     bounded_batches(sets)
     frequent, levels = _frequent(sets), _levels(percent)
@@ -83,27 +83,34 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
             needed = np.minimum(common, _SHARED)
             length = size - common + needed
             within = np.arange(len(words)) - np.repeat(np.cumsum(size) - size, size)
-            rare = words[np.lexsort((words, rank, row))[within < np.repeat(length, size)]]
+            first = np.lexsort((words, rank, row))[within < np.repeat(length, size)]
+            rare, last = words[first], rank[first[np.cumsum(length) - 1]]
             ends = pa.py_buffer(np.append(0, 8 * np.cumsum(length)).astype(np.int32).tobytes())
             level = size if percent >= 100 else np.searchsorted(levels, size, "right")
-            columns = [pa.array(x.astype(np.int32)) for x in (size, level, needed)]
+            columns = [pa.array(x.astype(np.int32)) for x in (size, level, last)]
             columns.append(pa.Array.from_buffers(pa.binary(), len(size), [None, ends, pa.py_buffer(rare.tobytes())]))
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["client"], batch["at"], *columns], ["id", "client", "at", "size", "level", "needed", "rare"])
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["client"], batch["at"], *columns], ["id", "client", "at", "size", "level", "last", "rare"])
 
     hashed = sets.select("id", F.xxhash64("client").alias("client"), "at", F.transform("words", lambda w: F.xxhash64(w)).alias("words"))
-    return hashed.mapInArrow(run, "id long, client long, at int, size int, level int, needed int, rare binary")
+    return hashed.mapInArrow(run, "id long, client long, at int, size int, level int, last int, rare binary")
 
 
 def _meeting(days: int, percent: int):
-    """Whole groups of sets: those of like sizes, up to ``days`` days apart, that share as many rare words as similar sets do."""
+    """Whole groups of sets: those of like sizes, up to ``days`` days apart, that share as many rare words as similar sets do.
+
+    The set whose rare words end first has as many words behind them; what two sets share is
+    at most that and what they share before.
+    """
 
     def work(table: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
         n = table.num_rows
-        ids, when, size, needed, own, i, j = (table[c].to_numpy() for c in ("id", "at", "size", "needed", "own", "i", "j"))
+        ids, when, size, last_rank, own, i, j = (table[c].to_numpy() for c in ("id", "at", "size", "last", "own", "i", "j"))
+        size = size.astype(np.int64)
         period, level = (table[c].to_numpy(zero_copy_only=False) for c in ("own_period", "own_level"))
         group = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
         lengths = np.concatenate([pc.binary_length(x).to_numpy() for x in table["rare"].chunks]).astype(np.int64) // 8
         words, row = np.frombuffer(b"".join(table["rare"].to_pylist()), np.int64), np.repeat(np.arange(n), lengths)
+        last_word, behind = words[np.cumsum(lengths) - 1], size - lengths
         order = np.lexsort((row, words, group[row]))
         words, row = words[order], row[order]
         starts = np.flatnonzero(np.append(True, (words[1:] != words[:-1]) | (group[row[1:]] != group[row[:-1]])))
@@ -126,7 +133,9 @@ def _meeting(days: int, percent: int):
                 shared += np.bincount((row[part] - first)[each] * width + row[other] - first, minlength=len(shared))
             found = np.flatnonzero(shared)
             x, y = found // width + first, found % width + first
-            kept = (shared[found] >= np.minimum(needed[x], needed[y])) & (100 * np.minimum(size[x], size[y]).astype(np.int64) >= percent * np.maximum(size[x], size[y]).astype(np.int64))
+            ends_first = (last_rank[x] < last_rank[y]) | ((last_rank[x] == last_rank[y]) & (last_word[x] <= last_word[y]))
+            most = shared[found] + np.where(ends_first, behind[x], behind[y])
+            kept = ((100 + percent) * most >= percent * (size[x] + size[y])) & (100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y]))
             # Every pair counts in one group, and there in one pair of blocks.
             kept &= (period[x] | period[y]) & (level[x] | level[y]) & ((i[x] == j[x]) | (own[x] != own[y])) & (x != y)
             x, y = x[kept], y[kept]
@@ -151,7 +160,7 @@ def _candidates(sets: DataFrame, days: int, percent: int) -> DataFrame:
         return F.explode(F.array(F.struct(own.alias("at"), F.lit(True).alias("own")), F.struct((own + 1).alias("at"), F.lit(False).alias("own")))).alias(name)
 
     rows = prefixes.select("*", places(period, "p")).select("*", places(F.col("level"), "l"))
-    rows = rows.select(F.xxhash64("client", "p.at", "l.at").alias("group"), "id", "at", "size", "needed", F.col("p.own").alias("own_period"), F.col("l.own").alias("own_level"), "rare")
+    rows = rows.select(F.xxhash64("client", "p.at", "l.at").alias("group"), "id", "at", "size", "last", F.col("p.own").alias("own_period"), F.col("l.own").alias("own_level"), "rare")
     large = rows.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > _BLOCK).select("group", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks"))
     dealt = in_block_pairs(rows.join(F.broadcast(large), "group", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))), "group", "id", F.col("blocks"))
     found = _written(by_run(dealt.drop("blocks"), ["group", "i", "j"], _meeting(days, percent), "a long, b long"))
@@ -178,11 +187,13 @@ def redundant_tickets(tickets: DataFrame, client: str, *, text: str = "details",
     sets = _written(first.select(F.xxhash64(*same).alias("id"), *same, F.unix_date("day").alias("at"), "id_key", split))
     copies = rows.select("key", *same).join(sets.select("id", "id_key", *same), same).filter("key != id_key").select("key", "day", "id_key", "id")
     pairs = _candidates(sets, days, percent)
-    # Both sides read the same columns, so that Spark moves the sets once.
-    left, right = (sets.select(F.col("id").alias(c), F.col("client").alias(f"client_{c}"), F.col("words").alias(f"words_{c}")) for c in "ab")
-    common = F.size(F.array_intersect("words_a", "words_b"))
-    alike = 100 * common >= percent * (F.size("words_a") + F.size("words_b") - common)
-    checked = _written(pairs.join(left, "a").join(right, "b").filter((F.col("client_a") == F.col("client_b")) & alike).select("a", "b"))
+    # Both sets of a pair come to it from one join, so that the sets move once.
+    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id")).join(sets.select("id", F.col("client").alias("of"), "words"), "id")
+    both = sides.groupBy("a", "b").agg(F.collect_list(F.struct("of", "words")).alias("two"))
+    (x, y), (client_x, client_y) = ([F.get("two", F.lit(i))[c] for i in (0, 1)] for c in ("words", "of"))
+    common = F.size(F.array_intersect(x, y))
+    alike = 100 * common >= percent * (F.size(x) + F.size(y) - common)
+    checked = _written(both.filter((client_x == client_y) & alike).select("a", "b"))
     # Similar sets of one day meet both ways round, so each has those of the others' keys that come before it.
     earlier = checked.join(sets.select(F.col("id").alias("a"), F.col("day").alias("day_a"), F.col("id_key").alias("key_a")), "a")
     before = earlier.groupBy("b").agg(F.min(F.struct(F.col("day_a").alias("day"), F.col("key_a").alias("key"))).alias("first"))
