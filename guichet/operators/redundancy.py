@@ -7,12 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from guichet.llm.runs import by_run, in_block_pairs
-from guichet.llm.store import bounded_batches
-from guichet.session import dropped
+from guichet.runs import by_run, in_block_pairs
+from guichet.session import bounded_batches, dropped
 from guichet.session import written as _written
 
 KEY = "external_ticket_id"
@@ -20,6 +19,7 @@ _SHARED = 6  # rare words that similar sets are known to share before they are c
 _FREQUENT = 1 << 16  # words that are put in the order of their frequency, behind all others
 _BLOCK = 1 << 14  # sets of a block
 _CELLS = 1 << 22  # pairs that are counted at a time
+_TRIED = 4  # earlier sets that a set is compared with before its others
 
 
 def words(text: Column) -> Column:
@@ -168,6 +168,16 @@ def _candidates(sets: DataFrame, days: int, percent: int) -> DataFrame:
     return found
 
 
+def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b, ...) whose whole sets are similar and of one client; both come to the pair from one join, so that the sets move once."""
+    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id")).join(sets.select("id", F.col("client").alias("of"), "words"), "id")
+    both = sides.groupBy("a", "b").agg(F.collect_list(F.struct("of", "words")).alias("two"))
+    (x, y), (client_x, client_y) = ([F.get("two", F.lit(i))[c] for i in (0, 1)] for c in ("words", "of"))
+    common = F.size(F.array_intersect(x, y))
+    alike = 100 * common >= percent * (F.size(x) + F.size(y) - common)
+    return pairs.join(both.filter((client_x == client_y) & alike).select("a", "b"), ["a", "b"])
+
+
 def redundant_tickets(tickets: DataFrame, client: str, *, text: str = "details", created: str = "ticket_created_at", key: str = KEY, days: int = 7, percent: int = 80) -> DataFrame:
     """(key, earlier): tickets with a similar one of the same client up to ``days`` days before, and the first of these.
 
@@ -187,15 +197,14 @@ def redundant_tickets(tickets: DataFrame, client: str, *, text: str = "details",
     sets = _written(first.select(F.xxhash64(*same).alias("id"), *same, F.unix_date("day").alias("at"), "id_key", split))
     copies = rows.select("key", *same).join(sets.select("id", "id_key", *same), same).filter("key != id_key").select("key", "day", "id_key", "id")
     pairs = _candidates(sets, days, percent)
-    # Both sets of a pair come to it from one join, so that the sets move once.
-    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id")).join(sets.select("id", F.col("client").alias("of"), "words"), "id")
-    both = sides.groupBy("a", "b").agg(F.collect_list(F.struct("of", "words")).alias("two"))
-    (x, y), (client_x, client_y) = ([F.get("two", F.lit(i))[c] for i in (0, 1)] for c in ("words", "of"))
-    common = F.size(F.array_intersect(x, y))
-    alike = 100 * common >= percent * (F.size(x) + F.size(y) - common)
-    checked = _written(both.filter((client_x == client_y) & alike).select("a", "b"))
+    days_of = sets.select(F.col("id").alias("a"), F.col("day").alias("day_a"), F.col("id_key").alias("key_a"))
+    nth = F.row_number().over(Window.partitionBy("b").orderBy("day_a", "key_a", "a"))
+    pairs = _written(pairs.join(days_of, "a").select("a", "b", "day_a", "key_a", (nth <= _TRIED).alias("soon")))
+    # Only the first similar one is wanted: the later ones of a set are checked if none of the first few is similar.
+    soon = _written(_checked(pairs.filter("soon"), sets, percent))
+    later = pairs.filter("not soon").join(soon.select("b").distinct(), "b", "left_anti")
+    earlier = soon.unionByName(_written(_checked(later, sets, percent)))
     # Similar sets of one day meet both ways round, so each has those of the others' keys that come before it.
-    earlier = checked.join(sets.select(F.col("id").alias("a"), F.col("day").alias("day_a"), F.col("id_key").alias("key_a")), "a")
     before = earlier.groupBy("b").agg(F.min(F.struct(F.col("day_a").alias("day"), F.col("key_a").alias("key"))).alias("first"))
     firsts = sets.join(before, sets["id"] == before["b"], "left").select("client", "day", "id_key", sets["id"], "first")
     own = F.struct(F.col("day").alias("day"), F.col("id_key").alias("key"))

@@ -116,3 +116,17 @@ def test_pairs_that_share_too_little_do_not_leave_a_task(spark):
     found = redundancy._candidates(words.withColumn("size", F.size("words")), 7, 80)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert found.count() == 0 and "Join" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("tried", [1, 4])
+def test_later_pairs_are_checked_only_for_want_of_earlier_ones(spark, monkeypatch, tried):
+    monkeypatch.setattr(redundancy, "_TRIED", tried)
+    checked, real = [], redundancy._checked
+    monkeypatch.setattr(redundancy, "_checked", lambda pairs, sets, percent: checked.append(pairs.count()) or real(pairs, sets, percent))
+    copies = [(f"c{i:02d}", "a", " ".join([*(f"w{j}" for j in range(30)), f"own{i}"]), DAY + timedelta(hours=i)) for i in range(20)]
+    # Each shares its rare words with several earlier ones and is similar to the last of them only.
+    chain = [(f"d{i:02d}", "b", " ".join(f"v{j}" for j in range(2 * i, 2 * i + 24)), DAY + timedelta(days=i)) for i in range(8)]
+    df = spark.createDataFrame(copies + chain, "external_ticket_id string, client string, details string, ticket_created_at timestamp")
+    found = redundancy.redundant_tickets(df, "client", days=30)
+    assert {r[0]: r[1] for r in found.collect()} == all_pairs(copies + chain, 30, 80)
+    assert checked[1] <= 28 < 190  # 190 pairs of copies are similar, and were all compared
